@@ -68,8 +68,9 @@ def filter_late_rows(
 ) -> DataFrame:
     """Keep staged rows strictly newer than ``COALESCE(MAX(final.col), epoch)``.
 
-    Ties at the watermark and NULL increments drop. The watermark is a
-    one-row aggregate, so joining it back is a broadcast of exactly one row.
+    Ties at the watermark and NULL increments drop. The watermark is a scalar
+    subquery: computed once, broadcast to every task as a constant, and also
+    handed to the Parquet reader as a runtime filter.
     ``policy="accept"`` disables the filter (backfills of older rows).
     """
     if policy == "accept":
@@ -77,12 +78,8 @@ def filter_late_rows(
     epoch = F.lit(TM.EPOCH_NTZ).cast(_dtype(staged, staged_col))
     if final is None:
         return staged.filter(F.col(staged_col) > epoch)
-    wm = final.agg(F.max(final_col).alias("__wm"))
-    return (
-        staged.crossJoin(F.broadcast(wm))
-        .filter(F.col(staged_col) > F.coalesce(F.col("__wm"), epoch))
-        .drop("__wm")
-    )
+    wm = final.agg(F.max(final_col).alias("__wm")).scalar()
+    return staged.filter(F.col(staged_col) > F.coalesce(wm, epoch))
 
 
 def non_blank(cols: list[str]) -> Column:

@@ -3,12 +3,16 @@ scan to resulting table state. Writing is left to ``tidewater.sinks``."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tidewater.functions import types as TY
 from tidewater.functions.contract import TRACKING_CONTRACT, EventContract
-from tidewater.operators import filters, joins, project, replace
+from tidewater.operators import dedupe, filters, joins, merge, project, replace, schema
+from tidewater.plans.configs import TableConfig
+from tidewater.sources import scans
 
 TRACKING_ZONE = "America/Chicago"
 
@@ -41,3 +45,42 @@ def tracking_day(
     """Daily refresh: rebuild the local day and replace it in the target."""
     rebuilt = curate_tracking(events, users, start, end, zone)
     return replace.replace_local_day(target, rebuilt, "timestamp", start, end, zone)
+
+
+def replicate_table(
+    source: DataFrame,
+    final: DataFrame | None,
+    cfg: TableConfig,
+    run_ts: datetime,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    late_policy: str = "drop",
+    source_types: dict | None = None,
+) -> DataFrame:
+    """Window scan -> stamp ``_loaded_at`` -> late filter -> snake_case and
+    typed projection -> reconcile the final schema -> keep-latest -> MERGE.
+
+    Returns the new state of the final table. A snapshot config (no
+    incremental column) reads everything and deletes keys missing from the
+    snapshot.
+    """
+    scanned = scans.scan_incremental_window(source, cfg.source_incremental_column, start, end)
+    staged = project.stamp_audit_columns(scanned, {project.LOADED_AT: run_ts})
+    if cfg.source_incremental_column:
+        staged = filters.filter_late_rows(
+            staged, cfg.source_incremental_column, final, cfg.target_incremental_column, late_policy
+        )
+    required = list(cfg.join_keys) + [c for c, _ in cfg.order_by if c != project.LOADED_AT]
+    typed = project.project_typed(staged, source_types or {}, cfg.unix_seconds_columns)
+    projected = project.project_snake_case(typed, required=required)
+    if final is None:
+        target = projected.filter(F.lit(False))
+    else:
+        target = schema.reconcile_schema(final, projected.schema)
+        actual = {f.name: TY.warehouse_name(f.dataType) for f in target.schema.fields}
+        desired = {f.name: TY.warehouse_name(f.dataType) for f in projected.schema.fields}
+        projected = project.coerce_to_existing_type(projected, desired, actual).select(
+            *[F.col(f.name).cast(f.dataType) for f in target.schema.fields]
+        )
+    latest = dedupe.dedupe_latest(projected, list(cfg.partition_by), list(cfg.order_by))
+    return merge.merge_upsert(target, latest, list(cfg.join_keys), cfg.delete_not_matched_by_source)
