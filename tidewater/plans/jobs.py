@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import types as TY
 from tidewater.functions.contract import TRACKING_CONTRACT, EventContract
-from tidewater.operators import dedupe, filters, joins, merge, project, replace, schema
+from tidewater.operators import dedupe, filters, joins, merge, project, records, replace, schema
 from tidewater.plans.configs import TableConfig
-from tidewater.sources import scans
+from tidewater.sources import ndjson, scans
 
 TRACKING_ZONE = "America/Chicago"
 
@@ -84,3 +84,56 @@ def replicate_table(
         )
     latest = dedupe.dedupe_latest(projected, list(cfg.partition_by), list(cfg.order_by))
     return merge.merge_upsert(target, latest, list(cfg.join_keys), cfg.delete_not_matched_by_source)
+
+
+def nps_history(
+    spark,
+    export_path: str,
+    history: DataFrame | None,
+    run_date: date,
+    ingested_at: datetime,
+) -> DataFrame:
+    """NDJSON export -> NPS rows -> raw (truncate load, declared schema) ->
+    delete history rows with the same ``event_id`` and insert the latest raw
+    row per id. Returns the new history."""
+    objs = ndjson.scan_ndjson_export(spark, export_path)
+    raw = replace.truncate_load(records.nps_rows(objs, run_date, ingested_at), records.NPS_SCHEMA)
+    if history is None:
+        history = raw.filter(F.lit(False))
+    return replace.replace_by_key(history, raw, "event_id", records.NPS_ORDER)
+
+
+def nps_backfill(lines: DataFrame, history: DataFrame | None, start: date | str, end: date | str) -> DataFrame:
+    """Backfill of an inclusive day range as one job. Each event belongs to
+    the day slice of its timestamp (``_run_date``), ingested at 06:00 the
+    next morning; per ``event_id`` the latest day wins, as if the days had
+    been replaced one after another. The bookmark is not touched."""
+    start_d = date.fromisoformat(start) if isinstance(start, str) else start
+    end_d = date.fromisoformat(end) if isinstance(end, str) else end
+    if start_d > end_d:
+        raise ValueError(f"backfill range is inverted: {start_d} > {end_d}")
+    rows = records.nps_rows(lines, start_d, datetime.combine(start_d, datetime.min.time()))
+    day = F.to_date("event_timestamp")
+    rows = (
+        rows.filter(day.between(F.lit(start_d), F.lit(end_d)))
+        .withColumn("_run_date", day)
+        .withColumn("_ingested_at", F.timestamp_add("HOUR", F.lit(30), F.col("_run_date").cast("timestamp_ntz")))
+    )
+    order = [("_run_date", "desc")] + records.NPS_ORDER
+    latest = dedupe.dedupe_latest(rows.filter(F.col("event_id").isNotNull()), ["event_id"], order)
+    if history is None:
+        return latest
+    return replace.delete_by_key(history, rows, "event_id").unionByName(latest)
+
+
+def rows_per_day(df: DataFrame, ts_col: str, start: date | str, end: date | str) -> DataFrame:
+    """Rows per calendar day of ``[start, end]``, days without rows as 0.
+    The calendar has one row per day of the range; the counts are a
+    partial-then-final aggregate of the data."""
+    counts = df.groupBy(F.to_date(ts_col).alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    calendar = df.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))).alias("day")
+    )
+    return calendar.join(counts, "day", "left").select(
+        "day", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n_rows")
+    )
