@@ -58,6 +58,8 @@ def replace_date_range(
     col = F.col(date_col)
     if isinstance(dtype, T.DateType):
         in_range = col.between(F.lit(start_d), F.lit(end_d))
+    elif isinstance(dtype, T.StringType):
+        in_range = F.to_date(col).between(F.lit(start_d), F.lit(end_d))
     else:
         in_range = (col >= TM.ts_literal(str(start_d), dtype)) & (
             col < TM.ts_literal(str(end_d + timedelta(days=1)), dtype)

@@ -12,7 +12,9 @@ from tidewater.functions import types as TY
 from tidewater.functions.contract import TRACKING_CONTRACT, EventContract
 from tidewater.operators import dedupe, filters, joins, merge, project, records, replace, schema
 from tidewater.plans.configs import TableConfig
-from tidewater.sources import ndjson, scans
+from tidewater.plans import windows
+from tidewater.session import scratch_path
+from tidewater.sources import csv_declared, ndjson, pages, scans
 
 TRACKING_ZONE = "America/Chicago"
 
@@ -137,3 +139,67 @@ def rows_per_day(df: DataFrame, ts_col: str, start: date | str, end: date | str)
     return calendar.join(counts, "day", "left").select(
         "day", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n_rows")
     )
+
+
+def predictions_batch(
+    spark,
+    batch_path: str,
+    batch_id: str,
+    loaded_at: datetime,
+    raw: DataFrame | None,
+    final: DataFrame | None,
+    data_glob: str = "predictions_part_*.csv",
+) -> tuple[DataFrame, DataFrame]:
+    """One predictions batch: declared schema -> all data files into a
+    staging table -> insert-only merge into raw on ``(batch_id, unique_id)``
+    and into final on ``unique_id`` (``loaded_at`` becomes ``_ingested_at``).
+
+    The staging table is written once to the shared folder and both merges
+    read it, so a lost executor re-reads staged files instead of re-parsing
+    the batch. Returns the new (raw, final)."""
+    fields = csv_declared.read_schema_file(spark, f"{batch_path}/schema.csv")
+    names = [f.name for f in fields]
+    if "unique_id" not in names:
+        raise ValueError("declared schema must contain unique_id")
+    staged = csv_declared.read_declared_csv(spark, f"{batch_path}/{data_glob}", fields, batch_id, loaded_at)
+    staging_path = scratch_path(spark, f"staging-{batch_id}")
+    staged.write.parquet(staging_path)
+    staging = spark.read.parquet(staging_path)
+    raw_target = staging.filter(F.lit(False)) if raw is None else schema.evolve_schema_additive(raw, staging.schema)
+    new_raw = merge.anti_insert(raw_target, staging, ["batch_id", "unique_id"])
+    final_rows = staging.select(*names, F.col("loaded_at").alias("_ingested_at"))
+    final_target = final_rows.filter(F.lit(False)) if final is None else schema.evolve_schema_additive(final, final_rows.schema)
+    new_final = merge.anti_insert(final_target, final_rows, ["unique_id"])
+    return new_raw, new_final
+
+
+def ads_metadata(page_lines: DataFrame, row_schema, stream: str, ingested_at: datetime) -> DataFrame:
+    """Metadata stream: pages -> rows -> stamp -> truncate load."""
+    rows = pages.flatten_paged_payload(page_lines, row_schema)
+    stamped = project.stamp_audit_columns(rows, {"_ingested_at": ingested_at, "_stream_name": stream})
+    return replace.truncate_load(stamped)
+
+
+def ads_insights(
+    page_lines: DataFrame,
+    existing: DataFrame,
+    start: date | str,
+    end: date | str,
+    stream: str,
+    ingested_at: datetime,
+    bookmarks: DataFrame | None,
+    bookmark_field: str = "date_start",
+) -> tuple[DataFrame, DataFrame]:
+    """Insight stream for an inclusive day window: pages -> rows of the
+    window's days, tagged with their day -> replace the date range in the
+    table (also when no rows came back) -> bookmark set to the window end."""
+    rows = pages.flatten_paged_payload(page_lines, pages.INSIGHT_ROW_SCHEMA)
+    day = F.to_date("date_start")
+    rows = rows.filter(day.between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+    tagged = project.stamp_audit_columns(
+        rows.withColumn("_window_date", day), {"_stream_name": stream, "_ingested_at": ingested_at}
+    )
+    table = replace.replace_date_range(existing, tagged, "date_start", start, end)
+    if bookmarks is None:
+        bookmarks = tagged.sparkSession.createDataFrame([], "stream string, field string, value date")
+    return table, windows.advance_bookmark(bookmarks, stream, bookmark_field, end)

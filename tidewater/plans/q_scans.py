@@ -1 +1,346 @@
-"""Registered queries."""
+"""Queries of file-landed sources: declared-schema CSV batches (weekly
+predictions), paged JSON payloads and day-sliced insights (ads), and
+inferred-schema JSON."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from pyspark.sql import functions as F
+
+from tidewater import fixtures as fx
+from tidewater.operators import merge, project, replace
+from tidewater.plans import jobs
+from tidewater.plans.registry import register
+from tidewater.session import scratch_path
+from tidewater.sources import csv_declared as CSV
+from tidewater.sources import pages, scans
+
+B1_LOADED, B2_LOADED = datetime(2024, 1, 3, 17), datetime(2024, 1, 10, 17)
+
+# schema.csv of the synthesised predictions batch: header synonyms, an
+# unknown type, a declared column the data files lack.
+SCHEMA_CSV_ROWS = [
+    ("unique_id", "INTEGER", "REQUIRED", "customer key"),
+    ("customer_name", "STRING", "NULLABLE", ""),
+    ("segment", "ENUM", "NULLABLE", ""),
+    ("score", "NUMERIC", "NULLABLE", "account balance"),
+    ("scored_at", "TIMESTAMP", "yes", ""),
+    ("is_active", "BOOLEAN", "", ""),
+    ("notes", "WEIRDTYPE", "", ""),
+]
+
+_PRED_SQL = """
+pred as (select c_custkey as unique_id, c_name as customer_name, c_mktsegment as segment,
+  cast(c_acctbal as decimal(38,9)) as score,
+  make_timestamp(2024, 1, 1 + cast(c_custkey % 7 as int), cast(c_custkey % 24 as int), cast(c_custkey % 60 as int), 0.0) as scored_at,
+  c_acctbal > 0 as is_active, '' as notes from customer)"""
+
+
+def _pred_rows(spark, sf, cond):
+    c = fx.table(spark, sf, "customer").filter(cond)
+    key = F.col("c_custkey")
+    ts_text = F.format_string(
+        "2024-01-%02d%s%02d:%02d:00",
+        (key % 7 + 1).cast("int"),
+        F.when(key % 2 == 0, F.lit("T")).otherwise(F.lit(" ")),
+        (key % 24).cast("int"),
+        (key % 60).cast("int"),
+    )
+    return c.select(
+        key.cast("string").alias("unique_id"),
+        F.col("c_name").alias("customer_name"),
+        F.col("c_mktsegment").alias("segment"),
+        F.format_string("%.2f", F.col("c_acctbal")).alias("score"),
+        ts_text.alias("scored_at"),
+        F.when(F.col("c_acctbal") > 0, F.lit("true")).otherwise(F.lit("false")).alias("is_active"),
+        F.lit("x").alias("unexpected_extra_column"),
+    )
+
+
+def land_batch(spark, sf, root: str, batch: str, cond, parts: int = 3) -> str:
+    """Write one predictions batch folder: ``predictions_part_*.csv`` data
+    files, ``schema.csv`` and ``metadata.json``."""
+    path = f"{root}/{batch}"
+    tmp = scratch_path(spark, f"pred-{batch}")
+    rows = _pred_rows(spark, sf, cond)
+    rows.repartition(parts).write.option("header", True).csv(tmp)
+    # Give data files the names the batch contract expects.
+    from tidewater.sinks.files import _fs
+
+    fs, src = _fs(spark, tmp)
+    fs.mkdirs(_fs(spark, path)[1])
+    n = 0
+    for st in fs.listStatus(src):
+        name = st.getPath().getName()
+        if name.startswith("part-") and name.endswith(".csv"):
+            n += 1
+            fs.rename(st.getPath(), _fs(spark, f"{path}/predictions_part_{n:03d}.csv")[1])
+    schema_rows = spark.createDataFrame(SCHEMA_CSV_ROWS, "field_name string, data_type string, mode string, description string")
+    stmp = scratch_path(spark, f"schema-{batch}")
+    schema_rows.coalesce(1).write.option("header", True).csv(stmp)
+    for st in fs.listStatus(_fs(spark, stmp)[1]):
+        if st.getPath().getName().endswith(".csv"):
+            fs.rename(st.getPath(), _fs(spark, f"{path}/schema.csv")[1])
+    from tidewater.sinks.files import _write_text
+
+    _write_text(spark, f"{path}/metadata.json", '{"batch_id": "%s", "files": %d}' % (batch, n))
+    return path
+
+
+def _landed_two_batches(spark, sf):
+    root = scratch_path(spark, "predictions-landing")
+    land_batch(spark, sf, root, "b1", F.col("c_custkey") < 1000)
+    land_batch(spark, sf, root, "b2", F.col("c_custkey") >= 800)
+    return root
+
+
+@register("scan_csv_declared_schema", "with " + _PRED_SQL + " select * from pred where unique_id < 1000")
+def q_scan_csv_declared_schema(spark, sf):
+    """Data files projected onto schema.csv: types from the declared map,
+    ``T`` and space timestamps, unknown column ignored, declared-but-absent
+    string column empty."""
+    root = scratch_path(spark, "predictions-landing")
+    path = land_batch(spark, sf, root, "b1", F.col("c_custkey") < 1000)
+    fields = CSV.read_schema_file(spark, f"{path}/schema.csv")
+    return CSV.read_declared_csv(spark, f"{path}/predictions_part_*.csv", fields)
+
+
+@register("scan_latest_batch", "with " + _PRED_SQL + " select * from pred where unique_id >= 800")
+def q_scan_latest_batch(spark, sf):
+    """Newest complete batch folder (by file time, then name) read alone."""
+    root = _landed_two_batches(spark, sf)
+    path = CSV.latest_batch(spark, root)
+    fields = CSV.read_schema_file(spark, f"{path}/schema.csv")
+    return CSV.read_declared_csv(spark, f"{path}/predictions_part_*.csv", fields)
+
+
+@register(
+    "union_file_parts",
+    "with " + _PRED_SQL + " select * from pred where unique_id < 1000",
+)
+def q_union_file_parts(spark, sf):
+    """Several part files of one batch loaded as one staging table (one scan
+    over the list of paths)."""
+    root = scratch_path(spark, "predictions-landing")
+    path = land_batch(spark, sf, root, "b1", F.col("c_custkey") < 1000, parts=4)
+    fields = CSV.read_schema_file(spark, f"{path}/schema.csv")
+    files = [f"{path}/predictions_part_{i:03d}.csv" for i in range(1, 5)]
+    return CSV.read_declared_csv(spark, files, fields)
+
+
+@register(
+    "normalize_csv_timestamp",
+    """select o_orderkey, s, coalesce(try_strptime(s, '%Y-%m-%dT%H:%M:%S'), try_strptime(s, '%Y-%m-%d %H:%M:%S')) as parsed
+ from (select o_orderkey, case o_orderkey % 3 when 0 then strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+   when 1 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') else '' end as s from orders)""",
+)
+def q_normalize_csv_timestamp(spark, sf):
+    """Two accepted layouts; empty text -> NULL (anything else would fail)."""
+    o = fx.table(spark, sf, "orders")
+    s = (
+        F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"))
+        .when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.lit(""))
+    )
+    df = o.select("o_orderkey", s.alias("s"))
+    return df.withColumn("parsed", CSV.normalize_csv_timestamp(F.col("s")))
+
+
+_STAGE_FINAL_SQL = (
+    "with "
+    + _PRED_SQL
+    + """,
+b1 as (select * from pred where unique_id < 1000), b2 as (select * from pred where unique_id >= 800)
+select *, timestamp '2024-01-03 17:00:00' as _ingested_at from b1
+union all select *, timestamp '2024-01-10 17:00:00' as _ingested_at from b2 where unique_id >= 1000"""
+)
+
+
+@register("stage_then_merge", _STAGE_FINAL_SQL)
+def q_stage_then_merge(spark, sf):
+    """Batch b1 then b2 through staging: each staging frame feeds the raw
+    merge on (batch_id, unique_id) and the final merge on unique_id; returns
+    the final table (first write wins)."""
+    root = _landed_two_batches(spark, sf)
+    raw = final = None
+    for batch, loaded in (("b1", B1_LOADED), ("b2", B2_LOADED)):
+        raw, final = jobs.predictions_batch(spark, f"{root}/{batch}", batch, loaded, raw, final)
+    return final
+
+
+@register("job_predictions", _STAGE_FINAL_SQL)
+def q_job_predictions(spark, sf):
+    """Weekly predictions: b1 already loaded; pick the latest batch (b2),
+    read it with its declared schema, stage, merge insert-only into raw and
+    final."""
+    root = _landed_two_batches(spark, sf)
+    raw, final = jobs.predictions_batch(spark, f"{root}/b1", "b1", B1_LOADED, None, None)
+    latest = CSV.latest_batch(spark, root)
+    batch_id = latest.rstrip("/").split("/")[-1]
+    raw, final = jobs.predictions_batch(spark, latest, batch_id, B2_LOADED, raw, final)
+    return final
+
+
+# --- ads: paged payloads, day slices, date-range replace --------------------------
+
+RANGE_START, RANGE_END = "1998-12-01", "1999-01-31"
+_INSIGHT_SQL = """
+ins as (select l_orderkey as ad_id, l_linenumber::bigint as line, strftime(l_shipdate, '%Y-%m-%d') as date_start,
+  l_quantity as impressions, l_extendedprice as spend from lineitem)"""
+
+
+def insight_rows(spark, sf):
+    li = fx.table(spark, sf, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("ad_id"),
+        F.col("l_linenumber").cast("bigint").alias("line"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_start"),
+        F.col("l_quantity").alias("impressions"),
+        F.col("l_extendedprice").alias("spend"),
+    )
+
+
+def insight_pages(spark, sf):
+    """API response pages derived from the insight rows: ``{"data": [...],
+    "paging": {"next": ...}}``, one page per 100 ad ids (bounded size)."""
+    return pages.pages_from_rows(insight_rows(spark, sf), F.floor(F.col("ad_id") / 100))
+
+
+@register("flatten_paged_payload", "with " + _INSIGHT_SQL + " select * from ins")
+def q_flatten_paged_payload(spark, sf):
+    """Every page's ``data`` array concatenated into rows."""
+    path = pages.land_pages(insight_pages(spark, sf), scratch_path(spark, "ads-pages"))
+    return pages.flatten_paged_payload(spark.read.text(path), pages.INSIGHT_ROW_SCHEMA).select(
+        "ad_id", "line", "date_start", "impressions", "spend"
+    )
+
+
+@register(
+    "infer_json_schema",
+    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, "
+    "o_orderpriority from orders",
+)
+def q_infer_json_schema(spark, sf):
+    """Rows loaded from JSON with an inferred schema (integers -> BIGINT,
+    decimals -> DOUBLE, text -> STRING)."""
+    o = fx.table(spark, sf, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    path = scratch_path(spark, "orders-json")
+    o.select(F.to_json(F.struct(*o.columns)).alias("value")).write.text(path)
+    return pages.infer_json(spark, path)
+
+
+_DAY_SQL = f"""select *, cast(ts as date) as _window_date from events
+ where ts >= timestamp '2024-01-18' and ts < timestamp '2024-01-25'"""
+
+
+@register("scan_day_slices", _DAY_SQL)
+def q_scan_day_slices(spark, sf):
+    """Days 2024-01-18..24 inclusive, each row tagged with its day: one scan."""
+    return scans.scan_day_slices(fx.table(spark, sf, "events"), "ts", "2024-01-18", "2024-01-24")
+
+
+@register("union_day_slices", _DAY_SQL)
+def q_union_day_slices(spark, sf):
+    """Per-day results concatenated before one load (landed day-partitioned,
+    read back with partition pruning)."""
+    ev = fx.table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    root = scratch_path(spark, "events-by-day")
+    ev.write.partitionBy("day").parquet(root)
+    days = scans.read_day_partitions(spark, root, "2024-01-18", "2024-01-24")
+    return days.withColumnRenamed("day", "_window_date")
+
+
+@register(
+    "replace_date_range",
+    """select * from events where ts < timestamp '2024-01-21'
+   and not (cast(ts as date) between date '2024-01-18' and date '2024-01-24')
+ union all select * from events where cast(ts as date) between date '2024-01-18' and date '2024-01-24'""",
+)
+def q_replace_date_range(spark, sf):
+    """Target up to 2024-01-20; delete days 18..24 (inclusive), append the
+    new rows of those days: 5,649 kept + 2,345 new at sf0.01."""
+    ev = fx.table(spark, sf, "events")
+    target = ev.filter(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"))
+    new = scans.scan_day_slices(ev, "ts", "2024-01-18", "2024-01-24").drop("_window_date")
+    return replace.replace_date_range(target, new, "ts", "2024-01-18", "2024-01-24")
+
+
+@register(
+    "append_evolving",
+    """select event_id, ts, user_id, event_type, value, cast(null as varchar) as props from events where ts < timestamp '2024-01-15'
+ union all select event_id, ts, user_id, event_type, value, props from events where ts >= timestamp '2024-01-15'""",
+)
+def q_append_evolving(spark, sf):
+    """Append a batch that brings a new column; older rows read NULL."""
+    ev = fx.table(spark, sf, "events")
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    old = ev.filter(F.col("ts") < cut).drop("props")
+    return replace.append_evolving(old, ev.filter(F.col("ts") >= cut))
+
+
+_META_SQL = """
+meta as (select p_partkey as id, p_name as name, p_brand as brand,
+  timestamp '2024-02-01 06:00:00' as _ingested_at, 'ads' as _stream_name from part)"""
+
+
+def ad_metadata_pages(spark, sf):
+    p = fx.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand")
+    )
+    return pages.pages_from_rows(p, F.floor(F.col("id") / 100))
+
+
+@register("job_ads_metadata", "with " + _META_SQL + " select * from meta")
+def q_job_ads_metadata(spark, sf):
+    """Pages -> flatten -> stamp ``_ingested_at``/``_stream_name`` -> truncate
+    load (the stream's primary key is not used)."""
+    path = pages.land_pages(ad_metadata_pages(spark, sf), scratch_path(spark, "ads-meta"))
+    return jobs.ads_metadata(spark.read.text(path), pages.METADATA_ROW_SCHEMA, "ads", datetime(2024, 2, 1, 6))
+
+
+@register(
+    "agg_rows_by_stream",
+    "with " + _META_SQL + "," + _INSIGHT_SQL + """
+select 'ads' as _stream_name, count(*)::bigint as n_rows from meta
+union all select 'ads_insights' as _stream_name, count(*)::bigint from ins""",
+)
+def q_agg_rows_by_stream(spark, sf):
+    """Rows loaded per stream."""
+    meta = project.stamp_audit_columns(
+        pages.flatten_paged_payload(
+            ad_metadata_pages(spark, sf).withColumnRenamed("page", "value"), pages.METADATA_ROW_SCHEMA
+        ),
+        {"_stream_name": "ads"},
+    )
+    ins = project.stamp_audit_columns(
+        pages.flatten_paged_payload(insight_pages(spark, sf).withColumnRenamed("page", "value"), pages.INSIGHT_ROW_SCHEMA),
+        {"_stream_name": "ads_insights"},
+    )
+    both = meta.select("_stream_name").unionByName(ins.select("_stream_name"))
+    return both.groupBy("_stream_name").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
+@register(
+    "job_ads_insights",
+    "with "
+    + _INSIGHT_SQL
+    + f""",
+tagged as (select *, cast(date_start as date) as _window_date, 'ads_insights' as _stream_name,
+   timestamp '2024-02-01 06:00:00' as _ingested_at from ins)
+select * from tagged where date_start <= '1998-12-31' and not (cast(date_start as date) between date '{RANGE_START}' and date '{RANGE_END}')
+union all select * from tagged where cast(date_start as date) between date '{RANGE_START}' and date '{RANGE_END}'""",
+)
+def q_job_ads_insights(spark, sf):
+    """Daily insights for the window: pages -> flatten -> day tag -> replace
+    the inclusive date range in the table -> advance the bookmark."""
+    ins = insight_rows(spark, sf)
+    stamp = {"_stream_name": "ads_insights", "_ingested_at": datetime(2024, 2, 1, 6)}
+    existing = project.stamp_audit_columns(
+        ins.filter(F.col("date_start") <= "1998-12-31").withColumn("_window_date", F.to_date("date_start")), stamp
+    )
+    path = pages.land_pages(insight_pages(spark, sf), scratch_path(spark, "ads-insights"))
+    table, _bookmarks = jobs.ads_insights(
+        spark.read.text(path), existing, RANGE_START, RANGE_END, "ads_insights", datetime(2024, 2, 1, 6), None
+    )
+    return table
