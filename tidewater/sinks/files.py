@@ -39,7 +39,11 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, hpath = _fs(spark, path)
     if not fs.exists(hpath):
         return None
-    return "\n".join(r.value for r in spark.read.text(path).collect())
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_snapshot(df: DataFrame, table_root: str, fmt: str = "parquet") -> str:
