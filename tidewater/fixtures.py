@@ -36,79 +36,68 @@ def _txt(c: Column) -> Column:
 def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracking events with all 7 event names plus one outside the set;
     ``k % 10`` injects violations: 0 = second flag, 1 = required attribute
-    missing, 2 = foreign attribute, 3 = flag missing."""
-    ev = table(spark, sf_dir, "events").withColumn("k", _k())
-    h = F.expr("(k div 10) % 2")
-    m = F.col("k") % 10
-    et = F.col("event_type")
-    name = (
-        F.when(et == "signup", "session_created")
-        .when((et == "click") & (h == 0), "quick_buy_sell")
-        .when(et == "click", "partials_taken")
-        .when((et == "view") & (h == 0), "replay_activated")
-        .when(et == "view", "news_visibility_clicked")
-        .when((et == "purchase") & (h == 0), "order_placed")
-        .when(et == "purchase", "position_managed")
-        .otherwise("app_error")
+    missing, 2 = foreign attribute, 3 = flag missing.
+
+    Written as SQL text (``selectExpr``): one driver call per step instead of
+    one per Column node."""
+    ev = table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    named = ev.selectExpr(
+        "*",
+        "k % 10 AS m",
+        """CASE WHEN event_type = 'signup' THEN 'session_created'
+          WHEN event_type = 'click' AND (k div 10) % 2 = 0 THEN 'quick_buy_sell'
+          WHEN event_type = 'click' THEN 'partials_taken'
+          WHEN event_type = 'view' AND (k div 10) % 2 = 0 THEN 'replay_activated'
+          WHEN event_type = 'view' THEN 'news_visibility_clicked'
+          WHEN event_type = 'purchase' AND (k div 10) % 2 = 0 THEN 'order_placed'
+          WHEN event_type = 'purchase' THEN 'position_managed'
+          ELSE 'app_error' END AS name""",
     )
-    n = ev.withColumn("name", name).withColumn("m", m)
-    nm, mm, k = F.col("name"), F.col("m"), F.col("k")
-    one = F.lit(1)
 
-    def flag(event: str) -> Column:
-        return F.when((nm == event) & (mm != 3), one)
+    def flag(event: str) -> str:
+        return f"CASE WHEN name = '{event}' AND m <> 3 THEN 1 END"
 
-    null_text = F.lit(None).cast("string")
-    return n.select(
+    return named.selectExpr(
         "event_id",
         "user_id",
-        F.concat(F.lit("cust_"), _txt(F.col("user_id"))).alias("customer_id"),
-        F.col("ts").alias("event_timestamp"),
+        "concat('cust_', CAST(user_id AS STRING)) AS customer_id",
+        "ts AS event_timestamp",
         "name",
-        F.when(((nm == "session_created") & (mm != 3)) | ((nm != "session_created") & (mm == 0)), one).alias(
-            "is_session_created"
-        ),
-        flag("quick_buy_sell").alias("is_quick_buy_sell"),
-        flag("partials_taken").alias("is_partials_taken"),
-        flag("position_managed").alias("is_position_managed"),
-        flag("replay_activated").alias("is_replay_activated"),
-        flag("news_visibility_clicked").alias("is_news_visibility_open"),
-        F.when(((nm == "order_placed") & (mm != 3)) | ((nm == "session_created") & (mm == 0)), one).alias(
-            "is_order_placed"
-        ),
-        F.when(
-            ((nm == "session_created") & (mm != 1)) | ((nm == "order_placed") & (mm == 2)),
-            F.concat(F.lit("type_"), _txt(k % 3)),
-        ).alias("created_session_type"),
-        F.when((nm == "quick_buy_sell") & (mm != 1), F.lit("buy")).alias("quick_buy_sell_type"),
-        F.when((nm == "partials_taken") & (mm != 1), _txt(k)).alias("partials_taken_percentage"),
-        F.when(nm == "partials_taken", F.lit("pct")).alias("partials_taken_position_amount_type"),
-        F.when((nm == "position_managed") & (mm != 1), F.lit("move_sl")).alias("position_managed_type"),
-        null_text.alias("order_has_auto_be"),
-        null_text.alias("order_has_object_selected"),
-        null_text.alias("order_has_stop_loss"),
-        F.when((nm == "order_placed") | ((nm != "order_placed") & (mm == 2)), _txt(k % 4)).alias("order_tag_count"),
-        null_text.alias("order_has_tag_selected"),
-        null_text.alias("order_has_take_profit"),
-        null_text.alias("order_take_profit_type"),
-        null_text.alias("order_save_type"),
+        "CASE WHEN (name = 'session_created' AND m <> 3) OR (name <> 'session_created' AND m = 0) THEN 1 END"
+        " AS is_session_created",
+        f"{flag('quick_buy_sell')} AS is_quick_buy_sell",
+        f"{flag('partials_taken')} AS is_partials_taken",
+        f"{flag('position_managed')} AS is_position_managed",
+        f"{flag('replay_activated')} AS is_replay_activated",
+        f"{flag('news_visibility_clicked')} AS is_news_visibility_open",
+        "CASE WHEN (name = 'order_placed' AND m <> 3) OR (name = 'session_created' AND m = 0) THEN 1 END"
+        " AS is_order_placed",
+        "CASE WHEN (name = 'session_created' AND m <> 1) OR (name = 'order_placed' AND m = 2)"
+        " THEN concat('type_', CAST(k % 3 AS STRING)) END AS created_session_type",
+        "CASE WHEN name = 'quick_buy_sell' AND m <> 1 THEN 'buy' END AS quick_buy_sell_type",
+        "CASE WHEN name = 'partials_taken' AND m <> 1 THEN CAST(k AS STRING) END AS partials_taken_percentage",
+        "CASE WHEN name = 'partials_taken' THEN 'pct' END AS partials_taken_position_amount_type",
+        "CASE WHEN name = 'position_managed' AND m <> 1 THEN 'move_sl' END AS position_managed_type",
+        "CAST(NULL AS STRING) AS order_has_auto_be",
+        "CAST(NULL AS STRING) AS order_has_object_selected",
+        "CAST(NULL AS STRING) AS order_has_stop_loss",
+        "CASE WHEN name = 'order_placed' OR (name <> 'order_placed' AND m = 2) THEN CAST(k % 4 AS STRING) END"
+        " AS order_tag_count",
+        "CAST(NULL AS STRING) AS order_has_tag_selected",
+        "CAST(NULL AS STRING) AS order_has_take_profit",
+        "CAST(NULL AS STRING) AS order_take_profit_type",
+        "CAST(NULL AS STRING) AS order_save_type",
     )
 
 
 def dim_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscriber dimension with NULL and empty ids, NULL and BEGINNER plans."""
-    c = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    return c.select(
-        key.alias("user_id"),
-        F.when(key % 11 == 0, F.lit(None).cast("string"))
-        .when(key % 7 == 0, F.lit(""))
-        .otherwise(F.concat(F.lit("sub_"), _txt(key)))
-        .alias("last_subscription_id"),
-        F.when(key % 13 == 0, F.lit(None).cast("string"))
-        .when(F.col("c_mktsegment") == "BUILDING", F.lit("BEGINNER-M"))
-        .otherwise(F.concat(F.lit("PRO-"), F.col("c_mktsegment")))
-        .alias("last_subscription_plan"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "CASE WHEN c_custkey % 11 = 0 THEN CAST(NULL AS STRING) WHEN c_custkey % 7 = 0 THEN ''"
+        " ELSE concat('sub_', CAST(c_custkey AS STRING)) END AS last_subscription_id",
+        "CASE WHEN c_custkey % 13 = 0 THEN CAST(NULL AS STRING) WHEN c_mktsegment = 'BUILDING' THEN 'BEGINNER-M'"
+        " ELSE concat('PRO-', c_mktsegment) END AS last_subscription_plan",
     )
 
 

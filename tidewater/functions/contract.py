@@ -8,8 +8,6 @@ fails the row, exactly as in a SQL WHERE clause).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,40 +67,58 @@ TRACKING_CONTRACT = EventContract(
 )
 
 
-def _all(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds, F.lit(True))
+def _q(name: str) -> str:
+    return f"`{name}`"
 
 
-def _any(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds, F.lit(False))
+def _s(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
-def name_in_set(contract: EventContract) -> Column:
-    return F.col(contract.name_column).isin(contract.names)
+# The contract is compiled to SQL text and handed to the JVM as one
+# expression: building the same tree Column by Column costs hundreds of
+# driver round trips per plan.
 
 
-def exactly_one_flag(contract: EventContract) -> Column:
+def name_in_set_sql(contract: EventContract) -> str:
+    return f"{_q(contract.name_column)} IN ({', '.join(_s(n) for n in contract.names)})"
+
+
+def exactly_one_flag_sql(contract: EventContract) -> str:
     """Sum of ``COALESCE(flag, 0)`` over all flags equals 1 (a sum test:
     a flag value of 2 with the others 0 fails, -1 and 2 would pass)."""
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in contract.flag_columns])
-    return total == F.lit(1)
+    return "(" + " + ".join(f"COALESCE({_q(c)}, 0)" for c in contract.flag_columns) + ") = 1"
 
 
-def event_contract(contract: EventContract) -> Column:
+def event_contract_sql(contract: EventContract) -> str:
     """Own flag is 1 and own required attributes are present; every attribute
     owned by another event is NULL."""
-    name = F.col(contract.name_column)
-    matches = _any(
-        [
-            (name == F.lit(r.name)) & (F.col(r.flag) == F.lit(1)) & _all([F.col(a).isNotNull() for a in r.required])
-            for r in contract.rules
-        ]
+    name = _q(contract.name_column)
+    matches = " OR ".join(
+        "(" + " AND ".join([f"{name} = {_s(r.name)}", f"{_q(r.flag)} = 1"] + [f"{_q(a)} IS NOT NULL" for a in r.required]) + ")"
+        for r in contract.rules
     )
-    exclusive = _all(
-        [(name == F.lit(r.name)) | _all([F.col(a).isNull() for a in r.owned]) for r in contract.rules if r.owned]
+    exclusive = " AND ".join(
+        f"({name} = {_s(r.name)} OR (" + " AND ".join(f"{_q(a)} IS NULL" for a in r.owned) + "))"
+        for r in contract.rules
+        if r.owned
     )
-    return matches & exclusive
+    return f"({matches})" + (f" AND {exclusive}" if exclusive else "")
+
+
+def name_in_set(contract: EventContract) -> Column:
+    return F.expr(name_in_set_sql(contract))
+
+
+def exactly_one_flag(contract: EventContract) -> Column:
+    return F.expr(exactly_one_flag_sql(contract))
+
+
+def event_contract(contract: EventContract) -> Column:
+    return F.expr(event_contract_sql(contract))
 
 
 def full_contract(contract: EventContract) -> Column:
-    return name_in_set(contract) & exactly_one_flag(contract) & event_contract(contract)
+    return F.expr(
+        f"{name_in_set_sql(contract)} AND {exactly_one_flag_sql(contract)} AND {event_contract_sql(contract)}"
+    )

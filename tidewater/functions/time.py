@@ -99,6 +99,11 @@ def epoch_seconds_ntz(col: Column) -> Column:
     return F.floor(micros / F.lit(1_000_000)).cast("bigint")
 
 
+UNIX_MILLIS_SQL = (
+    "CAST(FLOOR(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {col}) / 1000) AS BIGINT)"
+)
+
+
 def unix_millis_ntz(col: Column) -> Column:
     """``UNIX_MILLIS``: epoch milliseconds, sub-millisecond part floored."""
     micros = F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), col)

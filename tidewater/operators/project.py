@@ -173,20 +173,17 @@ def project_tracking_columns(df: DataFrame) -> DataFrame:
     """Joined events + subscribers -> the curated 26-column layout:
     ``UNIX_MILLIS(event_timestamp) AS timestamp``, ``name AS event_type``,
     ``is_news_visibility_open AS is_news_visibility_clicked``; text columns as
-    STRING, flags as BIGINT."""
+    STRING, flags as BIGINT. (One ``selectExpr``: a single driver call.)"""
     renamed = {
-        "subscription_id": F.col("last_subscription_id"),
-        "subscription_plan": F.col("last_subscription_plan"),
-        "timestamp": TM.unix_millis_ntz(F.col("event_timestamp")),
-        "event_type": F.col("name"),
-        "is_news_visibility_clicked": F.col("is_news_visibility_open"),
+        "subscription_id": "last_subscription_id",
+        "subscription_plan": "last_subscription_plan",
+        "timestamp": TM.UNIX_MILLIS_SQL.format(col="event_timestamp"),
+        "event_type": "name",
+        "is_news_visibility_clicked": "is_news_visibility_open",
     }
-    out = []
+    exprs = []
     for c in TRACKING_LAYOUT:
-        expr = renamed.get(c, F.col(c))
-        if c == "timestamp" or c in _FLAG_COLUMNS:
-            expr = expr.cast("bigint")
-        else:
-            expr = expr.cast("string")
-        out.append(expr.alias(c))
-    return df.select(*out)
+        src = renamed.get(c, f"`{c}`")
+        kind = "BIGINT" if c == "timestamp" or c in _FLAG_COLUMNS else "STRING"
+        exprs.append(f"CAST({src} AS {kind}) AS `{c}`")
+    return df.selectExpr(*exprs)
