@@ -122,8 +122,8 @@ def test_contract_rules(spark):
 def _score(spark, responses_json: str):
     line = '{"attributes":{"interactionData":{"surveyResponses":' + responses_json + "}}}"
     df = spark.createDataFrame([(line,)], "line string")
-    rec = J.parse_record(F.col("line"))
-    return df.select(J.extract_nps_score(J.json_parse_or_keep(J.field(rec, "$.attributes"))).alias("s")).first()["s"]
+    rec = J.parse_record("line")
+    return df.selectExpr(f"{J.extract_nps_score(J.json_parse_or_keep(J.field(rec, '$.attributes')))} AS s").first()["s"]
 
 
 @pytest.mark.parametrize(

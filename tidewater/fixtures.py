@@ -25,6 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_once(df: DataFrame, **exprs: str) -> DataFrame:
+    """Add SQL-expression columns evaluated once per row.
+
+    The columns come out of one-element ``explode`` generators, which later
+    filters are not substituted through; as plain projections, a filter on
+    a derived column would re-evaluate its whole expression (here: a JSON
+    parse) at every reference."""
+    out = df
+    for name, expr in exprs.items():
+        out = out.selectExpr("*", f"explode(array({expr})) AS `{name}`")
+    return out
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -40,18 +53,18 @@ def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Written as SQL text (``selectExpr``): one driver call per step instead of
     one per Column node."""
-    ev = table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
-    named = ev.selectExpr(
-        "*",
-        "k % 10 AS m",
-        """CASE WHEN event_type = 'signup' THEN 'session_created'
+    ev = with_once(table(spark, sf_dir, "events"), k="CAST(get_json_object(props, '$.k') AS INT)")
+    named = with_once(
+        ev,
+        m="k % 10",
+        name="""CASE WHEN event_type = 'signup' THEN 'session_created'
           WHEN event_type = 'click' AND (k div 10) % 2 = 0 THEN 'quick_buy_sell'
           WHEN event_type = 'click' THEN 'partials_taken'
           WHEN event_type = 'view' AND (k div 10) % 2 = 0 THEN 'replay_activated'
           WHEN event_type = 'view' THEN 'news_visibility_clicked'
           WHEN event_type = 'purchase' AND (k div 10) % 2 = 0 THEN 'order_placed'
           WHEN event_type = 'purchase' THEN 'position_managed'
-          ELSE 'app_error' END AS name""",
+          ELSE 'app_error' END""",
     )
 
     def flag(event: str) -> str:

@@ -1,8 +1,13 @@
-"""JSON / VARIANT expressions for exported event records.
+"""JSON / VARIANT rules for exported event records, as SQL expressions.
 
 Records are parsed once with ``try_parse_json`` into ``VARIANT`` (malformed
-lines become NULL, never an error) and every rule below is a Column
-expression on that value, evaluated in the JVM.
+lines become NULL, never an error); every rule below is a Spark SQL
+expression on such a value, evaluated in the JVM.
+
+The builders take and return SQL text (a column name or expression) and are
+composed as text; :func:`col` turns the result into a Column with one driver
+call. Building the same trees Column by Column costs thousands of py4j round
+trips per plan.
 """
 
 from __future__ import annotations
@@ -14,130 +19,146 @@ from pyspark.sql import functions as F
 # float() accepts for plain numbers; "1_0", "inf" and "nan" do not match).
 NUMERIC_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _WS_TRIM = r"^\s+|\s+$"
+_SCALAR_KINDS = ("BOOLEAN", "STRING", "BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+
+
+def col(sql: str) -> Column:
+    return F.expr(sql)
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def parse_record(line: Column) -> Column:
+def parse_record(line: str) -> str:
     """Line text -> VARIANT, NULL when the text is not valid JSON."""
-    return F.try_parse_json(line)
+    return f"try_parse_json({line})"
 
 
-def _is_object(v: Column) -> Column:
+def _is_object(v: str) -> str:
     # A cast to an empty struct succeeds only for objects and reads no field,
     # unlike schema_of_variant, which walks the whole value.
-    return F.try_variant_get(v, "$", "struct<>").isNotNull()
+    return f"(try_variant_get({v}, '$', 'struct<>') IS NOT NULL)"
 
 
-def _is_array(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
+def _is_array(v: str) -> str:
+    return f"(try_variant_get({v}, '$', 'array<variant>') IS NOT NULL)"
 
 
-def variant_kind(v: Column) -> Column:
+def variant_kind(v: str) -> str:
     """``OBJECT``, ``ARRAY``, ``STRING``, ``BOOLEAN``, ``VOID`` (JSON null) or a
     numeric type name; NULL for a missing value."""
     return (
-        F.when(v.isNull(), F.lit(None))
-        .when(_is_object(v), F.lit("OBJECT"))
-        .when(_is_array(v), F.lit("ARRAY"))
-        .otherwise(F.schema_of_variant(v))
+        f"CASE WHEN {v} IS NULL THEN NULL WHEN {_is_object(v)} THEN 'OBJECT' "
+        f"WHEN {_is_array(v)} THEN 'ARRAY' ELSE schema_of_variant({v}) END"
     )
 
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(_is_object(v), F.lit(False))
+def is_object(v: str) -> str:
+    return f"coalesce({_is_object(v)}, false)"
 
 
-def field(v: Column, path: str) -> Column:
+def field(v: str, path: str) -> str:
     """Sub-value at ``path`` as VARIANT; SQL NULL when missing (a JSON null is
-    a VARIANT null, see ``F.is_variant_null``)."""
-    return F.try_variant_get(v, path, "variant")
+    a VARIANT null, see ``is_variant_null``)."""
+    return f"try_variant_get({v}, {_lit(path)}, 'variant')"
 
 
-def json_parse_or_keep(value: Column) -> Column:
+def as_text(v: str) -> str:
+    return f"try_variant_get({v}, '$', 'string')"
+
+
+def json_parse_or_keep(value: str) -> str:
     """A string holding valid JSON becomes that value, any other string stays
     a string; non-string values are unchanged."""
-    as_text = F.try_variant_get(value, "$", "string")
-    parsed = F.try_parse_json(as_text)
-    return F.when(variant_kind(value) == "STRING", F.coalesce(parsed, value)).otherwise(value)
+    return (
+        f"CASE WHEN {variant_kind(value)} = 'STRING' "
+        f"THEN coalesce(try_parse_json({as_text(value)}), {value}) ELSE {value} END"
+    )
+
 
+def json_parse_or_keep_text(text: str) -> str:
+    """String-column form: valid JSON text becomes its value, any other text
+    a VARIANT string."""
+    return f"coalesce(try_parse_json({text}), CAST({text} AS VARIANT))"
 
-def json_compact_text(value: Column) -> Column:
+
+def json_compact_text(value: str) -> str:
     """Object/array -> compact JSON text, NULL -> NULL, scalar -> its text."""
-    kind = variant_kind(value)
     return (
-        F.when(value.isNull() | F.is_variant_null(value), F.lit(None))
-        .when(kind.isin("OBJECT", "ARRAY"), F.to_json(value))
-        .otherwise(F.try_variant_get(value, "$", "string"))
+        f"CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN NULL "
+        f"WHEN {variant_kind(value)} IN ('OBJECT', 'ARRAY') THEN to_json({value}) "
+        f"ELSE {as_text(value)} END"
     )
 
 
-def stringify_or_null(value: Column) -> Column:
+def stringify_or_null(value: str) -> str:
     """``str(x) or None`` of a record field: missing and ``""`` -> NULL, JSON
     null -> the text ``None``, booleans -> ``True``/``False``, numbers and
     strings -> their text."""
     kind = variant_kind(value)
-    text = F.try_variant_get(value, "$", "string")
     return (
-        F.when(value.isNull(), F.lit(None))
-        .when(F.is_variant_null(value), F.lit("None"))
-        .when(kind == "BOOLEAN", F.when(F.try_variant_get(value, "$", "boolean"), F.lit("True")).otherwise("False"))
-        .when(kind.isin("OBJECT", "ARRAY"), F.to_json(value))
-        .otherwise(F.nullif(text, F.lit("")))
+        f"CASE WHEN {value} IS NULL THEN NULL "
+        f"WHEN is_variant_null({value}) THEN 'None' "
+        f"WHEN {kind} = 'BOOLEAN' THEN CASE WHEN try_variant_get({value}, '$', 'boolean') THEN 'True' ELSE 'False' END "
+        f"WHEN {kind} IN ('OBJECT', 'ARRAY') THEN to_json({value}) "
+        f"ELSE nullif({as_text(value)}, '') END"
     )
 
 
-def truthy(value: Column) -> Column:
-    """Python truthiness of a JSON value: NULL, null, false, 0, "" , [] and
+def truthy(value: str) -> str:
+    """Python truthiness of a JSON value: missing, null, false, 0, "", [] and
     {} are false."""
     kind = variant_kind(value)
     return (
-        F.when(value.isNull() | F.is_variant_null(value), F.lit(False))
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string") != F.lit(""))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind.isin("OBJECT", "ARRAY"), F.to_json(value).isin("{}", "[]") == F.lit(False))
-        .otherwise(F.try_variant_get(value, "$", "double") != F.lit(0.0))
+        f"CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN false "
+        f"WHEN {kind} = 'STRING' THEN {as_text(value)} <> '' "
+        f"WHEN {kind} = 'BOOLEAN' THEN try_variant_get({value}, '$', 'boolean') "
+        f"WHEN {kind} IN ('OBJECT', 'ARRAY') THEN to_json({value}) NOT IN ('{{}}', '[]') "
+        f"ELSE coalesce(try_variant_get({value}, '$', 'double') <> 0, false) END"
     )
 
 
-def is_nps_event(attrs: Column) -> Column:
+def is_nps_event(attrs: str) -> str:
     """Attributes are an object and ``lower(experienceType) = 'nps'`` or
     ``upper(experienceName)`` contains ``NPS``."""
-    etype = F.lower(F.coalesce(stringify_or_null(field(attrs, "$.experienceType")), F.lit("")))
-    ename = F.upper(F.coalesce(stringify_or_null(field(attrs, "$.experienceName")), F.lit("")))
-    return is_object(attrs) & ((etype == "nps") | ename.contains("NPS"))
-
-
-_SCALAR_KINDS = ("BOOLEAN", "STRING", "BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
-
-
-def extract_nps_score(attrs: Column) -> Column:
-    """First survey response of type ``nps_score`` whose value is a boolean,
-    number or string decides the score: boolean -> NULL, number -> truncated
-    to an integer, string -> trimmed, parsed as a number and truncated
-    (unparsable -> NULL). Responses with other value types are skipped; there
-    is no 0-10 range check. Missing or mistyped containers give NULL."""
-    responses = F.try_variant_get(attrs, "$.interactionData.surveyResponses", "array<variant>")
-
-    def decides(r: Column) -> Column:
-        vkind = F.schema_of_variant(F.try_variant_get(r, "$.value", "variant"))
-        scalar = vkind.isin(*_SCALAR_KINDS) | vkind.startswith("DECIMAL")
-        is_score = _is_object(r) & (
-            F.try_variant_get(r, "$.type", "string") == F.lit("nps_score")
-        )
-        return F.coalesce(is_score & scalar, F.lit(False))
-
-    first = F.get(F.filter(responses, decides), 0)
-    value = F.try_variant_get(first, "$.value", "variant")
-    kind = F.schema_of_variant(value)
-    text = F.regexp_replace(F.try_variant_get(value, "$", "string"), _WS_TRIM, "")
-    from_text = F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
-    number = F.when(kind == "STRING", from_text).otherwise(F.try_variant_get(value, "$", "double"))
-    truncated = F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number))
-    return F.when(first.isNull() | (kind == "BOOLEAN"), F.lit(None).cast("bigint")).otherwise(
-        truncated.try_cast("bigint")
+    etype = f"lower(coalesce({stringify_or_null(field(attrs, '$.experienceType'))}, ''))"
+    ename = f"upper(coalesce({stringify_or_null(field(attrs, '$.experienceName'))}, ''))"
+    return f"({is_object(attrs)} AND ({etype} = 'nps' OR {ename} LIKE '%NPS%'))"
+
+
+def first_score_response(attrs: str) -> str:
+    """The first survey response of type ``nps_score`` whose value is a
+    boolean, number or string (responses with other value types are
+    skipped); NULL when there is none or a container is mistyped."""
+    responses = f"try_variant_get({attrs}, '$.interactionData.surveyResponses', 'array<variant>')"
+    vkind = "schema_of_variant(try_variant_get(r, '$.value', 'variant'))"
+    kinds = ", ".join(f"'{k}'" for k in _SCALAR_KINDS)
+    decides = (
+        f"coalesce({_is_object('r')} AND try_variant_get(r, '$.type', 'string') = 'nps_score' "
+        f"AND ({vkind} IN ({kinds}) OR {vkind} LIKE 'DECIMAL%'), false)"
+    )
+    return f"get(filter({responses}, r -> {decides}), 0)"
+
+
+def score_of_response(resp: str) -> str:
+    """The score a deciding response gives: boolean -> NULL, number ->
+    truncated to an integer, string -> trimmed, parsed as a number and
+    truncated (unparsable -> NULL). No 0-10 range check."""
+    value = f"try_variant_get({resp}, '$.value', 'variant')"
+    kind = f"schema_of_variant({value})"
+    text = f"regexp_replace({as_text(value)}, {_lit(_WS_TRIM)}, '')"
+    number = (
+        f"CASE WHEN {kind} = 'STRING' THEN "
+        f"CASE WHEN {text} RLIKE {_lit(NUMERIC_TEXT)} THEN try_cast({text} AS DOUBLE) END "
+        f"ELSE try_variant_get({value}, '$', 'double') END"
+    )
+    return (
+        f"CASE WHEN {resp} IS NULL OR {kind} = 'BOOLEAN' THEN CAST(NULL AS BIGINT) "
+        f"ELSE try_cast(CASE WHEN {number} >= 0 THEN floor({number}) ELSE ceil({number}) END AS BIGINT) END"
     )
 
 
-def json_parse_or_keep_text(text: Column) -> Column:
-    """String column variant of :func:`json_parse_or_keep`: valid JSON text
-    becomes its value, any other text a VARIANT string."""
-    return F.coalesce(F.try_parse_json(text), text.cast("variant"))
+def extract_nps_score(attrs: str) -> str:
+    """:func:`score_of_response` of :func:`first_score_response`."""
+    return score_of_response(first_score_response(attrs))

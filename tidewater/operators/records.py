@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidewater.functions import semistructured as J
-from tidewater.functions import time as TM
+from tidewater.session import spread_if_narrow
 
 # Fixed value: the exported event name that carries survey interactions.
 NPS_EVENT_NAME = "appcues:v2:step_interaction"
@@ -33,26 +32,39 @@ NPS_SCHEMA = T.StructType(
 )
 
 
-def compact_json_text(line: Column, path: str, value: Column) -> Column:
+def compact_json_text(line: str, path: str, value: str) -> str:
     """Compact JSON text of the field at ``path``, key order as written.
     A string holding JSON is parsed and compacted; other strings stay as
     they are; NULL/missing -> NULL."""
     kind = J.variant_kind(value)
-    as_text = F.try_variant_get(value, "$", "string")
-    inner = F.get_json_object(as_text, "$")
+    text = J.as_text(value)
     return (
-        F.when(value.isNull() | F.is_variant_null(value), F.lit(None))
-        .when(kind.isin("OBJECT", "ARRAY"), F.get_json_object(line, path))
-        .when(kind == "STRING", F.when(J.variant_kind(F.try_parse_json(as_text)).isin("OBJECT", "ARRAY"), inner)
-              .otherwise(as_text))
-        .otherwise(as_text)
+        f"CASE WHEN {value} IS NULL OR is_variant_null({value}) THEN NULL "
+        f"WHEN {kind} IN ('OBJECT', 'ARRAY') THEN get_json_object({line}, '{path}') "
+        f"WHEN {kind} = 'STRING' AND {J.variant_kind(f'try_parse_json({text})')} IN ('OBJECT', 'ARRAY') "
+        f"THEN get_json_object({text}, '$') "
+        f"ELSE {text} END"
     )
 
 
-def parse_iso_timestamp(text: Column) -> Column:
+def parse_iso_timestamp(text: str) -> str:
     """ISO-8601 text (``Z`` or offset allowed) -> UTC wall-clock
     ``TIMESTAMP_NTZ``; the session zone is UTC (see ``tidewater.session``)."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    return f"CAST(try_to_timestamp({text}) AS TIMESTAMP_NTZ)"
+
+
+def with_once(df: DataFrame, **exprs: str) -> DataFrame:
+    """Add SQL-expression columns computed once per row.
+
+    A plain projection lets the optimizer substitute the expression into every
+    later predicate or expression that references the column (a JSON parse
+    would then run once per reference). The columns come out of a one-row
+    ``explode`` of a one-element array instead (a Generate node, code-generated),
+    which nothing is substituted through."""
+    out = df
+    for name, expr in exprs.items():
+        out = out.selectExpr("*", f"explode(array({expr})) AS `{name}`")
+    return out
 
 
 def nps_rows(
@@ -63,49 +75,41 @@ def nps_rows(
     event_name: str = NPS_EVENT_NAME,
 ) -> DataFrame:
     """One row per NPS answer: exact event name, attributes an object
-    describing an NPS experience, a score, a truthy timestamp."""
-    rec = F.col("__rec")
-    parsed = parse_once(lines.select(F.col(line_col).alias("__line")), "__rec", J.parse_record(F.col("__line")))
-    objects = parsed.filter(J.is_object(rec))
+    describing an NPS experience, a score, a truthy timestamp.
+
+    Stages, each computed once per row: parse the record; resolve the
+    attributes (JSON text inside a string is parsed); pick the deciding
+    survey response; then filter and project the kept rows."""
+    rec = "__rec"
+    narrow = lines.selectExpr(f"`{line_col}` AS __line")
+    parsed = with_once(spread_if_narrow(narrow), __rec=J.parse_record("__line"))
+    objects = parsed.filter(J.col(J.is_object(rec)))
     attrs_raw = J.field(rec, "$.attributes")
-    staged = parse_once(objects.withColumn("__attrs_raw", attrs_raw), "__attrs", J.json_parse_or_keep(attrs_raw))
-    attrs = F.col("__attrs")
+    staged = with_once(objects, __attrs_raw=attrs_raw)
+    staged = with_once(staged, __attrs=J.json_parse_or_keep("__attrs_raw"))
+    staged = with_once(staged, __resp=J.first_score_response("__attrs"))
+    staged = with_once(staged, __score=J.score_of_response("__resp"))
     name = J.field(rec, "$.name")
-    score = J.extract_nps_score(attrs)
     keep = (
-        (J.variant_kind(name) == "STRING")
-        & (F.try_variant_get(name, "$", "string") == F.lit(event_name))
-        & J.is_nps_event(attrs)
-        & score.isNotNull()
-        & J.truthy(J.field(rec, "$.timestamp"))
+        f"{J.variant_kind(name)} = 'STRING' AND {J.as_text(name)} = '{event_name}' "
+        f"AND {J.is_nps_event('__attrs')} AND __score IS NOT NULL AND {J.truthy(J.field(rec, '$.timestamp'))}"
     )
-    ln = F.col("__line")
-    return staged.filter(keep).select(
-        J.stringify_or_null(J.field(rec, "$.id")).alias("event_id"),
-        F.lit(event_name).alias("event_name"),
-        parse_iso_timestamp(J.stringify_or_null(J.field(rec, "$.timestamp"))).alias("event_timestamp"),
-        F.lit(run_date).cast("date").alias("_run_date"),
-        J.stringify_or_null(J.field(rec, "$.user_id")).alias("user_id"),
-        J.stringify_or_null(J.field(rec, "$.account_id")).alias("account_id"),
-        J.stringify_or_null(J.field(attrs, "$.experienceName")).alias("experience_name"),
-        J.stringify_or_null(J.field(attrs, "$.experienceType")).alias("experience_type"),
-        score.alias("nps_score"),
-        compact_json_text(ln, "$.attributes", F.col("__attrs_raw")).alias("attributes"),
-        compact_json_text(ln, "$.identity", J.field(rec, "$.identity")).alias("identity"),
-        F.get_json_object(ln, "$").alias("raw_payload"),
-        TM.ts_literal(ingested_at).alias("_ingested_at"),
+    ingested = ingested_at.isoformat(sep=" ")
+    return staged.filter(J.col(keep)).selectExpr(
+        f"{J.stringify_or_null(J.field(rec, '$.id'))} AS event_id",
+        f"'{event_name}' AS event_name",
+        f"{parse_iso_timestamp(J.stringify_or_null(J.field(rec, '$.timestamp')))} AS event_timestamp",
+        f"DATE'{run_date.isoformat()}' AS _run_date",
+        f"{J.stringify_or_null(J.field(rec, '$.user_id'))} AS user_id",
+        f"{J.stringify_or_null(J.field(rec, '$.account_id'))} AS account_id",
+        f"{J.stringify_or_null(J.field('__attrs', '$.experienceName'))} AS experience_name",
+        f"{J.stringify_or_null(J.field('__attrs', '$.experienceType'))} AS experience_type",
+        "__score AS nps_score",
+        f"{compact_json_text('__line', '$.attributes', '__attrs_raw')} AS attributes",
+        f"{compact_json_text('__line', '$.identity', J.field(rec, '$.identity'))} AS identity",
+        "get_json_object(__line, '$') AS raw_payload",
+        f"TIMESTAMP_NTZ'{ingested}' AS _ingested_at",
     )
 
 
-def parse_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
-    """Add ``expr`` as column ``name``, evaluated once per row.
-
-    A plain ``withColumn`` lets the optimizer substitute the expression into
-    every later predicate that references it (a JSON parse would then run
-    once per reference). A one-element ``explode`` is a Generate node, which
-    predicates are not substituted through, so the value is computed once.
-    """
-    return df.select("*", F.explode(F.array(expr)).alias(name))
-
-
 NPS_ORDER = [("event_timestamp", "desc"), ("_ingested_at", "desc")]

@@ -99,7 +99,12 @@ def nps_history(
     delete history rows with the same ``event_id`` and insert the latest raw
     row per id. Returns the new history."""
     objs = ndjson.scan_ndjson_export(spark, export_path)
-    raw = replace.truncate_load(records.nps_rows(objs, run_date, ingested_at), records.NPS_SCHEMA)
+    raw_rows = replace.truncate_load(records.nps_rows(objs, run_date, ingested_at), records.NPS_SCHEMA)
+    # The raw table is written once (truncate load) and both halves of the
+    # history refresh -- key delete and keep-latest insert -- read it.
+    raw_path = scratch_path(spark, "nps-raw")
+    raw_rows.write.parquet(raw_path)
+    raw = spark.read.parquet(raw_path)
     if history is None:
         history = raw.filter(F.lit(False))
     return replace.replace_by_key(history, raw, "event_id", records.NPS_ORDER)

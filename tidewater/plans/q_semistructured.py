@@ -101,9 +101,9 @@ def q_filter_nps_event(spark, sf):
 def q_extract_nps_score(spark, sf):
     """Score of every feed record (NULL where the rules give none)."""
     feed = fx.nps_feed(spark, sf)
-    rec = J.parse_record(F.col("line"))
+    rec = J.parse_record("line")
     attrs = J.json_parse_or_keep(J.field(rec, "$.attributes"))
-    return feed.select(F.col("event_id").alias("event_key"), J.extract_nps_score(attrs).alias("nps_score"))
+    return feed.selectExpr("event_id AS event_key", f"{J.extract_nps_score(attrs)} AS nps_score")
 
 
 @register(
@@ -114,11 +114,11 @@ def q_extract_nps_score(spark, sf):
 def q_stringify_or_null(spark, sf):
     """``str(x) or None``: JSON null -> 'None', '' and missing -> NULL."""
     feed = fx.nps_feed(spark, sf)
-    rec = J.parse_record(F.col("line"))
-    return feed.select(
-        F.col("event_id").alias("event_key"),
-        J.stringify_or_null(J.field(rec, "$.id")).alias("event_id"),
-        J.stringify_or_null(J.field(rec, "$.account_id")).alias("account_id"),
+    rec = J.parse_record("line")
+    return feed.selectExpr(
+        "event_id AS event_key",
+        f"{J.stringify_or_null(J.field(rec, '$.id'))} AS event_id",
+        f"{J.stringify_or_null(J.field(rec, '$.account_id'))} AS account_id",
     )
 
 
@@ -270,10 +270,11 @@ def q_agg_backfill_by_day(spark, sf):
 )
 def q_json_parse_or_keep(spark, sf):
     """Text that is valid JSON becomes that value, other text stays text."""
-    ev = fx.table(spark, sf, "events")
-    v = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).otherwise(F.col("props"))
-    val = J.json_parse_or_keep_text(v)
-    return ev.select("event_id", J.variant_kind(val).alias("kind"), J.json_compact_text(val).alias("text"))
+    ev = fx.table(spark, sf, "events").selectExpr(
+        "event_id", "CASE WHEN event_id % 3 = 0 THEN event_type ELSE props END AS v"
+    )
+    val = J.json_parse_or_keep_text("v")
+    return ev.selectExpr("event_id", f"{J.variant_kind(val)} AS kind", f"{J.json_compact_text(val)} AS text")
 
 
 @register(
@@ -283,8 +284,8 @@ def q_json_parse_or_keep(spark, sf):
 def q_json_compact_text(spark, sf):
     """Objects and arrays to compact JSON text."""
     feed = fx.nps_feed(spark, sf)
-    rec = J.parse_record(F.col("line"))
-    return feed.select("event_id", J.json_compact_text(J.field(rec, "$.attributes.interactionData")).alias("text"))
+    rec = J.parse_record("line")
+    return feed.selectExpr("event_id", f"{J.json_compact_text(J.field(rec, '$.attributes.interactionData'))} AS text")
 
 
 @register("truncate_load", "with " + NPS_CTES + f" select {_NPS_COLS} from nps_rows")

@@ -64,11 +64,10 @@ def read_archive_lines(spark: SparkSession, path: str, glob: str = "*") -> DataF
 def json_objects(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Keep lines that parse to a JSON object: blank, malformed and
     non-object lines are skipped. Adds ``record`` (VARIANT)."""
-    rec = J.parse_record(F.col(line_col))
     return (
         lines.filter(F.length(F.trim(F.col(line_col))) > 0)
-        .withColumn("record", rec)
-        .filter(J.is_object(F.col("record")))
+        .withColumn("record", J.col(J.parse_record(f"`{line_col}`")))
+        .filter(J.col(J.is_object("record")))
     )
 
 
