@@ -77,3 +77,51 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(sdf.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert _digest(sdf.columns, srows) == _digest(ocols, orows)
+
+
+def _exchanges(df) -> int:
+    return _plan(df).count("Exchange hashpartitioning")
+
+
+def test_merge_into_bucketed_target_shuffles_only_the_batch(spark):
+    from tidewater import fixtures as fx
+    from tidewater.operators import dedupe, merge, project
+    from tidewater.sinks import tables
+
+    final = fx.orders_final(spark, SF_SMALL)
+    tables.save_bucketed(final, "t_orders_final_bucketed", ["id"], 8)
+    src = dedupe.dedupe_latest(project.project_snake_case(fx.orders_raw(spark, SF_SMALL)), ["id"], [("updated_at", "desc")])
+    plain = merge.merge_upsert(spark.read.parquet(SF_SMALL + "/orders.parquet").selectExpr(
+        "o_custkey AS id", "o_orderkey AS order_no", "o_orderstatus AS status",
+        "CAST(o_totalprice AS DECIMAL(18,2)) AS total", "o_orderdate AS updated_at"), src, ["id"])
+    bucketed = merge.merge_upsert(tables.read_table(spark, "t_orders_final_bucketed"), src, ["id"])
+    assert "Bucketed: true" in bucketed._jdf.queryExecution().executedPlan().toString() or _exchanges(bucketed) < _exchanges(plain)
+    assert _exchanges(bucketed) < _exchanges(plain)
+    expected = sorted(map(tuple, merge.merge_upsert(final, src, ["id"]).collect()), key=repr)
+    assert sorted(map(tuple, bucketed.collect()), key=repr) == expected
+
+
+def test_replace_partitions_drops_emptied_day(spark):
+    import os
+    import tempfile
+
+    from tidewater.sinks import files
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tw-parts-"), "t")
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], "id long, day string")
+    df.write.partitionBy("day").parquet(path)
+    rebuilt = spark.createDataFrame([(3, "2024-01-01")], "id long, day string")
+    files.replace_partitions(rebuilt, path, ["day"], touched=["2024-01-01", "2024-01-02"])
+    got = sorted((r.id, str(r.day)) for r in spark.read.parquet(path).collect())
+    assert got == [(3, "2024-01-01")]
+
+
+def test_snapshot_pointer_round_trip(spark):
+    import tempfile
+
+    from tidewater.sinks import files
+
+    root = tempfile.mkdtemp(prefix="tw-snap-")
+    files.write_snapshot(spark.range(3), root)
+    files.write_snapshot(files.read_current(spark, root).filter("id > 0"), root)
+    assert sorted(r.id for r in files.read_current(spark, root).collect()) == [1, 2]

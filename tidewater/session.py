@@ -48,6 +48,7 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidewater-warehouse-"))
     )
     for key, value in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
