@@ -125,3 +125,29 @@ def test_snapshot_pointer_round_trip(spark):
     files.write_snapshot(spark.range(3), root)
     files.write_snapshot(files.read_current(spark, root).filter("id > 0"), root)
     assert sorted(r.id for r in files.read_current(spark, root).collect()) == [1, 2]
+
+
+def test_refresh_tracking_day_table_rewrites_only_that_day(spark):
+    import os
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from tidewater import fixtures as fx
+    from tidewater.functions import time as TM
+    from tidewater.plans import jobs
+
+    path = os.path.join(tempfile.mkdtemp(prefix="tw-track-"), "t")
+    ev, users = fx.tracking_events(spark, SF_SMALL), fx.dim_users(spark, SF_SMALL)
+    zone = "America/Chicago"
+    full = jobs.curate_tracking(ev, users).withColumn(
+        "local_date", TM.local_date_of(TM.millis_to_ntz(F.col("timestamp")), zone)
+    )
+    full.write.partitionBy("local_date").parquet(path)
+    other = sorted(os.listdir(path))
+    jobs.refresh_tracking_day_table(path, ev, users, "2024-01-10", "2024-01-11", zone)
+    table = spark.read.parquet(path)
+    assert table.count() == full.count()
+    jobs.refresh_tracking_day_table(path, ev.filter(F.lit(False)), users, "2024-01-10", "2024-01-11", zone)
+    after = sorted(os.listdir(path))
+    assert "local_date=2024-01-10" not in after and set(after) == set(other) - {"local_date=2024-01-10"}

@@ -8,12 +8,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions import time as TM
 from tidewater.functions import types as TY
 from tidewater.functions.contract import TRACKING_CONTRACT, EventContract
 from tidewater.operators import dedupe, filters, joins, merge, project, records, replace, schema
 from tidewater.plans.configs import TableConfig
 from tidewater.plans import windows
 from tidewater.session import scratch_path
+from tidewater.sinks import files
 from tidewater.sources import csv_declared, ndjson, pages, scans
 
 TRACKING_ZONE = "America/Chicago"
@@ -208,3 +210,24 @@ def ads_insights(
     if bookmarks is None:
         bookmarks = tagged.sparkSession.createDataFrame([], "stream string, field string, value date")
     return table, windows.advance_bookmark(bookmarks, stream, bookmark_field, end)
+
+
+def refresh_tracking_day_table(
+    table_path: str,
+    events: DataFrame,
+    users: DataFrame,
+    start: date | str,
+    end: date | str,
+    zone: str = TRACKING_ZONE,
+) -> None:
+    """The daily refresh against a table partitioned by local date: the
+    rebuilt day is written with dynamic partition overwrite, so only that
+    day's files are rewritten (an empty rebuild deletes the day)."""
+    rebuilt = curate_tracking(events, users, start, end, zone)
+    rebuilt = rebuilt.withColumn("local_date", TM.local_date_of(TM.millis_to_ntz(F.col("timestamp")), zone))
+    days = []
+    d = date.fromisoformat(str(start))
+    while d < date.fromisoformat(str(end)):
+        days.append(d.isoformat())
+        d = date.fromordinal(d.toordinal() + 1)
+    files.replace_partitions(rebuilt, table_path, ["local_date"], touched=days)

@@ -62,10 +62,11 @@ def read_current(spark: SparkSession, table_root: str, fmt: str = "parquet") ->
 
 
 def replace_partitions(df: DataFrame, path: str, partition_cols: list[str], touched: list[str] | None = None) -> None:
-    """Dynamic partition overwrite: only partitions present in ``df`` are
-    rewritten. Partitions named in ``touched`` but absent from ``df`` (an
-    empty rebuild) are deleted explicitly, since dynamic overwrite would
-    leave the old files in place."""
+    """Dynamic partition overwrite of the rebuilt rows ``df``: only the
+    partitions present in ``df`` are rewritten, every other partition of the
+    table is left as it is. Partitions named in ``touched`` but absent from
+    ``df`` (an empty rebuild) are deleted explicitly, since dynamic overwrite
+    would leave their old files in place."""
     spark = df.sparkSession
     (
         df.write.mode("overwrite")
@@ -73,11 +74,15 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str], touc
         .partitionBy(*partition_cols)
         .parquet(path)
     )
-    for value in touched or []:
-        part = os.path.join(path, f"{partition_cols[0]}={value}")
-        fs, hpath = _fs(spark, part)
-        present = df.filter(F.col(partition_cols[0]) == F.lit(value)).limit(1).count() > 0
-        if fs.exists(hpath) and not present:
+    if not touched:
+        return
+    # One distinct over the partition column: bounded by the partition count.
+    present = {str(r[0]) for r in df.select(partition_cols[0]).distinct().collect()}
+    for value in touched:
+        if str(value) in present:
+            continue
+        fs, hpath = _fs(spark, os.path.join(path, f"{partition_cols[0]}={value}"))
+        if fs.exists(hpath):
             fs.delete(hpath, True)
 
 
