@@ -261,3 +261,12 @@ def test_chunk_parts_exact(spark, n_rows, per_part):
     assert idx == list(range(n_rows))
     ordered = [(r.v, r.id) for r in parts.orderBy("row_index").collect()]
     assert ordered == sorted(ordered)
+
+
+def test_canonical_text_naive_and_aware(spark):
+    df = spark.createDataFrame(
+        [(datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5, 120000))], "a timestamp_ntz, b timestamp_ntz"
+    ).selectExpr("a", "CAST(b AS TIMESTAMP) AS b")
+    row = project.canonicalize_values(df).first()
+    assert row.a == "2024-01-02 03:04:05"
+    assert row.b == "2024-01-02T03:04:05.120000+00:00"

@@ -107,9 +107,13 @@ def canonical_text(col: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.DecimalType):
         return col.cast("string")
     if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
-        whole = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-        frac = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return F.when(col.isNull(), F.lit(None)).when(F.date_format(col, "SSSSSS") == "000000", whole).otherwise(frac)
+        # Naive: "YYYY-MM-DD HH:MM:SS[.ffffff]"; zone-aware: the UTC instant
+        # in ISO form, "YYYY-MM-DDTHH:MM:SS[.ffffff]+00:00" (session zone UTC).
+        sep, suffix = ("'T'", "+00:00") if isinstance(dt, T.TimestampType) else (" ", "")
+        whole = F.date_format(col, f"yyyy-MM-dd{sep}HH:mm:ss")
+        frac = F.date_format(col, f"yyyy-MM-dd{sep}HH:mm:ss.SSSSSS")
+        text = F.when(F.date_format(col, "SSSSSS") == "000000", whole).otherwise(frac)
+        return F.when(col.isNull(), F.lit(None)).otherwise(F.concat(text, F.lit(suffix)))
     if isinstance(dt, T.DateType):
         return F.date_format(col, "yyyy-MM-dd")
     if isinstance(dt, T.BinaryType):

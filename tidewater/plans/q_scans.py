@@ -4,12 +4,12 @@ inferred-schema JSON."""
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
-from tidewater.operators import merge, project, replace
+from tidewater.operators import project, replace
 from tidewater.plans import jobs
 from tidewater.plans.registry import register
 from tidewater.session import scratch_path

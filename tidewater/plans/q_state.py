@@ -8,8 +8,6 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
-from tidewater import oracle as O
-from tidewater.functions import time as TM
 from tidewater.operators import dedupe, filters, merge, project, records
 from tidewater.plans import q_merge, windows
 from tidewater.plans.registry import register
