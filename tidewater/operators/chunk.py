@@ -90,21 +90,25 @@ def export_manifest(
 ) -> DataFrame:
     """One row per part file: its name and row count, with the batch id, the
     file count and the global min / max of the raw timestamp column (units as
-    stored, not normalised). Partial aggregation runs map-side, so only one
-    row per part and task reaches the shuffle."""
-    per_part = parts.groupBy(part_col).agg(
-        F.count(F.lit(1)).cast("bigint").alias("row_count"),
-        F.min(ts_col).alias("__min"),
-        F.max(ts_col).alias("__max"),
-    )
-    everything = Window.partitionBy(F.lit(1))
+    stored, not normalised). Per-part counts are a partial-then-final
+    aggregate; the batch totals are one scalar subquery (parts are numbered
+    1..n, so the file count is the largest part number). No step gathers the
+    parts into one task."""
+    per_part = parts.groupBy(part_col).agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
+    totals = parts.agg(
+        F.struct(
+            F.max(part_col).cast("bigint").alias("n"),
+            F.min(ts_col).alias("lo"),
+            F.max(ts_col).alias("hi"),
+        ).alias("t")
+    ).scalar()
     return per_part.select(
         F.lit(batch_id).alias("batch_id"),
-        F.count(F.lit(1)).over(everything).cast("bigint").alias("expected_file_count"),
+        totals.getField("n").alias("expected_file_count"),
         part_file_name(F.col(part_col)).alias("file_name"),
         "row_count",
-        F.min("__min").over(everything).alias("min_event_timestamp"),
-        F.max("__max").over(everything).alias("max_event_timestamp"),
+        totals.getField("lo").alias("min_event_timestamp"),
+        totals.getField("hi").alias("max_event_timestamp"),
     )
 
 

@@ -13,6 +13,7 @@ from tidewater.operators import project, replace
 from tidewater.plans import jobs
 from tidewater.plans.registry import register
 from tidewater.session import scratch_path
+from tidewater.sinks import files
 from tidewater.sources import csv_declared as CSV
 from tidewater.sources import pages, scans
 
@@ -66,25 +67,17 @@ def land_batch(spark, sf, root: str, batch: str, cond, parts: int = 3) -> str:
     rows = _pred_rows(spark, sf, cond)
     rows.repartition(parts).write.option("header", True).csv(tmp)
     # Give data files the names the batch contract expects.
-    from tidewater.sinks.files import _fs
-
-    fs, src = _fs(spark, tmp)
-    fs.mkdirs(_fs(spark, path)[1])
+    fs, src = files._fs(spark, tmp)
+    fs.mkdirs(files._fs(spark, path)[1])
     n = 0
     for st in fs.listStatus(src):
         name = st.getPath().getName()
         if name.startswith("part-") and name.endswith(".csv"):
             n += 1
-            fs.rename(st.getPath(), _fs(spark, f"{path}/predictions_part_{n:03d}.csv")[1])
-    schema_rows = spark.createDataFrame(SCHEMA_CSV_ROWS, "field_name string, data_type string, mode string, description string")
-    stmp = scratch_path(spark, f"schema-{batch}")
-    schema_rows.coalesce(1).write.option("header", True).csv(stmp)
-    for st in fs.listStatus(_fs(spark, stmp)[1]):
-        if st.getPath().getName().endswith(".csv"):
-            fs.rename(st.getPath(), _fs(spark, f"{path}/schema.csv")[1])
-    from tidewater.sinks.files import _write_text
-
-    _write_text(spark, f"{path}/metadata.json", '{"batch_id": "%s", "files": %d}' % (batch, n))
+            fs.rename(st.getPath(), files._fs(spark, f"{path}/predictions_part_{n:03d}.csv")[1])
+    schema_csv = "field_name,data_type,mode,description\n" + "".join(",".join(r) + "\n" for r in SCHEMA_CSV_ROWS)
+    files.write_text_file(spark, f"{path}/schema.csv", schema_csv)
+    files.write_text_file(spark, f"{path}/metadata.json", '{"batch_id": "%s", "files": %d}' % (batch, n))
     return path
 
 

@@ -46,6 +46,15 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def read_text_file(spark: SparkSession, path: str) -> str | None:
+    """A small control file (pointer, schema.csv, metadata.json) as text."""
+    return _read_text(spark, path)
+
+
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    _write_text(spark, path, text)
+
+
 def write_snapshot(df: DataFrame, table_root: str, fmt: str = "parquet") -> str:
     """Write ``df`` as a new snapshot under ``table_root`` and move the
     pointer to it. Readers of the previous snapshot are not disturbed."""

@@ -1,13 +1,15 @@
 """CSV batches described by a ``schema.csv`` file.
 
-The schema file is a handful of rows (one per column), so it is read with
-Spark and brought to the driver to build a ``StructType``; the data files
-are read in one multi-path scan as strings and projected onto that schema
-with Column expressions.
+The schema file is a handful of rows (one per column), so it is read on the
+driver through the file system API to build the declared fields; the data
+files are read in one multi-path scan as strings and projected onto that
+schema with Column expressions.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -72,11 +74,18 @@ def parse_schema_rows(header: list[str], rows: list[dict]) -> list[DeclaredField
 
 
 def read_schema_file(spark: SparkSession, path: str) -> list[DeclaredField]:
-    """schema.csv -> declared fields (a BOM in the header is stripped)."""
-    df = spark.read.option("header", True).csv(path)
-    header = [c.lstrip("﻿") for c in df.columns]
-    rows = [dict(zip(header, r)) for r in df.collect()]
-    return parse_schema_rows(header, rows)
+    """schema.csv -> declared fields. The control file is a few rows, so it
+    is read through the file system API rather than as a Spark job; a BOM
+    in the header is stripped."""
+    from tidewater.sinks.files import read_text_file
+
+    text = read_text_file(spark, path)
+    if text is None:
+        raise FileNotFoundError(path)
+    reader = csv.DictReader(io.StringIO(text.lstrip("\ufeff")))
+    if not reader.fieldnames:
+        raise ValueError("schema.csv is empty")
+    return parse_schema_rows(list(reader.fieldnames), list(reader))
 
 
 def normalize_csv_timestamp(text: Column, fail: bool = True) -> Column:
