@@ -270,3 +270,12 @@ def test_canonical_text_naive_and_aware(spark):
     row = project.canonicalize_values(df).first()
     assert row.a == "2024-01-02 03:04:05"
     assert row.b == "2024-01-02T03:04:05.120000+00:00"
+
+
+def test_week_filter_pushes_both_units(spark):
+    from tidewater.plans import q_export
+
+    df = q_export.week_rows(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Both unit branches reach the Parquet reader as one pushed disjunction.
+    assert "PushedFilters: [Or(And(And(GreaterThanOrEqual(timestamp,1000000000000)" in plan
