@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
 from tidewater import oracle as O
+from tidewater.functions import time as TM
 from tidewater.operators import dedupe, filters, joins, merge, project, schema
 from tidewater.plans import jobs
-from tidewater.plans.configs import CONFIGS_BY_NAME, TableConfig
+from tidewater.plans.configs import CONFIGS_BY_NAME
 from tidewater.plans.registry import register
 from tidewater.sources import scans
 
@@ -175,29 +176,56 @@ def q_merge_full_sync(spark, sf):
 
 # --- replicate jobs -----------------------------------------------------------
 
-ORDERS_CFG = TableConfig(
-    "orders_demo", "orders", "orders_final", ("id",), ("id",), (("updated_at", "DESC"), ("_loaded_at", "DESC")),
-    "updatedAt", "updated_at",
-)
+ORDERS_CFG = CONFIGS_BY_NAME["orders"]
+_RAW_UNIX_SQL = """
+raw_unix as (select *,
+  epoch_us("updatedAt") // 1000000 + 3600 as "placingTime",
+  case when "orderNo" % 2 = 0 then epoch_us("updatedAt") // 1000000 + 7200 end as "executionTime",
+  cast(null as bigint) as "autoBreakEvenTriggeredAt" from fx_orders_raw)"""
+
+
+def orders_raw_with_unix_seconds(spark, sf):
+    """Relational ``order`` rows as staged: camelCase names plus the three
+    unix-second columns the table config converts to DATETIME."""
+    secs = TM.epoch_seconds_ntz(F.col("updatedAt"))
+    return fx.orders_raw(spark, sf).select(
+        "*",
+        (secs + 3600).alias("placingTime"),
+        F.when(F.col("orderNo") % 2 == 0, secs + 7200).alias("executionTime"),
+        F.lit(None).cast("bigint").alias("autoBreakEvenTriggeredAt"),
+    )
+
+
+def _ts_of(col: str) -> str:
+    return f'make_timestamp({col} * 1000000)'
 
 
 @register(
     "job_replicate_orders",
-    _OFR + "," + _LATEST_SQL.replace("latest as", "latest0 as") + f""",
- latest as (select *, {RUN_TS_SQL} as _loaded_at from latest0)
+    _OFR
+    + ","
+    + _RAW_UNIX_SQL
+    + f""",
+ latest as (select id, "orderNo" as order_no, status, total, "updatedAt" as updated_at,
+   {_ts_of('"placingTime"')} as placing_time, {_ts_of('"executionTime"')} as execution_time,
+   {_ts_of('"autoBreakEvenTriggeredAt"')} as auto_break_even_triggered_at, {RUN_TS_SQL} as _loaded_at
+   from raw_unix where "updatedAt" > {_WM_SQL}
+   qualify row_number() over (partition by id order by "updatedAt" desc nulls last,
+     "orderNo" desc nulls last, status desc nulls last, total desc nulls last) = 1)
 select coalesce(s.id, t.id) as id,
  case when s.id is not null then s.order_no else t.order_no end as order_no,
  case when s.id is not null then s.status else t.status end as status,
  case when s.id is not null then s.total else t.total end as total,
  case when s.id is not null then s.updated_at else t.updated_at end as updated_at,
- case when s.id is not null then s._loaded_at end as _loaded_at
+ s.placing_time, s.execution_time, s.auto_break_even_triggered_at, s._loaded_at
 from fx_orders_final t full outer join latest s on t.id = s.id""",
 )
 def q_job_replicate_orders(spark, sf):
-    """Window scan (open end, from the watermark) -> stamp -> late filter ->
-    snake_case -> reconcile final (adds ``_loaded_at``) -> keep-latest ->
-    MERGE."""
-    return jobs.replicate_table(fx.orders_raw(spark, sf), fx.orders_final(spark, sf), ORDERS_CFG, RUN_TS)
+    """The ``orders`` table config end to end: scan from the watermark ->
+    stamp ``_loaded_at`` -> late filter -> unix-second columns to DATETIME ->
+    snake_case -> reconcile the final schema (adds the new columns) ->
+    keep-latest by ``updated_at, _loaded_at`` -> MERGE."""
+    return jobs.replicate_table(orders_raw_with_unix_seconds(spark, sf), fx.orders_final(spark, sf), ORDERS_CFG, RUN_TS)
 
 
 def _users_snapshot(spark, sf):
