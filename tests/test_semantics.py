@@ -279,3 +279,38 @@ def test_week_filter_pushes_both_units(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # Both unit branches reach the Parquet reader as one pushed disjunction.
     assert "PushedFilters: [Or(And(And(GreaterThanOrEqual(timestamp,1000000000000)" in plan
+
+
+def test_nps_run_inverted_window_sets_bookmark_and_loads_nothing(spark):
+    from tidewater.plans import jobs
+
+    bookmarks = spark.createDataFrame([("nps", "event_date", date(2024, 1, 19))], "stream string, field string, value date")
+    hist, marks = jobs.nps_run(
+        spark, "/nonexistent", None, bookmarks, date(2024, 1, 20), datetime(2024, 1, 20, 6),
+        explicit_start=date(2024, 1, 25),
+    )
+    assert hist.count() == 0
+    assert marks.filter("stream = 'nps'").first().value == date(2024, 1, 20)
+
+
+def test_ads_insights_inverted_window_changes_nothing(spark):
+    from tidewater.plans import jobs
+
+    existing = spark.createDataFrame([(1, "2024-01-01")], "ad_id long, date_start string")
+    pages = spark.createDataFrame([('{"data":[]}',)], "value string")
+    table, marks = jobs.ads_insights(pages, existing, "2024-01-05", "2024-01-04", "s", datetime(2024, 1, 6), None)
+    assert table.count() == 1 and marks.count() == 0
+
+
+def test_nps_run_loads_history_and_moves_bookmark(spark):
+    import __spark_entry__ as E
+    from tidewater.plans import jobs
+    from tidewater.plans.q_semistructured import INGESTED_AT, RUN_DATE, land_feed
+
+    sf = "/root/testdata/sf0.001"
+    path = land_feed(spark, sf)
+    bookmarks = spark.createDataFrame([], "stream string, field string, value date")
+    hist, marks = jobs.nps_run(spark, path, None, bookmarks, RUN_DATE, INGESTED_AT)
+    expected = E.queries()["dedupe_latest_nps"](spark, sf)
+    assert sorted(map(tuple, hist.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    assert marks.first().value == RUN_DATE

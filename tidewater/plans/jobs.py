@@ -199,7 +199,12 @@ def ads_insights(
 ) -> tuple[DataFrame, DataFrame]:
     """Insight stream for an inclusive day window: pages -> rows of the
     window's days, tagged with their day -> replace the date range in the
-    table (also when no rows came back) -> bookmark set to the window end."""
+    table (also when no rows came back) -> bookmark set to the window end.
+    An inverted window (start after end) changes nothing, bookmark included."""
+    if bookmarks is None:
+        bookmarks = existing.sparkSession.createDataFrame([], "stream string, field string, value date")
+    if date.fromisoformat(str(start)) > date.fromisoformat(str(end)):
+        return existing, bookmarks
     rows = pages.flatten_paged_payload(page_lines, pages.INSIGHT_ROW_SCHEMA)
     day = F.to_date("date_start")
     rows = rows.filter(day.between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
@@ -207,8 +212,6 @@ def ads_insights(
         rows.withColumn("_window_date", day), {"_stream_name": stream, "_ingested_at": ingested_at}
     )
     table = replace.replace_date_range(existing, tagged, "date_start", start, end)
-    if bookmarks is None:
-        bookmarks = tagged.sparkSession.createDataFrame([], "stream string, field string, value date")
     return table, windows.advance_bookmark(bookmarks, stream, bookmark_field, end)
 
 
@@ -231,3 +234,33 @@ def refresh_tracking_day_table(
         days.append(d.isoformat())
         d = date.fromordinal(d.toordinal() + 1)
     files.replace_partitions(rebuilt, table_path, ["local_date"], touched=days)
+
+
+def nps_run(
+    spark,
+    export_path: str | None,
+    history: DataFrame | None,
+    bookmarks: DataFrame,
+    run_date: date,
+    ingested_at: datetime,
+    lookback_days: int = windows.NPS_LOOKBACK_DAYS,
+    explicit_start: date | None = None,
+    explicit_end: date | None = None,
+    full_refresh: bool = False,
+    stream: str = "nps",
+    field: str = "event_date",
+) -> tuple[DataFrame, DataFrame]:
+    """One scheduled NPS run: window from the bookmark -> export -> history
+    refresh -> bookmark set to the window end. The export is not filtered by
+    the window (the exporting service already cut it). An inverted window
+    loads nothing (the raw table is emptied) and still sets the bookmark.
+    Returns (history, bookmarks)."""
+    current = bookmarks.filter((F.col("stream") == stream) & (F.col("field") == field)).agg(F.max("value"))
+    mark = current.collect()[0][0]  # one scalar from the bookmark table
+    w = windows.bookmark_window(run_date, mark, lookback_days, explicit_start, explicit_end, full_refresh)
+    new_bookmarks = windows.advance_bookmark(bookmarks, stream, field, w.end)
+    if w.inverted or export_path is None:
+        if history is None:
+            history = spark.createDataFrame([], records.NPS_SCHEMA)
+        return history, new_bookmarks
+    return nps_history(spark, export_path, history, run_date, ingested_at), new_bookmarks
