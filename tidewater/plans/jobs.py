@@ -264,3 +264,39 @@ def nps_run(
             history = spark.createDataFrame([], records.NPS_SCHEMA)
         return history, new_bookmarks
     return nps_history(spark, export_path, history, run_date, ingested_at), new_bookmarks
+
+
+def replicate_run(
+    source: DataFrame,
+    final: DataFrame | None,
+    cfg: TableConfig,
+    run_ts: datetime,
+    now: datetime,
+    explicit_start: datetime | None = None,
+    explicit_end: datetime | None = None,
+    previous_day: bool = False,
+    fixed_minutes: int | None = None,
+    lookback_seconds: int = windows.WATERMARK_LOOKBACK_SECONDS,
+    late_policy: str = "drop",
+) -> DataFrame:
+    """One scheduled (daily / 30-minute) or backfill replication run.
+
+    Snapshot tables read everything. Otherwise the window is the previous
+    local day or the trailing minutes when scheduled that way and no bound is
+    given; else the explicit bounds; else from the final table's watermark
+    minus the lookback (a scalar subquery inside the plan). The late-row
+    filter still applies, so a backfill cannot move rows behind the
+    watermark unless ``late_policy="accept"``."""
+    if cfg.is_snapshot:
+        return replicate_table(source, final, cfg, run_ts)
+    scheduled = explicit_start is None and explicit_end is None and (previous_day or fixed_minutes)
+    if scheduled or explicit_start is not None or explicit_end is not None:
+        w = windows.resolve_replication_window(
+            now, None, explicit_start, explicit_end, previous_day, fixed_minutes, lookback_seconds=lookback_seconds
+        )
+        return replicate_table(source, final, cfg, run_ts, w.start, w.end, late_policy)
+    if final is not None:
+        source = scans.scan_above_watermark(
+            source, cfg.source_incremental_column, final, cfg.target_incremental_column, lookback_seconds
+        )
+    return replicate_table(source, final, cfg, run_ts, late_policy=late_policy)
