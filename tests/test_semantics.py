@@ -314,3 +314,13 @@ def test_nps_run_loads_history_and_moves_bookmark(spark):
     expected = E.queries()["dedupe_latest_nps"](spark, sf)
     assert sorted(map(tuple, hist.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
     assert marks.first().value == RUN_DATE
+
+
+def test_missing_final_table_means_full_read(spark):
+    from tidewater.sources import scans
+
+    missing = scans.read_if_exists(spark, os.path.join(tempfile.mkdtemp(), "nope"))
+    assert missing is None and scans.max_watermark(missing, "updated_at") is None
+    src = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    out = scans.scan_above_watermark(src, "o_orderdate", missing, "updated_at")
+    assert out.count() == src.count()

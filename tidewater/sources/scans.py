@@ -114,3 +114,18 @@ def read_day_partitions(
     predicate on the partition column prunes directories at planning time."""
     df = spark.read.format(fmt).load(root)
     return df.filter(F.col(day_col).between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+
+
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None when it does not exist yet (first load:
+    no watermark, the whole source is read)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return spark.read.format(fmt).load(path) if fs.exists(hpath) else None
+
+
+def max_watermark(final: DataFrame | None, col: str) -> DataFrame | None:
+    """``MAX(col)`` of the final table as a one-row DataFrame (use
+    ``.scalar()`` inside a plan); None for a missing table."""
+    return None if final is None else final.agg(F.max(col).alias("watermark"))
