@@ -13,7 +13,7 @@ from tidewater.functions import semistructured as J
 from tidewater.operators import dedupe, filters, records, replace
 from tidewater.plans import jobs
 from tidewater.plans.registry import register
-from tidewater.session import scratch_path
+from tidewater.session import scratch_path, spread_if_narrow
 from tidewater.sources import ndjson
 
 RUN_DATE = date(2024, 1, 31)
@@ -100,7 +100,7 @@ def q_filter_nps_event(spark, sf):
 )
 def q_extract_nps_score(spark, sf):
     """Score of every feed record (NULL where the rules give none)."""
-    feed = fx.nps_feed(spark, sf)
+    feed = spread_if_narrow(fx.nps_feed(spark, sf))
     rec = J.parse_record("line")
     attrs = J.json_parse_or_keep(J.field(rec, "$.attributes"))
     return feed.selectExpr("event_id AS event_key", f"{J.extract_nps_score(attrs)} AS nps_score")
@@ -202,7 +202,9 @@ def land_feed(spark, sf, with_junk: bool = True, compression: str = "gzip") -> s
         )
         lines = feed.unionByName(junk)
     path = scratch_path(spark, "nps-export")
-    lines.select("line").write.option("compression", compression).text(path)
+    # The export arrives split into parts (one gzip file per part).
+    parts = spark.sparkContext.defaultParallelism
+    lines.select("line").repartition(parts).write.option("compression", compression).text(path)
     return path
 
 
