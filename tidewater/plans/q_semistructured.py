@@ -157,11 +157,19 @@ select * from raw where event_id is not null
 )
 
 
+def _stored(spark, df, name):
+    """Land ``df`` as a table under the shared folder and read it back (the
+    history and raw tables the refresh works on)."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _history_and_raw(spark, sf):
     hist_rows = _nps(spark, sf, date(2024, 1, 20), datetime(2024, 1, 20, 6), F.col("event_id") < 6000)
     hist = dedupe.dedupe_latest(filters.filter_key_not_null(hist_rows, "event_id"), ["event_id"], records.NPS_ORDER)
     raw = _nps(spark, sf, cond=F.col("event_id") >= 4000)
-    return hist, raw
+    return _stored(spark, hist, "nps-history"), _stored(spark, raw, "nps-raw")
 
 
 @register("replace_by_key", _REPLACE_SQL)
