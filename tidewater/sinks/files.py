@@ -110,16 +110,24 @@ def export_week(
 
 
 def write_parts(parts: DataFrame, out_dir: str, columns: list[str], part_col: str = "part_no") -> str:
-    """One CSV file (with header) per part: all rows of a part go to one task
-    and one ``file_name=usage_events_part_NNN.csv`` folder, in index order."""
+    """One CSV file (with header) per part, in index order, under
+    ``file_name=usage_events_part_NNN.csv`` folders.
+
+    Range partitioning on the part number keeps every part whole in one task
+    (equal keys never split), and caps the task count at
+    ``spark.sql.shuffle.partitions`` however many parts there are; each task
+    writes one file per part it holds."""
+    spark = parts.sparkSession
     named = parts.withColumn("file_name", part_file_name(F.col(part_col)))
-    n_parts = max(1, int(named.agg(F.max(part_col)).collect()[0][0] or 0))
+    n_parts = int(named.agg(F.max(part_col)).collect()[0][0] or 0)
+    tasks = max(1, min(n_parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     (
-        named.repartition(n_parts, "file_name")
-        .sortWithinPartitions("row_index")
+        named.repartitionByRange(tasks, part_col)
+        .sortWithinPartitions(part_col, "row_index")
         .select(*columns, "file_name")
         .write.mode("overwrite")
         .option("header", True)
+        .option("maxRecordsPerFile", 0)
         .partitionBy("file_name")
         .csv(out_dir)
     )
