@@ -140,3 +140,10 @@ def test_replicate_run_windows(spark):
     accepted = jobs.replicate_run(everything, final, cfg, run_ts, now, explicit_start=datetime(1990, 1, 1),
                                   explicit_end=datetime(1999, 6, 30), late_policy="accept")
     assert accepted.filter("_loaded_at IS NOT NULL").count() > 0
+
+
+def test_replace_date_range_text_dates(spark):
+    target = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, None), (4, "garbage")], "id long, d string")
+    new = spark.createDataFrame([(9, "2024-01-02")], "id long, d string")
+    out = replace.replace_date_range(target, new, "d", "2024-01-02", "2024-01-03")
+    assert sorted(r.id for r in out.collect()) == [1, 3, 4, 9]

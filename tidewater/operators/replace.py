@@ -59,12 +59,14 @@ def replace_date_range(
     if isinstance(dtype, T.DateType):
         in_range = col.between(F.lit(start_d), F.lit(end_d))
     elif isinstance(dtype, T.StringType):
-        in_range = F.to_date(col).between(F.lit(start_d), F.lit(end_d))
+        in_range = F.try_to_date(col).between(F.lit(start_d), F.lit(end_d))
     else:
         in_range = (col >= TM.ts_literal(str(start_d), dtype)) & (
             col < TM.ts_literal(str(end_d + timedelta(days=1)), dtype)
         )
-    kept = target.filter(~in_range | col.isNull())
+    # Only rows whose date is known to be in range are deleted: NULL (and,
+    # for text dates, unparsable) dates survive.
+    kept = target.filter(~F.coalesce(in_range, F.lit(False)))
     return kept.unionByName(new_rows, allowMissingColumns=True)
 
 

@@ -206,7 +206,7 @@ def ads_insights(
     if date.fromisoformat(str(start)) > date.fromisoformat(str(end)):
         return existing, bookmarks
     rows = pages.flatten_paged_payload(page_lines, pages.INSIGHT_ROW_SCHEMA)
-    day = F.to_date("date_start")
+    day = F.try_to_date("date_start")
     rows = rows.filter(day.between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
     tagged = project.stamp_audit_columns(
         rows.withColumn("_window_date", day), {"_stream_name": stream, "_ingested_at": ingested_at}
