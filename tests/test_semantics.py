@@ -339,3 +339,16 @@ def test_write_parts_one_file_per_part(spark):
         assert len([f for f in os.listdir(os.path.join(out, d)) if f.endswith(".csv")]) == 1
     back = spark.read.option("header", True).csv(out)
     assert back.count() == 2350
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_export_week_reads_back_in_both_formats(spark, fmt):
+    from tidewater.plans import q_export
+    from tidewater.sinks import files
+
+    rows = q_export.week_rows(spark, "/root/testdata/sf0.001")
+    out = files.export_week(rows, tempfile.mkdtemp(prefix="tw-week-"), "2024-01-16", "2024-01-23", fmt=fmt)
+    assert "week_start=2024-01-16" in out and "week_end=2024-01-23" in out
+    reader = spark.read.schema(q_export.USAGE_SCHEMA)
+    back = reader.option("header", True).csv(out) if fmt == "csv" else reader.parquet(out)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
