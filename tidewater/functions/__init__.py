@@ -1,0 +1 @@
+"""Column expressions: time zones and epochs, event contracts, VARIANT rules, names and types."""

@@ -1,0 +1 @@
+"""Run windows, bookmarks, table configs, composite jobs and the registered queries."""
