@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.filters import eligible_subscriber
+from tidewater.operators.replace import delete_by_key
 
 
 def eligible_users(users: DataFrame) -> DataFrame:
@@ -31,5 +32,4 @@ def join_events_subscribers(events: DataFrame, users: DataFrame, key: str = "use
 def semi_delete_by_key(target: DataFrame, raw: DataFrame, key: str) -> DataFrame:
     """``DELETE FROM target WHERE key IN (SELECT key FROM raw WHERE key IS NOT
     NULL)`` as a left anti join on distinct keys."""
-    keys = raw.select(key).filter(F.col(key).isNotNull()).distinct()
-    return target.join(keys, key, "left_anti")
+    return delete_by_key(target, raw, key)

@@ -121,5 +121,7 @@ def anti_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     """
     src = source.select(*target.columns) if set(target.columns) <= set(source.columns) else source
     tgt_keys = target.select(*keys).dropna().distinct()
-    new_rows = src.join(tgt_keys, list(keys), "left_anti")
+    src_ok, src_null = _split_null_keys(src, keys)
+    # A NULL key never matches, so those rows are inserted without a join.
+    new_rows = src_ok.join(tgt_keys, list(keys), "left_anti").unionByName(src_null)
     return target.unionByName(new_rows, allowMissingColumns=True)

@@ -20,7 +20,10 @@ def delete_by_key(target: DataFrame, keys_from: DataFrame, key: str) -> DataFram
     IS NOT NULL)``. A NULL target key survives. The key list is made distinct
     map-side first, so a hot key is shuffled once per map task, not per row."""
     keys = keys_from.select(key).filter(F.col(key).isNotNull()).distinct()
-    return target.join(keys, key, "left_anti")
+    # NULL-key rows always survive; they skip the join instead of all hashing
+    # to one join partition.
+    kept = target.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
+    return kept.unionByName(target.filter(F.col(key).isNull()))
 
 
 def replace_by_key(target: DataFrame, raw: DataFrame, key: str, order_by: OrderSpec) -> DataFrame:
