@@ -352,3 +352,13 @@ def test_export_week_reads_back_in_both_formats(spark, fmt):
     reader = spark.read.schema(q_export.USAGE_SCHEMA)
     back = reader.option("header", True).csv(out) if fmt == "csv" else reader.parquet(out)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_spread_only_narrow_inputs(spark):
+    from tidewater.session import spread_if_narrow
+
+    cores = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread_if_narrow(wide) is wide  # no shuffle added to an already parallel input
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert spread_if_narrow(narrow).rdd.getNumPartitions() == cores
