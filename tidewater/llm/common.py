@@ -18,14 +18,21 @@ from tidewater.session import configure_session, scratch_path
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure_session(spark)
+    one_thread(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def one_thread(spark: SparkSession) -> None:
+    """Python workers compute on one thread each; Spark runs one per core."""
+    for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):
+        spark.sparkContext.environment.setdefault(name, "1")
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import line_dedup, near_dup, stream_dedup
+from tidewater.llm import line_dedup, mixing, near_dup, packing, pii, quality, stream_dedup, topk, training_order, warc
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,55 @@ def query(sql: str | None = None):
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query()
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"), with_text=False).drop("redacted")
+
+
+@query(
+    """
+with p as (select page_id, coalesce(html, '') as html from pages),
+keyed as (select page_id, octet_length(encode(html)) as n, sha1(html) as digest from p),
+top as (select digest, max(page_id) as top from keyed where n >= 1000 group by digest)
+select page_id, n as payload_bytes, k.digest as payload_digest,
+       case when n >= 1000 and page_id <> top then 'revisit' else 'response' end as record_type,
+       case when n >= 1000 and page_id <> top then top end as refers_to
+from keyed k left join top t on k.digest = t.digest"""
+)
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_warc(table(spark, sf_dir, "pages"))
+    return warc.read_records(warc.read_chunks(files))
+
+
+@query()
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.materialise(table(spark, sf_dir, "documents")).drop("path")
+
+
+@query(
+    """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select q.vec_id as query_id, c.vec_id,
+  list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 20"""
+)
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query(
     f"""
 with docs as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -58,3 +107,8 @@ from documents window g as (partition by {LOWERED})"""
 )
 def op9_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.dedup_stream(table(spark, sf_dir, "documents")).drop("locator")
+
+
+@query()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
