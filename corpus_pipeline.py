@@ -4,22 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import line_dedup, near_dup
+from tidewater.llm import line_dedup, mixing, near_dup, packing, quality
 from tidewater.llm.common import land, table
 
 ORACLE_SQL = None
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines found in many documents go, the documents stay."""
     return line_dedup.drop_frequent_lines(docs).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: the one with the smallest id."""
     kept = near_dup.near_duplicates(docs).where("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi")
 
 
-STAGES = [("line_dedup", dedup_lines), ("near_dedup", near_dedup)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn by their calibrated probabilities stay."""
+    return mixing.sample_mixture(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", near_dedup),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
