@@ -22,7 +22,7 @@ HOP = 256  # a chunk is two hops long, and the next one starts a hop later
 SLAB = 256 * HOP  # bytes that are convolved at a time
 SAMPLE = 2500  # labelled documents that are learned from, at most
 SAMPLE_BYTES = 16 * HOP  # of a training document; scoring reads all of it
-EPOCHS, BATCH, RATE = 12, 32, 4e-3
+STEPS, BATCH, RATE = 900, 32, 4e-3
 FOLDS, HELD_OUT = 5, 0
 
 
@@ -138,8 +138,9 @@ def train(texts: list[str], labels: list[int], seed: int = 1) -> dict[str, np.nd
     data = [np.frombuffer((t or "").encode("utf-8", "surrogatepass"), np.uint8) for t in texts]
     one = {k: np.zeros_like(v) for k, v in m.items()}
     two = {k: np.zeros_like(v) for k, v in m.items()}
-    step, total = 0, EPOCHS * -(-len(data) // BATCH)
-    for _ in range(EPOCHS):
+    epochs = -(-STEPS // -(-len(data) // BATCH))
+    step, total = 0, epochs * -(-len(data) // BATCH)
+    for _ in range(epochs):
         order = rng.permutation(len(data))
         for at in range(0, len(order), BATCH):
             batch = order[at : at + BATCH]

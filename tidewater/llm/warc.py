@@ -85,7 +85,7 @@ class _Archive:
         fs, path = filesystem(folder)
         fs.create_dir(path, recursive=True)
         self.path, self.records, self.size = f"{folder}/{name}", 0, 0
-        self.out = fs.open_output_stream(f"{path}/{name}")
+        self.out = fs.open_output_stream(f"{path}/{name}", compression=None)
 
     def add(self, head: list[str], body_head: bytes, payload: memoryview) -> None:
         """One gzip member per record, as readers that seek expect it."""
@@ -107,7 +107,7 @@ class _Archive:
         return self.path, self.records, self.size
 
 
-def _write(folder: str, date: str):
+def _write(folder: str, date: str, limit: int):
     def run(batches):
         task = TaskContext.get()
         name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}"
@@ -135,7 +135,7 @@ def _write(folder: str, date: str):
                     head += [f"WARC-Profile: {REVISIT}", f"X-Refers-To-Page-ID: {r['refers_to']}"]
                 http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
                 archive.add(head, http.encode(), memoryview(payload)[: 0 if r["record_type"] == "revisit" else None])
-                if archive.size >= ARCHIVE:
+                if archive.size >= limit:
                     done.append(archive.close())
                     archive = None
         if archive is not None:
@@ -148,7 +148,9 @@ def _write(folder: str, date: str):
     return run
 
 
-def write_warc(pages: DataFrame, folder: str | None = None, min_revisit: int = MIN_REVISIT) -> DataFrame:
+def write_warc(
+    pages: DataFrame, folder: str | None = None, min_revisit: int = MIN_REVISIT, archive_bytes: int = ARCHIVE
+) -> DataFrame:
     """Write one record per row of ``pages`` (page_id, url, html); returns the
     archives: path, records, bytes. Null html is the empty payload; null urls
     and ids are left out of the header. Repeated rows are records of their
@@ -156,7 +158,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, min_revisit: int = M
     empty table writes no archive. Other columns are ignored."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
     date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
-    return land(records(pages, min_revisit).mapInArrow(_write(folder, date), FILES), "warc-files")
+    return land(records(pages, min_revisit).mapInArrow(_write(folder, date, archive_bytes), FILES), "warc-files")
 
 
 class _Members:
@@ -259,7 +261,7 @@ def _read(payload: bool):
             for path in b.column(0).to_pylist():
                 fs, local = filesystem(path)
                 rows, held = [], 0
-                with fs.open_input_stream(local) as stream:
+                with fs.open_input_stream(local, compression=None) as stream:
                     for row in chunks_of(stream):
                         rows.append(row if payload else (*row[:-1], None))
                         held += len(row[-1])
