@@ -18,8 +18,13 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import ascii_lower, land, partitions
 from tidewater.session import scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# State on disk; each micro-batch uploads its changes instead of whole files,
+# and the many small stores preallocate no disk.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -50,8 +55,9 @@ def run_state_stream(feed_path: str, schema, spark, files_per_batch: int, root:
     def save(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/updates/epoch={epoch}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         query = (
             state.writeStream.outputMode("update")
@@ -62,10 +68,11 @@ def run_state_stream(feed_path: str, schema, spark, files_per_batch: int, root:
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     updates = spark.read.schema(
         "digest binary, keeper struct<doc_id:bigint,locator:string>, group_size bigint, epoch int"
     ).parquet(f"{root}/updates")
