@@ -151,6 +151,7 @@ def test_near_duplicates(docs_of, words):
 def test_near_duplicates_in_small_blocks(docs_of, monkeypatch):
     """Buckets far larger than a block, with members that no hub reaches."""
     monkeypatch.setattr(near_dup, "BLOCK", 5)
+    monkeypatch.setattr(near_dup, "SMALL", 2)
     rows = _near_rows(groups=2, size=40)
     got = near_dup.near_duplicates(docs_of(rows), words=2).collect()
     assert sorted(map(str, _components(rows, 2))) == sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got)

@@ -13,11 +13,12 @@ from tables and are confirmed on full sets:
 
 1. each class is compared with one hub of its buckets, and links are grouped
    into components;
-2. buckets that still hold several components are worked through in blocks of
-   bounded size. An exact bound on the overlap, from bitmaps of the sets,
-   discards pairs that can't be links; of the rest a spanning forest of the
-   components goes to the full check;
-3. what is still open after that is checked pair by pair.
+2. of a small bucket that still holds several components, all pairs across
+   components are candidates, once each. Large ones are worked through in
+   blocks of bounded size, and a spanning forest of the components is
+   proposed. An exact bound on the overlap, from bitmaps of the sets, discards
+   pairs that can't be links before the full check;
+3. what is still open in large buckets after that is checked pair by pair.
 
 No step emits all pairs of a bucket that already is one component, and a
 bucket is never cut or dropped.
@@ -35,6 +36,7 @@ from tidewater.llm.common import components, land
 
 WORDS, SIMILARITY = 5, 80  # words of a shingle; least similarity in per cent
 HALVES, HASHES = 24, 4
+SMALL = 16  # members of a bucket whose pairs are listed
 BLOCK = 400  # members of a bucket that one task compares at a time
 BITMAP_WORDS = 32  # 64-bit words of the bitmap that bounds an overlap
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -138,6 +140,48 @@ def confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     )
 
 
+def _bounded(similarity: int):
+    """Drops pairs whose bitmaps rule out a link: each bit that only one set
+    has stands for at least one element that the other lacks."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            n = [b.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)]
+            bits = [np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(-1, BITMAP_WORDS) for i in (4, 5)]
+            both = np.bitwise_count(bits[0] & bits[1]).sum(axis=1, dtype=np.int64)
+            most = np.minimum(*(m - np.bitwise_count(x).sum(axis=1, dtype=np.int64) + both for m, x in zip(n, bits)))
+            ok = 100 * most >= similarity * (n[0] + n[1] - most)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def _listed_pairs(open_rows: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Distinct pairs of different components in small buckets, without those
+    that sizes or bitmaps rule out."""
+    held = open_rows.where(F.col("size") <= SMALL).groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("digest", "label"))).alias("held")
+    )
+    pairs = F.flatten(
+        F.transform(
+            "held",
+            lambda x: F.transform(
+                F.filter("held", lambda y: (y["digest"] > x["digest"]) & (y["label"] != x["label"])),
+                lambda y: F.struct(x["digest"].alias("a"), y["digest"].alias("b")),
+            ),
+        )
+    )
+    listed = held.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+    n = lambda at: sets.select(F.col("digest").alias(at), F.col("n").alias(f"n_{at}"), F.col("bits").alias(f"bits_{at}"))
+    fits = 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
+    return (
+        listed.join(n("a"), "a").join(n("b"), "b").where(fits).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        .mapInArrow(_bounded(similarity), "a binary, b binary")
+    )
+
+
 def _propose(similarity: int, forest: bool):
     """For one block pair of a bucket: pairs of different components that may
     be links. Each pair is left to the first table that both members share."""
@@ -325,16 +369,18 @@ def _open_pairs(members, comp, classes, sets, similarity, forest) -> DataFrame |
     blocks = F.ceil(F.col("size") / BLOCK)
     block = F.pmod(F.xxhash64("digest"), blocks)
     spread = (
-        open_rows.withColumn("block", block)
+        open_rows.where(F.col("size") > SMALL)
+        .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))))
         .withColumn("lo", F.least("block", "other"))
         .withColumn("hi", F.greatest("block", "other"))
         .drop("other", "size")
     )
     info = sets.select("digest", "n", "bits").join(classes.select("digest", "halves"), "digest")
-    return land(
+    found = (
         spread.join(land(info, "near-info"), "digest")
         .groupBy("key", "lo", "hi")
-        .applyInPandas(_propose(similarity, forest), "a binary, b binary"),
-        "near-proposed",
+        .applyInPandas(_propose(similarity, forest), "a binary, b binary")
     )
+    # All pairs of small buckets are listed the first time.
+    return land(found.union(_listed_pairs(open_rows, classes, sets, similarity)) if forest else found, "near-proposed")
