@@ -60,18 +60,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     )
     while True:
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = land(
-            both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-least"
-        )
+        # Both minima are landed, so AQE can split a node with very many edges.
+        least = land(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-least")
         # Large star: hang every larger neighbour on the smallest one.
         large = (
             both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(least.where("m < u").select("u", F.col("m").alias("v")))
-            .distinct()
         )
-        large = land(large, f"{name}-large")
-        # Small star: hang the node and its smaller neighbours on the smallest.
         low = land(large.groupBy("u").agg(F.min("v").alias("m")), f"{name}-low")
+        # Small star: hang the node and its smaller neighbours on the smallest.
         small = (
             large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v")))

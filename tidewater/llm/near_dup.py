@@ -4,15 +4,15 @@ A document's set holds the distinct ``words``-word shingles of its whole
 text. ``halves`` half keys are computed per set, each from ``hashes``
 minhashes; a table key joins a pair of half keys. So ``halves * (halves - 1)
 / 2`` tables of ``2 * hashes`` minhashes each cost only ``halves * hashes``
-minhash computations. With the defaults (24 x 4: 276 tables from 96 hashes) a
-pair at similarity 0.8 shares no table with probability 6e-5, and one at 0.9
-with less than 1e-10.
+minhash computations. With the defaults (40 x 6: 780 tables from 240 hashes) a
+pair at similarity 0.8 shares no table with probability 8e-5, and one at 0.85
+with 1e-7.
 
 Equal sets are collapsed to one class before anything else. Candidates come
 from tables and are confirmed on full sets:
 
-1. each class is compared with one hub of its buckets, and links are grouped
-   into components;
+1. each class is compared with one hub of its buckets, then with up to HUBS
+   more that are in other components; links are grouped into components;
 2. of a small bucket that still holds several components, all pairs across
    components are candidates, once each. Large ones are worked through in
    blocks of bounded size, and a spanning forest of the components is
@@ -29,18 +29,19 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import components, land
 
 WORDS, SIMILARITY = 5, 80  # words of a shingle; least similarity in per cent
-HALVES, HASHES = 24, 4
+HALVES, HASHES, HUBS = 40, 6, 4
 SMALL = 16  # members of a bucket whose pairs are listed
 BLOCK = 400  # members of a bucket that one task compares at a time
 BITMAP_WORDS = 32  # 64-bit words of the bitmap that bounds an overlap
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.random.default_rng(20240607).integers(0, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_KEYS = np.random.default_rng(20240608).integers(0, 2**32, 4096, dtype=np.uint32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -64,13 +65,15 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 
 
 def half_keys(ids: np.ndarray, halves: int, hashes: int) -> np.ndarray:
-    """``halves`` keys, each of ``hashes`` minhashes; empty for an empty set."""
+    """``halves`` keys, each of ``hashes`` 32-bit minhashes; empty for an
+    empty set. The ids are hashes already, so a keyed product orders them."""
     if not len(ids):
         return np.empty(0, np.int64)
-    least = np.full(halves * hashes, np.iinfo(np.uint64).max, np.uint64)
-    by = _ODD[1 : 1 + halves * hashes]
-    for at in range(0, len(ids), 2048):
-        np.minimum(least, _mix(ids[at : at + 2048, None] * by).min(axis=0), out=least)
+    x = (ids >> np.uint64(32)).astype(np.uint32)
+    least = np.full(halves * hashes, np.iinfo(np.uint32).max, np.uint32)
+    flip, by = _KEYS[: halves * hashes], _KEYS[2048 : 2048 + halves * hashes] | np.uint32(1)
+    for at in range(0, len(x), 2048):
+        np.minimum(least, ((x[at : at + 2048, None] ^ flip) * by).min(axis=0), out=least)
     rows = np.ascontiguousarray(least.reshape(halves, hashes))
     return np.array([xxhash.xxh3_64_intdigest(r.tobytes(), seed=i) for i, r in enumerate(rows)], np.uint64).view(np.int64)
 
@@ -158,9 +161,8 @@ def _bounded(similarity: int):
     return run
 
 
-def _listed_pairs(open_rows: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Distinct pairs of different components in small buckets, without those
-    that sizes or bitmaps rule out."""
+def _listed_pairs(open_rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Distinct possible pairs of different components in small buckets."""
     held = open_rows.where(F.col("size") <= SMALL).groupBy("key").agg(
         F.array_sort(F.collect_list(F.struct("digest", "label"))).alias("held")
     )
@@ -173,7 +175,11 @@ def _listed_pairs(open_rows: DataFrame, classes: DataFrame, sets: DataFrame, sim
             ),
         )
     )
-    listed = held.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+    return _possible(held.select(F.explode(pairs).alias("p")).select("p.*").distinct(), sets, similarity)
+
+
+def _possible(listed: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs ``(a, b)`` without those that sizes or bitmaps rule out."""
     n = lambda at: sets.select(F.col("digest").alias(at), F.col("n").alias(f"n_{at}"), F.col("bits").alias(f"bits_{at}"))
     fits = 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
     return (
@@ -290,13 +296,19 @@ def near_duplicates(
         "near-sets",
     )
 
-    hubs = (
-        members.where("digest <> hub").groupBy("digest", "hub").agg(F.count("*").alias("c"))
-        .groupBy("digest").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
-    )
-    pairs = land(hubs.select(F.col("hub").alias("a"), F.col("digest").alias("b")), "near-pairs")
+    near = F.struct("c", "hub")
+    stars = land(members.where("digest <> hub").groupBy("digest", "hub").agg(F.count("*").alias("c")), "near-stars")
+    first = stars.groupBy("digest").agg(F.max_by("hub", near).alias("hub"))
+    pairs = land(first.select(F.col("hub").alias("a"), F.col("digest").alias("b")), "near-pairs")
     links = land(confirm(pairs, sets, similarity), "near-links")
     comp = land(components(links, "near"), "near-components")
+    of = lambda at: comp.select(F.col("node").alias(at), F.col("component").alias(f"{at}_label"))
+    apart = stars.join(of("digest"), "digest", "left").join(of("hub"), "hub", "left").where(
+        F.coalesce("digest_label", "digest") != F.coalesce("hub_label", "hub")
+    )
+    nearest = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("c"), "hub"))
+    more = apart.withColumn("r", nearest).where(F.col("r") <= HUBS).select(F.col("hub").alias("a"), F.col("digest").alias("b"))
+    comp = _merged(comp, land(confirm(_possible(more, sets, similarity), sets, similarity), "near-links"))
     for forest in (True, False):
         found = _open_pairs(members, comp, classes, sets, similarity, forest)
         if found is None:
@@ -306,8 +318,7 @@ def near_duplicates(
             if forest:
                 continue
             break
-        joined = comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        comp = land(components(joined.union(links), "near"), "near-components")
+        comp = _merged(comp, links)
 
     labelled = sig.join(comp.withColumnRenamed("node", "digest"), "digest", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("label")
@@ -323,6 +334,13 @@ def near_duplicates(
     )
 
 
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    if links.isEmpty():
+        return comp
+    joined = comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return land(components(joined.union(links), "near"), "near-components")
+
+
 def _members(classes: DataFrame) -> DataFrame:
     """``(key, i, j, digest, hub, size)`` of every table bucket with at least
     two classes. Pairs are formed from half keys that at least two classes
@@ -383,4 +401,4 @@ def _open_pairs(members, comp, classes, sets, similarity, forest) -> DataFrame |
         .applyInPandas(_propose(similarity, forest), "a binary, b binary")
     )
     # All pairs of small buckets are listed the first time.
-    return land(found.union(_listed_pairs(open_rows, classes, sets, similarity)) if forest else found, "near-proposed")
+    return land(found.union(_listed_pairs(open_rows, sets, similarity)) if forest else found, "near-proposed")
