@@ -148,7 +148,8 @@ def drop_frequent_lines(
     ).otherwise(
         F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), line_hash(x)), F.lit(False)))
     )
-    out = docs.drop("n_lines", "n_dropped").join(lists, F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    # The lists grow with the documents, so they are merged at every size.
+    out = docs.drop("n_lines", "n_dropped").join(lists.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")), "left")
     out = out.withColumn("__lines", F.size(lines)).withColumn("__kept", kept)
     return out.select(
         *[
