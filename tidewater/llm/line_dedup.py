@@ -93,19 +93,17 @@ class LineRuns:
 
 
 def split_batches(docs: DataFrame, batches: int) -> list[DataFrame]:
-    """Batches by input file where ``docs`` reads files, else one batch.
-
-    A batch reads only its own files, so the table is read once overall."""
-    files = sorted(docs.inputFiles())
-    if len(files) < 2 or batches < 2:
+    """Batches by input file where ``docs`` is a plain Parquet table, else one
+    batch (a filtered or derived table is more than its files say). A batch
+    reads only its own files, so the table is read once overall."""
+    plan = docs._jdf.queryExecution().analyzed()
+    plain = plan.getClass().getSimpleName() == "LogicalRelation"
+    files = sorted(docs.inputFiles()) if plain else []
+    if len(files) < 2 or not all(f.endswith(".parquet") for f in files) or batches < 2:
         return [docs]
     step = -(-len(files) // batches)
     parts = [files[i : i + step] for i in range(0, len(files), step)]
-    name = F.input_file_name()
-    spark = docs.sparkSession
-    if all(f.endswith(".parquet") for f in files):
-        return [spark.read.schema(docs.schema).parquet(*part) for part in parts]
-    return [docs.where(name.isin(part)) for part in parts]
+    return [docs.sparkSession.read.schema(docs.schema).parquet(*part) for part in parts]
 
 
 def drop_frequent_lines(
