@@ -354,11 +354,64 @@ def test_export_week_reads_back_in_both_formats(spark, fmt):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
 
 
-def test_spread_only_narrow_inputs(spark):
-    from tidewater.session import spread_if_narrow
-
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread_if_narrow(wide) is wide  # no shuffle added to an already parallel input
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert spread_if_narrow(narrow).rdd.getNumPartitions() == cores
+def test_part_names_are_not_cut_past_999(spark):
+    from tidewater.operators.chunk import chunk_rows_to_parts, export_manifest
+
+    rows = spark.range(12_030).selectExpr("id", "id * 10 as ts")
+    parts = chunk_rows_to_parts(rows, ["id"], 10)
+    got = export_manifest(parts, "ts", "b").collect()
+    assert len({r.file_name for r in got}) == len(got) == 1203 and sum(r.row_count for r in got) == 12_030
+    assert {"usage_events_part_001.csv", "usage_events_part_1000.csv", "usage_events_part_1203.csv"} <= {r.file_name for r in got}
+
+
+def test_snake_case_rule():
+    from tidewater.functions import naming
+
+    for name, want in (
+        ("ABCDEf", "abcd_ef"), ("aBC", "a_bc"), ("v2API", "v2_api"), ("A1b", "a1b"), ("_Abc", "__abc"), ("AaBbCc", "aa_bb_cc"),
+        ("already_snake", "already_snake"), ("", ""), ("ABC1d", "abc1d"), ("userID", "user_id"), ("X", "x"),
+    ):
+        assert naming.to_snake_case(name) == want, name
+    assert naming.column_key("Updated-At_2é") == "updatedat2"
+
+
+def test_archive_lines_split_at_newlines_only():
+    import gzip
+
+    from tidewater.sources.ndjson import _decode
+
+    data = '{"a":"x\u2028y z"}\r\n{"b":1}\n\n{"c":2}'.encode()
+    for content in (data, gzip.compress(data)):
+        assert [x for x in _decode(content) if x] == ['{"a":"x\u2028y z"}', '{"b":1}', '{"c":2}']
+
+
+def test_latest_batch_matches_the_glob_exactly(spark, tmp_path):
+    from tidewater.sources.csv_declared import latest_batch
+
+    for batch, name in (("a", "predictions_part_1.csv"), ("b", "predictionsXpartY1.csv")):
+        (tmp_path / batch).mkdir()
+        for f in (name, "metadata.json", "schema.csv"):
+            (tmp_path / batch / f).write_text("x")
+    assert latest_batch(spark, str(tmp_path)).endswith("/a")
+
+
+def test_declared_csv_quotes_and_booleans(spark, tmp_path):
+    from tidewater.sources.csv_declared import DeclaredField, read_declared_csv
+
+    (tmp_path / "x.csv").write_text('name,ok\n"He said ""hi"", ok",yes\nb,t\nc,no\n')
+    fields = [DeclaredField("name", "STRING", "NULLABLE"), DeclaredField("ok", "BOOL", "NULLABLE")]
+    got = sorted(tuple(r) for r in read_declared_csv(spark, str(tmp_path / "x.csv"), fields).collect())
+    assert got == [('He said "hi", ok', True), ("b", True), ("c", False)]
+
+
+def test_week_export_keeps_spaces_and_quotes(spark, tmp_path):
+    import csv
+    import glob
+    import gzip
+
+    from tidewater.sinks import files
+
+    rows = [("  pad  ", 'say "x", y'), ("plain", "z")]
+    out = files.export_week(spark.createDataFrame(rows, "a string, b string").coalesce(1), str(tmp_path), "s", "e")
+    with gzip.open(glob.glob(out + "/*.csv.gz")[0], "rt", newline="") as f:
+        assert sorted(map(tuple, list(csv.reader(f))[1:])) == sorted(rows)

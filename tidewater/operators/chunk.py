@@ -78,8 +78,9 @@ PART_PREFIX, PART_WIDTH, PART_SUFFIX = "usage_events_part_", 3, ".csv"
 
 
 def part_file_name(part_col: Column, prefix: str = PART_PREFIX, width: int = PART_WIDTH, suffix: str = PART_SUFFIX) -> Column:
-    """``usage_events_part_001.csv`` style names from the part number."""
-    return F.concat(F.lit(prefix), F.lpad(part_col.cast("string"), width, "0"), F.lit(suffix))
+    """``usage_events_part_001.csv`` style names from the part number; longer
+    numbers take more digits."""
+    return F.format_string(f"{prefix}%0{width}d{suffix}", part_col.cast("long"))
 
 
 def export_manifest(

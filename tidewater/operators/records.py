@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tidewater.functions import semistructured as J
-from tidewater.session import spread_if_narrow
 
 # Fixed value: the exported event name that carries survey interactions.
 NPS_EVENT_NAME = "appcues:v2:step_interaction"
@@ -82,7 +81,7 @@ def nps_rows(
     survey response; then filter and project the kept rows."""
     rec = "__rec"
     narrow = lines.selectExpr(f"`{line_col}` AS __line")
-    parsed = with_once(spread_if_narrow(narrow), __rec=J.parse_record("__line"))
+    parsed = with_once(narrow, __rec=J.parse_record("__line"))
     objects = parsed.filter(J.col(J.is_object(rec)))
     attrs_raw = J.field(rec, "$.attributes")
     staged = with_once(objects, __attrs_raw=attrs_raw)

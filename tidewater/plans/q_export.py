@@ -34,7 +34,7 @@ parts as (select *, row_number() over (order by event_id) - 1 as row_index,
   cast((row_number() over (order by event_id) - 1) // {ROWS_PER_PART} + 1 as integer) as part_no from week)"""
 _MANIFEST_SQL = f"""
 select '{BATCH_ID}' as batch_id, count(*) over () as expected_file_count,
- 'usage_events_part_' || lpad(cast(part_no as varchar), 3, '0') || '.csv' as file_name, row_count,
+ printf('usage_events_part_%03d.csv', part_no::bigint) as file_name, row_count,
  min(mn) over () as min_event_timestamp, max(mx) over () as max_event_timestamp
 from (select part_no, count(*)::bigint as row_count, min("timestamp") mn, max("timestamp") mx from parts group by part_no)"""
 
@@ -125,7 +125,7 @@ def q_job_usage_export(spark, sf):
     "export_parts_with_manifest",
     "with " + _USAGE_SQL + "," + _WEEK_SQL + "," + _PARTS_SQL
     + " select event_id, user_id, event_type, \"timestamp\", "
-    "'usage_events_part_' || lpad(cast(part_no as varchar), 3, '0') || '.csv' as file_name from parts",
+    "printf('usage_events_part_%03d.csv', part_no::bigint) as file_name from parts",
 )
 def q_export_parts_with_manifest(spark, sf):
     """Parts written as one CSV file each, read back: every row lands in the

@@ -275,9 +275,9 @@ _PRED_SQL = """
 pred as (select c_custkey as unique_id, c_name as customer_name, c_mktsegment as segment,
   cast(c_acctbal as decimal(12,2)) as score from customer),
 b1 as (select 'b1' as batch_id, 'predictions_part_001.csv' as source_file_name,
-  timestamp '2024-01-03 17:00:00' as loaded_at, * from pred where unique_id < 1000),
+  timestamp '2024-01-03 17:00:00' as loaded_at, * from pred where unique_id % 3 <> 0),
 b2 as (select 'b2' as batch_id, 'predictions_part_001.csv' as source_file_name,
-  timestamp '2024-01-10 17:00:00' as loaded_at, * from pred where unique_id >= 800)"""
+  timestamp '2024-01-10 17:00:00' as loaded_at, * from pred where unique_id % 3 <> 1)"""
 
 
 def _prediction_batch(spark, sf, batch_id: str, loaded_at: datetime, cond):
@@ -294,8 +294,8 @@ def _prediction_batch(spark, sf, batch_id: str, loaded_at: datetime, cond):
 
 
 def prediction_batches(spark, sf):
-    b1 = _prediction_batch(spark, sf, "b1", datetime(2024, 1, 3, 17), F.col("c_custkey") < 1000)
-    b2 = _prediction_batch(spark, sf, "b2", datetime(2024, 1, 10, 17), F.col("c_custkey") >= 800)
+    b1 = _prediction_batch(spark, sf, "b1", datetime(2024, 1, 3, 17), F.col("c_custkey") % 3 != 0)
+    b2 = _prediction_batch(spark, sf, "b2", datetime(2024, 1, 10, 17), F.col("c_custkey") % 3 != 1)
     return b1, b2
 
 

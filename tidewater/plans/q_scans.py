@@ -83,23 +83,23 @@ def land_batch(spark, sf, root: str, batch: str, cond, parts: int = 3) -> str:
 
 def _landed_two_batches(spark, sf):
     root = scratch_path(spark, "predictions-landing")
-    land_batch(spark, sf, root, "b1", F.col("c_custkey") < 1000)
-    land_batch(spark, sf, root, "b2", F.col("c_custkey") >= 800)
+    land_batch(spark, sf, root, "b1", F.col("c_custkey") % 3 != 0)
+    land_batch(spark, sf, root, "b2", F.col("c_custkey") % 3 != 1)
     return root
 
 
-@register("scan_csv_declared_schema", "with " + _PRED_SQL + " select * from pred where unique_id < 1000")
+@register("scan_csv_declared_schema", "with " + _PRED_SQL + " select * from pred")
 def q_scan_csv_declared_schema(spark, sf):
     """Data files projected onto schema.csv: types from the declared map,
     ``T`` and space timestamps, unknown column ignored, declared-but-absent
     string column empty."""
     root = scratch_path(spark, "predictions-landing")
-    path = land_batch(spark, sf, root, "b1", F.col("c_custkey") < 1000)
+    path = land_batch(spark, sf, root, "b1", F.lit(True))
     fields = CSV.read_schema_file(spark, f"{path}/schema.csv")
     return CSV.read_declared_csv(spark, f"{path}/predictions_part_*.csv", fields)
 
 
-@register("scan_latest_batch", "with " + _PRED_SQL + " select * from pred where unique_id >= 800")
+@register("scan_latest_batch", "with " + _PRED_SQL + " select * from pred where unique_id % 3 <> 1")
 def q_scan_latest_batch(spark, sf):
     """Newest complete batch folder (by file time, then name) read alone."""
     root = _landed_two_batches(spark, sf)
@@ -110,13 +110,13 @@ def q_scan_latest_batch(spark, sf):
 
 @register(
     "union_file_parts",
-    "with " + _PRED_SQL + " select * from pred where unique_id < 1000",
+    "with " + _PRED_SQL + " select * from pred",
 )
 def q_union_file_parts(spark, sf):
     """Several part files of one batch loaded as one staging table (one scan
     over the list of paths)."""
     root = scratch_path(spark, "predictions-landing")
-    path = land_batch(spark, sf, root, "b1", F.col("c_custkey") < 1000, parts=4)
+    path = land_batch(spark, sf, root, "b1", F.lit(True), parts=4)
     fields = CSV.read_schema_file(spark, f"{path}/schema.csv")
     files = [f"{path}/predictions_part_{i:03d}.csv" for i in range(1, 5)]
     return CSV.read_declared_csv(spark, files, fields)
@@ -144,9 +144,9 @@ _STAGE_FINAL_SQL = (
     "with "
     + _PRED_SQL
     + """,
-b1 as (select * from pred where unique_id < 1000), b2 as (select * from pred where unique_id >= 800)
+b1 as (select * from pred where unique_id % 3 <> 0), b2 as (select * from pred where unique_id % 3 <> 1)
 select *, timestamp '2024-01-03 17:00:00' as _ingested_at from b1
-union all select *, timestamp '2024-01-10 17:00:00' as _ingested_at from b2 where unique_id >= 1000"""
+union all select *, timestamp '2024-01-10 17:00:00' as _ingested_at from b2 where unique_id % 3 = 0"""
 )
 
 

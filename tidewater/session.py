@@ -72,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -86,15 +88,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
-
-
-def spread_if_narrow(df):
-    """Round-robin ``df`` over the cluster's cores when it has fewer
-    partitions than cores, before CPU-heavy per-row work such as JSON
-    parsing. Typical case: a gzip export is not splittable, so one large file
-    is one task. A wide input -- any large table -- is returned unchanged,
-    so this never adds a shuffle where the scan is already parallel."""
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

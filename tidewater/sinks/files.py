@@ -19,6 +19,9 @@ from tidewater.session import scratch_path
 
 POINTER = "_CURRENT"
 
+# Cells keep their spaces, and quotes are doubled, as standard readers expect.
+CSV_DIALECT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -103,7 +106,7 @@ def export_week(
     out = os.path.join(root, f"week_start={week_start}", f"week_end={week_end}")
     writer = df.write.mode("overwrite")
     if fmt.lower() == "csv":
-        writer.option("header", True).option("compression", compression).csv(out)
+        writer.options(**CSV_DIALECT).option("compression", compression).csv(out)
     else:
         writer.option("compression", "snappy").parquet(out)
     return out
@@ -126,7 +129,7 @@ def write_parts(parts: DataFrame, out_dir: str, columns: list[str], part_col: st
         .sortWithinPartitions(part_col, "row_index")
         .select(*columns, "file_name")
         .write.mode("overwrite")
-        .option("header", True)
+        .options(**CSV_DIALECT)
         .option("maxRecordsPerFile", 0)
         .partitionBy("file_name")
         .csv(out_dir)

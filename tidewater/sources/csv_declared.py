@@ -8,6 +8,7 @@ schema with Column expressions.
 
 from __future__ import annotations
 
+import re
 import csv
 import io
 from dataclasses import dataclass
@@ -109,7 +110,7 @@ def typed_value(text: Column, f: DeclaredField) -> Column:
     if f.type_name == "DATETIME":
         return F.when(blank, F.lit(None)).otherwise(text.try_cast("timestamp_ntz"))
     if f.type_name == "BOOL":
-        return F.when(blank, F.lit(None)).otherwise(F.lower(text).isin("true", "1"))
+        return F.when(blank, F.lit(None)).otherwise(F.lower(F.trim(text)).isin("true", "t", "yes", "y", "1"))
     if f.type_name == "BYTES":
         return F.when(blank, F.lit(None)).otherwise(F.unbase64(text))
     return F.when(blank, F.lit(None)).otherwise(text.try_cast(f.spark_type))
@@ -130,6 +131,7 @@ def read_declared_csv(
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("nullValue", "__no_null_value__")
+        .option("escape", '"')
         .csv(paths)
     )
     raw = raw.select(*[F.col(f"`{c}`").alias(c.lstrip("﻿")) for c in raw.columns], "_metadata.file_name")
@@ -171,9 +173,9 @@ def latest_batch(
         .withColumn("file", F.element_at(F.split("path", "/"), -1))
         .withColumn("batch", F.element_at(F.split("path", "/"), -2))
     )
-    like = data_glob.replace("*", "%")
+    exact = "^" + ".*".join(re.escape(part) for part in data_glob.split("*")) + "$"
     per_batch = listing.groupBy("batch").agg(
-        F.count_if(F.col("file").like(like)).alias("n_data"),
+        F.count_if(F.col("file").rlike(exact)).alias("n_data"),
         *[F.max(F.col("file") == F.lit(c)).alias(f"has_{i}") for i, c in enumerate(controls)],
         F.max("modificationTime").alias("mtime"),
         F.first(F.regexp_replace("path", "/[^/]*$", "")).alias("batch_path"),

@@ -38,7 +38,8 @@ def _decode(content: bytes) -> list[str]:
             if not members:
                 return []
             content = zf.read(members[0])
-    return content.decode("utf-8", errors="replace").splitlines()
+    # Only line feeds end a record; other separators can stand inside one.
+    return [line.removesuffix("\r") for line in content.decode("utf-8", errors="replace").split("\n")]
 
 
 def _decode_batches(batches):
