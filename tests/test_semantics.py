@@ -415,3 +415,30 @@ def test_week_export_keeps_spaces_and_quotes(spark, tmp_path):
     out = files.export_week(spark.createDataFrame(rows, "a string, b string").coalesce(1), str(tmp_path), "s", "e")
     with gzip.open(glob.glob(out + "/*.csv.gz")[0], "rt", newline="") as f:
         assert sorted(map(tuple, list(csv.reader(f))[1:])) == sorted(rows)
+
+
+def test_hot_key_is_split_in_key_deletes_and_insert_only_merges(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import merge, replace
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.range(0, 900_000, 1, 8).select(F.expr("if(id % 3 = 0, -1, id)").alias("k"), F.hash("id").alias("v"))
+        few = spark.range(0, 300_000, 1, 8).select((F.col("id") * 5).alias("k"), F.hash("id").alias("v"))
+        for got in (replace.delete_by_key(hot, few, "k"), merge.anti_insert(few, hot, ["k"])):
+            out = got.agg(F.count("*").alias("n"), F.sum("v").alias("s"))
+            assert out.collect()[0]["n"] > 300_000
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.keys import key_list
+
 MATCHED = "matched"
 NOT_MATCHED = "not_matched"
 NOT_MATCHED_BY_SOURCE = "not_matched_by_source"
@@ -116,11 +118,10 @@ def anti_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     """Insert-only MERGE: source rows whose key is absent from the target are
     appended; the source is *not* deduplicated (two equal new keys both land).
 
-    The anti join needs only the target's distinct keys; they are
-    pre-aggregated map-side before the shuffle.
+    The anti join needs only the target's keys (see ``key_list``).
     """
     src = source.select(*target.columns) if set(target.columns) <= set(source.columns) else source
-    tgt_keys = target.select(*keys).dropna().distinct()
+    tgt_keys = key_list(target, keys)
     src_ok, src_null = _split_null_keys(src, keys)
     # A NULL key never matches, so those rows are inserted without a join.
     new_rows = src_ok.join(tgt_keys, list(keys), "left_anti").unionByName(src_null)

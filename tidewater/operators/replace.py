@@ -13,13 +13,14 @@ from pyspark.sql import types as T
 
 from tidewater.functions import time as TM
 from tidewater.operators.dedupe import OrderSpec, dedupe_latest
+from tidewater.operators.keys import key_list
 
 
 def delete_by_key(target: DataFrame, keys_from: DataFrame, key: str) -> DataFrame:
     """``DELETE FROM target WHERE key IN (SELECT key FROM keys_from WHERE key
-    IS NOT NULL)``. A NULL target key survives. The key list is made distinct
-    map-side first, so a hot key is shuffled once per map task, not per row."""
-    keys = keys_from.select(key).filter(F.col(key).isNotNull()).distinct()
+    IS NOT NULL)``. A NULL target key survives. A hot key is collapsed in the
+    key list and split among tasks in the target (see ``key_list``)."""
+    keys = key_list(keys_from, [key])
     # NULL-key rows always survive; they skip the join instead of all hashing
     # to one join partition.
     kept = target.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
