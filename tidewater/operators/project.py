@@ -70,21 +70,21 @@ def project_typed(
     return df.select(*out)
 
 
+# (warehouse type of the value, real type of the target column) -> adaptation.
+COERCIONS = {
+    ("JSON", "STRING"): lambda c: F.to_json(F.parse_json(c.cast("string"))),
+    ("STRING", "STRING"): lambda c: c,
+    ("BOOL", "INT64"): lambda c: F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint")),
+}
+
+
 def coerce_expression(col: Column, desired: str, actual: str) -> Column:
     """Adapt a value of warehouse type ``desired`` to a target column whose
-    real type is ``actual``: JSON into STRING as compact JSON text, BOOL into
-    INT64 as ``IF(x, 1, 0)`` (NULL -> 0), anything into STRING as text;
-    otherwise unchanged."""
-    desired, actual = desired.upper(), actual.upper()
-    if actual == desired:
-        return col
-    if actual == "STRING" and desired == "JSON":
-        return F.to_json(F.parse_json(col.cast("string")))
-    if actual == "INT64" and desired == "BOOL":
-        return F.when(col, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
-    if actual == "STRING":
-        return col.cast("string")
-    return col
+    real type is ``actual``: JSON becomes compact JSON text, a boolean 1 or 0
+    (NULL: 0), anything else text where text is stored; the rest stays."""
+    pair = (desired.upper(), actual.upper())
+    otherwise = (lambda c: c.cast("string")) if pair[1] == "STRING" else (lambda c: c)
+    return COERCIONS.get(pair, otherwise)(col)
 
 
 def coerce_to_existing_type(

@@ -57,25 +57,44 @@ select event_id, '{"id":'||case when k%9=8 then 'null' when k%9=7 then '""' else
  ||'","interactionData":{"surveyResponses":['||case k%8 when 0 then '{"type":"nps_score","value":'||(k%11)||'}' when 1 then '{"type":"nps_score","value":8.9}' when 2 then '{"type":"nps_score","value":" 7 "}' when 3 then '{"type":"nps_score","value":"n/a"}' when 4 then '{"type":"nps_score","value":true},{"type":"nps_score","value":5}' when 5 then '{"type":"nps_score","value":null},{"type":"nps_score","value":6}' when 6 then '{"type":"text","value":"9"}' else '' end||']}}}' as line
  from (select *, cast(json_extract_string(props,'$.k') as int) k from events))"""
 
-# Contract filter of the tracking job, SQL form.
-CONTRACT_WHERE = """
- name in ('session_created','quick_buy_sell','partials_taken','position_managed','replay_activated','news_visibility_clicked','order_placed')
- and (coalesce(is_session_created,0)+coalesce(is_quick_buy_sell,0)+coalesce(is_partials_taken,0)+coalesce(is_position_managed,0)
-      +coalesce(is_replay_activated,0)+coalesce(is_news_visibility_open,0)+coalesce(is_order_placed,0)) = 1
- and ((name='session_created' and is_session_created=1 and created_session_type is not null)
-   or (name='quick_buy_sell' and is_quick_buy_sell=1 and quick_buy_sell_type is not null)
-   or (name='partials_taken' and is_partials_taken=1 and partials_taken_percentage is not null and partials_taken_position_amount_type is not null)
-   or (name='position_managed' and is_position_managed=1 and position_managed_type is not null)
-   or (name='replay_activated' and is_replay_activated=1)
-   or (name='news_visibility_clicked' and is_news_visibility_open=1)
-   or (name='order_placed' and is_order_placed=1))
- and (name='session_created' or created_session_type is null)
- and (name='quick_buy_sell' or quick_buy_sell_type is null)
- and (name='partials_taken' or (partials_taken_percentage is null and partials_taken_position_amount_type is null))
- and (name='position_managed' or position_managed_type is null)
- and (name='order_placed' or (order_has_auto_be is null and order_has_object_selected is null and order_has_stop_loss is null
-      and order_tag_count is null and order_has_tag_selected is null and order_has_take_profit is null
-      and order_take_profit_type is null and order_save_type is null))"""
+# The tracking contract as a relation: per event its flag, the attributes it
+# must carry and those it may carry. A row holds when the set of its flags is
+# that flag alone, and the set of its attributes lies between the two.
+_FLAGS = (
+    "is_session_created is_quick_buy_sell is_partials_taken is_position_managed is_replay_activated"
+    " is_news_visibility_open is_order_placed"
+).split()
+_ORDER = (
+    "order_has_auto_be order_has_object_selected order_has_stop_loss order_tag_count order_has_tag_selected"
+    " order_has_take_profit order_take_profit_type order_save_type"
+).split()
+_ATTRIBUTES = (
+    "created_session_type quick_buy_sell_type partials_taken_percentage partials_taken_position_amount_type"
+    " position_managed_type"
+).split() + _ORDER
+_PARTIALS = "['partials_taken_percentage', 'partials_taken_position_amount_type']"
+
+
+def _names_where(columns: list[str], test: str) -> str:
+    """DuckDB list of those of ``columns`` for which ``test`` holds."""
+    return "list_filter([" + ", ".join(f"case when {c} {test} then '{c}' end" for c in columns) + "], lambda x: x is not null)"
+
+
+CONTRACT_WHERE = f"""
+ event_id in (
+  select t.event_id
+  from (select event_id, name, {_names_where(_FLAGS, "= 1")} as flags, {_names_where(_ATTRIBUTES, "is not null")} as held
+        from fx_tracking) t
+  join (values
+    ('session_created', 'is_session_created', ['created_session_type'], ['created_session_type']),
+    ('quick_buy_sell', 'is_quick_buy_sell', ['quick_buy_sell_type'], ['quick_buy_sell_type']),
+    ('partials_taken', 'is_partials_taken', {_PARTIALS}, {_PARTIALS}),
+    ('position_managed', 'is_position_managed', ['position_managed_type'], ['position_managed_type']),
+    ('replay_activated', 'is_replay_activated', []::varchar[], []::varchar[]),
+    ('news_visibility_clicked', 'is_news_visibility_open', []::varchar[], []::varchar[]),
+    ('order_placed', 'is_order_placed', []::varchar[], {_ORDER})
+  ) rule(event, flag, needed, allowed) on rule.event = t.name and t.flags = [rule.flag]
+  where list_has_all(t.held, rule.needed) and list_has_all(rule.allowed, t.held))"""
 
 ELIGIBLE_WHERE = (
     "last_subscription_id is not null and last_subscription_id <> '' and last_subscription_plan not like '%BEGINNER%'"

@@ -21,10 +21,25 @@ from pyspark.sql import types as T
 from tidewater.functions import types as TY
 from tidewater.functions import time as TM
 
-# Accepted header synonyms of schema.csv.
-NAME_HEADERS = ("name", "field", "field_name", "column", "column_name")
-TYPE_HEADERS = ("type", "data_type", "field_type")
-MODE_HEADERS = ("mode", "nullable", "field_mode")
+# Headers of schema.csv and what they stand for, best first.
+HEADERS = {
+    "name": ("name", "field", "field_name", "column", "column_name"),
+    "type": ("type", "data_type", "field_type"),
+    "mode": ("mode", "nullable", "field_mode"),
+    "description": ("description",),
+}
+# Cells of the mode column; any other cell means NULLABLE.
+MODES = {
+    "NULLABLE": "NULLABLE",
+    "TRUE": "NULLABLE",
+    "YES": "NULLABLE",
+    "REQUIRED": "REQUIRED",
+    "FALSE": "REQUIRED",
+    "NO": "REQUIRED",
+    "REPEATED": "REPEATED",
+}
+# Accepted BOOL cells.
+TRUE_CELLS, FALSE_CELLS = ("true", "t", "yes", "y", "1"), ("false", "f", "no", "n", "0")
 # Accepted TIMESTAMP text layouts.
 TIMESTAMP_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss")
 
@@ -41,36 +56,32 @@ class DeclaredField:
         return TY.WAREHOUSE_TO_SPARK[self.type_name]
 
 
-def _normalize_mode(raw: str | None) -> str:
-    mode = (raw or "NULLABLE").strip().upper()
-    if mode in ("TRUE", "YES"):
-        return "NULLABLE"
-    if mode in ("FALSE", "NO"):
-        return "REQUIRED"
-    return mode if mode in ("NULLABLE", "REQUIRED", "REPEATED") else "NULLABLE"
+def header_roles(header: list[str]) -> dict[str, str]:
+    """Role -> the header that plays it."""
+    place = {word: (role, rank) for role, words in HEADERS.items() for rank, word in enumerate(words)}
+    known = [(place[word], h) for h in header if (word := h.strip().lower()) in place]
+    return {role: h for (role, _), h in sorted(known, reverse=True)}  # the best of a role is set last
 
 
 def parse_schema_rows(header: list[str], rows: list[dict]) -> list[DeclaredField]:
-    """Build the declared fields from schema.csv rows (header synonyms,
-    unknown types -> STRING, mode synonyms); blank names are skipped."""
-    norm = {h.strip().lower(): h for h in header}
-    name_key = next((norm[k] for k in NAME_HEADERS if k in norm), None)
-    type_key = next((norm[k] for k in TYPE_HEADERS if k in norm), None)
-    mode_key = next((norm[k] for k in MODE_HEADERS if k in norm), None)
-    desc_key = norm.get("description")
-    if not name_key or not type_key:
-        raise ValueError("schema.csv must include a column name and type header (for example: name,type)")
-    fields = []
-    for row in rows:
-        name = (row.get(name_key) or "").strip()
-        if not name:
-            continue
-        wh = TY.declared_to_warehouse(row.get(type_key) or "STRING")
-        mode = _normalize_mode(row.get(mode_key)) if mode_key else "NULLABLE"
-        desc = (row.get(desc_key) or "").strip() if desc_key else None
-        fields.append(DeclaredField(name, wh, mode, desc or None))
+    """The declared fields of a schema file; rows without a name are comments,
+    types that are not known are STRING."""
+    roles = header_roles(header)
+    if not {"name", "type"} <= roles.keys():
+        raise ValueError(f"schema file: headers {header} name no column for names or none for types")
+    table = [{role: (row.get(h) or "").strip() for role, h in roles.items()} for row in rows]
+    fields = [
+        DeclaredField(
+            cell["name"],
+            TY.declared_to_warehouse(cell["type"] or None),
+            MODES.get(cell.get("mode", "").upper(), "NULLABLE"),
+            cell.get("description") or None,
+        )
+        for cell in table
+        if cell["name"]
+    ]
     if not fields:
-        raise ValueError("schema.csv did not contain any fields")
+        raise ValueError("schema file: no row declares a field")
     return fields
 
 
@@ -99,21 +110,32 @@ def normalize_csv_timestamp(text: Column, fail: bool = True) -> Column:
     return F.when(bad, F.lit(None).cast("timestamp_ntz")).otherwise(parsed)
 
 
+def _loud(value: Column, text: Column, blank: Column, f: DeclaredField) -> Column:
+    """``value``, but a cell that is not blank and has none fails the batch."""
+    what = F.concat(F.lit(f"column {f.name}: not a {f.type_name}: "), text)
+    return F.when(blank, F.lit(None)).when(value.isNull(), F.raise_error(what).cast(f.spark_type)).otherwise(value)
+
+
 def typed_value(text: Column, f: DeclaredField) -> Column:
-    """One CSV cell -> its declared type. Strings stay ``''`` when empty,
-    other types read empty as NULL; unparsable numbers become NULL."""
-    if f.type_name == "STRING" or f.type_name in ("JSON", "TIME"):
+    """One CSV cell -> its declared type. Strings stay ``''`` when empty, other
+    types read empty as NULL. A cell that does not parse fails the batch, and so
+    does an empty one of a REQUIRED column that is not text."""
+    if f.type_name in ("STRING", "JSON", "TIME"):
         return F.coalesce(text, F.lit(""))
     blank = text.isNull() | (text == F.lit(""))
+    word = F.lower(F.trim(text))
     if f.type_name == "TIMESTAMP":
-        return normalize_csv_timestamp(text)
-    if f.type_name == "DATETIME":
-        return F.when(blank, F.lit(None)).otherwise(text.try_cast("timestamp_ntz"))
-    if f.type_name == "BOOL":
-        return F.when(blank, F.lit(None)).otherwise(F.lower(F.trim(text)).isin("true", "t", "yes", "y", "1"))
-    if f.type_name == "BYTES":
-        return F.when(blank, F.lit(None)).otherwise(F.unbase64(text))
-    return F.when(blank, F.lit(None)).otherwise(text.try_cast(f.spark_type))
+        value = normalize_csv_timestamp(text)
+    elif f.type_name == "BOOL":
+        truth = F.when(word.isin(*TRUE_CELLS), F.lit(True)).when(word.isin(*FALSE_CELLS), F.lit(False))
+        value = _loud(truth, text, blank, f)
+    elif f.type_name == "BYTES":
+        value = _loud(F.try_to_binary(text, F.lit("base64")), text, blank, f)
+    else:
+        value = _loud(text.try_cast(f.spark_type), text, blank, f)
+    if f.mode == "REQUIRED":
+        return F.coalesce(value, F.raise_error(F.lit(f"column {f.name}: REQUIRED, but empty")).cast(f.spark_type))
+    return value
 
 
 def read_declared_csv(
@@ -152,10 +174,6 @@ def read_declared_csv(
     return raw.select(*audit, *cols)
 
 
-def declared_struct(fields: list[DeclaredField]) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.spark_type, f.mode != "REQUIRED") for f in fields])
-
-
 def latest_batch(
     spark: SparkSession,
     root: str,
