@@ -201,6 +201,31 @@ def test_declared_csv_edge_cases(spark):
     assert {r.source_file_name for r in out.collect()} == {"predictions_part_001.csv"}
 
 
+def test_declared_csv_maps_each_file_by_its_own_header(spark):
+    d = tempfile.mkdtemp(prefix="tw-csv-")
+    _write(os.path.join(d, "predictions_part_001.csv"), 'id,name,ok\n1,"He said ""hi"", ok",yes\n')
+    _write(os.path.join(d, "predictions_part_002.csv"), "ok,extra,name,id\nF,x,b,2\n,y,c,3\n")
+    _write(os.path.join(d, "predictions_part 3.csv"), "")
+    fields = [CSV.DeclaredField("id", "INT64", "REQUIRED"), CSV.DeclaredField("name", "STRING"), CSV.DeclaredField("ok", "BOOL")]
+    out = CSV.read_declared_csv(spark, os.path.join(d, "predictions_part*.csv"), fields, "b1")
+    got = sorted(tuple(r) for r in out.select("id", "name", "ok", "source_file_name").collect())
+    assert got == [
+        (1, 'He said "hi", ok', True, "predictions_part_001.csv"),
+        (2, "b", False, "predictions_part_002.csv"),
+        (3, "c", None, "predictions_part_002.csv"),
+    ]
+    assert CSV.read_declared_csv(spark, os.path.join(d, "predictions_part 3.csv"), fields, "b1").collect() == []
+
+
+@pytest.mark.parametrize("cells", ["x,1.5,yes", "1,abc,yes", "1,1.5,maybe", ",1.5,yes"])
+def test_declared_csv_bad_cells_fail(spark, cells):
+    d = tempfile.mkdtemp(prefix="tw-csv-")
+    _write(os.path.join(d, "a.csv"), f"id,score,ok\n{cells}\n")
+    fields = [CSV.DeclaredField("id", "INT64", "REQUIRED"), CSV.DeclaredField("score", "FLOAT64"), CSV.DeclaredField("ok", "BOOL")]
+    with pytest.raises(Exception, match="column (id|score|ok)"):
+        CSV.read_declared_csv(spark, os.path.join(d, "a.csv"), fields).collect()
+
+
 def test_declared_csv_fractional_seconds_fail(spark):
     df = spark.createDataFrame([("2024-01-02T03:04:05.123",)], "s string")
     with pytest.raises(Exception):

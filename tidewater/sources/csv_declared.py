@@ -2,17 +2,18 @@
 
 The schema file is a handful of rows (one per column), so it is read on the
 driver through the file system API to build the declared fields; the data
-files are read in one multi-path scan as strings and projected onto that
-schema with Column expressions.
+files are read as strings, one multi-path scan per distinct header, and
+projected onto that schema with Column expressions.
 """
 
 from __future__ import annotations
 
-import re
 import csv
 import io
+import re
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +139,26 @@ def typed_value(text: Column, f: DeclaredField) -> Column:
     return value
 
 
+def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the data files that begin with it. Only the first line of
+    each file is read, through the file system API; empty files are left out."""
+    from tidewater.sinks.files import first_line
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for uri in sorted(spark.read.text(paths).inputFiles()):
+        path, line = first_line(spark, uri)
+        if line:
+            header = next(csv.reader([line.lstrip("\ufeff")]))
+            groups.setdefault(tuple(header), []).append(path)
+    return groups
+
+
+def _text_columns(header: tuple[str, ...]) -> T.StructType:
+    """All columns of a file as text; of equal names the last one counts."""
+    last = {name: i for i, name in enumerate(header)}
+    return T.StructType([T.StructField(n if last[n] == i else f"{n} #{i}", T.StringType()) for i, n in enumerate(header)])
+
+
 def read_declared_csv(
     spark: SparkSession,
     paths: str | list[str],
@@ -145,25 +166,10 @@ def read_declared_csv(
     batch_id: str | None = None,
     loaded_at: datetime | None = None,
 ) -> DataFrame:
-    """All data files of a batch in one scan, projected onto the declared
-    schema by header name: unknown columns ignored, missing columns empty.
-    With ``batch_id`` the raw audit columns lead: ``batch_id``,
-    ``source_file_name``, ``loaded_at``."""
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("nullValue", "__no_null_value__")
-        .option("escape", '"')
-        .csv(paths)
-    )
-    raw = raw.select(*[F.col(f"`{c}`").alias(c.lstrip("﻿")) for c in raw.columns], "_metadata.file_name")
-    present = set(raw.columns)
-    cols = [
-        typed_value(F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast("string"), f)
-        .cast(f.spark_type)
-        .alias(f.name)
-        for f in fields
-    ]
+    """All data files of a batch, projected onto the declared schema by the
+    header of each file: unknown columns ignored, missing columns empty. Files
+    with equal headers are one scan. With ``batch_id`` the raw audit columns
+    lead: ``batch_id``, ``source_file_name``, ``loaded_at``."""
     audit: list[Column] = []
     if batch_id is not None:
         audit = [
@@ -171,7 +177,20 @@ def read_declared_csv(
             F.col("file_name").alias("source_file_name"),
             TM.ts_literal(loaded_at or datetime(1970, 1, 1)).alias("loaded_at"),
         ]
-    return raw.select(*audit, *cols)
+
+    def projected(raw: DataFrame) -> DataFrame:
+        present = set(raw.columns)
+        cells = [F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast("string") for f in fields]
+        return raw.select(*audit, *[typed_value(c, f).cast(f.spark_type).alias(f.name) for c, f in zip(cells, fields)])
+
+    reader = spark.read.option("header", True).option("nullValue", "__no_null_value__").option("escape", '"')
+    parts = [
+        projected(reader.schema(_text_columns(header)).csv(files).select("*", "_metadata.file_name"))
+        for header, files in files_by_header(spark, paths).items()
+    ]
+    if not parts:
+        return projected(spark.range(0).select(F.lit("").alias("file_name")))
+    return reduce(DataFrame.union, parts)
 
 
 def latest_batch(
