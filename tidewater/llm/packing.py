@@ -67,23 +67,23 @@ def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, id_c
 
 
 class Packing:
-    """An assignment of pieces to bins; ``bins`` holds lists of piece numbers."""
+    """An assignment of pieces to bins: lists of piece numbers, and their fills."""
 
-    def __init__(self, bins: list[list[int]], lengths: np.ndarray):
-        self.bins = bins
-        self.fill = [int(lengths[b].sum()) for b in bins]
+    def __init__(self, bins: list[list[int]], fill: list[int]):
+        self.bins, self.fill = bins, fill
+        self._key = len(bins), -float(sum(f * f for f in fill))
 
     def key(self) -> tuple[int, float]:
         """Smaller is better: fewer bins, then fuller ones."""
-        return len(self.bins), -float(np.square(np.array(self.fill, float)).sum())
+        return self._key
 
 
-def best_fit(bins: list[list[int]], fill: list[int], items, lengths: np.ndarray, size: int) -> None:
+def best_fit(bins: list[list[int]], fill: list[int], items: list[int], lengths: list[int], size: int) -> None:
     """Put each of ``items``, in the given order, into the fullest bin that
     still takes it, or into a new one."""
     free = sorted((size - f, i) for i, f in enumerate(fill) if f < size)
     for x in items:
-        n = int(lengths[x])
+        n = lengths[x]
         at = bisect_left(free, (n, -1))
         if at < len(free):
             space, i = free.pop(at)
@@ -97,48 +97,52 @@ def best_fit(bins: list[list[int]], fill: list[int], items, lengths: np.ndarray,
             insort(free, (space - n, i))
 
 
-def crossover(a: Packing, b: Packing, lengths: np.ndarray, size: int, rng) -> Packing:
+def crossover(a: Packing, b: Packing, lengths: list[int], size: int, rng) -> Packing:
     """Whole well-filled bins of ``b`` go into ``a``."""
     order = np.argsort(-np.array(b.fill), kind="stable")[: max(1, len(b.bins) // 2)]
-    chosen = rng.choice(order, max(1, len(order) // 3), replace=False)
-    injected = [list(b.bins[i]) for i in chosen]
-    inside = {x for g in injected for x in g}
-    bins, displaced = [], []
-    for g in a.bins:
+    chosen = rng.choice(order, max(1, len(order) // 3), replace=False).tolist()
+    inside = {x for i in chosen for x in b.bins[i]}
+    bins, fill, displaced = [], [], []
+    for g, f in zip(a.bins, a.fill):
         if inside.isdisjoint(g):
             bins.append(list(g))
+            fill.append(f)
         else:
             displaced += [x for x in g if x not in inside]
-    return _finish(bins + injected, displaced, lengths, size)
+    bins += [list(b.bins[i]) for i in chosen]
+    fill += [b.fill[i] for i in chosen]
+    return _finish(bins, fill, displaced, lengths, size)
 
 
-def mutate(a: Packing, lengths: np.ndarray, size: int, rng) -> Packing:
+def mutate(a: Packing, lengths: list[int], size: int, rng) -> Packing:
     """Empty the worst bins and some others, and place their pieces anew."""
     order = np.argsort(a.fill, kind="stable")
-    gone = set(order[: max(1, len(order) // 50)].tolist()) | set(rng.choice(len(order), max(1, len(order) // 50)).tolist())
-    displaced = [x for i in gone for x in a.bins[i]]
-    return _finish([list(g) for i, g in enumerate(a.bins) if i not in gone], displaced, lengths, size)
+    few = max(1, len(order) // 50)
+    gone = set(order[:few].tolist()) | set(rng.choice(len(order), few).tolist())
+    stay = [i for i in range(len(a.bins)) if i not in gone]
+    displaced = [x for i in sorted(gone) for x in a.bins[i]]
+    return _finish([list(a.bins[i]) for i in stay], [a.fill[i] for i in stay], displaced, lengths, size)
 
 
-def _finish(bins, displaced, lengths, size) -> Packing:
-    fill = [int(lengths[g].sum()) for g in bins]
+def _finish(bins, fill, displaced, lengths, size) -> Packing:
     displaced.sort(key=lambda x: -lengths[x])
     best_fit(bins, fill, displaced, lengths, size)
-    return Packing(bins, lengths)
+    return Packing(bins, fill)
 
 
-def first_packing(lengths: np.ndarray, size: int, rng, noise: float) -> Packing:
-    order = np.argsort(-lengths * (1 + noise * rng.random(len(lengths))), kind="stable")
+def first_packing(lengths: list[int], size: int, rng, noise: float) -> Packing:
+    order = np.argsort(-np.array(lengths) * (1 + noise * rng.random(len(lengths))), kind="stable")
     bins: list[list[int]] = []
-    best_fit(bins, [], order.tolist(), lengths, size)
-    return Packing(bins, lengths)
+    fill: list[int] = []
+    best_fit(bins, fill, order.tolist(), lengths, size)
+    return Packing(bins, fill)
 
 
-def evolve(population: list[Packing], lengths: np.ndarray, size: int, rng) -> list[Packing]:
+def evolve(population: list[Packing], lengths: list[int], size: int, rng) -> list[Packing]:
     while len(population) < POPULATION:
         population.append(first_packing(lengths, size, rng, 0.3 * len(population) / POPULATION))
     population.sort(key=Packing.key)
-    least = -(-int(lengths.sum()) // size)
+    least = -(-sum(lengths) // size)
     for _ in range(GENERATIONS):
         if len(population[0].bins) <= least:
             break
@@ -157,23 +161,24 @@ def _island(size: int, seed: int):
         rng = np.random.default_rng([seed, shard & 0x7FFFFFFF, island])
         if "uids" in pdf:  # elites, of this island and of the one before
             uids = np.asarray(pdf["uids"].iloc[0], np.int64)
-            lengths = np.asarray(pdf["lengths"].iloc[0], np.int64)
+            lengths = np.asarray(pdf["lengths"].iloc[0]).tolist()
             population = []
             for r_uids, r_bin in zip(pdf["uids"], pdf["bin"]):
-                of = {u: b for u, b in zip(r_uids, r_bin)}
+                of = dict(zip(r_uids, r_bin))
                 groups: dict[int, list[int]] = {}
                 for x, u in enumerate(uids.tolist()):
                     groups.setdefault(of[u], []).append(x)
-                population.append(Packing([groups[b] for b in sorted(groups)], lengths))
+                bins = [groups[b] for b in sorted(groups)]
+                population.append(Packing(bins, [sum(lengths[x] for x in g) for g in bins]))
         else:
             pdf = pdf.sort_values("uid")
-            uids, lengths, population = pdf["uid"].to_numpy(np.int64), pdf["length"].to_numpy(np.int64), []
+            uids, lengths, population = pdf["uid"].to_numpy(np.int64), pdf["length"].tolist(), []
         rows = []
         for p in evolve(population, lengths, size, rng)[:ELITES]:
             bin_of = np.empty(len(uids), np.int64)
             for i, g in enumerate(p.bins):
                 bin_of[g] = i
-            rows.append((shard, island, len(p.bins), p.key()[1], uids.tolist(), lengths.tolist(), bin_of.tolist()))
+            rows.append((shard, island, len(p.bins), p.key()[1], uids.tolist(), lengths, bin_of.tolist()))
         return pd.DataFrame(rows, columns=["shard", "island", "bins", "score", "uids", "lengths", "bin"])
 
     return run

@@ -10,22 +10,46 @@ from __future__ import annotations
 import os
 import re
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 _CUT = re.compile(r" (?=\S)")
 # Control characters that are white space to Python, but not to the vocabulary.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
+_SPACE = "\u0120"  # how a byte-level vocabulary writes the byte 0x20
 _MODELS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
+    """Words seen lately are in ``young``; when it is full it becomes ``old``,
+    and ``old`` is dropped, so frequent words stay and memory is bounded."""
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        vocab = self.model.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids whose first byte is a space
+        self.opens[[i for t, i in vocab.items() if t.startswith(_SPACE)]] = True
+
+    def _encode(self, words: list[str]) -> None:
+        """Put the ids of new words into ``young``. Those whose only space is
+        their first character are encoded in one text: there, each id that
+        opens with a space starts the next word."""
+        import numpy as np
+
+        plain = [w for w in words if w[0] == " " and w.count(" ") == 1]
+        if plain:
+            ids = np.array(self.model.encode_batch_fast(["".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            at, raw = (4 * np.flatnonzero(self.opens[ids])).tolist(), ids.tobytes()
+            self.young.update(zip(plain, map(raw.__getitem__, map(slice, at, [*at[1:], len(raw)]))))
+        rest = [w for w in words if w[0] != " " or w.count(" ") != 1]
+        for w, e in zip(rest, self.model.encode_batch_fast(rest, add_special_tokens=False) if rest else ()):
+            self.young[w] = np.array(e.ids, "<u4").tobytes()
 
     def ids(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
@@ -38,15 +62,15 @@ class Encoder:
         first, *rest = _CUT.split(text)
         pieces = [first] if first else []
         pieces += [" " + p for p in rest]
-        cache = self.cache
-        missing = [p for p in dict.fromkeys(pieces) if p not in cache]
+        missing = set(pieces).difference(self.young)
         if missing:
-            if len(cache) + len(missing) > CACHE_ENTRIES:
-                cache.clear()
-                missing = list(dict.fromkeys(pieces))
-            for p, e in zip(missing, self.model.encode_batch_fast(missing, add_special_tokens=False)):
-                cache[p] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(cache.__getitem__, pieces))
+            if len(self.young) > CACHE_ENTRIES:
+                self.young, self.old = {}, self.young
+                missing = set(pieces)
+            known = {w for w in missing if w in self.old}
+            self.young.update((w, self.old[w]) for w in known)
+            self._encode(sorted(missing - known))
+        return b"".join(map(self.young.__getitem__, pieces))
 
 
 def encoder(path: str | None = None) -> Encoder:
