@@ -10,12 +10,13 @@ from __future__ import annotations
 import os
 import re
 
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 
 _CUT = re.compile(r" (?=\S)")
 # Control characters that are white space to Python, but not to the vocabulary.
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _SPACE = "\u0120"  # how a byte-level vocabulary writes the byte 0x20
+_MARKS = ",.;:!?"
 _MODELS: dict[str, "Encoder"] = {}
 
 
@@ -62,15 +63,31 @@ class Encoder:
         first, *rest = _CUT.split(text)
         pieces = [first] if first else []
         pieces += [" " + p for p in rest]
-        missing = set(pieces).difference(self.young)
+        if len(self.young) > CACHE_ENTRIES:
+            self.young, self.old = {}, self.young
+        young = self.young
+        found = list(map(young.get, pieces))
+        missing = {w for w, i in zip(pieces, found) if i is None}
         if missing:
-            if len(self.young) > CACHE_ENTRIES:
-                self.young, self.old = {}, self.young
-                missing = set(pieces)
-            known = {w for w in missing if w in self.old}
-            self.young.update((w, self.old[w]) for w in known)
-            self._encode(sorted(missing - known))
-        return b"".join(map(self.young.__getitem__, pieces))
+            self._learn(missing)
+            found = [young[w] if i is None else i for w, i in zip(pieces, found)]
+        return b"".join(found)
+
+    def _learn(self, missing: set[str]) -> None:
+        """Put words that ``young`` lacks into it. A mark after a letter
+        always starts a new token, so a word with marks behind it is its
+        stem's ids and then those of the marks."""
+        young, old = self.young, self.old
+        marked = [(w, s, w[len(s) :]) for w in missing if (s := w.rstrip(_MARKS)) != w and s[-1:].isalpha()]
+        need = missing.difference([w for w, _, _ in marked])
+        for _, stem, marks in marked:
+            need.add(stem)
+            need.add(marks)
+        need = [w for w in need if w not in young]
+        known = [w for w in need if w in old]
+        young.update((w, old[w]) for w in known)
+        self._encode(sorted(w for w in need if w not in old))
+        young.update((w, young[stem] + young[marks]) for w, stem, marks in marked)
 
 
 def encoder(path: str | None = None) -> Encoder:
