@@ -252,6 +252,21 @@ def test_ndjson_archives_and_junk(spark):
     assert got == sorted(['{"a":1}', '{"a":2}'] * 3)  # the line with an invalid byte fails to parse
 
 
+def test_ndjson_archives_are_found_by_content(spark):
+    d = tempfile.mkdtemp(prefix="tw-ndjson-")
+    body = lambda n: f'{{"n":{n},"t":"x\u2028y"}}\n'.encode() * 2
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("inner.json", body(1))
+    held = {"no_ext": gzip.compress(body(0)), "x.zip": buf.getvalue(), "x.json.gz": gzip.compress(body(2)), "x.json": body(3), "one": b"P", "none": b""}
+    for name, content in held.items():
+        with open(os.path.join(d, name), "wb") as fh:
+            fh.write(content)
+    out = ndjson.scan_ndjson_export(spark, d)
+    got = sorted(r.line for r in out.collect())
+    assert got == [f'{{"n":{n},"t":"x\u2028y"}}' for n in range(4) for _ in range(2)]
+
+
 # --- schema evolution ---------------------------------------------------------------
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -86,8 +85,10 @@ def q_window_bookmark_lookback(spark, sf):
     floor = F.lit(str(date.fromordinal(run_date.toordinal() - lookback))).cast("date")
     start = F.greatest(floor, F.coalesce(bm, floor))
     ev = _events(spark, sf).filter(F.col("event_type") == "click")
-    day = F.to_date("ts")
-    return ev.filter((day >= start) & (day <= F.lit(str(run_date)).cast("date")))
+    # Bounds on the raw column reach the scan.
+    kind = ev.schema["ts"].dataType
+    end = F.lit(str(date.fromordinal(run_date.toordinal() + 1))).cast(kind)
+    return ev.filter((F.col("ts") >= floor.cast(kind)) & (F.col("ts") >= start.cast(kind)) & (F.col("ts") < end))
 
 
 @register(
@@ -151,6 +152,6 @@ def q_stream_dedupe_events(spark, sf):
     lines = spark.readStream.format("text").load(path).withColumnRenamed("value", "line")
     rows = records.nps_rows(ndjson.json_objects(lines), RUN_DATE, INGESTED_AT)
     rows = filters.filter_key_not_null(rows, "event_id")
-    name = "nps_dedupe_" + uuid.uuid4().hex[:8]
-    out = microbatch.dedupe_stream(rows, "event_id", "event_timestamp", "31 days", name, scratch_path(spark, name))
+    out, checkpoint = (scratch_path(spark, f"nps-dedupe-{x}") for x in ("rows", "checkpoint"))
+    out = microbatch.dedupe_stream(rows.select("event_id", "event_timestamp"), "event_id", "event_timestamp", "31 days", out, checkpoint)
     return out.select("event_id")

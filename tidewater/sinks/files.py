@@ -29,6 +29,17 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
+    """The first ``n`` bytes of a file, or fewer where it is shorter."""
+    fs, hpath = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        found = [stream.read() for _ in range(n)]  # one byte each, -1 at the end
+    finally:
+        stream.close()
+    return bytes(b for b in found if b >= 0)
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, hpath = _fs(spark, path)
     out = fs.create(hpath, True)
@@ -92,8 +103,13 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str], touc
     partitions present in ``df`` are rewritten, every other partition of the
     table is left as it is. Partitions named in ``touched`` but absent from
     ``df`` (an empty rebuild) are deleted explicitly, since dynamic overwrite
-    would leave their old files in place."""
+    would leave their old files in place. With ``touched``, the rebuild is
+    landed first, so its input is evaluated once."""
     spark = df.sparkSession
+    if touched:
+        landed = scratch_path(spark, "rebuilt-partitions")
+        df.write.parquet(landed)
+        df = spark.read.schema(df.schema).parquet(landed)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

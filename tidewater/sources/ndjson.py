@@ -3,8 +3,9 @@
 Plain and ``.gz`` files are read by Spark's text source (codec chosen by
 extension, split across tasks for plain files). Archives Spark cannot
 decode by name -- a ``.zip``, or gzip without a ``.gz`` extension -- are
-read as whole files with ``binaryFile`` and decoded on the executors by
-``mapInArrow``; each file is one task, nothing passes through the driver.
+found by their first bytes, read with ``binaryFile`` and decoded line by line
+on the executors by ``mapInArrow``; only file names and two bytes of each file
+that Spark can't decode by name pass through the driver.
 """
 
 from __future__ import annotations
@@ -12,51 +13,57 @@ from __future__ import annotations
 import gzip
 import io
 import zipfile
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions import semistructured as J
+from tidewater.sinks.files import first_bytes
 
 LINE_SCHEMA = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("line", T.StringType())])
 
+BATCH_LINES = 8192
+_ARCHIVE_MAGIC = (b"\x1f\x8b", b"PK")
+
 
 def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of plain or ``.gz`` text files; invalid UTF-8 bytes are replaced."""
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def _decode(content: bytes) -> list[str]:
-    """Bytes of one export file -> its lines (gzip and zip detected by magic
-    bytes; undecodable bytes replaced)."""
+def _decode(content: bytes) -> Iterator[str]:
+    """Lines of one export file (gzip, zip and plain told apart by their first
+    bytes; undecodable bytes replaced). Only line feeds end a record; other
+    separators can stand inside one."""
+    raw = io.BytesIO(content)
     if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
+        raw = gzip.GzipFile(fileobj=raw)
     elif content[:2] == b"PK":
-        with zipfile.ZipFile(io.BytesIO(content)) as zf:
-            members = [n for n in zf.namelist() if not n.endswith("/")]
-            if not members:
-                return []
-            content = zf.read(members[0])
-    # Only line feeds end a record; other separators can stand inside one.
-    return [line.removesuffix("\r") for line in content.decode("utf-8", errors="replace").split("\n")]
+        zf = zipfile.ZipFile(raw)
+        members = [n for n in zf.namelist() if not n.endswith("/")]
+        if not members:
+            return
+        raw = zf.open(members[0])
+    for line in raw:
+        yield line.removesuffix(b"\n").removesuffix(b"\r").decode("utf-8", errors="replace")
 
 
 def _decode_batches(batches):
     import pyarrow as pa
 
     for batch in batches:
-        paths = batch.column("path").to_pylist()
-        contents = batch.column("content").to_pylist()
-        files, lines = [], []
-        for p, c in zip(paths, contents):
-            for ln in _decode(c or b""):
-                files.append(p)
-                lines.append(ln)
-        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(lines, pa.string())], ["source_file", "line"])
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+            lines = _decode(content or b"")
+            while held := list(islice(lines, BATCH_LINES)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(held), pa.string()), pa.array(held, pa.string())], ["source_file", "line"]
+                )
 
 
-def read_archive_lines(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def read_archive_lines(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
     """Lines of gzip (any name), zip (first member) or plain files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
     return files.mapInArrow(_decode_batches, LINE_SCHEMA)
@@ -72,6 +79,21 @@ def json_objects(lines: DataFrame, line_col: str = "line") -> DataFrame:
     )
 
 
-def scan_ndjson_export(spark: SparkSession, path: str, archives: bool = False) -> DataFrame:
-    lines = read_archive_lines(spark, path) if archives else read_text_lines(spark, path)
-    return json_objects(lines)
+def _archives(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Paths of (plain files, archives) of an export. ``.gz`` files count as
+    plain: Spark decodes them by their name."""
+    names = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    packed = {n for n in names if not n.endswith(".gz") and first_bytes(spark, n, 2) in _ARCHIVE_MAGIC}
+    return [n for n in names if n not in packed], sorted(packed)
+
+
+def scan_ndjson_export(spark: SparkSession, path: str, archives: bool | None = None) -> DataFrame:
+    """JSON objects of an export's files. ``archives``: whether files are read
+    as archives; by default, those are whose first bytes say so."""
+    if archives is not None:
+        return json_objects(read_archive_lines(spark, path) if archives else read_text_lines(spark, path))
+    plain, packed = _archives(spark, path)
+    if not packed:
+        return json_objects(read_text_lines(spark, path))
+    lines = read_archive_lines(spark, packed).select("line")
+    return json_objects(read_text_lines(spark, plain).union(lines) if plain else lines)

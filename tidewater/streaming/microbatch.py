@@ -61,23 +61,22 @@ def dedupe_stream(
     key: str,
     event_time: str,
     delay: str,
-    query_name: str,
+    out: str,
     checkpoint: str,
 ) -> DataFrame:
-    """First row per key within the watermark delay, collected in a memory
-    sink named ``query_name`` (returned as a DataFrame once drained).
+    """First row per key within the watermark delay, written as Parquet files
+    to ``out`` (a folder of the shared store) and read back once drained.
     ``withWatermark`` needs a TIMESTAMP column, so NTZ event times are
     cast first."""
-    spark = stream.sparkSession
     timed = stream.withColumn("__event_time", F.col(event_time).cast("timestamp"))
     deduped = timed.withWatermark("__event_time", delay).dropDuplicatesWithinWatermark([key]).drop("__event_time")
     query = (
-        deduped.writeStream.format("memory")
-        .queryName(query_name)
+        deduped.writeStream.format("parquet")
         .outputMode("append")
+        .option("path", out)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.table(query_name)
+    return stream.sparkSession.read.schema(deduped.schema).parquet(out)
