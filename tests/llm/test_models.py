@@ -235,3 +235,14 @@ def test_training_order_round_trip(spark, docs_of, tmp_path):
 
 def test_training_order_empty(docs_of):
     assert training_order.materialise(docs_of(ODD).where("false")).collect() == []
+
+
+@pytest.mark.parametrize("entries", [3, 100_000])
+def test_word_cache_gives_the_ids_of_whole_texts(monkeypatch, entries):
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", entries)
+    monkeypatch.setattr(tokens, "_MODELS", {})
+    enc = tokens.encoder()
+    odd = ["a  b", " x", "  ", "a \n b", "don't, we'll. <|endoftext|>, x!!", "x \x85 y", "a\x1cb c", "ab, c,\n d.", "é. ñ!? ,, . ..", "a1, b2. c", "中文, 字.", "o'clock's, '.s"]
+    for text in [*odd, " ".join(odd), *odd]:
+        assert enc.ids(text) == np.array(enc.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert enc.ids(None) == enc.ids("") == b""
