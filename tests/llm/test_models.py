@@ -150,6 +150,20 @@ def test_rake_matches_a_plain_fit_and_never_exceeds_a_cell(spark):
     assert all(r.w == (r.n if r.source == "s0" else 0) for r in full)
 
 
+def test_mixing_defaults_sample_every_language(spark):
+    langs = ["en", "de", None, "it", "zh", "EN", "en-US"]
+    rows = [(i, f"plain words {i} of a text", langs[i % len(langs)], "s") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mixture(docs, budget=0.1).toPandas()
+    got["lang"] = got.lang.fillna("(none)")
+    got["w"] = got.n_tokens * got.probability
+    share = got.groupby("lang").w.sum() / got.w.sum()
+    assert (got.probability > 0).all() and share.drop(["en", "de"]).to_numpy() == pytest.approx([1 / 7] * 5, rel=0.01)
+    assert share["en"] == pytest.approx(2 / 7 * 5 / 7, rel=0.01) and share["de"] == pytest.approx(2 / 7 * 2 / 7, rel=0.01)
+    none = mixing.mixture(docs.where("lang is null"), budget=0.5).toPandas()
+    assert len(none) == 100 and none.probability.to_numpy() == pytest.approx([0.5] * 100, rel=0.01) and none.selected.any()
+
+
 def test_mixing_edge_cases(docs_of):
     got = mixing.mixture(docs_of(ODD), targets={"source": 0.5, "lang": 1.0, "topic": 1.0}).collect()
     assert len(got) == len(ODD) and {r.source for r in got} == {"s", None}

@@ -10,6 +10,7 @@ probability with which each of its documents is sampled.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +21,21 @@ DIMS = ("source", "lang", "topic")
 NONE = "(none)"
 BUDGET = 0.5  # share of all tokens that is sampled
 TOLERANCE, SWEEPS = 1e-3, 30
-# Shares per language; natural shares to these powers for the other margins.
+# Shares per language; natural shares to these powers for the other margins,
+# and for all languages (and none) that are not listed.
 LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
-POWERS = {"source": 0.5, "topic": 0.7}
+POWERS = {"source": 0.5, "lang": 0.5, "topic": 0.7}
+
+
+class Named(NamedTuple):
+    """A target of given shares for some values: every other value found gets
+    its natural share to a power, and the given ones share what is left."""
+
+    shares: Mapping[str, float]
+    power: float
+
+
+Target = Mapping[str, float] | Named | float
 
 
 def token_count(text: Column) -> Column:
@@ -54,11 +67,20 @@ def weighted(docs: DataFrame, topic: Column | None = None) -> DataFrame:
     )
 
 
-def margin(cells: DataFrame, dim: str, target: Mapping[str, float] | float) -> DataFrame:
+def margin(cells: DataFrame, dim: str, target: Target) -> DataFrame:
     """``(dim, share)`` of a margin over the values that have tokens: given
-    shares (values without one get none), or natural shares to a power."""
+    shares (values without one get none), natural shares to a power, or both."""
     sums = cells.groupBy(dim).agg(F.sum("n").cast("double").alias("s"))
-    if isinstance(target, Mapping):
+    if isinstance(target, Named):
+        given = F.lit(None).cast("double")
+        for value, share in target.shares.items():
+            given = F.when(F.col(dim) == value, F.lit(float(share))).otherwise(given)
+        sums = sums.select(dim, given.alias("given"), F.pow("s", F.lit(float(target.power))).alias("natural"))
+        named = F.col("given").isNotNull()
+        both = sums.where(named).agg(F.sum("given").alias("all_given"), F.sum("natural").alias("all_natural"))
+        sums = sums.join(F.broadcast(both))
+        raw = F.when(named, F.try_divide(F.col("given"), F.col("all_given")) * F.col("all_natural")).otherwise(F.col("natural"))
+    elif isinstance(target, Mapping):
         raw = F.lit(0.0)
         for value, share in target.items():
             raw = F.when(F.col(dim) == value, F.lit(float(share))).otherwise(raw)
@@ -69,7 +91,7 @@ def margin(cells: DataFrame, dim: str, target: Mapping[str, float] | float) -> D
     return land(raw.join(F.broadcast(total)).select(dim, (F.col("raw") / F.col("total")).alias("share")), f"mix-{dim}")
 
 
-def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | float], tokens: float) -> DataFrame:
+def rake(cells: DataFrame, targets: Mapping[str, Target], tokens: float) -> DataFrame:
     """Cells ``(source, lang, topic, n)`` with the weight ``w`` whose margins
     are the targets' shares of ``tokens``. ``w`` is 0 for a value without a
     share and at most ``n``; a margin that needs more than its cells hold
@@ -94,7 +116,7 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | float], t
 def calibrated(
     docs: DataFrame,
     budget: float = BUDGET,
-    targets: Mapping[str, Mapping[str, float] | float] | None = None,
+    targets: Mapping[str, Target] | None = None,
     topic: Column | None = None,
     seed: int = 17,
 ) -> DataFrame:
@@ -102,12 +124,13 @@ def calibrated(
     __topic, __n, __p and __selected.
 
     Documents without source, language or topic form a value ``(none)`` of
-    their own; null and empty texts have no tokens, and the probability of
+    their own, which by default has a share as any other value that is found;
+    null and empty texts have no tokens, and the probability of
     their cell. A cell without tokens has probability 0. The draw follows
     from the id, so repeated rows are drawn alike (null ids too). An empty
     table gives no rows.
     """
-    targets = targets or {"source": POWERS["source"], "lang": LANGUAGES, "topic": POWERS["topic"]}
+    targets = targets or {"source": POWERS["source"], "lang": Named(LANGUAGES, POWERS["lang"]), "topic": POWERS["topic"]}
     rows = weighted(docs, topic)
     cells = land(
         rows.groupBy("__source", "__lang", "__topic").agg(F.sum("__n").alias("n"))
