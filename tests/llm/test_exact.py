@@ -148,6 +148,32 @@ def test_near_duplicates(docs_of, words):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_dedup_stages_keep_one_row_of_each_group(spark, docs_of):
+    """A third of the ids are null and some repeat: of each brute-force group
+    one row stays, with the smallest id if any; rows are told apart by w."""
+    import corpus_pipeline
+
+    rows = _near_rows(groups=5)
+    rows = [(None if k % 3 == 0 else 7 if k % 11 == 0 else i, t) for k, (i, t) in enumerate(rows)]
+    rows += [(None, "all alone " * 9 + str(k)) for k in range(4)] + [(None, "no id at all here"), (None, "no id at all here")]
+    rows += [(7, f"{k} repeated id of texts {k} that differ {k}") for k in range(4)] + [(500, "same id and text")] * 2
+    shared = docs_of(rows).drop("w").collect()
+    docs = spark.createDataFrame([(*r, float(k)) for k, r in enumerate(shared)], docs_of(rows).drop("w").schema.add("w", "double")).repartition(3)
+    texts = [(k, r.text) for k, r in enumerate(shared)]
+    groups = defaultdict(list)
+    for k, n, c in _components(texts, near_dup.WORDS):
+        groups[c if n else ("empty", k)].append(k)
+    for stage in (corpus_pipeline.near_dedup, lambda s, d, x: corpus_pipeline.near_dedup(s, corpus_pipeline.dedup_lines(s, d, x), x)):
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns
+        kept = [int(r.w) for r in got.select("w").collect()]
+        assert len(kept) == len(set(kept)) == len(groups)
+        for members in groups.values():
+            left = [shared[k].doc_id for k in members if k in kept]
+            ids = [shared[k].doc_id for k in members if shared[k].doc_id is not None]
+            assert left == [min(ids, default=None)]
+
+
 def test_near_duplicates_in_small_blocks(docs_of, monkeypatch):
     """Buckets far larger than a block, with members that no hub reaches."""
     monkeypatch.setattr(near_dup, "BLOCK", 5)

@@ -87,15 +87,15 @@ def bitmap(ids: np.ndarray) -> np.ndarray:
 def _signatures(words: int, halves: int, hashes: int):
     def run(batches):
         for b in batches:
-            ids, n, digest, keys = b.column(0), [], [], []
-            for text in b.column(1).to_pylist():
+            n, digest, keys = [], [], []
+            for text in b.column(2).to_pylist():
                 s = shingles(text, words)
                 n.append(len(s))
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
                 keys.append(half_keys(s, halves, hashes))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "digest", "halves"],
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["row", "doc_id", "n", "digest", "halves"],
             )
 
     return run
@@ -269,11 +269,53 @@ def near_duplicates(
     them, are one class. An empty table gives no rows; other columns are
     ignored.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    id_ = F.col(id_col).cast("long")
+    rows = docs.select(id_.alias("row"), id_.alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    labelled = _labelled(rows, words, similarity, halves, hashes)
+    least = land(labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "near-least")
+    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
+    return labelled.join(least, "label", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
+    )
+
+
+def one_of_each(
+    docs: DataFrame,
+    words: int = WORDS,
+    similarity: int = SIMILARITY,
+    halves: int = HALVES,
+    hashes: int = HASHES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs``, all columns, with one row of each component: the one with the
+    smallest id (null ids come last), and of rows that share it, or have none,
+    the first. Rows with an empty set all stay.
+
+    Rows are told apart by a number that is landed with them, so null and
+    repeated ids neither lose nor bring back a row.
+    """
+    keyed = land(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    rows = keyed.select(
+        F.col("__row").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    )
+    labelled = _labelled(rows, words, similarity, halves, hashes)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = labelled.where("n > 0").groupBy("label").agg(F.min(order).alias("first")).select("first.row")
+    kept = land(first.union(labelled.where("n = 0").select("row")), "near-kept")
+    return keyed.join(kept, keyed["__row"] == kept["row"], "left_semi").select(docs.columns)
+
+
+def _labelled(rows: DataFrame, words: int, similarity: int, halves: int, hashes: int) -> DataFrame:
+    """``(row, doc_id, n, label)`` of rows ``(row, doc_id, text)``: the size of
+    the set, and the component (null for an empty set). ``row`` leads back to
+    the texts; rows that share it are read together."""
     sig = land(
         rows.mapInArrow(
-            _signatures(words, halves, hashes), "doc_id long, n long, digest binary, halves array<long>"
+            _signatures(words, halves, hashes), "row long, doc_id long, n long, digest binary, halves array<long>"
         ),
         "near-signatures",
     )
@@ -284,12 +326,12 @@ def near_duplicates(
     members = land(_members(classes), "near-members")
     needed = land(members.select("digest").distinct(), "near-needed")
     texts = land(
-        sig.select("digest", "doc_id").join(needed, "digest").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-        .select("doc_id").distinct(),
+        sig.select("digest", "row").join(needed, "digest").groupBy("digest").agg(F.min("row").alias("row"))
+        .select("row").distinct(),
         "near-texts",
     )
     sets = land(
-        rows.join(texts, rows["doc_id"].eqNullSafe(texts["doc_id"]), "left_semi").select("text")
+        rows.join(texts, rows["row"].eqNullSafe(texts["row"]), "left_semi").select("text")
         .mapInArrow(_full_sets(words), "digest binary, n long, ids binary, bits binary")
         .join(needed, "digest", "left_semi")
         .dropDuplicates(["digest"]),
@@ -321,17 +363,9 @@ def near_duplicates(
         comp = _merged(comp, links)
 
     labelled = sig.join(comp.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("label")
-    )
-    labelled = land(labelled, "near-labelled")
-    least = land(labelled.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "near-least")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return labelled.join(least, "label", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "row", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("label")
     )
+    return land(labelled, "near-labelled")
 
 
 def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
