@@ -114,6 +114,30 @@ def test_personal_data_adds_other_formats(texts):
     assert sum(bool(pii.find(t, model)[1]) for t in clean) <= len(clean) // 200
 
 
+NUMBERS = [
+    ("2024-03-05 12:30 415-555-2671", ["415-555-2671"]), ("tel 415-555-2671 / 415-555-2672", ["415-555-2671", "415-555-2672"]),
+    ("(415) 555-2671 (415) 555-2672", ["(415) 555-2671", "(415) 555-2672"]),
+    ("2024-03-05 4111.1111.1111.1111", ["4111.1111.1111.1111"]), ("415-555-2671 415-555-2672 415-555-2673", ["415-555-2672"]),
+    ("7 " * 5000 + "415-555-2671", ["415-555-2671"]),
+]
+
+
+def test_numbers_are_proposed_in_runs_of_any_length():
+    for t, want in NUMBERS:
+        got = pii.candidates(t)
+        assert set(want) <= {t[a:b] for a, k, b in got if k in (2, 3)}, t[:60]
+        assert len(got) <= 40 * len(re.findall("[0-9]+", t))
+        for a, k, b in got:
+            assert k == 1 or (13, 9)[k - 2] <= len(re.sub("[^0-9]", "", t[a:b])) <= (19, 15)[k - 2]
+
+
+def test_personal_data_in_runs_of_numbers(texts):
+    model = pii.train([t for t in texts if re.search("[0-9]", t)])
+    for t, want in NUMBERS[:4]:
+        text = f"please call {t} now"
+        assert [text[a:b] for a, _, b in pii.find(text, model)[1]] == want, t
+
+
 def test_mixing_reaches_the_margins(spark):
     docs = table(spark, SF_ORACLE, "documents")
     got = mixing.mixture(docs, budget=0.1).toPandas()

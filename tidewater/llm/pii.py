@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -45,6 +46,7 @@ _SPELLED = re.compile(
 )
 _ZONE = re.compile(r"[+(]?[0-9][0-9 ().\-/:\[\] ]*[0-9]")
 _DEFANGED = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\s?(?:\[\.\]|\(\.\)|\.|:|-)\s?[0-9]{1,3}){3}(?![0-9])")
+_GROUP = re.compile(r"[+(]?[0-9]+\)?")
 _DIGITS = re.compile(r"[0-9]")
 _HINTS = re.compile(r"tel|phone|call|fax|mobil|mail|contact|card|visa|kart|tarj|carte|ip\b|addr|host|server", re.I)
 
@@ -102,23 +104,41 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     if not _DIGITS.search(text):
         return sorted(out)
     out |= {(m.start(), 1, m.end()) for m in _DEFANGED.finditer(text)}
-    for m in _ZONE.finditer(text):
-        n = sum(c.isdigit() for c in m.group())
-        if not 9 <= n <= 24:
-            continue
-        for k, lo, hi in ((2, 13, 19), (3, 9, 15)):
-            if lo <= n <= hi:
-                out.add((m.start(), k, m.end()))
-        groups = [g.span() for g in re.finditer(r"\(?[0-9]+\)?", m.group())]
-        if n > 15 and len(groups) > 1:  # several numbers in a row
-            for a, b in groups:
-                d = sum(c.isdigit() for c in m.group()[a:b])
-                for k, lo, hi in ((2, 13, 19), (3, 9, 15)):
-                    if lo <= d <= hi:
-                        out.add((m.start() + a, k, m.start() + b))
+    out.update(numbers(text))
     return sorted(out)
 
 
+def numbers(text: str):
+    """Every run of whole digit groups, in a run of digits and separators of
+    any length, whose digit count fits a kind. No kind holds more than 19
+    digits, so a group starts at most 19 runs."""
+    for zone in _ZONE.finditer(text):
+        groups = [(*g.span(), sum(c.isdigit() for c in g.group())) for g in _GROUP.finditer(text, *zone.span())]
+        for i, (start, _, _) in enumerate(groups):
+            n = 0
+            for _, end, d in groups[i : i + 19]:
+                n += d
+                if n > 19:
+                    break
+                if n >= 13:
+                    yield start, 2, end
+                if 9 <= n <= 15:
+                    yield start, 3, end
+
+
+class Overlaps:
+    """Whether a span touches one of ``spans``, in logarithmic time."""
+
+    def __init__(self, spans):
+        spans = sorted(spans)
+        self.starts = [a for a, _, _ in spans]
+        self.ends = np.maximum.accumulate([b for _, _, b in spans]).tolist() if spans else []
+
+    def __contains__(self, span) -> bool:
+        i = bisect_left(self.starts, span[2])
+        return i > 0 and self.ends[i - 1] > span[0]
+
+
 def _side(c: str) -> int:
     return 0 if not c else 1 if c.isspace() else 2 if c.isdigit() else 3 if c.isalpha() else 4 if c in ".,;:!?" else 5
 
@@ -179,6 +199,19 @@ def spoilt(kind: int, s: str, rng) -> str:
     return s[: at[rng.integers(3, 7)]] + "".join(str(x) for x in rng.integers(0, 10, 14))
 
 
+def neighbour(s: str, rng) -> tuple[str, bool]:
+    """What may stand before a number in the same run of digits and separators:
+    nothing, a date and time, or another number of its kind (then True)."""
+    pick = rng.integers(4)
+    if pick < 2:
+        return "", False
+    x = rng.integers(1, [2100, 13, 29, 24, 60])
+    if pick == 2:
+        return f"{max(x[0], 1900)}-{x[1]:02d}-{x[2]:02d} " + (f"{x[3]:02d}:{x[4]:02d} " if rng.random() < 0.5 else ""), False
+    other = _DIGITS.sub(lambda m: str(rng.integers(1, 10)), s)
+    return other, True
+
+
 def training_rows(texts: list[str], seed: int = 3):
     """Feature rows, labels, kinds and the document of each."""
     rng = np.random.default_rng(seed)
@@ -192,19 +225,31 @@ def training_rows(texts: list[str], seed: int = 3):
 
     for i, text in enumerate(texts):
         base = base_spans(text)
+        touching, known = Overlaps(base), set(base)
         for c in candidates(text):
-            touching = [b for b in base if b[0] < c[2] and c[0] < b[2]]
-            if c in base:
+            if c in known:
                 add(text, c, 1, i)
-            elif not touching:
+            elif c not in touching:
                 add(text, c, 0, i)
         for a, k, b in base:
             for make, label in ((rewritten, 1), (rewritten, 1), (spoilt, 0), (lambda *z: rewritten(z[0], spoilt(*z), z[2]), 0)):
                 s = make(k, text[a:b], rng)
-                changed = text[max(0, a - 60) : a] + s + text[b : b + 60]
-                start = min(a, 60)
+                before, start = text[max(0, a - 60) : a], min(a, 60)
+                right = []
+                if label and k > 1:
+                    lead, same = neighbour(s, rng)
+                    if same:
+                        right.append((start, k, start + len(lead)))
+                        lead += (" / ", " ", " - ")[rng.integers(3)]
+                    before, start = before + lead, start + len(lead)
+                changed = before + s + text[b : b + 60]
+                span = (start, k, start + len(s))
                 if label or k != 3:
-                    add(changed, (start, k, start + len(s)), label, i)
+                    add(changed, span, label, i)
+                if label and k > 1:  # runs that cut or join numbers
+                    wrong = [c for c in numbers(changed) if c[2] > min(a, 60) and c[0] < span[2] and c not in (span, *right)]
+                    for at in rng.permutation(len(wrong))[:3]:
+                        add(changed, wrong[at], 0, i)
     return np.array(x, np.float64), np.array(y), np.array(kinds), np.array(doc)
 
 
@@ -283,14 +328,18 @@ def find(text: str, model: dict | None) -> tuple[list, list]:
     base = base_spans(text)
     if model is None:
         return base, base
-    rest = [c for c in candidates(text) if not any(b[0] < c[2] and c[0] < b[2] for b in base)]
-    if not rest:
-        return base, base
-    p = predict(model, np.array([features(text, c) for c in rest], np.float64))
+    touching = Overlaps(base)
+    rest = [c for c in candidates(text) if c not in touching]
+    good = []
+    for at in range(0, len(rest), 4096):
+        part = rest[at : at + 4096]
+        p = predict(model, np.array([features(text, c) for c in part], np.float64))
+        good += [(-x, c[0] - c[2], c) for x, c in zip(p.tolist(), part) if x >= model["threshold"][c[1]]]
+    taken: set[int] = set()
     added: list[tuple[int, int, int]] = []
-    for i in np.argsort(-p, kind="stable"):
-        c = rest[i]
-        if p[i] >= model["threshold"][c[1]] and not any(a[0] < c[2] and c[0] < a[2] for a in added):
+    for _, _, c in sorted(good):  # the best first, of equals the longest
+        if taken.isdisjoint(range(c[0], c[2])):
+            taken.update(range(c[0], c[2]))
             added.append(c)
     return base, sorted(base + added)
 
