@@ -138,6 +138,21 @@ def test_personal_data_in_runs_of_numbers(texts):
         assert [text[a:b] for a, _, b in pii.find(text, model)[1]] == want, t
 
 
+def test_personal_data_learns_a_rare_kind_from_all_documents(spark, docs_of):
+    """Few documents hold an address, all of them long; many are copies."""
+    rng = random.Random(4)
+    rows = [(k, f"call +1 415 555 {k % 700:04d} or 2024 {k} 99 17 22 of {rng.random():.6f}") for k in range(3000)]
+    rows += [(9000 + k, "a copy +1 415 555 2671 of 10.20.30.40 ") for k in range(300)]
+    ip = lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4))
+    rows += [(5000 + k, "word " * 11_000 + f"host {ip()} is up, {rng.random()} " + "end " * 20) for k in range(60)]
+    docs = docs_of(rows)
+    model = pii.fit(docs, sample=40)
+    base, spans = pii.find("word word host 10[.]0[.]0[.]1 is up, as ever", model)
+    assert base == [] and [pii.KINDS[k] for _, k, _ in spans] == ["ip"]
+    local = pii.train([t for _, t in rows], sample=40)
+    assert local["threshold"] == model["threshold"]
+
+
 def test_mixing_reaches_the_margins(spark):
     docs = table(spark, SF_ORACLE, "documents")
     got = mixing.mixture(docs, budget=0.1).toPandas()

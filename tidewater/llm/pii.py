@@ -4,7 +4,7 @@ Base spans are found by fixed patterns and always stay. High-recall
 generators propose further, overlapping spans: spelled-out addresses, numbers
 with other separators, national phone formats. Boosted trees score them from
 format and context, and a threshold per kind, calibrated for precision on
-documents that the trees haven't seen, selects which are added.
+contexts that the trees haven't seen, selects which are added.
 
 There are no labelled spans to learn from, so the trees learn from base
 spans: as found, rewritten into the formats that the generators look for, and
@@ -15,16 +15,21 @@ beside candidates in ordinary text that no base span backs.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import pickle
 import re
 from bisect import bisect_left
+from collections import Counter
+from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import land
+
 KINDS = ("email", "ip", "card", "phone")
 # Fixed: the base patterns. Possessive forms match the same spans in linear time.
 BASE = {
@@ -34,11 +39,19 @@ BASE = {
 }
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-SAMPLE = 4000  # documents that are learned from, at most
-PRECISION = 0.97
+SAMPLE = 1000  # distinct contexts that are learned from, at most: of base spans, and of other candidates, per kind
+SIDE = 60  # characters of context on either side of a span
+FORMS = 4  # a base span is rewritten and spoilt so many times
+FOLDS = 4  # the thresholds rest on scores by trees that haven't seen a context's fold
+CELLS = 1000  # of a score histogram
+PRECISION, LEAST = 0.97, 10  # of the rows above a threshold; and how many there are at least
 DEPTH, TREES, BINS, RATE = 3, 40, 16, 0.2
 
-_AT = re.compile(r"(?:\s?[\[({]\s?at\s?[\])}]\s?|\sat\s|\s?@\s?)", re.I)
+# The sign in every spelled address, at most 67 code points after its start, and how it goes on.
+_AT = re.compile(
+    r"(?:(?<=[\s\[({])at(?=[\s\])}])|@)(?=\s?[\])}]?\s?[A-Za-z0-9-]{1,63}(?:\s?[\[({]\s?dot\s?[\])}]|\sdot\s|\.)\s?[A-Za-z0-9-])",
+    re.I,
+)
 _SPELLED = re.compile(
     r"[A-Za-z0-9._%+-]{1,64}(?:\s?[\[({]\s?at\s?[\])}]\s?|\sat\s|\s?@\s?)"
     r"[A-Za-z0-9-]{1,63}(?:(?:\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s|\.)[A-Za-z0-9-]{1,63}){1,4}",
@@ -99,8 +112,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """High-recall proposals, overlapping ones and base spans included."""
     out = set()
-    if _AT.search(text):
-        out |= {(m.start(), 0, m.end()) for m in _SPELLED.finditer(text)}
+    done = 0
+    for at in _AT.finditer(text):
+        i = at.start()
+        # No match with this sign ends later; one that starts behind it has a sign of its own.
+        m = _SPELLED.search(text, max(done, i - 67), i + 400) if i >= done else None
+        if m and m.start() < i:
+            done = m.end()
+            out.add((m.start(), 0, done))
     if not _DIGITS.search(text):
         return sorted(out)
     out |= {(m.start(), 1, m.end()) for m in _DEFANGED.finditer(text)}
@@ -212,45 +231,50 @@ def neighbour(s: str, rng) -> tuple[str, bool]:
     return other, True
 
 
-def training_rows(texts: list[str], seed: int = 3):
-    """Feature rows, labels, kinds and the document of each."""
-    rng = np.random.default_rng(seed)
-    x, y, kinds, doc = [], [], [], []
-
-    def add(text, span, label, i):
-        x.append(features(text, span))
-        y.append(label)
-        kinds.append(span[1])
-        doc.append(i)
-
-    for i, text in enumerate(texts):
-        base = base_spans(text)
-        touching, known = Overlaps(base), set(base)
-        for c in candidates(text):
-            if c in known:
-                add(text, c, 1, i)
-            elif c not in touching:
-                add(text, c, 0, i)
-        for a, k, b in base:
-            for make, label in ((rewritten, 1), (rewritten, 1), (spoilt, 0), (lambda *z: rewritten(z[0], spoilt(*z), z[2]), 0)):
-                s = make(k, text[a:b], rng)
-                before, start = text[max(0, a - 60) : a], min(a, 60)
-                right = []
-                if label and k > 1:
-                    lead, same = neighbour(s, rng)
-                    if same:
-                        right.append((start, k, start + len(lead)))
-                        lead += (" / ", " ", " - ")[rng.integers(3)]
-                    before, start = before + lead, start + len(lead)
-                changed = before + s + text[b : b + 60]
-                span = (start, k, start + len(s))
-                if label or k != 3:
-                    add(changed, span, label, i)
-                if label and k > 1:  # runs that cut or join numbers
-                    wrong = [c for c in numbers(changed) if c[2] > min(a, 60) and c[0] < span[2] and c not in (span, *right)]
-                    for at in rng.permutation(len(wrong))[:3]:
-                        add(changed, wrong[at], 0, i)
-    return np.array(x, np.float64), np.array(y), np.array(kinds), np.array(doc)
+def examples(text: str):
+    """``(hash, kind, base, context, start, end)`` of base spans (base is 1) and
+    of the candidates that touch none (0). Equal contexts have one hash."""
+    base = base_spans(text)
+    touching = Overlaps(base)
+    for label, spans in ((1, base), (0, (c for c in candidates(text) if c not in touching))):
+        for a, k, b in spans:
+            context, start = text[max(0, a - SIDE) : b + SIDE], min(a, SIDE)
+            key = f"{k} {label} {start} {b - a} {context}".encode("utf-8", "surrogatepass")
+            h = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big", signed=True)
+            yield h, k, label, context, start, start + b - a
+
+
+def training_rows(example):
+    """``(features, label, kind, rival)`` of what one example teaches: itself,
+    and for a base span its rewritten and spoilt forms. ``rival`` is how many
+    rows before a row stands the span of its kind that it overlaps, or 0.
+    Follows from the example."""
+    h, k, label, context, a, b = example
+    rng = np.random.default_rng(h % 2**63)
+    span = (a, k, b)
+    if not label or span in candidates(context):
+        yield features(context, span), label, k, 0
+    if not label:
+        return
+    for make, good in ((rewritten, 1), (spoilt, 0), (lambda *z: rewritten(z[0], spoilt(*z), z[2]), 0)) * FORMS:
+        s = make(k, context[a:b], rng)
+        before, start = context[:a], a
+        right = []
+        if good and k > 1:
+            lead, same = neighbour(s, rng)
+            if same:
+                right.append((start, k, start + len(lead)))
+                lead += (" / ", " ", " - ")[rng.integers(3)]
+            before, start = before + lead, start + len(lead)
+        changed = before + s + context[b:]
+        span = (start, k, start + len(s))
+        if good or k != 3:
+            yield features(changed, span), good, k, 0
+        if good and k > 1:  # runs that cut or join numbers
+            wrong = [c for c in numbers(changed) if c[2] > a and c[0] < span[2] and c not in (span, *right)]
+            for i, at in enumerate(rng.permutation(len(wrong))[:3], 1):
+                c = wrong[at]
+                yield features(changed, c), 0, c[1], i if c[1] == k and c[2] > start else 0
 
 
 def boost(x: np.ndarray, y: np.ndarray) -> dict:
@@ -300,25 +324,46 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-score))
 
 
-def train(texts: list[str]) -> dict | None:
-    """Trees from three quarters of the documents; thresholds per kind from
-    the rest: the lowest score from which precision is PRECISION, or none."""
-    x, y, kinds, doc = training_rows(texts)
-    if len(set(y.tolist())) < 2:
-        return None
-    seen = doc % 4 != 0
-    if len(set(y[seen].tolist())) < 2:
+def fitted(chosen: list) -> dict | None:
+    """Trees from the examples, and for calibration trees without each fold
+    (None where too little is left)."""
+    rows = [(e[0] % FOLDS, *r) for e in sorted(chosen) for r in training_rows(e)]
+    if len({r[2] for r in rows}) < 2:
         return None
-    model = boost(x[seen], y[seen])
-    p, y, kinds = predict(model, x[~seen]) if (~seen).any() else np.empty(0), y[~seen], kinds[~seen]
-    model["threshold"] = []
-    for k in range(4):
-        here = kinds == k
-        s, t = p[here], y[here]
-        order = np.argsort(-s, kind="stable")
-        right = np.cumsum(t[order]) / np.arange(1, len(order) + 1)
-        good = np.nonzero(right >= PRECISION)[0]
-        model["threshold"].append(max(0.5, float(s[order][good[-1]])) if len(good) and good[-1] >= 9 else np.inf)
+    fold, x, y = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64), np.array([r[2] for r in rows])
+    return boost(x, y) | {"folds": [boost(x[fold != f], y[fold != f]) if len(set(y[fold != f].tolist())) == 2 else None for f in range(FOLDS)]}
+
+
+def score_cells(model: dict, some: list) -> list[list[int]]:
+    """Per example the histogram cells (kind, label, score) of its rows."""
+    out: list[list[int]] = [[] for _ in some]
+    for f, trees in enumerate(model["folds"]):
+        rows = [(i, *r) for i, e in enumerate(some) if e[0] % FOLDS == f for r in training_rows(e)] if trees else []
+        if rows:
+            p = predict(trees, np.array([r[1] for r in rows], np.float64)).tolist()
+            for at, (x, (i, _, label, k, rival)) in enumerate(zip(p, rows)):
+                if not rival or x > p[at - rival]:  # else the better one is added in its place
+                    out[i].append((k * 2 + label) * CELLS + min(int(x * CELLS), CELLS - 1))
+    return out
+
+
+def thresholds(counts: Mapping[int, int]) -> list[float]:
+    """Per kind the least cell bound from which precision is PRECISION over at
+    least LEAST rows; none: infinite."""
+    n = np.zeros(4 * 2 * CELLS, np.int64)
+    for cell, c in counts.items():
+        n[cell] = c
+    wrong, right = n.reshape(4, 2, CELLS)[:, :, ::-1].cumsum(axis=2).transpose(1, 0, 2)
+    ok = (right >= PRECISION * (right + wrong)) & (right + wrong >= LEAST)
+    return [max(0.5, (CELLS - 1 - int(np.nonzero(x)[0][-1])) / CELLS) if x.any() else np.inf for x in ok]
+
+
+def train(texts: list[str], sample: int = SAMPLE) -> dict | None:
+    """What :func:`fit` does, for texts at hand."""
+    found = {e[0]: e for t in texts for e in examples(t or "")}
+    model = fitted([e for k in range(4) for x in (0, 1) for e in sorted(e for e in found.values() if e[1:3] == (k, x))[:sample]])
+    if model is not None:
+        model["threshold"] = thresholds(Counter(c for cells in score_cells(model, list(found.values())) for c in cells))
     return model
 
 
@@ -358,20 +403,73 @@ def redact(text: str, spans) -> str:
     return "".join(out) + text[done:]
 
 
+def _least(sample: int):
+    """Of each kind's base spans and other candidates in a task's documents,
+    the ``sample`` distinct examples of least hash."""
+
+    def run(batches):
+        held = [({}, []) for _ in range(8)]  # examples by hash, and a heap of the negated hashes
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                for e in examples(t or ""):
+                    known, heap = held[e[1] * 2 + e[2]]
+                    if e[0] in known or len(heap) >= sample and e[0] >= -heap[0]:
+                        continue
+                    known[e[0]] = e
+                    heapq.heappush(heap, -e[0])
+                    if len(heap) > sample:
+                        del known[-heapq.heappop(heap)]
+        rows = [e for known, _ in held for e in known.values()]
+        yield pa.RecordBatch.from_pylist([dict(zip(_EXAMPLE.names, e)) for e in rows], _EXAMPLE)
+
+    return run
+
+
+def _scored(model: dict):
+    def run(batches):
+        def out():
+            return pa.RecordBatch.from_pylist([{"h": e[0], "cells": c} for e, c in zip(some, score_cells(model, some))], _CELLS)
+
+        some = []
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                for e in examples(t or ""):
+                    some.append(e)
+                    if len(some) >= 2000:
+                        yield out()
+                        some.clear()
+        yield out()
+
+    return run
+
+
+_EXAMPLE = pa.schema([("h", pa.int64()), ("kind", pa.int64()), ("base", pa.int64()), ("context", pa.string()), ("a", pa.int64()), ("b", pa.int64())])
+_CELLS = pa.schema([("h", pa.int64()), ("cells", pa.list_(pa.int64()))])
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """Train in one task on at most ``sample`` documents that hold a digit,
-    chosen by a hash of their text."""
-    chosen = (
-        docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9]") & (F.length("text") < 50_000))
-        .withColumn("h", F.xxhash64("text")).orderBy("h").limit(sample)
-    )
+    """Trees, trained in one task on at most ``sample`` distinct contexts of
+    base spans and as many of other candidates per kind, from all documents;
+    thresholds from all distinct contexts of all documents, each scored by
+    trees that haven't seen its fold. Only the model and the score histogram
+    reach the driver."""
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    least = texts.mapInArrow(_least(sample), "h long, kind long, base long, context string, a long, b long").dropDuplicates(["h"])
+    first = Window.partitionBy("kind", "base").orderBy("h")
+    chosen = land(least.withColumn("r", F.row_number().over(first)).where(F.col("r") <= sample).drop("r"), "pii-examples")
 
     def run(frames):
-        texts = [t for f in frames for t in f.sort_values("h", kind="stable")["text"]]
-        yield pd.DataFrame({"model": [pickle.dumps(train(texts) if texts else None)]})
+        yield pd.DataFrame({"model": [pickle.dumps(fitted([e for f in frames for e in f.itertuples(index=False, name=None)]))]})
 
     found = chosen.coalesce(1).mapInPandas(run, "model binary").collect()
-    return pickle.loads(found[0]["model"]) if found else None
+    model = pickle.loads(found[0]["model"]) if found else None
+    if model is None:
+        return None
+    cells = texts.mapInArrow(_scored(model), "h long, cells array<long>").dropDuplicates(["h"])
+    counts = cells.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect()
+    model["threshold"] = thresholds({r["cell"]: r["count"] for r in counts})
+    del model["folds"]
+    return model
 
 
 def _find(model, with_text: bool):
