@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import line_dedup, mixing, near_dup, packing, pii, quality, stream_dedup, topk, training_order, warc
+from tidewater.llm import (
+    line_dedup,
+    mixing,
+    near_dup,
+    packing,
+    periodic,
+    pii,
+    quality,
+    stream_dedup,
+    topk,
+    training_order,
+    warc,
+)
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +124,20 @@ def op9_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+    longest = "array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))"
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
+    return found.selectExpr("*", f"{longest} as longest").selectExpr(
+        "doc_id",
+        "cast(size(runs) as long) as n_runs",
+        "-longest.start as start",
+        "longest.length as length",
+        "-longest.period as period",
+        "1000 * longest.length div -longest.period as exponent_milli",
+        f"sha2({listed}, 256) as runs_sha256",
+        "sha2(collapsed, 256) as collapsed_sha256",
+    )
