@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (
+    hard_negatives,
     line_dedup,
     mixing,
     near_dup,
@@ -141,3 +142,26 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"sha2({listed}, 256) as runs_sha256",
         "sha2(collapsed, 256) as collapsed_sha256",
     )
+
+
+@query(
+    """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+    list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+mined as (select p.*, vec_id as negative_id, score as negative_score,
+    row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::int as rank
+  from positives p join scored s on p.anchor_id = s.anchor_id and not same
+    and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from mined where rank <= 10"""
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label))
