@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (
+    forest_dup,
     hard_negatives,
     line_dedup,
     mixing,
@@ -127,6 +128,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query(
+    """
+with recursive v as (select vec_id, embedding::double[] as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_inner_product(a.v, b.v) >= 0.9 * sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))),
+reach(vec_id, other) as (select vec_id, vec_id from embeddings
+  union select r.vec_id, l.b from reach r join links l on r.other = l.a),
+least as (select vec_id, min(other) as component_id from reach group by vec_id),
+counts as (select a, count(*) as n from links group by a)
+select l.vec_id, coalesce(n, 0)::bigint as n_links, component_id, l.vec_id = component_id as kept
+from least l left join counts c on c.a = l.vec_id"""
+)
+def op11_forest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_dup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.periodic_runs(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
