@@ -337,7 +337,7 @@ def test_ads_insights_inverted_window_changes_nothing(spark):
     from tidewater.plans import jobs
 
     existing = spark.createDataFrame([(1, "2024-01-01")], "ad_id long, date_start string")
-    pages = spark.createDataFrame([('{"data":[]}',)], "value string")
+    pages = spark.createDataFrame([('{"data":[]}', date(2024, 1, 5))], "value string, day date")
     table, marks = jobs.ads_insights(pages, existing, "2024-01-05", "2024-01-04", "s", datetime(2024, 1, 6), None)
     assert table.count() == 1 and marks.count() == 0
 

@@ -60,3 +60,41 @@ TABLE_CONFIGS = (
                 unix_seconds_columns=("placingTime", "executionTime", "autoBreakEvenTriggeredAt")),
 )
 CONFIGS_BY_NAME = {c.task_name: c for c in TABLE_CONFIGS}
+
+
+@dataclass(frozen=True)
+class AdsStream:
+    """A stream of the ads API: ``metadata`` is loaded whole each run,
+    ``insights`` day by day behind a bookmark."""
+
+    stream_name: str
+    stream_type: str
+    breakdowns: tuple[str, ...] = ()
+    bookmark_field: str | None = None
+
+    def __post_init__(self):
+        validate_identifier(self.stream_name)
+        if self.stream_type not in ("metadata", "insights"):
+            raise ValueError(f"stream type must be metadata or insights, not {self.stream_type!r}")
+        if (self.stream_type == "insights") != (self.bookmark_field is not None):
+            raise ValueError("insights have a bookmark field, metadata have none")
+
+
+def _insights(name: str, *breakdowns: str) -> AdsStream:
+    return AdsStream(name, "insights", breakdowns, "date_start")
+
+
+# The ten streams of the ads API and their breakdowns.
+ADS_STREAMS = (
+    AdsStream("adcreative", "metadata"),
+    AdsStream("ads", "metadata"),
+    AdsStream("adsets", "metadata"),
+    AdsStream("campaigns", "metadata"),
+    _insights("ads_insights"),
+    _insights("ads_insights_age_and_gender", "age", "gender"),
+    _insights("ads_insights_country", "country"),
+    _insights("ads_insights_platform_and_device", "publisher_platform", "platform_position", "impression_device"),
+    _insights("ads_insights_region", "region"),
+    _insights("ads_insights_dma", "dma"),
+)
+ADS_BY_NAME = {s.stream_name: s for s in ADS_STREAMS}

@@ -7,12 +7,13 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions import time as TM
 from tidewater.functions import types as TY
 from tidewater.functions.contract import TRACKING_CONTRACT, EventContract
 from tidewater.operators import dedupe, filters, joins, merge, project, records, replace, schema
-from tidewater.plans.configs import TableConfig
+from tidewater.plans.configs import AdsStream, TableConfig
 from tidewater.plans import windows
 from tidewater.session import scratch_path
 from tidewater.sinks import files
@@ -180,41 +181,61 @@ def predictions_batch(
     return new_raw, new_final
 
 
-def ads_metadata(page_lines: DataFrame, row_schema, stream: str, ingested_at: datetime) -> DataFrame:
-    """Metadata stream: pages -> rows -> stamp -> truncate load."""
-    rows = pages.flatten_paged_payload(page_lines, row_schema)
-    stamped = project.stamp_audit_columns(rows, {"_ingested_at": ingested_at, "_stream_name": stream})
-    return replace.truncate_load(stamped)
+def ads_metadata(
+    page_lines: DataFrame, stream: str, ingested_at: datetime, known: T.StructType | None = None, on_broken: str = "fail"
+) -> DataFrame:
+    """Metadata stream: pages -> rows with every field that arrived -> stamp
+    -> truncate load."""
+    rows = pages.flatten_paged_payload(page_lines, known, on_broken=on_broken)
+    return replace.truncate_load(project.stamp_audit_columns(rows, {"_ingested_at": ingested_at, "_stream_name": stream}))
 
 
 def ads_insights(
     page_lines: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | None,
     start: date | str,
     end: date | str,
     stream: str,
     ingested_at: datetime,
     bookmarks: DataFrame | None,
     bookmark_field: str = "date_start",
+    on_broken: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
-    """Insight stream for an inclusive day window: pages -> rows of the
-    window's days, tagged with their day -> replace the date range in the
-    table (also when no rows came back) -> bookmark set to the window end.
-    An inverted window (start after end) changes nothing, bookmark included."""
+    """Insight stream for an inclusive day window: the pages of its days
+    (column ``day``, pruned before anything is parsed) -> rows with every
+    field that arrived, tagged with their day -> the table grown by new and
+    widened columns -> its date range replaced (also when no rows came back)
+    -> bookmark set to the window end. An inverted window (start after end)
+    changes nothing, bookmark included. Without ``existing`` the table begins
+    with this window."""
+    spark = page_lines.sparkSession
     if bookmarks is None:
-        bookmarks = existing.sparkSession.createDataFrame([], "stream string, field string, value date")
+        bookmarks = spark.createDataFrame([], "stream string, field string, value date")
     if date.fromisoformat(str(start)) > date.fromisoformat(str(end)):
         return existing, bookmarks
-    rows = pages.flatten_paged_payload(page_lines, pages.INSIGHT_ROW_SCHEMA)
-    day = F.try_to_date("date_start")
-    rows = rows.filter(day.between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
-    tagged = project.stamp_audit_columns(
-        rows.withColumn("_window_date", day), {"_stream_name": stream, "_ingested_at": ingested_at}
-    )
-    table = replace.replace_date_range(existing, tagged, "date_start", start, end)
+    fetched = page_lines.filter(F.col("day").between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+    rows = pages.land_rows(fetched.withColumnRenamed("day", "_window_date"), on_broken=on_broken).rows
+    audit = ("_window_date", "_stream_name", "_ingested_at")
+    known = T.StructType([f for f in existing.schema.fields if f.name not in audit]) if existing is not None else None
+    schema_ = pages.inferred_schema(rows, known)
+    if bookmark_field not in schema_.fieldNames():
+        schema_ = schema_.add(bookmark_field, T.StringType())  # no row came back: nothing to date yet
+    tagged = project.stamp_audit_columns(pages.typed_rows(rows, schema_), {"_stream_name": stream, "_ingested_at": ingested_at})
+    table = tagged
+    if existing is not None:
+        table = replace.replace_date_range(pages.grow_table(existing, schema_), tagged, bookmark_field, start, end)
     return table, windows.advance_bookmark(bookmarks, stream, bookmark_field, end)
 
 
+def ads_stream(
+    cfg: AdsStream, page_lines: DataFrame, existing: DataFrame | None, start, end, ingested_at: datetime, bookmarks=None
+) -> tuple[DataFrame, DataFrame | None]:
+    """One run of a stream of the catalogue: its table, and the bookmarks."""
+    if cfg.stream_type == "metadata":
+        return ads_metadata(page_lines, cfg.stream_name, ingested_at), bookmarks
+    return ads_insights(page_lines, existing, start, end, cfg.stream_name, ingested_at, bookmarks, cfg.bookmark_field)
+
+
 def refresh_tracking_day_table(
     table_path: str,
     events: DataFrame,

@@ -7,9 +7,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater import fixtures as fx
 from tidewater.operators import project, replace
+from tidewater.plans import configs as CFG
 from tidewater.plans import jobs
 from tidewater.plans.registry import register
 from tidewater.session import scratch_path
@@ -17,6 +19,7 @@ from tidewater.sinks import files
 from tidewater.sources import csv_declared as CSV
 from tidewater.sources import pages, scans
 
+INGESTED = datetime(2024, 2, 1, 6)
 B1_LOADED, B2_LOADED = datetime(2024, 1, 3, 17), datetime(2024, 1, 10, 17)
 
 # schema.csv of the synthesised predictions batch: header synonyms, an
@@ -180,33 +183,60 @@ def q_job_predictions(spark, sf):
 RANGE_START, RANGE_END = "1998-12-01", "1999-01-31"
 _INSIGHT_SQL = """
 ins as (select l_orderkey as ad_id, l_linenumber::bigint as line, strftime(l_shipdate, '%Y-%m-%d') as date_start,
-  l_quantity as impressions, l_extendedprice as spend from lineitem)"""
+  l_quantity as impressions, l_extendedprice as spend,
+  case when l_linenumber = 3 then '[{"action_type":"link_click","value":"' || l_partkey || '"}]' end as actions,
+  case when l_linenumber = 7 then l_suppkey end as clicks from lineitem)"""
+# Columns whose types a table has settled already; the others are found.
+INSIGHT_KNOWN = T.StructType.fromDDL("ad_id bigint, line bigint, date_start string, impressions double, spend double")
 
 
 def insight_rows(spark, sf):
-    li = fx.table(spark, sf, "lineitem")
-    return li.select(
-        F.col("l_orderkey").alias("ad_id"),
-        F.col("l_linenumber").cast("bigint").alias("line"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_start"),
-        F.col("l_quantity").alias("impressions"),
-        F.col("l_extendedprice").alias("spend"),
-    )
+    """Insight rows as JSON text: ids and amounts as numbers or as text, two
+    fields that only some rows have, one of them nested."""
+    text = """concat('{"ad_id":', if(l_linenumber % 2 = 0, concat('"', l_orderkey, '"'), string(l_orderkey)), ',"line":', l_linenumber,
+      ',"date_start":"', date_format(l_shipdate, 'yyyy-MM-dd'), '","impressions":', l_quantity, ',"spend":"', l_extendedprice, '"',
+      if(l_linenumber = 3, concat(',"actions":[{"action_type":"link_click","value":"', l_partkey, '"}]'), ''),
+      if(l_linenumber = 7, concat(',"clicks":', l_suppkey), ''), '}') as json"""
+    return fx.table(spark, sf, "lineitem").selectExpr("l_orderkey as ad_id", "to_date(l_shipdate) as day", text)
 
 
 def insight_pages(spark, sf):
     """API response pages derived from the insight rows: ``{"data": [...],
-    "paging": {"next": ...}}``, one page per 100 ad ids (bounded size)."""
-    return pages.pages_from_rows(insight_rows(spark, sf), F.floor(F.col("ad_id") / 100))
+    "paging": {"next": ...}}``, one page per 100 ad ids (bounded size). Every
+    seventh page was also received cut short, and one response is an error."""
+    whole = pages.pages_from_rows(insight_rows(spark, sf), F.floor(F.col("ad_id") / 100), "json")
+    after = F.regexp_extract("page", r'"after":"([0-9]+)"', 1).cast("bigint")
+    cut = whole.filter(after % 7 == 3).select(F.expr("substring(page, 1, length(page) - 9)").alias("page"))
+    error = spark.range(1).select(F.lit('{"error":{"code":17,"message":"request limit reached"}}').alias("page"))
+    return whole.union(cut).union(error)
+
+
+def insight_pages_by_day(spark, sf):
+    """The same rows as fetched day by day: about 100 rows per page."""
+    rows = insight_rows(spark, sf)
+    per_day = max(1, fx.table(spark, sf, "lineitem").count() // 250_000)  # row count of the files' footers
+    return pages.pages_from_rows(rows, F.pmod(F.xxhash64("ad_id"), F.lit(per_day)), "json", ["day"])
 
 
 @register("flatten_paged_payload", "with " + _INSIGHT_SQL + " select * from ins")
 def q_flatten_paged_payload(spark, sf):
-    """Every page's ``data`` array concatenated into rows."""
+    """Every page's ``data`` array concatenated into typed rows: numbers sent
+    as text keep their value, fields that are not known become columns, and
+    pages that can't be read are set aside."""
     path = pages.land_pages(insight_pages(spark, sf), scratch_path(spark, "ads-pages"))
-    return pages.flatten_paged_payload(spark.read.text(path), pages.INSIGHT_ROW_SCHEMA).select(
-        "ad_id", "line", "date_start", "impressions", "spend"
-    )
+    return pages.flatten_paged_payload(spark.read.text(path), INSIGHT_KNOWN, on_broken="quarantine")
+
+
+@register(
+    "flatten_paged_quarantine",
+    """select 'not JSON' as reason, count(distinct l_orderkey // 100)::bigint as n_pages from lineitem where (l_orderkey // 100) % 7 = 3
+ union all select 'error response', 1""",
+)
+def q_flatten_paged_quarantine(spark, sf):
+    """Pages that can't be read, by reason."""
+    path = pages.land_pages(insight_pages(spark, sf), scratch_path(spark, "ads-pages"))
+    broken = pages.land_rows(spark.read.text(path), on_broken="quarantine").broken
+    return broken.groupBy("reason").agg(F.count(F.lit(1)).cast("bigint").alias("n_pages"))
 
 
 @register(
@@ -289,7 +319,7 @@ def q_job_ads_metadata(spark, sf):
     """Pages -> flatten -> stamp ``_ingested_at``/``_stream_name`` -> truncate
     load (the stream's primary key is not used)."""
     path = pages.land_pages(ad_metadata_pages(spark, sf), scratch_path(spark, "ads-meta"))
-    return jobs.ads_metadata(spark.read.text(path), pages.METADATA_ROW_SCHEMA, "ads", datetime(2024, 2, 1, 6))
+    return jobs.ads_metadata(spark.read.text(path), "ads", INGESTED)
 
 
 @register(
@@ -300,17 +330,12 @@ union all select 'ads_insights' as _stream_name, count(*)::bigint from ins""",
 )
 def q_agg_rows_by_stream(spark, sf):
     """Rows loaded per stream."""
-    meta = project.stamp_audit_columns(
-        pages.flatten_paged_payload(
-            ad_metadata_pages(spark, sf).withColumnRenamed("page", "value"), pages.METADATA_ROW_SCHEMA
-        ),
-        {"_stream_name": "ads"},
-    )
-    ins = project.stamp_audit_columns(
-        pages.flatten_paged_payload(insight_pages(spark, sf).withColumnRenamed("page", "value"), pages.INSIGHT_ROW_SCHEMA),
-        {"_stream_name": "ads_insights"},
-    )
-    both = meta.select("_stream_name").unionByName(ins.select("_stream_name"))
+
+    def landed(lines, stream):
+        rows = pages.land_rows(lines.withColumnRenamed("page", "value"), on_broken="quarantine").rows
+        return rows.select(F.lit(stream).alias("_stream_name"))
+
+    both = landed(ad_metadata_pages(spark, sf), "ads").unionByName(landed(insight_pages(spark, sf), "ads_insights"))
     return both.groupBy("_stream_name").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 
@@ -321,19 +346,84 @@ def q_agg_rows_by_stream(spark, sf):
     + f""",
 tagged as (select *, cast(date_start as date) as _window_date, 'ads_insights' as _stream_name,
    timestamp '2024-02-01 06:00:00' as _ingested_at from ins)
-select * from tagged where date_start <= '1998-12-31' and not (cast(date_start as date) between date '{RANGE_START}' and date '{RANGE_END}')
+select * replace (null::varchar as actions, null::bigint as clicks) from tagged where date_start <= '1998-12-31'
+  and not (cast(date_start as date) between date '{RANGE_START}' and date '{RANGE_END}')
 union all select * from tagged where cast(date_start as date) between date '{RANGE_START}' and date '{RANGE_END}'""",
 )
 def q_job_ads_insights(spark, sf):
-    """Daily insights for the window: pages -> flatten -> day tag -> replace
-    the inclusive date range in the table -> advance the bookmark."""
-    ins = insight_rows(spark, sf)
-    stamp = {"_stream_name": "ads_insights", "_ingested_at": datetime(2024, 2, 1, 6)}
-    existing = project.stamp_audit_columns(
-        ins.filter(F.col("date_start") <= "1998-12-31").withColumn("_window_date", F.to_date("date_start")), stamp
-    )
-    path = pages.land_pages(insight_pages(spark, sf), scratch_path(spark, "ads-insights"))
+    """Daily insights for the window: the pages of its days -> flatten -> day
+    tag -> grow the table, which has no ``actions`` and ``clicks`` yet, and
+    replace the inclusive date range in it -> advance the bookmark."""
+    li = fx.table(spark, sf, "lineitem").filter("l_shipdate < timestamp_ntz '1999-01-01'")
+    existing = li.selectExpr(
+        "l_orderkey as ad_id", "bigint(l_linenumber) as line", "date_format(l_shipdate, 'yyyy-MM-dd') as date_start",
+        "l_quantity as impressions", "l_extendedprice as spend", "to_date(l_shipdate) as _window_date",
+    )
+    existing = project.stamp_audit_columns(existing, {"_stream_name": "ads_insights", "_ingested_at": INGESTED})
+    path = pages.land_pages(insight_pages_by_day(spark, sf), scratch_path(spark, "ads-insights"))
     table, _bookmarks = jobs.ads_insights(
-        spark.read.text(path), existing, RANGE_START, RANGE_END, "ads_insights", datetime(2024, 2, 1, 6), None
+        spark.read.parquet(path), existing, RANGE_START, RANGE_END, "ads_insights", INGESTED, None
     )
     return table
+
+
+# --- ads: the whole catalogue --------------------------------------------------------
+
+CATALOGUE_START, CATALOGUE_END = "2024-01-10", "2024-01-20"
+# The table that stands for each metadata stream, and its columns.
+_METADATA_OF = {
+    "adcreative": ("part", {"id": "p_partkey", "name": "p_name", "object_type": "p_type"}),
+    "ads": ("customer", {"id": "c_custkey", "name": "c_name", "bid_amount": "c_acctbal"}),
+    "adsets": ("supplier", {"id": "s_suppkey", "name": "s_name", "daily_budget": "s_acctbal"}),
+    "campaigns": ("nation", {"id": "n_nationkey", "name": "n_name", "objective": "n_regionkey"}),
+}
+
+
+def _catalogue_sql() -> str:
+    of = []
+    for s in CFG.ADS_STREAMS:
+        if s.stream_type == "metadata":
+            name, cols = _METADATA_OF[s.stream_name]
+            of.append(f"select '{s.stream_name}' as stream, count(*)::bigint as n_rows, {len(cols) + 2}::bigint as n_columns, sum({cols['id']})::bigint as amount from {name}")
+        else:
+            of.append(
+                f"select '{s.stream_name}', count(*)::bigint, {5 + len(s.breakdowns) + 2}::bigint, sum(user_id)::bigint "
+                f"from events where cast(ts as date) between date '{CATALOGUE_START}' and date '{CATALOGUE_END}'"
+            )
+    return " union all ".join(of)
+
+
+def catalogue_pages(spark, sf, stream):
+    """Pages of one stream of the catalogue, ids and amounts sent as text."""
+    if stream.stream_type == "metadata":
+        name, cols = _METADATA_OF[stream.stream_name]
+        rows = fx.table(spark, sf, name).select(*[F.col(c).cast("string").alias(n) for n, c in cols.items()])
+        return pages.pages_from_rows(rows, F.floor(F.col("id").cast("bigint") / 100))
+    rows = fx.table(spark, sf, "events").select(
+        F.to_date("ts").alias("day"), F.col("user_id").cast("string").alias("ad_id"), F.date_format("ts", "yyyy-MM-dd").alias("date_start"),
+        F.col("event_id").alias("clicks"), F.col("value").cast("string").alias("spend"),
+        *[F.col("event_type").alias(b) for b in stream.breakdowns],
+    )
+    json = F.to_json(F.struct(*[c for c in rows.columns if c != "day"]))
+    return pages.pages_from_rows(rows.withColumn("json", json), F.floor(F.col("clicks") / 1000), "json", ["day"])
+
+
+@register("job_ads_catalogue", _catalogue_sql())
+def q_job_ads_catalogue(spark, sf):
+    """Every stream of the catalogue from its config: pages -> table; per
+    stream its rows, columns and the sum of its ids, which came as text."""
+    tables = []
+    for cfg in CFG.ADS_STREAMS:
+        path = pages.land_pages(catalogue_pages(spark, sf, cfg), scratch_path(spark, f"ads-{cfg.stream_name}"))
+        lines = spark.read.text(path) if cfg.stream_type == "metadata" else spark.read.parquet(path)
+        loaded, _ = jobs.ads_stream(cfg, lines, None, CATALOGUE_START, CATALOGUE_END, INGESTED)
+        key = "id" if cfg.stream_type == "metadata" else "ad_id"
+        tables.append(
+            loaded.agg(
+                F.lit(cfg.stream_name).alias("stream"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.lit(len(loaded.columns)).cast("bigint").alias("n_columns"),
+                F.sum(F.col(key).cast("bigint")).alias("amount"),
+            )
+        )
+    return replace.union_all(tables)

@@ -1,44 +1,163 @@
 """Paged JSON API payloads landed as files: one response page per line,
-``{"data": [row, ...], "paging": {...}}``."""
+``{"data": [row, ...], "paging": {...}}``.
+
+Rows have no declared schema. Pages are landed once as VARIANT, one row per
+element of ``data``, beside the pages that can't be read (quarantine). One
+aggregate over the landed rows counts, per field, the kinds of value it holds;
+its result has one row per field name and decides the column types. So a
+field that appears for the first time becomes a column, a number that is sent
+as text keeps its value, and a value that doesn't fit its column widens the
+column instead of getting lost.
+"""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-INSIGHT_ROW_SCHEMA = T.StructType(
-    [
-        T.StructField("ad_id", T.LongType()),
-        T.StructField("line", T.LongType()),
-        T.StructField("date_start", T.StringType()),
-        T.StructField("impressions", T.DoubleType()),
-        T.StructField("spend", T.DoubleType()),
-    ]
-)
-METADATA_ROW_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("brand", T.StringType()),
-    ]
-)
-
-
-def page_schema(row_schema: T.StructType) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("data", T.ArrayType(row_schema)),
-            T.StructField("paging", T.MapType(T.StringType(), T.StringType())),
-        ]
+from tidewater.functions import semistructured as J
+from tidewater.session import scratch_path
+
+ROW, PAGE, REASON = "__row", "__page", "__reason"
+INTEGER_TEXT = r"^[+-]?[0-9]{1,18}$"
+
+
+class PagedRows(NamedTuple):
+    """``rows``: one VARIANT per element, with the columns that came beside
+    the pages; ``broken``: the text of each unreadable page and the reason."""
+
+    rows: DataFrame
+    broken: DataFrame
+
+
+def _reason(page: str) -> str:
+    """Why a page can't be read; NULL for a good one. A page without ``data``
+    is empty, unless it is an error response."""
+    data = f"try_variant_get({page}, '$.data', 'variant')"
+    elements = f"try_variant_get({page}, '$.data', 'array<variant>')"
+    return (
+        f"CASE WHEN {page} IS NULL THEN 'not JSON' WHEN NOT {J.is_object(page)} THEN 'not an object' "
+        f"WHEN {data} IS NULL AND try_variant_get({page}, '$.error', 'variant') IS NOT NULL THEN 'error response' "
+        f"WHEN {data} IS NOT NULL AND {elements} IS NULL THEN 'data is not a list' "
+        f"WHEN exists({elements}, r -> NOT {J.is_object('r')}) THEN 'a row is not an object' END"
+    )
+
+
+def land_rows(pages: DataFrame, text_col: str = "value", on_broken: str = "fail") -> PagedRows:
+    """Land the elements of every page, each page parsed once. A page that
+    can't be read fails the job, or with ``on_broken="quarantine"`` is set
+    aside whole; it never vanishes. Blank lines are no pages."""
+    if on_broken not in ("fail", "quarantine"):
+        raise ValueError(f"on_broken must be fail or quarantine, not {on_broken!r}")
+    spark = pages.sparkSession
+    kept = [c for c in pages.columns if c != text_col]
+    parsed = pages.filter(F.length(F.trim(F.col(text_col))) > 0).select(
+        *kept, F.col(text_col).alias(PAGE), F.explode(F.array(J.col(J.parse_record(f"`{text_col}`")))).alias("__p")
+    )
+    judged = parsed.select("*", F.explode(F.array(F.expr(_reason("__p")))).alias(REASON))
+    if on_broken == "fail":
+        fault = F.raise_error(F.concat(F.lit("page can't be read: "), F.col(REASON), F.lit(": "), F.substring(PAGE, 1, 200)))
+        judged = judged.withColumn(REASON, F.when(F.col(REASON).isNotNull(), fault.cast("string")))
+    element = f"named_struct('{ROW}', r, '{PAGE}', string(null), '{REASON}', string(null))"
+    elements = (
+        f"CASE WHEN {REASON} IS NULL THEN transform(try_variant_get(__p, '$.data', 'array<variant>'), r -> {element}) "
+        f"ELSE array(named_struct('{ROW}', cast(null as variant), '{PAGE}', {PAGE}, '{REASON}', {REASON})) END"
     )
+    path = scratch_path(spark, "paged-rows")
+    judged.select(*kept, F.inline(F.expr(elements))).write.parquet(path)
+    landed = spark.read.parquet(path)
+    return PagedRows(
+        landed.filter(F.col(REASON).isNull()).select(*kept, ROW),
+        landed.filter(F.col(REASON).isNotNull()).select(*kept, F.col(PAGE).alias("page"), F.col(REASON).alias("reason")),
+    )
+
+
+def field_kinds(rows: DataFrame) -> DataFrame:
+    """Per field name of the landed rows: how many values of each kind it has.
+    A partial aggregate over the exploded fields; one row per field name."""
+    text, kind = J.as_text("value"), "schema_of_variant(value)"
+    # A landed column may hold an integer as a decimal without a scale.
+    whole, integer = f"{kind} RLIKE '^DECIMAL.*,0[)]$'", f"({kind} = 'BIGINT' OR {kind} RLIKE '^DECIMAL[(]([1-9]|1[0-8]),0[)]$')"
+    counts = {
+        "booleans": f"{kind} = 'BOOLEAN'",
+        "integers": integer,
+        "numbers": f"{kind} IN ('DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%' AND NOT {whole}",
+        "texts": f"{kind} = 'STRING' OR {whole} AND NOT {integer}",
+        "integer_texts": f"{kind} = 'STRING' AND {text} RLIKE '{INTEGER_TEXT}'",
+        "number_texts": f"{kind} = 'STRING' AND {text} RLIKE '{J.NUMERIC_TEXT}'",
+        "nested": f"{kind} LIKE 'OBJECT%' OR {kind} LIKE 'ARRAY%'",
+    }
+    fields = rows.select(ROW).lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(ROW).outer()))
+    return fields.groupBy(F.col("key").alias("name")).agg(*[F.expr(f"count_if({c}) AS {name}") for name, c in counts.items()])
+
+
+def column_type(kinds: T.Row, known: T.DataType | None = None) -> T.DataType:
+    """The type that holds every value of a field. Without a known type: the
+    kind that all values share, text where kinds differ; nested values are JSON
+    text, and so are integers beyond 64 bits. A known type stays as long as
+    every value fits it, numbers sent as text included; else the column widens,
+    integers to doubles, anything to text."""
+    k = kinds.asDict()
+    if known is None:
+        plain = not (k["texts"] or k["nested"])
+        if plain and k["booleans"] and not (k["integers"] or k["numbers"]):
+            return T.BooleanType()
+        if plain and not k["booleans"] and (k["integers"] or k["numbers"]):
+            return T.DoubleType() if k["numbers"] else T.LongType()
+        return T.StringType()
+    numeric = not (k["booleans"] or k["nested"]) and k["texts"] == k["number_texts"]
+    if isinstance(known, T.LongType) and numeric:
+        return known if not k["numbers"] and k["texts"] == k["integer_texts"] else T.DoubleType()
+    if isinstance(known, T.DoubleType) and numeric:
+        return known
+    only_booleans = k["booleans"] and not (k["integers"] or k["numbers"] or k["texts"] or k["nested"])
+    empty = not any(k[c] for c in ("booleans", "integers", "numbers", "texts", "nested"))
+    return known if empty or (isinstance(known, T.BooleanType) and only_booleans) else T.StringType()
+
 
+def inferred_schema(rows: DataFrame, known: T.StructType | None = None) -> T.StructType:
+    """Columns of the landed rows: the known ones in their order, then the new
+    ones by name; a field named like a column beside the pages gives way to
+    it. One row per field name comes to the driver."""
+    found = {r["name"]: r for r in field_kinds(rows).collect() if r["name"] not in rows.columns}
+    have = {f.name: f.dataType for f in known.fields} if known else {}
+    typed = [T.StructField(n, column_type(found[n], t) if n in found else t) for n, t in have.items()]
+    return T.StructType(typed + [T.StructField(n, column_type(found[n])) for n in sorted(found.keys() - have.keys())])
 
-def flatten_paged_payload(pages: DataFrame, row_schema: T.StructType, text_col: str = "value") -> DataFrame:
-    """Concatenate the ``data`` array of every page into rows (explicit row
-    schema: no inference pass)."""
-    parsed = pages.select(F.from_json(F.col(text_col), page_schema(row_schema)).alias("__p"))
-    return parsed.select(F.explode("__p.data").alias("__r")).select("__r.*")
+
+def typed_rows(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Landed rows as columns of ``schema``, beside the columns they came
+    with. JSON null and a missing field are NULL."""
+    kept = [c for c in rows.columns if c != ROW]
+    cells = []
+    for f in schema.fields:
+        path = '$["' + f.name + '"]'
+        if isinstance(f.dataType, T.StringType):
+            cell = J.json_compact_text(J.field(ROW, path))
+        else:
+            cell = f"try_variant_get({ROW}, {J._lit(path)}, '{f.dataType.simpleString()}')"
+        cells.append(F.expr(cell).alias(f.name))
+    return rows.select(*kept, *cells)
+
+
+def grow_table(table: DataFrame, schema: T.StructType) -> DataFrame:
+    """``table`` with its columns widened to ``schema``'s types and the new
+    columns (NULL for old rows) at the end."""
+    types, have = {f.name: f.dataType for f in schema.fields}, set(table.columns)
+    old = [F.col(f"`{c}`").cast(types.get(c, table.schema[c].dataType)).alias(c) for c in table.columns]
+    return table.select(*old, *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in have])
+
+
+def flatten_paged_payload(
+    pages: DataFrame, known: T.StructType | None = None, text_col: str = "value", on_broken: str = "fail"
+) -> DataFrame:
+    """The ``data`` arrays of all pages as one table of typed rows; ``known``
+    names columns whose types are settled already."""
+    rows = land_rows(pages, text_col, on_broken).rows
+    return typed_rows(rows, inferred_schema(rows, known))
 
 
 def infer_json(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
@@ -47,12 +166,13 @@ def infer_json(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> D
     return spark.read.option("samplingRatio", sampling_ratio).json(path)
 
 
-def pages_from_rows(rows: DataFrame, page_key: Column) -> DataFrame:
-    """Pack rows into response pages, one page per ``page_key`` value (the
-    key must bound the page size, as an API page limit does)."""
-    grouped = rows.groupBy(page_key.alias("__page")).agg(
-        F.collect_list(F.to_json(F.struct(*[F.col(c) for c in rows.columns]))).alias("__data")
-    )
+def pages_from_rows(rows: DataFrame, page_key: Column, json_col: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """Pack rows into response pages, one page per value of ``page_key`` and
+    of the columns ``keep`` (the key must bound the page size, as an API page
+    limit does). ``json_col`` holds a row's JSON text, if it is not built from
+    all columns."""
+    text = F.col(json_col) if json_col else F.to_json(F.struct(*[F.col(c) for c in rows.columns]))
+    grouped = rows.groupBy(*(keep or []), page_key.alias("__page")).agg(F.collect_list(text).alias("__data"))
     page = F.concat(
         F.lit('{"data":['),
         F.array_join("__data", ","),
@@ -60,9 +180,16 @@ def pages_from_rows(rows: DataFrame, page_key: Column) -> DataFrame:
         F.col("__page").cast("string"),
         F.lit('"}}'),
     )
-    return grouped.select(page.alias("page"))
+    return grouped.select(*(keep or []), page.alias("page"))
 
 
 def land_pages(pages: DataFrame, path: str) -> str:
-    pages.select(F.col("page").alias("value")).write.text(path)
+    """Pages as text files; pages that were fetched by day (a ``day`` column)
+    as a table in the order of their days, so a window reads its own row
+    groups only."""
+    lines = pages.withColumnRenamed("page", "value")
+    if "day" in pages.columns:
+        lines.repartitionByRange("day").sortWithinPartitions("day").write.option("parquet.block.size", 8 << 20).parquet(path)
+    else:
+        lines.write.text(path)
     return path
