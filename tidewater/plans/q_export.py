@@ -15,6 +15,7 @@ from tidewater.plans import windows
 from tidewater.plans.registry import register
 from tidewater.session import scratch_path
 from tidewater.sinks import files
+from tidewater.sources import csv_records
 
 TODAY = date(2024, 1, 23)  # a Tuesday: the week is [2024-01-16, 2024-01-23)
 WEEK_START, WEEK_END = windows.weekly_window(TODAY)
@@ -143,7 +144,7 @@ def q_export_week(spark, sf):
     """The week's rows exported as gzip CSV with header to
     ``week_start=../week_end=..``, read back."""
     out = files.export_week(week_rows(spark, sf), scratch_path(spark, "usage-week"), str(WEEK_START), str(WEEK_END))
-    return spark.read.schema(USAGE_SCHEMA).option("header", True).csv(out)
+    return csv_records.read_csv(spark, out, USAGE_SCHEMA).drop("file_name")
 
 
 @register("scan_export_shards", "with " + _USAGE_SQL + "," + _WEEK_SQL + " select * from week")
@@ -155,7 +156,7 @@ def q_scan_export_shards(spark, sf):
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in USAGE_SCHEMA.fields]
     )
     out = files.export_week(rows.unionByName(blanks), scratch_path(spark, "usage-shards"), str(WEEK_START), str(WEEK_END))
-    shards = spark.read.schema(USAGE_SCHEMA).option("header", True).csv(out)
+    shards = csv_records.read_csv(spark, out, USAGE_SCHEMA).drop("file_name")
     return filters.filter_blank_rows(shards)
 
 

@@ -35,7 +35,8 @@ SCHEMA_CSV_ROWS = [
 ]
 
 _PRED_SQL = """
-pred as (select c_custkey as unique_id, c_name as customer_name, c_mktsegment as segment,
+pred as (select c_custkey as unique_id,
+  case when c_custkey % 11 = 0 then c_name || chr(10) || '"' || c_mktsegment || '", ' else c_name end as customer_name, c_mktsegment as segment,
   cast(c_acctbal as decimal(38,9)) as score,
   make_timestamp(2024, 1, 1 + cast(c_custkey % 7 as int), cast(c_custkey % 24 as int), cast(c_custkey % 60 as int), 0.0) as scored_at,
   c_acctbal > 0 as is_active, '' as notes from customer)"""
@@ -53,7 +54,7 @@ def _pred_rows(spark, sf, cond):
     )
     return c.select(
         key.cast("string").alias("unique_id"),
-        F.col("c_name").alias("customer_name"),
+        F.when(key % 11 == 0, F.format_string('%s\n"%s", ', "c_name", "c_mktsegment")).otherwise(F.col("c_name")).alias("customer_name"),
         F.col("c_mktsegment").alias("segment"),
         F.format_string("%.2f", F.col("c_acctbal")).alias("score"),
         ts_text.alias("scored_at"),
@@ -68,7 +69,7 @@ def land_batch(spark, sf, root: str, batch: str, cond, parts: int = 3) -> str:
     path = f"{root}/{batch}"
     tmp = scratch_path(spark, f"pred-{batch}")
     rows = _pred_rows(spark, sf, cond)
-    rows.repartition(parts).write.option("header", True).csv(tmp)
+    rows.repartition(parts).write.options(**files.CSV_DIALECT).csv(tmp)
     # Give data files the names the batch contract expects.
     fs, src = files._fs(spark, tmp)
     fs.mkdirs(files._fs(spark, path)[1])

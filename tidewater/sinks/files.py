@@ -60,16 +60,22 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def first_line(spark: SparkSession, uri: str) -> tuple[str, str | None]:
-    """The path that a file URI names and the file's first line (None when it
-    is empty); compressed files are read through the codec of their name."""
+def first_record(spark: SparkSession, uri: str) -> tuple[str, str | None]:
+    """The path that a file URI names and the file's first CSV record (None
+    when it is empty), with the line breaks of its quoted cells; compressed
+    files are read through the codec of their name."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
     stream = path.getFileSystem(conf).open(path)
     codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
     stream = codec.createInputStream(stream) if codec is not None else stream
     try:
-        return path.toString(), jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        record = line = reader.readLine()
+        while line is not None and record.count('"') % 2:
+            line = reader.readLine()
+            record += "" if line is None else "\n" + line
+        return path.toString(), record
     finally:
         stream.close()
 

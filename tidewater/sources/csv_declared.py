@@ -2,8 +2,9 @@
 
 The schema file is a handful of rows (one per column), so it is read on the
 driver through the file system API to build the declared fields; the data
-files are read as strings, one multi-path scan per distinct header, and
-projected onto that schema with Column expressions.
+files are read as records (``csv_records``: quoted cells may hold line breaks),
+one multi-path scan per distinct header, and projected onto that schema with
+Column expressions.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from tidewater.functions import types as TY
 from tidewater.functions import time as TM
+from tidewater.sources import csv_records
 
 # Headers of schema.csv and what they stand for, best first.
 HEADERS = {
@@ -53,9 +55,13 @@ class DeclaredField:
     description: str | None = None
 
     @property
-    def spark_type(self) -> T.DataType:
+    def item_type(self) -> T.DataType:
         return TY.WAREHOUSE_TO_SPARK[self.type_name]
 
+    @property
+    def spark_type(self) -> T.DataType:
+        return T.ArrayType(self.item_type) if self.mode == "REPEATED" else self.item_type
+
 
 def header_roles(header: list[str]) -> dict[str, str]:
     """Role -> the header that plays it."""
@@ -114,13 +120,28 @@ def normalize_csv_timestamp(text: Column, fail: bool = True) -> Column:
 def _loud(value: Column, text: Column, blank: Column, f: DeclaredField) -> Column:
     """``value``, but a cell that is not blank and has none fails the batch."""
     what = F.concat(F.lit(f"column {f.name}: not a {f.type_name}: "), text)
-    return F.when(blank, F.lit(None)).when(value.isNull(), F.raise_error(what).cast(f.spark_type)).otherwise(value)
+    return F.when(blank, F.lit(None)).when(value.isNull(), F.raise_error(what).cast(f.item_type)).otherwise(value)
+
+
+def _repeated(text: Column, f: DeclaredField) -> Column:
+    """A cell of a REPEATED column: a JSON list, each item as a cell of its
+    own; an empty cell is an empty list, other text fails the batch."""
+    items = F.from_json(text, "array<string>", {"mode": "PERMISSIVE"})
+    what = F.concat(F.lit(f"column {f.name}: not a list: "), text)
+    item = DeclaredField(f.name, f.type_name)
+    listed = F.transform(items, lambda x: F.when(x.isNotNull(), typed_value(x, item).cast(f.item_type)))
+    empty = F.array().cast(f.spark_type)
+    is_list = F.ltrim(text).startswith("[") & items.isNotNull()
+    return F.when(F.coalesce(text, F.lit("")) == "", empty).when(is_list, listed).otherwise(F.raise_error(what).cast(f.spark_type))
 
 
 def typed_value(text: Column, f: DeclaredField) -> Column:
     """One CSV cell -> its declared type. Strings stay ``''`` when empty, other
-    types read empty as NULL. A cell that does not parse fails the batch, and so
-    does an empty one of a REQUIRED column that is not text."""
+    types read empty as NULL, and a REPEATED column reads a JSON list. A cell
+    that does not parse fails the batch, and so does an empty one of a REQUIRED
+    column that is not text."""
+    if f.mode == "REPEATED":
+        return _repeated(text, f)
     if f.type_name in ("STRING", "JSON", "TIME"):
         return F.coalesce(text, F.lit(""))
     blank = text.isNull() | (text == F.lit(""))
@@ -133,20 +154,20 @@ def typed_value(text: Column, f: DeclaredField) -> Column:
     elif f.type_name == "BYTES":
         value = _loud(F.try_to_binary(text, F.lit("base64")), text, blank, f)
     else:
-        value = _loud(text.try_cast(f.spark_type), text, blank, f)
+        value = _loud(text.try_cast(f.item_type), text, blank, f)
     if f.mode == "REQUIRED":
         return F.coalesce(value, F.raise_error(F.lit(f"column {f.name}: REQUIRED, but empty")).cast(f.spark_type))
     return value
 
 
 def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> the data files that begin with it. Only the first line of
+    """Header -> the data files that begin with it. Only the first record of
     each file is read, through the file system API; empty files are left out."""
-    from tidewater.sinks.files import first_line
+    from tidewater.sinks.files import first_record
 
     groups: dict[tuple[str, ...], list[str]] = {}
     for uri in sorted(spark.read.text(paths).inputFiles()):
-        path, line = first_line(spark, uri)
+        path, line = first_record(spark, uri)
         if line:
             header = next(csv.reader([line.lstrip("\ufeff")]))
             groups.setdefault(tuple(header), []).append(path)
@@ -183,11 +204,11 @@ def read_declared_csv(
         cells = [F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast("string") for f in fields]
         return raw.select(*audit, *[typed_value(c, f).cast(f.spark_type).alias(f.name) for c, f in zip(cells, fields)])
 
-    reader = spark.read.option("header", True).option("nullValue", "__no_null_value__").option("escape", '"')
-    parts = [
-        projected(reader.schema(_text_columns(header)).csv(files).select("*", "_metadata.file_name"))
-        for header, files in files_by_header(spark, paths).items()
-    ]
+    def read(header: tuple[str, ...], files: list[str]) -> DataFrame:
+        records = csv_records.read_records(spark, files).filter(~F.col("first"))
+        return records.select(csv_records.cells(F.col("record"), _text_columns(header)).alias("__row"), "file_name").select("__row.*", "file_name")
+
+    parts = [projected(read(header, files)) for header, files in files_by_header(spark, paths).items()]
     if not parts:
         return projected(spark.range(0).select(F.lit("").alias("file_name")))
     return reduce(DataFrame.union, parts)
