@@ -366,21 +366,6 @@ def test_missing_final_table_means_full_read(spark):
     assert out.count() == src.count()
 
 
-def test_write_parts_one_file_per_part(spark):
-    from tidewater.sinks import files
-
-    df = spark.range(2350).withColumn("v", F.col("id") % 7)
-    parts = chunk.chunk_rows_to_parts(df, [("id", "asc")], 1000, num_partitions=4)
-    out = os.path.join(tempfile.mkdtemp(prefix="tw-parts-"), "out")
-    files.write_parts(parts, out, ["id", "v"])
-    dirs = sorted(d for d in os.listdir(out) if d.startswith("file_name="))
-    assert dirs == [f"file_name=usage_events_part_00{i}.csv" for i in (1, 2, 3)]
-    for d in dirs:
-        assert len([f for f in os.listdir(os.path.join(out, d)) if f.endswith(".csv")]) == 1
-    back = spark.read.option("header", True).csv(out)
-    assert back.count() == 2350
-
-
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_export_week_reads_back_in_both_formats(spark, fmt):
     from tidewater.plans import q_export

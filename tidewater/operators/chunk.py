@@ -3,15 +3,15 @@
 A global ``row_number()`` without ``PARTITION BY`` moves every row into one
 task. Instead:
 
-1. range-partition on the total order and sort within partitions, then
-   write a reliable checkpoint (shared folder) so partition contents and
-   order are fixed even if executors are lost and tasks re-run;
-2. count rows per partition -- one small row per partition;
-3. prefix-sum those counts into offsets on the driver (one number per
-   partition -- bounded by the partition count, not by the data);
-4. row index = partition offset + position inside the partition, where the
-   position comes from ``monotonically_increasing_id`` (partition id in the
-   upper bits, position in the lower 33 bits) on the checkpointed data.
+1. range-partition on the total order, sort within partitions and land the
+   rows with their range and their place in it, so that both are fixed even if
+   executors are lost and tasks re-run; the number of ranges follows from the
+   size of the data (AQE merges small ones);
+2. count rows per range -- one small row per range, from one landed column;
+3. prefix sums on two levels: over groups of ranges, and over the ranges of
+   each group. They are kept as a table and joined, so neither the plan nor the
+   driver holds a number per range;
+4. row index = offset of the range + place in it.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.dedupe import OrderSpec, order_columns
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.session import scratch_path
 
 _POS_BITS = 33
 
@@ -33,29 +33,41 @@ def _sort_cols(df: DataFrame, order_by: OrderSpec) -> list[Column]:
     return cols
 
 
+def _landed(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def range_offsets(counts: DataFrame, group_size: int = 1024) -> DataFrame:
+    """``(__range, __offset)``: the rows before each range, of ``(__range,
+    __n)``. Only the sums of groups of ranges are summed up in one task."""
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sum_of = lambda c, w: F.coalesce(F.sum(c).over(before(w)), F.lit(0))
+    grouped = counts.withColumn("__group", F.floor(F.col("__range") / group_size))
+    groups = grouped.groupBy("__group").agg(F.sum("__n").alias("__all"))
+    bases = groups.select("__group", sum_of("__all", Window.orderBy("__group")).alias("__base"))
+    inside = sum_of("__n", Window.partitionBy("__group").orderBy("__range"))
+    offsets = grouped.withColumn("__inside", inside).join(bases, "__group")
+    return offsets.select("__range", (F.col("__base") + F.col("__inside")).cast("bigint").alias("__offset"))
+
+
 def with_row_index(
     df: DataFrame, order_by: OrderSpec, num_partitions: int | None = None, index_col: str = "row_index"
 ) -> DataFrame:
     """Add a 0-based, gap-free ``index_col`` following ``order_by`` (ties
     broken by all remaining columns)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _sort_cols(df, order_by)
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
-    pid = F.spark_partition_id()
-    local = ranged.withColumn("__pid", pid).withColumn(
-        "__pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), _POS_BITS)
+    ranged = df.repartitionByRange(*([num_partitions] if num_partitions else []), *cols).sortWithinPartitions(*cols)
+    place = F.monotonically_increasing_id()
+    rows = _landed(
+        ranged.withColumn("__place", place).select(
+            "*", F.shiftright("__place", _POS_BITS).alias("__range")
+        ).withColumn("__place", F.col("__place") - F.shiftleft("__range", _POS_BITS)),
+        "row-index",
     )
-    # One count per partition: the size of this result is bounded by the
-    # partition count, not by the data, so it may come to the driver.
-    counts = dict(local.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n")).collect())
-    offsets, running = [], 0
-    for p in range(n):
-        offsets.append(running)
-        running += counts.get(p, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), pid + 1)
-    return local.withColumn(index_col, (offset + F.col("__pos")).cast("bigint")).drop("__pid", "__pos")
+    offsets = _landed(range_offsets(rows.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))), "row-index-offsets")
+    return rows.join(offsets, "__range").select(*df.columns, (F.col("__offset") + F.col("__place")).alias(index_col))
 
 
 def chunk_rows_to_parts(

@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from tidewater.functions import time as TM
 from tidewater.functions import types as TY
 from tidewater.functions.contract import TRACKING_CONTRACT, EventContract
-from tidewater.operators import dedupe, filters, joins, merge, project, records, replace, schema
+from tidewater.operators import chunk, dedupe, filters, joins, merge, project, records, replace, schema
 from tidewater.plans.configs import AdsStream, TableConfig
 from tidewater.plans import windows
 from tidewater.session import scratch_path
-from tidewater.sinks import files
+from tidewater.sinks import files, parts
 from tidewater.sources import csv_declared, ndjson, pages, scans
 
 TRACKING_ZONE = "America/Chicago"
@@ -257,6 +257,16 @@ def refresh_tracking_day_table(
     files.replace_partitions(rebuilt, table_path, ["local_date"], touched=days)
 
 
+def usage_export(curated: DataFrame, today: date, zone: str, rows_per_part: int, out_dir: str, batch_id: str) -> str:
+    """Weekly export of the curated tracking table: the week before the latest
+    Tuesday -> exact parts in time order -> files of all 26 columns under their
+    own names, with their manifest, whose path is returned."""
+    start, end = windows.weekly_window(today)
+    week = filters.filter_local_week(curated, "timestamp", start, end, zone)
+    cut = chunk.chunk_rows_to_parts(week, [("timestamp", "asc")], rows_per_part)
+    return parts.export_parts(cut, out_dir, list(project.TRACKING_LAYOUT), "timestamp", batch_id)
+
+
 def nps_run(
     spark,
     export_path: str | None,

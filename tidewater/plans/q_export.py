@@ -11,16 +11,17 @@ from pyspark.sql import types as T
 from tidewater import fixtures as fx
 from tidewater.functions import time as TM
 from tidewater.operators import chunk, filters
-from tidewater.plans import windows
+from tidewater.plans import jobs, q_curation, windows
 from tidewater.plans.registry import register
 from tidewater.session import scratch_path
-from tidewater.sinks import files
+from tidewater.sinks import files, parts
 from tidewater.sources import csv_records
 
 TODAY = date(2024, 1, 23)  # a Tuesday: the week is [2024-01-16, 2024-01-23)
 WEEK_START, WEEK_END = windows.weekly_window(TODAY)
 ZONE = "UTC"
 ROWS_PER_PART = 1000
+CURATED_ROWS_PER_PART = 100
 BATCH_ID = "2024-01-23-08-00-00"
 
 _USAGE_SQL = """
@@ -32,7 +33,13 @@ _WEEK_SQL = f"""
 week as (select * from usage where {_AUTO} >= timestamp '{WEEK_START} 00:00:00' and {_AUTO} < timestamp '{WEEK_END} 00:00:00')"""
 _PARTS_SQL = f"""
 parts as (select *, row_number() over (order by event_id) - 1 as row_index,
-  cast((row_number() over (order by event_id) - 1) // {ROWS_PER_PART} + 1 as integer) as part_no from week)"""
+  cast((row_number() over (order by event_id) - 1) // {ROWS_PER_PART} + 1 as integer) as part_no from usage)"""
+# The weekly export of the curated tracking table.
+_CURATED_PARTS_SQL = f"""
+curated as ({q_curation._CURATED_SQL}),
+parts as (select "timestamp", cast((row_number() over (order by "timestamp") - 1) // {CURATED_ROWS_PER_PART} + 1 as integer) as part_no
+  from curated where make_timestamp("timestamp" * 1000) >= timestamp '{WEEK_START} 00:00:00'
+   and make_timestamp("timestamp" * 1000) < timestamp '{WEEK_END} 00:00:00')"""
 _MANIFEST_SQL = f"""
 select '{BATCH_ID}' as batch_id, count(*) over () as expected_file_count,
  printf('usage_events_part_%03d.csv', part_no::bigint) as file_name, row_count,
@@ -97,46 +104,45 @@ def q_filter_local_week(spark, sf):
     return week_rows(spark, sf)
 
 
-@register("chunk_rows_to_parts", "with " + _USAGE_SQL + "," + _WEEK_SQL + "," + _PARTS_SQL + " select * from parts")
+def usage_parts(spark, sf):
+    return chunk.chunk_rows_to_parts(usage_table(spark, sf), [("event_id", "asc")], ROWS_PER_PART)
+
+
+@register("chunk_rows_to_parts", "with " + _USAGE_SQL + "," + _PARTS_SQL + " select * from parts")
 def q_chunk_rows_to_parts(spark, sf):
-    """Exact parts of 1,000 rows in id order: 1,000 / 1,000 / 350 at sf0.01."""
-    return chunk.chunk_rows_to_parts(week_rows(spark, sf), [("event_id", "asc")], ROWS_PER_PART)
+    """Exact parts of 1,000 rows in id order, the last one shorter."""
+    return usage_parts(spark, sf)
 
 
-@register("agg_export_manifest", "with " + _USAGE_SQL + "," + _WEEK_SQL + "," + _PARTS_SQL + _MANIFEST_SQL)
+@register("agg_export_manifest", "with " + _USAGE_SQL + "," + _PARTS_SQL + _MANIFEST_SQL)
 def q_agg_export_manifest(spark, sf):
     """Per part row counts; global min / max of the raw (mixed-unit) timestamp."""
-    parts = chunk.chunk_rows_to_parts(week_rows(spark, sf), [("event_id", "asc")], ROWS_PER_PART)
-    return chunk.export_manifest(parts, "timestamp", BATCH_ID)
+    return chunk.export_manifest(usage_parts(spark, sf), "timestamp", BATCH_ID)
 
 
-@register("job_usage_export", "with " + _USAGE_SQL + "," + _WEEK_SQL + "," + _PARTS_SQL + _MANIFEST_SQL)
+@register("job_usage_export", "with " + _CURATED_PARTS_SQL + _MANIFEST_SQL)
 def q_job_usage_export(spark, sf):
-    """Week filter -> exact parts -> part files + ``metadata.json``; returns the
-    manifest rows."""
-    parts = chunk.chunk_rows_to_parts(week_rows(spark, sf), [("event_id", "asc")], ROWS_PER_PART)
-    manifest = chunk.export_manifest(parts, "timestamp", BATCH_ID)
-    out = scratch_path(spark, "usage-export")
-    files.write_parts(parts, out, USAGE_SCHEMA.fieldNames())
-    files.write_manifest(manifest, out + "/metadata.json")
-    return manifest
+    """Tracking events curated into the 26-column table -> its week -> exact
+    parts -> named part files and ``metadata.json``; returns the manifest's
+    rows."""
+    path = scratch_path(spark, "curated-table")
+    jobs.curate_tracking(fx.tracking_events(spark, sf), fx.dim_users(spark, sf)).write.parquet(path)
+    out = jobs.usage_export(spark.read.parquet(path), TODAY, ZONE, CURATED_ROWS_PER_PART, scratch_path(spark, "usage-export"), BATCH_ID)
+    return parts.manifest_rows(spark, out)
 
 
 @register(
     "export_parts_with_manifest",
-    "with " + _USAGE_SQL + "," + _WEEK_SQL + "," + _PARTS_SQL
+    "with " + _USAGE_SQL + "," + _PARTS_SQL
     + " select event_id, user_id, event_type, \"timestamp\", "
     "printf('usage_events_part_%03d.csv', part_no::bigint) as file_name from parts",
 )
 def q_export_parts_with_manifest(spark, sf):
-    """Parts written as one CSV file each, read back: every row lands in the
-    file named for its part."""
-    parts = chunk.chunk_rows_to_parts(week_rows(spark, sf), [("event_id", "asc")], ROWS_PER_PART)
+    """Parts written as one CSV file each under its own name, read back: every
+    row lies in the file named for its part."""
     out = scratch_path(spark, "usage-parts")
-    files.write_parts(parts, out, USAGE_SCHEMA.fieldNames())
-    files.write_manifest(chunk.export_manifest(parts, "timestamp", BATCH_ID), out + "/metadata.json")
-    schema = T.StructType(USAGE_SCHEMA.fields + [T.StructField("file_name", T.StringType())])
-    return spark.read.schema(schema).option("header", True).csv(out)
+    parts.export_parts(usage_parts(spark, sf), out, USAGE_SCHEMA.fieldNames(), "timestamp", BATCH_ID)
+    return csv_records.read_csv(spark, out + "/*.csv", USAGE_SCHEMA)
 
 
 @register("export_week", "with " + _USAGE_SQL + "," + _WEEK_SQL + " select * from week")
@@ -147,11 +153,11 @@ def q_export_week(spark, sf):
     return csv_records.read_csv(spark, out, USAGE_SCHEMA).drop("file_name")
 
 
-@register("scan_export_shards", "with " + _USAGE_SQL + "," + _WEEK_SQL + " select * from week")
+@register("scan_export_shards", "with " + _USAGE_SQL + " select * from usage")
 def q_scan_export_shards(spark, sf):
     """Exported CSV shards (gzip, with header) read back in one scan; rows
     with no non-empty cell are dropped."""
-    rows = week_rows(spark, sf)
+    rows = usage_table(spark, sf)
     blanks = rows.filter(F.col("event_id") % 53 == 0).select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in USAGE_SCHEMA.fields]
     )

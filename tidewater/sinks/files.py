@@ -8,13 +8,10 @@ touched partitions.
 
 from __future__ import annotations
 
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidewater.operators.chunk import part_file_name
 from tidewater.session import scratch_path
 
 POINTER = "_CURRENT"
@@ -148,45 +145,5 @@ def export_week(
     return out
 
 
-def write_parts(parts: DataFrame, out_dir: str, columns: list[str], part_col: str = "part_no") -> str:
-    """One CSV file (with header) per part, in index order, under
-    ``file_name=usage_events_part_NNN.csv`` folders.
-
-    Range partitioning on the part number keeps every part whole in one task
-    (equal keys never split), and caps the task count at
-    ``spark.sql.shuffle.partitions`` however many parts there are; each task
-    writes one file per part it holds."""
-    spark = parts.sparkSession
-    named = parts.withColumn("file_name", part_file_name(F.col(part_col)))
-    n_parts = int(named.agg(F.max(part_col)).collect()[0][0] or 0)
-    tasks = max(1, min(n_parts, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    (
-        named.repartitionByRange(tasks, part_col)
-        .sortWithinPartitions(part_col, "row_index")
-        .select(*columns, "file_name")
-        .write.mode("overwrite")
-        .options(**CSV_DIALECT)
-        .option("maxRecordsPerFile", 0)
-        .partitionBy("file_name")
-        .csv(out_dir)
-    )
-    return out_dir
-
-
-def write_manifest(manifest: DataFrame, path: str) -> dict:
-    """``metadata.json`` from the manifest rows (one small row per part)."""
-    rows = manifest.orderBy("file_name").collect()
-    meta = {
-        "batch_id": rows[0]["batch_id"] if rows else None,
-        "expected_file_count": len(rows),
-        "expected_file_names": [r["file_name"] for r in rows],
-        "row_counts": {r["file_name"]: int(r["row_count"]) for r in rows},
-        "min_event_timestamp": rows[0]["min_event_timestamp"] if rows else None,
-        "max_event_timestamp": rows[0]["max_event_timestamp"] if rows else None,
-    }
-    _write_text(manifest.sparkSession, path, json.dumps(meta, indent=2, default=str))
-    return meta
-
-
 def landing_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)

@@ -32,10 +32,21 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 
 def swap_in(spark: SparkSession, new_state: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
     """Replace ``table`` by a new state computed from it: the state is written
-    to a staging table first (Spark cannot overwrite a table it reads), then
-    renamed over the old one."""
-    staging = f"{table}__next"
+    to a staging table first (Spark cannot overwrite a table it reads), the old
+    one is renamed aside, the new one takes its name, and only then the old one
+    goes. If a run ends between the two renames, the next one puts the old table
+    back first (:func:`recover`)."""
+    staging, old = f"{table}__next", f"{table}__old"
+    recover(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     save_bucketed(new_state, staging, keys, buckets)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo a swap that was cut short."""
+    old = f"{table}__old"
+    if spark.catalog.tableExists(old):
+        spark.sql(f"DROP TABLE {old}" if spark.catalog.tableExists(table) else f"ALTER TABLE {old} RENAME TO {table}")
