@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import io
 import os
 import tempfile
 import zipfile
@@ -403,11 +404,11 @@ def test_snake_case_rule():
 def test_archive_lines_split_at_newlines_only():
     import gzip
 
-    from tidewater.sources.ndjson import _decode
+    from tidewater.sources.ndjson import decoded_lines
 
     data = '{"a":"x\u2028y z"}\r\n{"b":1}\n\n{"c":2}'.encode()
     for content in (data, gzip.compress(data)):
-        assert [x for x in _decode(content) if x] == ['{"a":"x\u2028y z"}', '{"b":1}', '{"c":2}']
+        assert [x for x in decoded_lines(io.BytesIO(content)) if x] == ['{"a":"x\u2028y z"}', '{"b":1}', '{"c":2}']
 
 
 def test_latest_batch_matches_the_glob_exactly(spark, tmp_path):

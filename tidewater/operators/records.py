@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions import semistructured as J
@@ -72,17 +73,29 @@ def nps_rows(
     ingested_at: datetime,
     line_col: str = "line",
     event_name: str = NPS_EVENT_NAME,
+    partitions: int | None = None,
+    days: tuple[date, date] | None = None,
 ) -> DataFrame:
     """One row per NPS answer: exact event name, attributes an object
     describing an NPS experience, a score, a truthy timestamp.
 
+    Parsing is what this costs. Where the input is not split (one archive, a
+    file with one row group), ``partitions`` deals the lines out before. With
+    ``days`` (first and last), only the timestamp is read of lines of other
+    days.
+
     Stages, each computed once per row: parse the record; resolve the
     attributes (JSON text inside a string is parsed); pick the deciding
     survey response; then filter and project the kept rows."""
     rec = "__rec"
     narrow = lines.selectExpr(f"`{line_col}` AS __line")
+    if partitions is not None:
+        narrow = narrow.repartition(partitions)
     parsed = with_once(narrow, __rec=J.parse_record("__line"))
     objects = parsed.filter(J.col(J.is_object(rec)))
+    if days is not None:
+        stamp = parse_iso_timestamp(J.stringify_or_null(J.field(rec, "$.timestamp")))
+        objects = with_once(objects, __at=stamp).filter(F.to_date("__at").between(*map(F.lit, days)))
     attrs_raw = J.field(rec, "$.attributes")
     staged = with_once(objects, __attrs_raw=attrs_raw)
     staged = with_once(staged, __attrs=J.json_parse_or_keep("__attrs_raw"))

@@ -113,7 +113,9 @@ def nps_history(
     return replace.replace_by_key(history, raw, "event_id", records.NPS_ORDER)
 
 
-def nps_backfill(lines: DataFrame, history: DataFrame | None, start: date | str, end: date | str) -> DataFrame:
+def nps_backfill(
+    lines: DataFrame, history: DataFrame | None, start: date | str, end: date | str, partitions: int | None = None
+) -> DataFrame:
     """Backfill of an inclusive day range as one job. Each event belongs to
     the day slice of its timestamp (``_run_date``), ingested at 06:00 the
     next morning; per ``event_id`` the latest day wins, as if the days had
@@ -122,11 +124,11 @@ def nps_backfill(lines: DataFrame, history: DataFrame | None, start: date | str,
     end_d = date.fromisoformat(end) if isinstance(end, str) else end
     if start_d > end_d:
         raise ValueError(f"backfill range is inverted: {start_d} > {end_d}")
-    rows = records.nps_rows(lines, start_d, datetime.combine(start_d, datetime.min.time()))
-    day = F.to_date("event_timestamp")
+    rows = records.nps_rows(
+        lines, start_d, datetime.combine(start_d, datetime.min.time()), partitions=partitions, days=(start_d, end_d)
+    )
     rows = (
-        rows.filter(day.between(F.lit(start_d), F.lit(end_d)))
-        .withColumn("_run_date", day)
+        rows.withColumn("_run_date", F.to_date("event_timestamp"))
         .withColumn("_ingested_at", F.timestamp_add("HOUR", F.lit(30), F.col("_run_date").cast("timestamp_ntz")))
     )
     order = [("_run_date", "desc")] + records.NPS_ORDER

@@ -85,7 +85,8 @@ def _nps(spark, sf, run_date=RUN_DATE, ingested_at=INGESTED_AT, cond=None):
     feed = fx.nps_feed(spark, sf)
     if cond is not None:
         feed = feed.filter(cond)
-    return records.nps_rows(feed, run_date, ingested_at)
+    # The feed comes from one file, which one task would parse.
+    return records.nps_rows(feed, run_date, ingested_at, partitions=spark.sparkContext.defaultParallelism)
 
 
 @register("filter_nps_event", "with " + NPS_CTES + f" select {_NPS_COLS} from nps_rows")
@@ -255,7 +256,7 @@ select * from bf where event_id is not null
 def q_backfill_by_day(spark, sf):
     """Each day of an inclusive range re-exported and replaced by key, as one
     job: later days overwrite earlier ones."""
-    return jobs.nps_backfill(fx.nps_feed(spark, sf), None, BF_START, BF_END)
+    return jobs.nps_backfill(fx.nps_feed(spark, sf), None, BF_START, BF_END, spark.sparkContext.defaultParallelism)
 
 
 @register(

@@ -26,17 +26,6 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
-    """The first ``n`` bytes of a file, or fewer where it is shorter."""
-    fs, hpath = _fs(spark, path)
-    stream = fs.open(hpath)
-    try:
-        found = [stream.read() for _ in range(n)]  # one byte each, -1 at the end
-    finally:
-        stream.close()
-    return bytes(b for b in found if b >= 0)
-
-
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, hpath = _fs(spark, path)
     out = fs.create(hpath, True)

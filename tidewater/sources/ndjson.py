@@ -1,32 +1,36 @@
 """Newline-delimited JSON exports.
 
 Plain and ``.gz`` files are read by Spark's text source (codec chosen by
-extension, split across tasks for plain files). Archives Spark cannot
-decode by name -- a ``.zip``, or gzip without a ``.gz`` extension -- are
-found by their first bytes, read with ``binaryFile`` and decoded line by line
-on the executors by ``mapInArrow``; only file names and two bytes of each file
-that Spark can't decode by name pass through the driver.
+extension, plain files split across tasks). Archives Spark can't decode by
+name -- a ``.zip``, or gzip without a ``.gz`` extension -- are told by their
+first bytes, in tasks, and read by a Python data source with one input
+partition per archive. It opens an archive as a stream and decodes it batch by
+batch, so an archive may have any size and a task holds one batch of lines. The
+driver sees file names only.
 """
 
 from __future__ import annotations
 
 import gzip
 import io
+import json
 import zipfile
 from collections.abc import Iterator
-from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidewater.functions import semistructured as J
-from tidewater.sinks.files import first_bytes
+from tidewater.storage import open_fs
 
+FORMAT = "tidewater_archives"
 LINE_SCHEMA = T.StructType([T.StructField("source_file", T.StringType()), T.StructField("line", T.StringType())])
-
-BATCH_LINES = 8192
-_ARCHIVE_MAGIC = (b"\x1f\x8b", b"PK")
+BATCH_LINES, BATCH_BYTES = 8192, 8 << 20
+BUFFER = 1 << 20
+_GZIP, _ZIP = b"\x1f\x8b", b"PK"
 
 
 def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -34,39 +38,88 @@ def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def _decode(content: bytes) -> Iterator[str]:
-    """Lines of one export file (gzip, zip and plain told apart by their first
-    bytes; undecodable bytes replaced). Only line feeds end a record; other
-    separators can stand inside one."""
-    raw = io.BytesIO(content)
-    if content[:2] == b"\x1f\x8b":
-        raw = gzip.GzipFile(fileobj=raw)
-    elif content[:2] == b"PK":
-        zf = zipfile.ZipFile(raw)
-        members = [n for n in zf.namelist() if not n.endswith("/")]
-        if not members:
-            return
-        raw = zf.open(members[0])
-    for line in raw:
+def _stream(file, magic: bytes):
+    """The decoded bytes of an open export file, as a stream: gzip (all its
+    members), the first file of a zip, or the file itself."""
+    if magic == _GZIP:
+        return gzip.GzipFile(fileobj=file)
+    if magic == _ZIP:
+        archive = zipfile.ZipFile(file)
+        members = [n for n in archive.namelist() if not n.endswith("/")]
+        return archive.open(members[0]) if members else None
+    return file
+
+
+def decoded_lines(file) -> Iterator[str]:
+    """Lines of an open export file; undecodable bytes are replaced. Only line
+    feeds end a record; other separators can stand inside one."""
+    magic = file.read(2)
+    file.seek(0)
+    stream = _stream(file, magic)
+    for line in stream or ():
         yield line.removesuffix(b"\n").removesuffix(b"\r").decode("utf-8", errors="replace")
 
 
-def _decode_batches(batches):
-    import pyarrow as pa
+def line_batches(path: str, lines: Iterator[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most BATCH_LINES lines and about BATCH_BYTES characters."""
+    held, size = [], 0
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(held), pa.string()), pa.array(held, pa.string())], ["source_file", "line"])
+
+    for line in lines:
+        held.append(line)
+        size += len(line)
+        if len(held) == BATCH_LINES or size >= BATCH_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+class ArchivePartition(InputPartition):
+    def __init__(self, path: str):
+        self.path = path
+
+
+class ArchiveReader(DataSourceReader):
+    def __init__(self, paths: list[str]):
+        self.paths = paths
+
+    def partitions(self) -> list[ArchivePartition]:
+        return [ArchivePartition(p) for p in self.paths]
 
-    for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-            lines = _decode(content or b"")
-            while held := list(islice(lines, BATCH_LINES)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(held), pa.string()), pa.array(held, pa.string())], ["source_file", "line"]
-                )
+    def read(self, partition: ArchivePartition) -> Iterator[pa.RecordBatch]:
+        fs, path = open_fs(partition.path)
+        with fs.open_input_file(path) as file:
+            yield from line_batches(partition.path, decoded_lines(io.BufferedReader(file, BUFFER)))
+
+
+class ArchiveSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def schema(self) -> T.StructType:
+        return LINE_SCHEMA
+
+    def reader(self, schema) -> ArchiveReader:
+        return ArchiveReader(json.loads(self.options["paths"]))
+
+
+def _names(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
+    """Names of the files; their contents aren't read."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
 
 
 def read_archive_lines(spark: SparkSession, path: str | list[str], glob: str = "*") -> DataFrame:
-    """Lines of gzip (any name), zip (first member) or plain files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
-    return files.mapInArrow(_decode_batches, LINE_SCHEMA)
+    """Lines of gzip (any name), zip (first member) or plain files, one input
+    partition per file."""
+    names = sorted(r.path for r in _names(spark, path, glob).collect())
+    if not names:
+        return spark.createDataFrame([], LINE_SCHEMA)
+    spark.dataSource.register(ArchiveSource)
+    return spark.read.format(FORMAT).option("paths", json.dumps(names)).load()
 
 
 def json_objects(lines: DataFrame, line_col: str = "line") -> DataFrame:
@@ -79,12 +132,26 @@ def json_objects(lines: DataFrame, line_col: str = "line") -> DataFrame:
     )
 
 
+def _packed(batches):
+    """Whether each named file is an archive, by its first two bytes."""
+    for b in batches:
+        names, packed = b.column(0).to_pylist(), []
+        for name in names:
+            if name.endswith(".gz"):  # Spark decodes it by its name
+                packed.append(False)
+                continue
+            fs, path = open_fs(name)
+            with fs.open_input_stream(path) as file:
+                packed.append(file.read(2) in (_GZIP, _ZIP))
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(packed, pa.bool_())], ["path", "packed"])
+
+
 def _archives(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Paths of (plain files, archives) of an export. ``.gz`` files count as
-    plain: Spark decodes them by their name."""
-    names = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
-    packed = {n for n in names if not n.endswith(".gz") and first_bytes(spark, n, 2) in _ARCHIVE_MAGIC}
-    return [n for n in names if n not in packed], sorted(packed)
+    """Names of (plain files, archives) of an export. Files are opened in
+    tasks; names and one flag per file come to the driver."""
+    names = _names(spark, path).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    told = names.mapInArrow(_packed, "path string, packed boolean").collect()
+    return sorted(r.path for r in told if not r.packed), sorted(r.path for r in told if r.packed)
 
 
 def scan_ndjson_export(spark: SparkSession, path: str, archives: bool | None = None) -> DataFrame:

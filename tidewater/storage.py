@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import unquote
 
 
 def open_fs(uri: str):
-    """(file system, path in it) of a file or folder that Spark names. Local
-    ones come as ``file:/x``, ``file:///x`` or ``/x``; other schemes are
-    Arrow's (hdfs, viewfs, s3, gs, abfs)."""
+    """(file system, path in it) of a file or folder that Spark names (a path
+    as it stands, not percent-encoded). Local ones come as ``file:/x``,
+    ``file:///x`` or ``/x``; other schemes are Arrow's (hdfs, viewfs, s3, gs,
+    abfs)."""
     from pyarrow import fs
 
     if re.match(r"^(file:)?/", uri):
-        local = re.sub(r"^file:/+", "/", uri)
-        return fs.LocalFileSystem(), unquote(local) if uri.startswith("file:") else local
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", uri)
     return fs.FileSystem.from_uri(uri)
