@@ -82,6 +82,12 @@ def filter_late_rows(
     return staged.filter(F.col(staged_col) > F.coalesce(wm, epoch))
 
 
+def filter_above(staged: DataFrame, staged_col: str, watermark: Column | None) -> DataFrame:
+    """The same rule for a watermark that is known already (None: no rows yet)."""
+    epoch = F.lit(TM.EPOCH_NTZ).cast(_dtype(staged, staged_col))
+    return staged.filter(F.col(staged_col) > (epoch if watermark is None else watermark))
+
+
 def non_blank(cols: list[str]) -> Column:
     """Any cell non-empty (NULL and ``''`` both count as empty)."""
     return reduce(

@@ -7,11 +7,11 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from tidewater import fixtures as fx
-from tidewater.operators import dedupe, filters, merge, project, records
+from tidewater.operators import dedupe, filters, project, records
 from tidewater.plans import q_merge, windows
 from tidewater.plans.registry import register
 from tidewater.session import scratch_path
-from tidewater.sinks import files
+from tidewater.sinks import keyed
 from tidewater.sources import ndjson, scans
 from tidewater.streaming import microbatch
 
@@ -103,39 +103,62 @@ def q_advance_bookmark(spark, sf):
     return windows.advance_bookmark(bookmarks(spark, sf), "click", "event_date", "2024-01-17")
 
 
-def _land_orders_raw_by_range(spark, sf) -> str:
-    """Raw staging rows landed as three files in time order (one per range)."""
+MERGE_BUCKETS = 16
+
+
+def _land_orders_raw_by_range(spark, sf, newest_first: bool = False) -> str:
+    """Raw staging rows landed as files in time order, or against it: three
+    ranges, each of several files."""
     raw = fx.orders_raw(spark, sf)
     root = scratch_path(spark, "orders-raw-stream")
     cuts = ["1999-12-31", "2000-06-01", "2001-01-01", "2100-01-01"]
-    fs0, inp = files._fs(spark, f"{root}/input")
-    fs0.mkdirs(inp)
-    for i in range(3):
-        lo, hi = (F.lit(c).cast("timestamp_ntz") for c in cuts[i : i + 2])
-        raw.filter((F.col("updatedAt") >= lo) & (F.col("updatedAt") < hi)).coalesce(1).write.parquet(f"{root}/part{i}")
-        # Move the single data file up so the source lists files in write order.
-        fs, src = files._fs(spark, f"{root}/part{i}")
-        for st in fs.listStatus(src):
-            if st.getPath().getName().endswith(".parquet"):
-                fs.rename(st.getPath(), files._fs(spark, f"{root}/input/{i:03d}.parquet")[1])
-    return f"{root}/input"
+    for lo, hi in sorted(zip(cuts, cuts[1:]), reverse=newest_first):
+        lo, hi = (F.lit(c).cast("timestamp_ntz") for c in (lo, hi))
+        part = raw.filter((F.col("updatedAt") >= lo) & (F.col("updatedAt") < hi))
+        part.repartition(2).write.mode("append").parquet(root)
+    return root
+
+
+def _keyed_orders(spark, sf):
+    return keyed.create(fx.orders_final(spark, sf), scratch_path(spark, "orders-keyed"), ["id"], MERGE_BUCKETS, "updated_at")
+
+
+def _prepared(batch, mark):
+    staged = filters.filter_above(batch, "updatedAt", mark)
+    return dedupe.dedupe_latest(project.project_snake_case(staged), ["id"], [("updated_at", "desc")])
 
 
 @register("stream_merge_microbatch", q_merge._UPSERT_SQL)
 def q_stream_merge_microbatch(spark, sf):
-    """The 30-minute replication as a stream: each micro-batch (one landed
-    file) goes through late filter -> snake_case -> keep-latest -> MERGE
-    into the final snapshot. Equals the one-shot merge."""
-    src = _land_orders_raw_by_range(spark, sf)
-    final_root = scratch_path(spark, "orders-final")
-    files.write_snapshot(fx.orders_final(spark, sf), final_root)
-
-    def merge_batch(final, batch):
-        staged = filters.filter_late_rows(batch, "updatedAt", final, "updated_at")
-        latest = dedupe.dedupe_latest(project.project_snake_case(staged), ["id"], [("updated_at", "desc")])
-        return merge.merge_upsert(final, latest, ["id"])
-
-    return microbatch.merge_stream(spark, src, fx.orders_raw(spark, sf).schema, final_root, merge_batch)
+    """The 30-minute replication as a stream: each micro-batch (two landed
+    files) goes through late filter -> snake_case -> keep-latest -> MERGE into
+    the key partitions it touches. Equals the one-shot merge."""
+    src, table = _land_orders_raw_by_range(spark, sf), _keyed_orders(spark, sf)
+    return microbatch.merge_stream(spark, src, fx.orders_raw(spark, sf).schema, table, _prepared, max_files_per_trigger=2)
+
+
+@register("stream_keep_latest", q_merge._UPSERT_SQL)
+def q_stream_keep_latest(spark, sf):
+    """The same input as keyed state of the stream, files of the newest range
+    first: rows that arrive out of order change nothing in the outcome."""
+    src, table = _land_orders_raw_by_range(spark, sf, newest_first=True), _keyed_orders(spark, sf)
+    raw = fx.orders_raw(spark, sf).schema
+    return microbatch.latest_stream(spark, src, raw, table, project.project_snake_case, ["updated_at"], max_files_per_trigger=2)
+
+
+@register("merge_upsert_scoped", q_merge._UPSERT_SQL)
+def q_merge_upsert_scoped(spark, sf):
+    """One batch merged into a table partitioned by a hash of its keys."""
+    table = _keyed_orders(spark, sf)
+    keyed.merge_batch(table, _prepared(fx.orders_raw(spark, sf), keyed.watermark(spark, table)), "run-1")
+    return keyed.read(spark, table)
+
+
+@register("footer_watermark", q_merge._OF + "select max(updated_at) as watermark from fx_orders_final")
+def q_footer_watermark(spark, sf):
+    """``MAX(updated_at)`` from the footers of the keyed table."""
+    table = _keyed_orders(spark, sf)
+    return spark.range(1).select(keyed.watermark(spark, table).alias("watermark"))
 
 
 @register(

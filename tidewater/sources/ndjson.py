@@ -77,6 +77,32 @@ def line_batches(path: str, lines: Iterator[str]) -> Iterator[pa.RecordBatch]:
         yield batch()
 
 
+class _RawFile(io.RawIOBase):
+    """An Arrow file as Python's archive readers expect one: a seek before the
+    start is an OSError."""
+
+    def __init__(self, file):
+        self.file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, target) -> int:
+        return self.file.readinto(target)
+
+    def tell(self) -> int:
+        return self.file.tell()
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self.file.seek(offset, whence)
+        except pa.ArrowInvalid as e:
+            raise OSError(str(e)) from e
+
+
 class ArchivePartition(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -92,7 +118,7 @@ class ArchiveReader(DataSourceReader):
     def read(self, partition: ArchivePartition) -> Iterator[pa.RecordBatch]:
         fs, path = open_fs(partition.path)
         with fs.open_input_file(path) as file:
-            yield from line_batches(partition.path, decoded_lines(io.BufferedReader(file, BUFFER)))
+            yield from line_batches(partition.path, decoded_lines(io.BufferedReader(_RawFile(file), BUFFER)))
 
 
 class ArchiveSource(DataSource):
