@@ -100,3 +100,29 @@ def test_catalogue():
     assert len(configs.ADS_BY_NAME) == 10 and sum(s.stream_type == "insights" for s in configs.ADS_STREAMS) == 6
     with pytest.raises(ValueError):
         configs.AdsStream("x", "insights")
+
+
+def _json(spark, tmp_path, *lines, **kwargs):
+    (tmp_path / "in.json").write_text("\n".join(lines))
+    return pages.infer_json(spark, str(tmp_path / "in.json"), **kwargs)
+
+
+def test_one_pass_inference(spark, tmp_path):
+    out = _json(
+        spark, tmp_path, '{"a":1,"b":{"c":[1,2],"d":"x"},"e":1,"f":true,"n":null}', "",
+        '{"a":2.5,"b":{"c":[3],"z":null},"e":"t","g h":[{"i":1},{"i":2}]}', '{"e":{"k":1}}',
+    )
+    assert {f.name: f.dataType.simpleString() for f in out.schema.fields} == {
+        "a": "double", "b": "struct<c:array<bigint>,d:string,z:string>", "e": "string", "f": "boolean", "n": "string",
+        "g h": "array<struct<i:bigint>>",
+    }
+    got = sorted((r.asDict(recursive=True) for r in out.collect()), key=lambda r: r["e"])
+    assert [(r["a"], r["e"], r["f"]) for r in got] == [(1.0, "1", True), (2.5, "t", None), (None, '{"k":1}', None)]
+    assert got[0]["b"] == {"c": [1, 2], "d": "x", "z": None} and got[1]["g h"] == [{"i": 1}, {"i": 2}]
+
+
+def test_one_pass_inference_of_broken_lines(spark, tmp_path):
+    with pytest.raises(Exception, match="no JSON object"):
+        _json(spark, tmp_path, '{"a":1}', '{"a')
+    assert [tuple(r) for r in _json(spark, tmp_path, '{"a":1}', '{"a', "[1]", on_broken="skip").collect()] == [(1,)]
+    assert _json(spark, tmp_path, "").columns == []

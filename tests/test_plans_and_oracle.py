@@ -151,3 +151,12 @@ def test_refresh_tracking_day_table_rewrites_only_that_day(spark):
     jobs.refresh_tracking_day_table(path, ev.filter(F.lit(False)), users, "2024-01-10", "2024-01-11", zone)
     after = sorted(os.listdir(path))
     assert "local_date=2024-01-10" not in after and set(after) == set(other) - {"local_date=2024-01-10"}
+
+
+def test_queries_are_listed_without_a_session():
+    """The driver imports the entry before it has a Spark session."""
+    import subprocess
+    import sys
+
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 80"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -49,7 +49,9 @@ def _txt(c: Column) -> Column:
 def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracking events with all 7 event names plus one outside the set;
     ``k % 10`` injects violations: 0 = second flag, 1 = required attribute
-    missing, 2 = foreign attribute, 3 = flag missing.
+    missing, 2 = foreign attribute, 3 = flag missing, 4 = two more flags whose
+    values cancel out (the flags still sum to 1), 5 = flag 2 and another -1 (sum
+    1, but the own flag isn't 1; quick_buy_sell only).
 
     Written as SQL text (``selectExpr``): one driver call per step instead of
     one per Column node."""
@@ -70,6 +72,7 @@ def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     def flag(event: str) -> str:
         return f"CASE WHEN name = '{event}' AND m <> 3 THEN 1 END"
 
+    others = "m = 4 AND name NOT IN ('replay_activated', 'news_visibility_clicked')"
     return named.selectExpr(
         "event_id",
         "user_id",
@@ -78,11 +81,11 @@ def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "name",
         "CASE WHEN (name = 'session_created' AND m <> 3) OR (name <> 'session_created' AND m = 0) THEN 1 END"
         " AS is_session_created",
-        f"{flag('quick_buy_sell')} AS is_quick_buy_sell",
+        "CASE WHEN name = 'quick_buy_sell' AND m = 5 THEN 2 WHEN name = 'quick_buy_sell' AND m <> 3 THEN 1 END AS is_quick_buy_sell",
         f"{flag('partials_taken')} AS is_partials_taken",
-        f"{flag('position_managed')} AS is_position_managed",
-        f"{flag('replay_activated')} AS is_replay_activated",
-        f"{flag('news_visibility_clicked')} AS is_news_visibility_open",
+        "CASE WHEN name = 'position_managed' AND m <> 3 THEN 1 WHEN name = 'quick_buy_sell' AND m = 5 THEN -1 END AS is_position_managed",
+        f"CASE WHEN name = 'replay_activated' AND m <> 3 THEN 1 WHEN {others} THEN 2 END AS is_replay_activated",
+        f"CASE WHEN name = 'news_visibility_clicked' AND m <> 3 THEN 1 WHEN {others} THEN -2 END AS is_news_visibility_open",
         "CASE WHEN (name = 'order_placed' AND m <> 3) OR (name = 'session_created' AND m = 0) THEN 1 END"
         " AS is_order_placed",
         "CASE WHEN (name = 'session_created' AND m <> 1) OR (name = 'order_placed' AND m = 2)"

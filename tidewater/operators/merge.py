@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.keys import key_list
+from tidewater.operators.keys import key_list, maybe_in
 
 MATCHED = "matched"
 NOT_MATCHED = "not_matched"
@@ -114,14 +114,17 @@ def merge_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def anti_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def anti_insert(target: DataFrame, source: DataFrame, keys: Sequence[str], bloom_bits: int | None = None) -> DataFrame:
     """Insert-only MERGE: source rows whose key is absent from the target are
     appended; the source is *not* deduplicated (two equal new keys both land).
 
-    The anti join needs only the target's keys (see ``key_list``).
+    The anti join needs only the target's keys (see ``key_list``), and with
+    ``bloom_bits`` (see :func:`keys.maybe_in`) only those that the source may
+    hold, so what is shuffled follows the batch.
     """
     src = source.select(*target.columns) if set(target.columns) <= set(source.columns) else source
-    tgt_keys = key_list(target, keys)
+    held = target if bloom_bits is None else target.filter(maybe_in(target, keys, source, bloom_bits))
+    tgt_keys = key_list(held, keys)
     src_ok, src_null = _split_null_keys(src, keys)
     # A NULL key never matches, so those rows are inserted without a join.
     new_rows = src_ok.join(tgt_keys, list(keys), "left_anti").unionByName(src_null)

@@ -13,24 +13,33 @@ from pyspark.sql import types as T
 
 from tidewater.functions import time as TM
 from tidewater.operators.dedupe import OrderSpec, dedupe_latest
-from tidewater.operators.keys import key_list
+from tidewater.operators.keys import key_list, maybe_in
 
 
-def delete_by_key(target: DataFrame, keys_from: DataFrame, key: str) -> DataFrame:
+def delete_by_key(target: DataFrame, keys_from: DataFrame, key: str, bloom_bits: int | None = None) -> DataFrame:
     """``DELETE FROM target WHERE key IN (SELECT key FROM keys_from WHERE key
     IS NOT NULL)``. A NULL target key survives. A hot key is collapsed in the
-    key list and split among tasks in the target (see ``key_list``)."""
+    key list and split among tasks in the target (see ``key_list``).
+
+    ``bloom_bits`` (see :func:`keys.maybe_in`): target rows that can't match
+    skip the join, so what is shuffled follows the batch. It reads ``keys_from``
+    once more, so give it a stored table."""
     keys = key_list(keys_from, [key])
+    if bloom_bits is not None:
+        maybe = maybe_in(target, [key], keys_from, bloom_bits)
+        return target.filter(maybe).join(keys, key, "left_anti").select(*target.columns).unionByName(target.filter(~maybe))
     # NULL-key rows always survive; they skip the join instead of all hashing
     # to one join partition.
     kept = target.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
     return kept.unionByName(target.filter(F.col(key).isNull()))
 
 
-def replace_by_key(target: DataFrame, raw: DataFrame, key: str, order_by: OrderSpec) -> DataFrame:
+def replace_by_key(
+    target: DataFrame, raw: DataFrame, key: str, order_by: OrderSpec, bloom_bits: int | None = None
+) -> DataFrame:
     """Delete every target row whose key occurs in ``raw``, then insert the
     latest raw row per non-NULL key."""
-    kept = delete_by_key(target, raw, key)
+    kept = delete_by_key(target, raw, key, bloom_bits)
     latest = dedupe_latest(raw.filter(F.col(key).isNotNull()), [key], order_by)
     return kept.unionByName(latest.select(*target.columns))
 

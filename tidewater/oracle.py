@@ -18,11 +18,11 @@ fx_n as (select *, (k // 10) % 2 as h, k % 10 as m, case
 fx_tracking as (
 select event_id, user_id, 'cust_'||user_id as customer_id, ts as event_timestamp, name,
  case when (name='session_created' and m<>3) or (name<>'session_created' and m=0) then 1 end is_session_created,
- case when name='quick_buy_sell' and m<>3 then 1 end is_quick_buy_sell,
+ case when name='quick_buy_sell' and m=5 then 2 when name='quick_buy_sell' and m<>3 then 1 end is_quick_buy_sell,
  case when name='partials_taken' and m<>3 then 1 end is_partials_taken,
- case when name='position_managed' and m<>3 then 1 end is_position_managed,
- case when name='replay_activated' and m<>3 then 1 end is_replay_activated,
- case when name='news_visibility_clicked' and m<>3 then 1 end is_news_visibility_open,
+ case when name='position_managed' and m<>3 then 1 when name='quick_buy_sell' and m=5 then -1 end is_position_managed,
+ case when name='replay_activated' and m<>3 then 1 when m=4 and name not in ('replay_activated','news_visibility_clicked') then 2 end is_replay_activated,
+ case when name='news_visibility_clicked' and m<>3 then 1 when m=4 and name not in ('replay_activated','news_visibility_clicked') then -2 end is_news_visibility_open,
  case when (name='order_placed' and m<>3) or (name='session_created' and m=0) then 1 end is_order_placed,
  case when (name='session_created' and m<>1) or (name='order_placed' and m=2) then 'type_'||(k%3) end created_session_type,
  case when name='quick_buy_sell' and m<>1 then 'buy' end quick_buy_sell_type,
@@ -58,8 +58,8 @@ select event_id, '{"id":'||case when k%9=8 then 'null' when k%9=7 then '""' else
  from (select *, cast(json_extract_string(props,'$.k') as int) k from events))"""
 
 # The tracking contract as a relation: per event its flag, the attributes it
-# must carry and those it may carry. A row holds when the set of its flags is
-# that flag alone, and the set of its attributes lies between the two.
+# must carry and those it may carry. A row holds when all its flags sum to 1, its
+# own flag is 1, and the set of its attributes lies between the two.
 _FLAGS = (
     "is_session_created is_quick_buy_sell is_partials_taken is_position_managed is_replay_activated"
     " is_news_visibility_open is_order_placed"
@@ -83,7 +83,8 @@ def _names_where(columns: list[str], test: str) -> str:
 CONTRACT_WHERE = f"""
  event_id in (
   select t.event_id
-  from (select event_id, name, {_names_where(_FLAGS, "= 1")} as flags, {_names_where(_ATTRIBUTES, "is not null")} as held
+  from (select event_id, name, {_names_where(_FLAGS, "= 1")} as flags,
+          {" + ".join(f"coalesce({c}, 0)" for c in _FLAGS)} as total, {_names_where(_ATTRIBUTES, "is not null")} as held
         from fx_tracking) t
   join (values
     ('session_created', 'is_session_created', ['created_session_type'], ['created_session_type']),
@@ -93,7 +94,7 @@ CONTRACT_WHERE = f"""
     ('replay_activated', 'is_replay_activated', []::varchar[], []::varchar[]),
     ('news_visibility_clicked', 'is_news_visibility_open', []::varchar[], []::varchar[]),
     ('order_placed', 'is_order_placed', []::varchar[], {_ORDER})
-  ) rule(event, flag, needed, allowed) on rule.event = t.name and t.flags = [rule.flag]
+  ) rule(event, flag, needed, allowed) on rule.event = t.name and list_contains(t.flags, rule.flag) and t.total = 1
   where list_has_all(t.held, rule.needed) and list_has_all(rule.allowed, t.held))"""
 
 ELIGIBLE_WHERE = (

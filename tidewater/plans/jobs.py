@@ -97,6 +97,7 @@ def nps_history(
     history: DataFrame | None,
     run_date: date,
     ingested_at: datetime,
+    bloom_bits: int | None = None,
 ) -> DataFrame:
     """NDJSON export -> NPS rows -> raw (truncate load, declared schema) ->
     delete history rows with the same ``event_id`` and insert the latest raw
@@ -110,7 +111,7 @@ def nps_history(
     raw = spark.read.parquet(raw_path)
     if history is None:
         history = raw.filter(F.lit(False))
-    return replace.replace_by_key(history, raw, "event_id", records.NPS_ORDER)
+    return replace.replace_by_key(history, raw, "event_id", records.NPS_ORDER, bloom_bits)
 
 
 def nps_backfill(
@@ -159,6 +160,7 @@ def predictions_batch(
     raw: DataFrame | None,
     final: DataFrame | None,
     data_glob: str = "predictions_part_*.csv",
+    bloom_bits: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One predictions batch: declared schema -> all data files into a
     staging table -> insert-only merge into raw on ``(batch_id, unique_id)``
@@ -176,10 +178,10 @@ def predictions_batch(
     staged.write.parquet(staging_path)
     staging = spark.read.parquet(staging_path)
     raw_target = staging.filter(F.lit(False)) if raw is None else schema.evolve_schema_additive(raw, staging.schema)
-    new_raw = merge.anti_insert(raw_target, staging, ["batch_id", "unique_id"])
+    new_raw = merge.anti_insert(raw_target, staging, ["batch_id", "unique_id"], bloom_bits)
     final_rows = staging.select(*names, F.col("loaded_at").alias("_ingested_at"))
     final_target = final_rows.filter(F.lit(False)) if final is None else schema.evolve_schema_additive(final, final_rows.schema)
-    new_final = merge.anti_insert(final_target, final_rows, ["unique_id"])
+    new_final = merge.anti_insert(final_target, final_rows, ["unique_id"], bloom_bits)
     return new_raw, new_final
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater import fixtures as fx
 from tidewater import oracle as O
 from tidewater.functions import time as TM
-from tidewater.operators import dedupe, filters, joins, merge, project, schema
+from tidewater.operators import dedupe, filters, joins, keys, merge, project, replace, schema
 from tidewater.plans import jobs
 from tidewater.plans.configs import CONFIGS_BY_NAME
 from tidewater.plans.registry import register
@@ -364,6 +364,17 @@ def q_semi_delete_by_key(spark, sf):
     return joins.semi_delete_by_key(hist, new, "k")
 
 
+@register(
+    "semi_delete_bloom",
+    "with " + _KEYED_SQL + " select * from hist h where not exists (select 1 from newk n where n.k = h.k)",
+)
+def q_semi_delete_bloom(spark, sf):
+    """The same delete; rows that a Bloom filter of the new keys rules out skip
+    the join."""
+    hist, new = _keyed(spark, sf)
+    return replace.delete_by_key(hist, new, "k", keys.BLOOM_BITS)
+
+
 @register(
     "reconcile_schema",
     O.with_ctes(O.FX_ORDERS_FINAL)

@@ -188,7 +188,14 @@ ins as (select l_orderkey as ad_id, l_linenumber::bigint as line, strftime(l_shi
   case when l_linenumber = 3 then '[{"action_type":"link_click","value":"' || l_partkey || '"}]' end as actions,
   case when l_linenumber = 7 then l_suppkey end as clicks from lineitem)"""
 # Columns whose types a table has settled already; the others are found.
-INSIGHT_KNOWN = T.StructType.fromDDL("ad_id bigint, line bigint, date_start string, impressions double, spend double")
+INSIGHT_KNOWN = (
+    T.StructType()
+    .add("ad_id", T.LongType())
+    .add("line", T.LongType())
+    .add("date_start", T.StringType())
+    .add("impressions", T.DoubleType())
+    .add("spend", T.DoubleType())
+)
 
 
 def insight_rows(spark, sf):

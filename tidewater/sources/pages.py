@@ -12,9 +12,10 @@ column instead of getting lost.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,10 +161,39 @@ def flatten_paged_payload(
     return typed_rows(rows, inferred_schema(rows, known))
 
 
-def infer_json(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
-    """JSON records with an inferred schema. Inference is an extra pass over
-    the input; at scale pass a ``sampling_ratio`` or a declared schema."""
-    return spark.read.option("samplingRatio", sampling_ratio).json(path)
+def _spark_type(text: str) -> T.DataType:
+    """The type of a merged VARIANT schema. Kinds that don't agree (VARIANT),
+    and values that are always null, are text; whole decimals are integers,
+    other decimals doubles."""
+    ddl = re.sub(r"OBJECT<>", "STRING", text).replace("OBJECT<", "STRUCT<")
+    ddl = re.sub(r"\b(VARIANT|VOID)\b", "STRING", ddl)
+    ddl = re.sub(r"DECIMAL\((\d+),(\d+)\)", lambda m: "BIGINT" if m[2] == "0" and int(m[1]) <= 18 else "DOUBLE", ddl)
+    return T.StructType.fromDDL(f"v {ddl}")["v"].dataType
+
+
+def infer_json(spark: SparkSession, path: str | list[str], on_broken: str = "fail") -> DataFrame:
+    """Newline-delimited JSON objects as a table, schema and all from one pass
+    over the input: the lines are parsed to VARIANT and landed, and the schema
+    is merged by an aggregate that observes them on the way. Objects are
+    structs and lists arrays; where the kinds of a field differ it is text,
+    integers and decimals together are doubles. Lines that hold no object fail
+    the job, or are left out with ``on_broken="skip"``; blank lines are none."""
+    if on_broken not in ("fail", "skip"):
+        raise ValueError(f"on_broken must be fail or skip, not {on_broken!r}")
+    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    parsed = lines.select("value", F.explode(F.array(J.col(J.parse_record("value")))).alias(ROW))
+    good = J.is_object(ROW)
+    if on_broken == "fail":
+        fault = "raise_error(concat('no JSON object: ', substring(value, 1, 200)))"
+        rows = parsed.filter(F.expr(f"CASE WHEN {good} THEN true ELSE {fault} IS NULL END"))
+    else:
+        rows = parsed.filter(F.expr(good))
+    seen, landed = Observation(), scratch_path(spark, "json-rows")
+    rows.select(ROW).observe(seen, F.schema_of_variant_agg(ROW).alias("found")).write.parquet(landed)
+    found = _spark_type(seen.get["found"]) if seen.get["found"] else T.StringType()
+    fields = found.fields if isinstance(found, T.StructType) else []
+    cells = [F.expr(f"try_variant_get({ROW}, " + J._lit(f'$["{f.name}"]') + f", '{f.dataType.simpleString()}')").alias(f.name) for f in fields]
+    return spark.read.parquet(landed).select(*cells)
 
 
 def pages_from_rows(rows: DataFrame, page_key: Column, json_col: str | None = None, keep: list[str] | None = None) -> DataFrame:
