@@ -127,8 +127,8 @@ def calibrated(
     their own, which by default has a share as any other value that is found;
     null and empty texts have no tokens, and the probability of
     their cell. A cell without tokens has probability 0. The draw follows
-    from the id, so repeated rows are drawn alike (null ids too). An empty
-    table gives no rows.
+    from the id, so repeated rows are drawn alike; rows without an id are drawn
+    each by itself, by its place in ``docs``. An empty table gives no rows.
     """
     targets = targets or {"source": POWERS["source"], "lang": Named(LANGUAGES, POWERS["lang"]), "topic": POWERS["topic"]}
     rows = weighted(docs, topic)
@@ -143,10 +143,13 @@ def calibrated(
         F.col("source").alias("__source"), F.col("lang").alias("__lang"), F.col("topic").alias("__topic"),
         (F.col("w") / F.col("n")).alias("__p"),
     )
-    out = rows.join(land(raked, "mix-probabilities"), ["__source", "__lang", "__topic"], "left")
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    out = rows.withColumn("__place", F.monotonically_increasing_id()).join(land(raked, "mix-probabilities"), ["__source", "__lang", "__topic"], "left")
+    by_id = F.xxhash64(F.col("doc_id").cast("string"), F.lit(seed))
+    by_place = F.xxhash64("__place", F.xxhash64("text"), F.lit(seed))
+    of_row = F.when(F.col("doc_id").isNotNull(), by_id).otherwise(by_place)
+    draw = F.pmod(of_row, F.lit(1 << 40)) / F.lit(float(1 << 40))
     p = F.coalesce("__p", F.lit(0.0))
-    return out.withColumn("__p", p).withColumn("__selected", draw < F.col("__p"))
+    return out.withColumn("__p", p).withColumn("__selected", draw < F.col("__p")).drop("__place")
 
 
 def mixture(docs: DataFrame, **settings) -> DataFrame:

@@ -17,20 +17,26 @@ _CUT = re.compile(r" (?=\S)")
 _ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 _SPACE = "\u0120"  # how a byte-level vocabulary writes the byte 0x20
 _MARKS = ",.;:!?"
-_MODELS: dict[str, "Encoder"] = {}
+_MODELS: dict[tuple[str, bool], "Encoder"] = {}
 
 
 class Encoder:
     """Words seen lately are in ``young``; when it is full it becomes ``old``,
-    and ``old`` is dropped, so frequent words stay and memory is bounded."""
+    and ``old`` is dropped, so frequent words stay and memory is bounded.
 
-    def __init__(self, path: str):
+    A string such as ``<|endoftext|>`` in a text gives its special id, as the
+    tokenizer has it by itself; with ``special_text`` it is ordinary text."""
+
+    def __init__(self, path: str, special_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model.encode_special_tokens = special_text
+        added = sorted((t.content for t in self.model.get_added_tokens_decoder().values()), key=len, reverse=True)
+        # Texts that hold such a string are encoded whole.
+        self.special = None if special_text or not added else re.compile("|".join(map(re.escape, added)))
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         vocab = self.model.get_vocab(with_added_tokens=True)
@@ -58,7 +64,7 @@ class Encoder:
 
         if not text:
             return b""
-        if _ODD_SPACE.search(text):
+        if _ODD_SPACE.search(text) or (self.special and self.special.search(text)):
             return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, *rest = _CUT.split(text)
         pieces = [first] if first else []
@@ -90,12 +96,13 @@ class Encoder:
         young.update((w, young[stem] + young[marks]) for w, stem, marks in marked)
 
 
-def encoder(path: str | None = None) -> Encoder:
+def encoder(path: str | None = None, special_text: bool = False) -> Encoder:
     """The worker's encoder for a tokenizer file (default: byte_bpe_50k.json)."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
-    if path not in _MODELS:
-        _MODELS[path] = Encoder(path)
-    return _MODELS[path]
+    key = (path, special_text)
+    if key not in _MODELS:
+        _MODELS[key] = Encoder(path, special_text)
+    return _MODELS[key]
