@@ -220,8 +220,8 @@ def test_ids_equal_the_tokenizers(texts):
         assert np.frombuffer(enc.ids(t), "<u4").tolist() == enc.model.encode(t, add_special_tokens=False).ids, repr(t)
 
 
-def _ids(t):
-    return np.frombuffer(tokens.encoder().ids(t) + bytes(4), "<u4")
+def _ids(t, special_text=False):
+    return np.frombuffer(tokens.encoder(special_text=special_text).ids(t) + bytes(4), "<u4")
 
 
 @pytest.mark.parametrize("size", [64, 2048])
@@ -272,7 +272,7 @@ def test_training_order_round_trip(spark, docs_of, tmp_path):
     base = [(r.doc_id, r.text) for r in table(spark, SF_ORACLE, "documents").limit(200).collect() if r.doc_id > 9] + ODD[:3] + ODD[4:]
     settings = {"length": 128, "shard_bytes": 128 * 2 * 50}
     got = training_order.materialise(docs_of(base, 5), str(tmp_path), key=3, **settings).collect()
-    stream = np.concatenate([np.append(_ids(t)[:-1], 50256) for _, t in sorted(base, key=lambda r: (r[0] is not None, r[0] or 0))])
+    stream = np.concatenate([np.append(_ids(t, special_text=True)[:-1], 50256) for _, t in sorted(base, key=lambda r: (r[0] is not None, r[0] or 0))])
     count = -(-len(stream) // 128)
     stream = np.append(stream, np.full(count * 128 - len(stream), 50256)).reshape(count, 128)
     assert sorted(r.slot for r in got) == sorted(r.sequence for r in got) == list(range(count))
