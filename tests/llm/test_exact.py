@@ -176,7 +176,8 @@ def test_near_dedup_stages_keep_one_row_of_each_group(spark, docs_of):
 
 def test_near_duplicates_in_small_blocks(docs_of, monkeypatch):
     """Buckets far larger than a block, with members that no hub reaches."""
-    monkeypatch.setattr(near_dup, "BLOCK", 5)
+    monkeypatch.setattr(near_dup, "PIVOTS", 3)
+    monkeypatch.setattr(near_dup, "CHUNK", 5)
     monkeypatch.setattr(near_dup, "SMALL", 2)
     rows = _near_rows(groups=2, size=40)
     got = near_dup.near_duplicates(docs_of(rows), words=2).collect()

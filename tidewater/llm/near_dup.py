@@ -8,20 +8,26 @@ minhash computations. With the defaults (40 x 6: 780 tables from 240 hashes) a
 pair at similarity 0.8 shares no table with probability 8e-5, and one at 0.85
 with 1e-7.
 
-Equal sets are collapsed to one class before anything else. Candidates come
-from tables and are confirmed on full sets:
+Equal sets are collapsed to one numbered class before anything else, and
+buckets of different tables that hold the same classes to one bucket.
+Candidates come from buckets and are confirmed on full sets:
 
 1. each class is compared with one hub of its buckets, then with up to HUBS
-   more that are in other components; links are grouped into components;
+   more that are in other components; links are grouped into components. The
+   hub of a bucket is the class whose half keys most classes share, which is
+   the middle of a group of near copies;
 2. of a small bucket that still holds several components, all pairs across
-   components are candidates, once each. Large ones are worked through in
-   blocks of bounded size, and a spanning forest of the components is
-   proposed. An exact bound on the overlap, from bitmaps of the sets, discards
-   pairs that can't be links before the full check;
-3. what is still open in large buckets after that is checked pair by pair.
-
-No step emits all pairs of a bucket that already is one component, and a
-bucket is never cut or dropped.
+   components are candidates. An exact bound on the overlap, from bitmaps of
+   the sets, discards pairs that can't be links before the full check;
+3. a large bucket that still holds several components is worked through in
+   rounds. A round takes up to PIVOTS of its classes, those of its smallest
+   components first, and compares all its other classes with them, in chunks:
+   first a spanning forest of the components is proposed, then every pair that
+   is still open. The pivots are done then, and leave the bucket. Rounds end
+   when what is left of every bucket is one component.
+
+A round copies a class a bounded number of times. No step emits all pairs of a
+bucket that already is one component, and a bucket is never cut or dropped.
 """
 
 from __future__ import annotations
@@ -37,7 +43,8 @@ from tidewater.llm.common import components, land
 WORDS, SIMILARITY = 5, 80  # words of a shingle; least similarity in per cent
 HALVES, HASHES, HUBS = 40, 6, 4
 SMALL = 16  # members of a bucket whose pairs are listed
-BLOCK = 400  # members of a bucket that one task compares at a time
+PIVOTS = 512  # members of a bucket that a round compares with all others
+CHUNK = 1024  # members of a bucket that are compared with its pivots at a time
 BITMAP_WORDS = 32  # 64-bit words of the bitmap that bounds an overlap
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _ODD = np.random.default_rng(20240607).integers(0, 2**63, 4096, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,8 +101,8 @@ def _signatures(words: int, halves: int, hashes: int):
                 digest.append(xxhash.xxh3_128_digest(s.tobytes()))
                 keys.append(half_keys(s, halves, hashes))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["row", "doc_id", "n", "digest", "halves"],
+                [b.column(0), b.column(1), b.column(3), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                names=["row", "doc_id", "code", "n", "digest", "halves"],
             )
 
     return run
@@ -136,10 +143,11 @@ def _confirm(similarity: int):
 
 def confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Those pairs ``(a, b)`` whose full sets are similar enough."""
-    size = lambda at: sets.select(F.col("digest").alias(at), F.col("ids").alias(f"ids_{at}"))
+    ids = lambda at: sets.select(F.col("cls").alias(at), F.col("ids").alias(f"ids_{at}"))
+    # Hubs are in ``a``: members' sets are brought to theirs, not theirs copied.
     return (
-        pairs.join(size("a"), "a").join(size("b"), "b").select("a", "b", "ids_a", "ids_b")
-        .mapInArrow(_confirm(similarity), "a binary, b binary")
+        pairs.join(ids("b"), "b").join(ids("a"), "a").select("a", "b", "ids_a", "ids_b")
+        .mapInArrow(_confirm(similarity), "a long, b long")
     )
 
 
@@ -163,15 +171,13 @@ def _bounded(similarity: int):
 
 def _listed_pairs(open_rows: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Distinct possible pairs of different components in small buckets."""
-    held = open_rows.where(F.col("size") <= SMALL).groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("digest", "label"))).alias("held")
-    )
+    held = open_rows.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("cls", "label"))).alias("held"))
     pairs = F.flatten(
         F.transform(
             "held",
             lambda x: F.transform(
-                F.filter("held", lambda y: (y["digest"] > x["digest"]) & (y["label"] != x["label"])),
-                lambda y: F.struct(x["digest"].alias("a"), y["digest"].alias("b")),
+                F.filter("held", lambda y: (y["cls"] > x["cls"]) & (y["label"] != x["label"])),
+                lambda y: F.struct(x["cls"].alias("a"), y["cls"].alias("b")),
             ),
         )
     )
@@ -180,53 +186,44 @@ def _listed_pairs(open_rows: DataFrame, sets: DataFrame, similarity: int) -> Dat
 
 def _possible(listed: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Pairs ``(a, b)`` without those that sizes or bitmaps rule out."""
-    n = lambda at: sets.select(F.col("digest").alias(at), F.col("n").alias(f"n_{at}"), F.col("bits").alias(f"bits_{at}"))
+    n = lambda at: sets.select(F.col("cls").alias(at), F.col("n").alias(f"n_{at}"), F.col("bits").alias(f"bits_{at}"))
     fits = 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
     return (
-        listed.join(n("a"), "a").join(n("b"), "b").where(fits).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-        .mapInArrow(_bounded(similarity), "a binary, b binary")
+        listed.join(n("b"), "b").join(n("a"), "a").where(fits).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        .mapInArrow(_bounded(similarity), "a long, b long")
     )
 
 
 def _propose(similarity: int, forest: bool):
-    """For one block pair of a bucket: pairs of different components that may
-    be links. Each pair is left to the first table that both members share."""
+    """For one chunk of a bucket and the bucket's pivots: pairs of different
+    components that may be links; with ``forest`` the likeliest of them that
+    join all components they can."""
 
     def run(pdf):
         import pandas as pd
 
-        n = pdf["n"].to_numpy()
+        # A pivot is also a member, of one of the chunks.
+        n, cls = pdf["n"].to_numpy(), pdf["cls"].to_numpy()
         label = pd.factorize(pdf["label"])[0]
-        block, lo, hi = pdf["block"].to_numpy(), pdf["lo"].iloc[0], pdf["hi"].iloc[0]
+        pivots = np.flatnonzero(pdf["pivot"].to_numpy())
+        js = np.flatnonzero(~pdf["pivot"].to_numpy())
+        again = np.isin(cls, cls[pivots])
         bits = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), BITMAP_WORDS)
-        halves = np.stack(pdf["halves"].to_list())
-        i0, j0 = pdf["i"].iloc[0], pdf["j"].iloc[0]
         count = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         left, right, bound = [], [], []
-        for i in range(len(pdf) - 1):
-            js = np.arange(i + 1, len(pdf))
+        for i in pivots:
             ok = (label[js] != label[i]) & (100 * np.minimum(n[js], n[i]) >= similarity * np.maximum(n[js], n[i]))
-            if lo != hi:
-                ok &= block[js] != block[i]
-            js = js[ok]
-            if not len(js):
-                continue
-            both = np.bitwise_count(bits[js] & bits[i]).sum(axis=1, dtype=np.int64)
-            most = np.minimum(n[i] - count[i] + both, n[js] - count[js] + both)
-            ok = 100 * most >= similarity * (n[i] + n[js] - most)
-            js, most = js[ok], most[ok]
-            if not len(js):
-                continue
-            same = halves[js] == halves[i]
-            first = same.argmax(axis=1)
-            same[np.arange(len(js)), first] = False
-            ok = (first == i0) & (same.argmax(axis=1) == j0)
-            left.append(np.full(ok.sum(), i))
-            right.append(js[ok])
-            bound.append(most[ok] / (n[i] + n[js[ok]] - most[ok]))
-        digest = pdf["digest"].to_numpy()
-        if not left:
-            return pd.DataFrame({"a": [], "b": []}, dtype=object)
+            ok &= ~again[js] | (cls[js] > cls[i])  # two pivots are compared once
+            to = js[ok]
+            both = np.bitwise_count(bits[to] & bits[i]).sum(axis=1, dtype=np.int64)
+            most = np.minimum(n[i] - count[i] + both, n[to] - count[to] + both)
+            ok = 100 * most >= similarity * (n[i] + n[to] - most)
+            to, most = to[ok], most[ok]
+            left.append(np.full(len(to), i))
+            right.append(to)
+            bound.append(most / (n[i] + n[to] - most))
+        if not left or not len(js):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         left, right, bound = map(np.concatenate, (left, right, bound))
         if forest:
             root = list(range(label.max() + 1))
@@ -244,7 +241,7 @@ def _propose(similarity: int, forest: bool):
                     root[x] = y
                     chosen.append(k)
             left, right = left[chosen], right[chosen]
-        return pd.DataFrame({"a": digest[left], "b": digest[right]})
+        return pd.DataFrame({"a": cls[left], "b": cls[right]})
 
     return run
 
@@ -311,61 +308,59 @@ def one_of_each(
 
 def _labelled(rows: DataFrame, words: int, similarity: int, halves: int, hashes: int) -> DataFrame:
     """``(row, doc_id, n, label)`` of rows ``(row, doc_id, text)``: the size of
-    the set, and the component (null for an empty set). ``row`` leads back to
-    the texts; rows that share it are read together."""
+    the set, and the component (null for an empty set). ``row`` and a hash of
+    the text lead back to the texts; rows that share both are read together."""
+    rows = rows.select("row", "doc_id", "text", F.xxhash64("text").alias("code"))
     sig = land(
         rows.mapInArrow(
-            _signatures(words, halves, hashes), "row long, doc_id long, n long, digest binary, halves array<long>"
+            _signatures(words, halves, hashes),
+            "row long, doc_id long, code long, n long, digest binary, halves array<long>",
         ),
         "near-signatures",
     )
     classes = land(
-        sig.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.first("halves").alias("halves")),
+        sig.where("n > 0").groupBy("digest")
+        .agg(F.first("halves").alias("halves"), F.min(F.struct("row", "code")).alias("text"))
+        .withColumn("cls", F.monotonically_increasing_id()),
         "near-classes",
     )
     members = land(_members(classes), "near-members")
-    needed = land(members.select("digest").distinct(), "near-needed")
-    texts = land(
-        sig.select("digest", "row").join(needed, "digest").groupBy("digest").agg(F.min("row").alias("row"))
-        .select("row").distinct(),
-        "near-texts",
+    needed = land(
+        classes.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "digest", "text.row", "text.code"),
+        "near-needed",
     )
+    wanted = rows["row"].eqNullSafe(needed["row"]) & (rows["code"] == needed["code"])
     sets = land(
-        rows.join(texts, rows["row"].eqNullSafe(texts["row"]), "left_semi").select("text")
+        rows.join(needed, wanted, "left_semi").select("text")
         .mapInArrow(_full_sets(words), "digest binary, n long, ids binary, bits binary")
-        .join(needed, "digest", "left_semi")
-        .dropDuplicates(["digest"]),
+        .join(needed.select("cls", "digest"), "digest")
+        .dropDuplicates(["cls"])
+        .drop("digest"),
         "near-sets",
     )
 
     near = F.struct("c", "hub")
-    stars = land(members.where("digest <> hub").groupBy("digest", "hub").agg(F.count("*").alias("c")), "near-stars")
-    first = stars.groupBy("digest").agg(F.max_by("hub", near).alias("hub"))
-    pairs = land(first.select(F.col("hub").alias("a"), F.col("digest").alias("b")), "near-pairs")
-    links = land(confirm(pairs, sets, similarity), "near-links")
+    stars = land(members.where("cls <> hub").groupBy("cls", "hub").agg(F.sum("tables").alias("c")), "near-stars")
+    first = stars.groupBy("cls").agg(F.max_by("hub", near).alias("hub"))
+    links = land(confirm(first.select(F.col("hub").alias("a"), F.col("cls").alias("b")), sets, similarity), "near-links")
     comp = land(components(links, "near"), "near-components")
     of = lambda at: comp.select(F.col("node").alias(at), F.col("component").alias(f"{at}_label"))
-    apart = stars.join(of("digest"), "digest", "left").join(of("hub"), "hub", "left").where(
-        F.coalesce("digest_label", "digest") != F.coalesce("hub_label", "hub")
+    apart = stars.join(of("cls"), "cls", "left").join(of("hub"), "hub", "left").where(
+        F.coalesce("cls_label", "cls") != F.coalesce("hub_label", "hub")
     )
-    nearest = F.row_number().over(Window.partitionBy("digest").orderBy(F.desc("c"), "hub"))
-    more = apart.withColumn("r", nearest).where(F.col("r") <= HUBS).select(F.col("hub").alias("a"), F.col("digest").alias("b"))
+    nearest = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("c"), "hub"))
+    more = apart.withColumn("r", nearest).where(F.col("r") <= HUBS).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     comp = _merged(comp, land(confirm(_possible(more, sets, similarity), sets, similarity), "near-links"))
-    for forest in (True, False):
-        found = _open_pairs(members, comp, classes, sets, similarity, forest)
-        if found is None:
-            break
-        links = land(confirm(found, sets, similarity), "near-links")
-        if links.isEmpty():
-            if forest:
-                continue
-            break
-        comp = _merged(comp, links)
-
-    labelled = sig.join(comp.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "row", "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "digest")).alias("label")
+    still = _open(members, comp)
+    if still is not None:
+        found = _listed_pairs(still.where(F.col("size") <= SMALL), sets, similarity)
+        comp = _merged(comp, land(confirm(found, sets, similarity), "near-links"))
+        comp = _rounds(still.where(F.col("size") > SMALL).drop("label"), comp, sets, similarity)
+
+    labelled = sig.join(classes.select("digest", "cls"), "digest", "left").join(
+        comp.withColumnRenamed("node", "cls"), "cls", "left"
     )
-    return land(labelled, "near-labelled")
+    return land(labelled.select("row", "doc_id", "n", F.coalesce("component", "cls").alias("label")), "near-labelled")
 
 
 def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
@@ -376,63 +371,86 @@ def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """``(key, i, j, digest, hub, size)`` of every table bucket with at least
-    two classes. Pairs are formed from half keys that at least two classes
+    """``(key, cls, hub, size, tables)`` of every bucket with at least two
+    classes; buckets that hold the same classes are one, and ``tables`` says
+    of how many. Pairs are formed from half keys that at least two classes
     share; no other table key can have two members."""
-    half = classes.select("digest", F.posexplode("halves").alias("i", "h"))
-    shared = land(half.groupBy("i", "h").agg(F.count("*").alias("c")).where("c > 1").drop("c"), "near-half-keys")
-    alive = half.join(shared, ["i", "h"]).groupBy("digest").agg(
-        F.array_sort(F.collect_list(F.struct("i", "h"))).alias("hs")
+    half = classes.select("cls", F.posexplode("halves").alias("i", "h"))
+    shared = land(half.groupBy("i", "h").agg(F.count("*").alias("c")).where("c > 1"), "near-half-keys")
+    alive = land(
+        half.join(shared, ["i", "h"]).groupBy("cls")
+        .agg(F.array_sort(F.collect_list(F.struct("i", "h"))).alias("hs"), F.sum("c").alias("common"))
+        .where("size(hs) > 1"),
+        "near-alive",
     )
     tables = F.flatten(
         F.transform(
             "hs",
             lambda x: F.transform(
-                F.filter("hs", lambda y: y["i"] > x["i"]),
-                lambda y: F.struct(
-                    x["i"].alias("i"), y["i"].alias("j"), F.xxhash64(x["i"], x["h"], y["i"], y["h"]).alias("key")
-                ),
+                F.filter("hs", lambda y: y["i"] > x["i"]), lambda y: F.xxhash64(x["i"], x["h"], y["i"], y["h"])
             ),
         )
     )
-    keyed = land(alive.where("size(hs) > 1").select("digest", F.explode(tables).alias("t")).select("digest", "t.*"), "near-keys")
-    buckets = land(
-        keyed.groupBy("key").agg(F.min("digest").alias("hub"), F.count("*").alias("size")).where("size > 1"),
+    keyed = alive.select("cls", "common", F.explode(tables).alias("key"))
+    # Two 64-bit hashes, the size and the hub stand for the classes of a bucket.
+    buckets = keyed.groupBy("key").agg(
+        F.max(F.struct("common", "cls")).alias("top"),
+        F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("cls")).alias("one"),
+        F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("two"),
+    )
+    distinct = land(
+        buckets.where("size > 1").groupBy("top", "size", "one", "two")
+        .agg(F.min("key").alias("key"), F.count("*").alias("tables"))
+        .select("key", F.col("top.cls").alias("hub"), "size", "tables"),
         "near-buckets",
     )
-    return keyed.join(buckets, "key")
+    return keyed.select("key", "cls").join(distinct, "key")
 
 
-def _open_pairs(members, comp, classes, sets, similarity, forest) -> DataFrame | None:
-    """Candidate pairs of different components, from every bucket that holds
-    at least two; None when there is no such bucket."""
-    label = F.coalesce("component", "digest").alias("label")
+def _open(members: DataFrame, comp: DataFrame) -> DataFrame | None:
+    """Those members, with their components as ``label``, whose bucket holds
+    at least two components; None when there is no such bucket."""
     tagged = land(
-        members.join(comp.withColumnRenamed("node", "digest"), "digest", "left").select("key", "i", "j", "digest", "size", label),
+        members.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
+        .select("key", "cls", "size", F.coalesce("component", "cls").alias("label")),
         "near-tagged",
     )
-    still = land(
-        tagged.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"),
-        "near-open",
-    )
-    if still.isEmpty():
-        return None
-    open_rows = tagged.join(still, "key", "left_semi")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    block = F.pmod(F.xxhash64("digest"), blocks)
-    spread = (
-        open_rows.where(F.col("size") > SMALL)
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))))
-        .withColumn("lo", F.least("block", "other"))
-        .withColumn("hi", F.greatest("block", "other"))
-        .drop("other", "size")
-    )
-    info = sets.select("digest", "n", "bits").join(classes.select("digest", "halves"), "digest")
-    found = (
-        spread.join(land(info, "near-info"), "digest")
-        .groupBy("key", "lo", "hi")
-        .applyInPandas(_propose(similarity, forest), "a binary, b binary")
-    )
-    # All pairs of small buckets are listed the first time.
-    return land(found.union(_listed_pairs(open_rows, sets, similarity)) if forest else found, "near-proposed")
+    several = tagged.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    still = land(tagged.join(several, "key", "left_semi"), "near-open")
+    return None if still.isEmpty() else still
+
+
+def _rounds(members: DataFrame, comp: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Components after all pairs across components of large buckets were
+    compared, by rounds of pivots."""
+    info = sets.select("cls", "n", "bits")
+    while (still := _open(members, comp)) is not None:
+        # Classes of the smallest components first, so that the largest may never have to be pivots.
+        sizes = still.groupBy("key", "label").agg(F.count("*").alias("held"))
+        order = F.row_number().over(Window.partitionBy("key").orderBy("held", "label", "cls"))
+        pivots = land(
+            still.join(sizes, ["key", "label"]).withColumn("place", order).where(F.col("place") <= PIVOTS)
+            .select("key", "cls", "size"),
+            "near-pivots",
+        )
+        chunks = F.ceil(F.col("size") / CHUNK)
+        dealt = land(
+            still.select("key", "cls", F.pmod(F.xxhash64("cls"), chunks).alias("chunk"), F.lit(False).alias("pivot"))
+            .union(
+                pivots.select("key", "cls", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("chunk"), F.lit(True))
+            )
+            .join(info, "cls"),
+            "near-dealt",
+        )
+        for forest in (True, False):
+            labels = comp.withColumnRenamed("node", "cls")
+            found = (
+                dealt.join(labels, "cls", "left").withColumn("label", F.coalesce("component", "cls"))
+                .groupBy("key", "chunk").applyInPandas(_propose(similarity, forest), "a long, b long")
+                .distinct()
+            )
+            comp = _merged(comp, land(confirm(found, sets, similarity), "near-links"))
+        # Members that were pivots are done in their bucket.
+        members = land(still.drop("label").join(pivots.select("key", "cls"), ["key", "cls"], "left_anti"), "near-left")
+    return comp
