@@ -87,6 +87,22 @@ def test_line_runs_are_levelled(docs_of):
     assert shapes == [[1], [0, 1], [1, 1], [0, 0, 1]]
 
 
+def test_line_dedup_deals_one_table_to_batches(docs_of, monkeypatch):
+    """One file: every batch goes through the runs. A third of the ids is null
+    and some repeat, with other texts each."""
+    shapes, add = [], line_dedup.LineRuns.add_hashes
+
+    def noted(runs, hashes):
+        add(runs, hashes)
+        shapes.append(([len(x) for x in runs.levels], runs.frequent is not None))
+
+    monkeypatch.setattr(line_dedup.LineRuns, "add_hashes", noted)
+    rows = [(None if k % 3 == 0 else 7 if k % 5 == 0 else i, t) for k, (i, t) in enumerate(_line_rows(200))]
+    got = line_dedup.drop_frequent_lines(docs_of(rows).coalesce(1), min_docs=10).collect()
+    assert shapes == [([1], False), ([2], False), ([0, 1], True), ([1, 1], True)]
+    assert sorted(map(str, _lines(rows, 10))) == sorted(str((r.doc_id, r.text, r.n_lines, r.n_dropped)) for r in got)
+
+
 def test_line_dedup_empty_and_files(spark, docs_of, tmp_path):
     assert line_dedup.drop_frequent_lines(docs_of([(1, "a")]).where("false")).collect() == []
     rows = _line_rows()

@@ -2,7 +2,8 @@
 
 A run is a Parquet table of ``(hash, n)`` rows: a 128-bit line hash and the
 number of documents that hold the line, hash-partitioned and sorted by hash.
-Each batch of documents is counted by line hash, anti-joined with the run of
+The line hashes of a table are landed once, dealt to batches by a hash of the
+document, whatever its files. Each batch is counted by line hash, anti-joined with the run of
 hashes that are already known to be frequent (their count can't change any
 decision) and adds what is left as a new run on level 0. When a level has
 ``fanout`` runs they are compacted: merged, summed and written as one run of
@@ -40,6 +41,10 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _distinct_hashes(text_col: str) -> Column:
+    return F.explode(F.array_distinct(F.transform(text_lines(F.col(text_col)), line_hash))).alias("hash")
+
+
 class LineRuns:
     """The levelled runs; ``levels[i]`` lists the runs of level ``i``."""
 
@@ -49,9 +54,10 @@ class LineRuns:
         self.frequent: DataFrame | None = None
 
     def add_batch(self, docs: DataFrame, text_col: str = "text") -> None:
-        hashes = docs.select(
-            F.explode(F.array_distinct(F.transform(text_lines(F.col(text_col)), line_hash))).alias("hash")
-        ).where("hash is not null")
+        self.add_hashes(docs.select(_distinct_hashes(text_col)).where("hash is not null"))
+
+    def add_hashes(self, hashes: DataFrame) -> None:
+        """A batch of ``hash`` rows, one for each document and line in it."""
         counts = hashes.groupBy("hash").agg(F.count("*").alias("n"))
         if self.frequent is not None:
             counts = counts.join(self.frequent.select("hash"), "hash", "left_anti")
@@ -92,18 +98,11 @@ class LineRuns:
         self.levels = [[self._compact(left, "line-run-last")]]
 
 
-def split_batches(docs: DataFrame, batches: int) -> list[DataFrame]:
-    """Batches by input file where ``docs`` is a plain Parquet table, else one
-    batch (a filtered or derived table is more than its files say). A batch
-    reads only its own files, so the table is read once overall."""
-    plan = docs._jdf.queryExecution().analyzed()
-    plain = plan.getClass().getSimpleName() == "LogicalRelation"
-    files = sorted(docs.inputFiles()) if plain else []
-    if len(files) < 2 or not all(f.endswith(".parquet") for f in files) or batches < 2:
-        return [docs]
-    step = -(-len(files) // batches)
-    parts = [files[i : i + step] for i in range(0, len(files), step)]
-    return [docs.sparkSession.read.schema(docs.schema).parquet(*part) for part in parts]
+def split_batches(rows: DataFrame, batches: int) -> list[DataFrame]:
+    """``rows`` dealt to ``batches`` parts by a hash of their ``batch`` key, or
+    of all their columns where they have none."""
+    key = ["batch"] if "batch" in rows.columns else rows.columns
+    return [rows.where(F.pmod(F.xxhash64(*key), F.lit(max(batches, 1))) == i) for i in range(max(batches, 1))]
 
 
 def drop_frequent_lines(
@@ -123,21 +122,31 @@ def drop_frequent_lines(
     empty texts are one empty line and become the empty text. Lines with an
     empty key are always kept. A document that loses all its lines has the
     empty text. An empty table gives no rows. Columns that are named n_lines
-    or n_dropped are replaced.
+    or n_dropped are replaced. Very long texts are split as a whole, in memory.
+
+    ``batches`` is a number, by which documents are dealt by a hash of id and
+    text, or the batches themselves.
     """
-    spark = docs.sparkSession
-    runs = LineRuns(spark, min_docs, fanout)
-    for batch in split_batches(docs, batches) if isinstance(batches, int) else batches:
-        runs.add_batch(batch, text_col)
+    runs = LineRuns(docs.sparkSession, min_docs, fanout)
+    # Lists go by id and text: rows without an id, or that share one, don't
+    # share a list, and rows that do have the same lines.
+    code = F.xxhash64(F.col(text_col))
+    held = land(
+        docs.select(F.col(id_col).alias("__id"), code.alias("__code"), _distinct_hashes(text_col)).where("hash is not null"),
+        "line-held",
+    )
+    if isinstance(batches, int):
+        dealt = held.select("hash", F.xxhash64("__id", "__code").alias("batch"))
+        for batch in split_batches(dealt, batches):
+            runs.add_hashes(batch)
+    else:
+        for batch in batches:
+            runs.add_batch(batch, text_col)
     frequent = runs.finish()
 
     # (document, frequent hash) pairs, then one short list per document.
-    held = docs.select(
-        F.col(id_col).alias("__id"),
-        F.explode(F.array_distinct(F.transform(text_lines(F.col(text_col)), line_hash))).alias("hash"),
-    ).where("hash is not null")
     lists = land(
-        held.join(frequent, "hash", "left_semi").groupBy("__id").agg(F.collect_set("hash").alias("__drop")),
+        held.join(frequent, "hash", "left_semi").groupBy("__id", "__code").agg(F.collect_set("hash").alias("__drop")),
         "line-drop-lists",
     )
     lines = text_lines(F.col(text_col))
@@ -147,7 +156,8 @@ def drop_frequent_lines(
         F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("__drop"), line_hash(x)), F.lit(False)))
     )
     # The lists grow with the documents, so they are merged at every size.
-    out = docs.drop("n_lines", "n_dropped").join(lists.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")), "left")
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & code.eqNullSafe(F.col("__code"))
+    out = docs.drop("n_lines", "n_dropped").join(lists.hint("merge"), same, "left")
     out = out.withColumn("__lines", F.size(lines)).withColumn("__kept", kept)
     return out.select(
         *[
