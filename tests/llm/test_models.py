@@ -290,12 +290,45 @@ def test_training_order_empty(docs_of):
     assert training_order.materialise(docs_of(ODD).where("false")).collect() == []
 
 
-@pytest.mark.parametrize("entries", [3, 100_000])
-def test_word_cache_gives_the_ids_of_whole_texts(monkeypatch, entries):
-    monkeypatch.setattr(tokens, "CACHE_ENTRIES", entries)
-    monkeypatch.setattr(tokens, "_MODELS", {})
-    enc = tokens.encoder()
+def test_ids_of_every_code_point_token_and_random_text():
+    enc = tokens.encoder(special_text=True)
+    assert enc.fast is not None and enc.top == 50256
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}1 {c}. {c}{c}a" for c in points]
+    table = [t for b in tokens.ranks(_path()) if (t := b.decode("utf-8", "ignore")).encode() == b]
+    rng = random.Random(4)
+    texts += table + ["".join(rng.choices(table, k=rng.randint(1, 25))) for _ in range(20_000)]
+    for i in range(0, len(texts), 4096):
+        want = enc.model.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)
+        for t, w in zip(texts[i : i + 4096], want):
+            assert enc.ids(t) == np.array(w.ids, "<u4").tobytes(), repr(t)
+
+
+def _path():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("special_text", [False, True])
+def test_ids_of_odd_texts(special_text):
+    enc = tokens.encoder(special_text=special_text)
     odd = ["a  b", " x", "  ", "a \n b", "don't, we'll. <|endoftext|>, x!!", "x \x85 y", "a\x1cb c", "ab, c,\n d.", "é. ñ!? ,, . ..", "a1, b2. c", "中文, 字.", "o'clock's, '.s"]
-    for text in [*odd, " ".join(odd), *odd]:
+    odd += ["ab" * 200_000, " \n\t" * 100_000, "." * 300_000]
+    for text in [*odd, " ".join(odd)]:
         assert enc.ids(text) == np.array(enc.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert enc.ids(None) == enc.ids("") == b""
+
+
+def test_other_tokenizers_are_not_taken_for_ranks(tmp_path):
+    import json
+
+    import public_tokenizers
+
+    assert tokens.ranks(public_tokenizers.path("word_bpe_49k.json")) is None
+    enc = tokens.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert enc.ids("Some Words.") == np.array(enc.model.encode("Some Words.", add_special_tokens=False).ids, "<u4").tobytes()
+    spec = json.load(open(_path(), encoding="utf-8"))
+    spec["model"]["merges"][300], spec["model"]["merges"][900] = spec["model"]["merges"][900], spec["model"]["merges"][300]
+    (tmp_path / "t.json").write_text(json.dumps(spec), encoding="utf-8")
+    assert tokens.ranks(str(tmp_path / "t.json")) is None

@@ -55,8 +55,8 @@ def feistel(x: np.ndarray, n: int, key: int) -> np.ndarray:
 def _tokenize(tokenizer, eos: int):
     def run(batches):
         enc = encoder(tokenizer, special_text=True)
-        if max(len(enc.opens) - 1, eos) > 0xFFFF:
-            raise ValueError(f"ids up to {max(len(enc.opens) - 1, eos)} don't fit the shards' 16 bits")
+        if max(enc.top, eos) > 0xFFFF:
+            raise ValueError(f"ids up to {max(enc.top, eos)} don't fit the shards' 16 bits")
         uid = TaskContext.get().partitionId() << 40
         for b in batches:
             ids = [np.append(np.frombuffer(enc.ids(t), "<u4"), eos).astype("<u2") for t in b.column(1).to_pylist()]
