@@ -28,11 +28,12 @@ def one_thread(spark: SparkSession) -> None:
         spark.sparkContext.environment.setdefault(name, "1")
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
+def land(df: DataFrame, name: str, level: int = 3) -> DataFrame:
+    """Write ``df`` as Parquet, compressed at ``level``, to the shared folder
+    and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(level)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -75,86 +75,127 @@ def _tokenize(tokenizer, eos: int):
     return run
 
 
-def _split(length: int, total: int, key: int, per_shard: int):
-    """Documents to parts of sequences, each with its slot."""
+def _starts_of(folder: str):
+    """Looks up where documents begin, from the table of their starts that is
+    laid out by the task that made their ids; one task's rows are held."""
+    import pyarrow.dataset as ds
+
+    fs, path = filesystem(folder)
+    task, uids, begins = None, None, None
+
+    def of(uid: np.ndarray) -> np.ndarray:
+        nonlocal task, uids, begins
+        out = np.empty(len(uid), np.int64)
+        for k in np.unique(uid >> 40).tolist():
+            if k != task:
+                t = ds.dataset(f"{path}/task={k}", filesystem=fs, format="parquet").to_table(columns=["uid", "begin"])
+                uids, begins = t.column("uid").to_numpy(), t.column("begin").to_numpy()
+                order = np.argsort(uids)
+                task, uids, begins = k, uids[order], begins[order]
+            own = uid >> 40 == k
+            at = np.searchsorted(uids, uid[own])
+            if (uids[np.minimum(at, len(uids) - 1)] != uid[own]).any():
+                raise ValueError(f"{path}/task={k}: documents without a start")
+            out[own] = begins[at]
+        return out
+
+    return of
+
+
+_PART = np.dtype([("slot", "<i8"), ("sequence", "<i8"), ("at", "<i4"), ("n", "<i4")])
+_LEVEL = 6  # of compression, for ids that wait on disk
+
+
+def _split(starts: str, length: int, total: int, key: int, per_shard: int):
+    """Documents to parts of sequences. A row holds the parts that a batch has
+    for one shard: ``parts`` of them, described one by one before their ids."""
     count = -(-total // length)
 
     def run(batches):
+        codec, begin_of = pa.Codec("zstd", _LEVEL), _starts_of(starts)
         for b in batches:
-            seqs, ats, parts = [], [], []
-            for start, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            sequences, ats, parts = [], [], []
+            begins = begin_of(b.column(0).to_numpy())
+            for start, ids in zip(begins.tolist(), b.column(1)):
+                ids = memoryview(ids.as_buffer())
                 n = len(ids) // 2
                 first = start // length
                 for s in range(first, (start + n - 1) // length + 1):
                     lo, hi = max(0, s * length - start), min(n, (s + 1) * length - start)
-                    seqs.append(s)
+                    sequences.append(s)
                     ats.append(start + lo - s * length)
-                    parts.append(zlib.compress(ids[2 * lo : 2 * hi], 1))
-            slot = feistel(np.array(seqs, np.uint64), count, key) if seqs else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((slot // per_shard).astype(np.int32), pa.int32()),
-                    pa.array(slot, pa.int64()),
-                    pa.array(seqs, pa.int64()),
-                    pa.array(ats, pa.int32()),
-                    pa.array(parts, pa.binary()),
-                ],
-                names=["shard", "slot", "sequence", "at", "part"],
-            )
+                    parts.append(ids[2 * lo : 2 * hi])
+            about = np.empty(len(parts), _PART)
+            about["sequence"], about["at"], about["n"] = sequences, ats, [len(p) // 2 for p in parts]
+            about["slot"] = feistel(about["sequence"].astype(np.uint64), count, key) if parts else 0
+            shard = about["slot"] // per_shard
+            order = np.argsort(shard, kind="stable")
+            edges = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1)) if parts else []
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                of = order[lo:hi]
+                data = about[of].tobytes() + b"".join(parts[i] for i in of.tolist())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(shard[of[0]])], pa.int32()),
+                        pa.array([len(of)], pa.int32()),
+                        pa.array([len(data)], pa.int64()),
+                        pa.array([codec.compress(data, asbytes=True)], pa.binary()),
+                    ],
+                    names=["shard", "parts", "bytes", "data"],
+                )
 
     return run
 
 
 def _write(folder: str, length: int, per_shard: int, total: int, eos: int):
-    """Sorted parts to shard files. A file gets its name when it is whole, so
-    a task that is run again replaces nothing half-done."""
+    """Parts, sorted by shard, to shard files. One shard is put together in
+    memory at a time. A file gets its name when it is whole, so a task that is
+    run again replaces nothing half-done."""
+    count = -(-total // length)
 
     def run(batches):
         fs, path = filesystem(folder)
         fs.create_dir(path, recursive=True)
-        shard, out, temp, rows = None, None, None, []
-        slot, sequence, ids = None, 0, bytearray()
-
-        def emit():
-            n = len(ids) // 2
-            data = bytes(ids) + np.full(length - n, eos, "<u2").tobytes()
-            out.write(data)
-            rows.append((slot, sequence, shard, (slot - shard * per_shard) * 2 * length, n, zlib.crc32(data), name(shard)))
-            ids.clear()
-
-        def name(k):
-            return f"{folder}/shard-{k:06d}.u16"
-
-        def close():
-            out.close()
-            fs.move(temp, f"{path}/shard-{shard:06d}.u16")
-
-        def batch():
-            cols = list(zip(*rows)) or [[]] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string())
-            b = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in MANIFEST.split(", ")])
-            rows.clear()
-            return b
+        codec = pa.Codec("zstd", _LEVEL)
+        shard, ids, held, sequence = None, None, None, None
+
+        def close() -> pa.RecordBatch:
+            slots = shard * per_shard + np.arange(len(ids))
+            want = np.minimum(length, total - sequence * length)
+            if (held != want).any():
+                raise ValueError(f"shard {shard}: ids missing or repeated in slots {slots[held != want][:5].tolist()}")
+            temp, name = f"{path}/_{uuid.uuid4().hex}", f"shard-{shard:06d}.u16"
+            with fs.open_output_stream(temp) as out:
+                out.write(memoryview(ids).cast("B"))
+            fs.move(temp, f"{path}/{name}")
+            cols = [
+                pa.array(slots, pa.int64()),
+                pa.array(sequence, pa.int64()),
+                pa.array(np.full(len(ids), shard), pa.int32()),
+                pa.array(np.arange(len(ids)) * 2 * length, pa.int64()),
+                pa.array(held, pa.int32()),
+                pa.array([zlib.crc32(row) for row in ids], pa.int64()),
+                pa.array([f"{folder}/{name}"] * len(ids), pa.string()),
+            ]
+            return pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in MANIFEST.split(", ")])
 
         for b in batches:
-            for k, s, q, at, part in zip(*(c.to_pylist() for c in b.columns)):
-                if s != slot:
-                    if slot is not None:
-                        emit()
-                    if k != shard:
-                        if out is not None:
-                            close()
-                        shard, temp = k, f"{path}/_{uuid.uuid4().hex}"
-                        out = fs.open_output_stream(temp)
-                    slot, sequence = s, q
-                if at != len(ids) // 2:
-                    raise ValueError(f"sequence {q}: ids missing before {at}")
-                ids.extend(zlib.decompress(part))
-            yield batch()
-        if slot is not None:
-            emit()
-            close()
-        yield batch()
+            for k, n, size, packed in zip(*(c.to_pylist() for c in b.columns)):
+                if k != shard:
+                    if shard is not None:
+                        yield close()
+                    shard, rows = k, min(per_shard, count - k * per_shard)
+                    ids = np.full((rows, length), eos, "<u2")
+                    held, sequence = np.zeros(rows, np.int64), np.full(rows, -1)
+                data = codec.decompress(packed, size, asbytes=True)
+                about, values = np.frombuffer(data, _PART, n), np.frombuffer(data, "<u2", offset=n * _PART.itemsize)
+                row, ends = about["slot"] - k * per_shard, np.cumsum(about["n"])
+                for r, at, m, end in zip(row.tolist(), about["at"].tolist(), about["n"].tolist(), ends.tolist()):
+                    ids[r, at : at + m] = values[end - m : end]
+                np.add.at(held, row, about["n"])
+                sequence[row] = about["sequence"]
+        if shard is not None:
+            yield close()
 
     return run
 
@@ -205,20 +246,24 @@ def materialise(
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "training-order")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    tokens = land(rows.mapInArrow(_tokenize(tokenizer, eos), "uid long, doc_id long, n long, ids binary"), "order-tokens")
+    tokens = land(rows.mapInArrow(_tokenize(tokenizer, eos), "uid long, doc_id long, n long, ids binary"), "order-tokens", _LEVEL)
     total = tokens.agg(F.sum("n")).first()[0]
     if not total:
         return spark.createDataFrame([], MANIFEST)
     per_shard = max(1, shard_bytes // (2 * length))
     shards = -(-(-(-total // length)) // per_shard)
     tasks = min(shards, partitions(spark) * 4)
-    starts = land(document_starts(tokens), "order-starts")
-    parts = tokens.select("uid", "ids").join(starts, "uid").select("begin", "ids").mapInArrow(
-        _split(length, total, key, per_shard), "shard int, slot long, sequence long, at int, part binary"
+    # Starts are laid out by the task that made the ids, so those, the bulk of
+    # the data, are shuffled only once: to their shards.
+    starts = scratch_path(spark, "order-starts")
+    by_task = document_starts(tokens).withColumn("task", F.shiftright("uid", 40))
+    by_task.repartition("task").write.option("compression", "zstd").partitionBy("task").parquet(starts)
+    parts = tokens.select("uid", "ids").mapInArrow(
+        _split(starts, length, total, key, per_shard), "shard int, parts int, bytes long, data binary"
     )
     dealt = parts.withColumn("to", F.floor(F.col("shard") * F.lit(tasks) / F.lit(shards)).cast("int"))
     return land(
-        dealt.repartitionById(tasks, F.col("to")).drop("to").sortWithinPartitions("slot", "at")
+        dealt.repartitionById(tasks, F.col("to")).drop("to").sortWithinPartitions("shard")
         .mapInArrow(_write(folder, length, per_shard, total, eos), MANIFEST),
         "order-manifest",
     )
