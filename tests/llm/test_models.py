@@ -286,6 +286,26 @@ def test_training_order_round_trip(spark, docs_of, tmp_path):
     assert not [p for p in tmp_path.iterdir() if p.name.startswith("_")]
 
 
+def test_training_order_with_many_null_and_repeated_ids_and_a_long_text(docs_of, tmp_path):
+    rng = random.Random(6)
+    base = [(rng.choice([None, 7, k]), "w " * rng.randint(0, 60) + str(k)) for k in range(300)] + [(7, "long text " * 20_000), (None, None), (7, "")]
+    settings = {"length": 32, "shard_bytes": 32 * 2 * 40}
+    got = training_order.materialise(docs_of(base, 6), str(tmp_path), key=9, **settings).collect()
+    count = len(got)
+    assert count == -(-sum(len(_ids(t, special_text=True)) for _, t in base) // 32) and {r.n_tokens for r in got if r.sequence < count - 1} == {32}
+    stream = training_order.read_slots(str(tmp_path), 0, count, **settings)[training_order.feistel(np.arange(count), count, 9)].ravel()
+    ends = np.flatnonzero(stream == 50256)[: len(base)]
+    texts = [x[:-1].tobytes() for x in np.split(stream, ends + 1)[: len(base)]]
+    ids_of = lambda t: _ids(t, special_text=True)[:-1].astype("<u2").tobytes()
+    nulls = sum(i is None for i, _ in base)
+    # Null ids first, then by id; rows of one id in any order.
+    assert sorted(texts[:nulls]) == sorted(ids_of(t) for i, t in base if i is None)
+    sevens = sum(i is not None and i < 7 for i, _ in base) + nulls
+    repeated = [ids_of(t) for i, t in base if i == 7]
+    assert sorted(texts[sevens : sevens + len(repeated)]) == sorted(repeated)
+    assert texts[sevens + len(repeated) :] == [ids_of(t) for i, t in sorted((r for r in base if r[0] is not None and r[0] > 7), key=lambda r: r[0])]
+
+
 def test_training_order_empty(docs_of):
     assert training_order.materialise(docs_of(ODD).where("false")).collect() == []
 
