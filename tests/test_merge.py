@@ -147,3 +147,17 @@ def test_replace_date_range_text_dates(spark):
     new = spark.createDataFrame([(9, "2024-01-02")], "id long, d string")
     out = replace.replace_date_range(target, new, "d", "2024-01-02", "2024-01-03")
     assert sorted(r.id for r in out.collect()) == [1, 3, 4, 9]
+
+
+def test_job_replicate_orders_takes_every_row_past_the_watermark(spark, tmp_path):
+    from tidewater.plans import registry
+
+    registry.load_all()
+    orders = [(1, 7, "O", 10.0, datetime(1999, 5, 1)), (2, 7, "O", 20.0, datetime(2000, 1, 10)),
+              (3, 8, "F", 30.0, datetime(2001, 7, 1)), (4, 9, "P", 40.0, datetime(2000, 6, 1))]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    out = registry.QUERIES["job_replicate_orders"](spark, str(tmp_path))
+    got = {r["id"]: (r["order_no"], r["_loaded_at"] is not None) for r in out.collect()}
+    assert got == {7: (2, True), 8: (3, True), 9: (4, True)}

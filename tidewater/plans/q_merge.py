@@ -177,7 +177,6 @@ def q_merge_full_sync(spark, sf):
 # --- replicate jobs -----------------------------------------------------------
 
 ORDERS_CFG = CONFIGS_BY_NAME["orders"]
-REPL_START, REPL_END = datetime(2000, 1, 15), datetime(2001, 3, 1)
 _RAW_UNIX_SQL = """
 raw_unix as (select *,
   epoch_us("updatedAt") // 1000000 + 3600 as "placingTime",
@@ -211,7 +210,6 @@ def _ts_of(col: str) -> str:
    {_ts_of('"placingTime"')} as placing_time, {_ts_of('"executionTime"')} as execution_time,
    {_ts_of('"autoBreakEvenTriggeredAt"')} as auto_break_even_triggered_at, {RUN_TS_SQL} as _loaded_at
    from raw_unix where "updatedAt" > {_WM_SQL}
-     and "updatedAt" > timestamp '{REPL_START}' and "updatedAt" <= timestamp '{REPL_END}'
    qualify row_number() over (partition by id order by "updatedAt" desc nulls last,
      "orderNo" desc nulls last, status desc nulls last, total desc nulls last) = 1)
 select coalesce(s.id, t.id) as id,
@@ -223,12 +221,12 @@ select coalesce(s.id, t.id) as id,
 from fx_orders_final t full outer join latest s on t.id = s.id""",
 )
 def q_job_replicate_orders(spark, sf):
-    """The ``orders`` table config end to end: window scan -> stamp
-    ``_loaded_at`` -> late filter -> unix-second columns to DATETIME ->
-    snake_case -> reconcile the final schema (adds the new columns) ->
-    keep-latest by ``updated_at, _loaded_at`` -> MERGE."""
+    """The ``orders`` table config end to end: window scan from the watermark
+    on, without an end -> stamp ``_loaded_at`` -> late filter -> unix-second
+    columns to DATETIME -> snake_case -> reconcile the final schema (adds the
+    new columns) -> keep-latest by ``updated_at, _loaded_at`` -> MERGE."""
     source, final = orders_raw_with_unix_seconds(spark, sf), fx.orders_final(spark, sf)
-    return jobs.replicate_run(source, final, ORDERS_CFG, RUN_TS, RUN_TS, explicit_start=REPL_START, explicit_end=REPL_END)
+    return jobs.replicate_run(source, final, ORDERS_CFG, RUN_TS, RUN_TS)
 
 
 def _users_snapshot(spark, sf):
