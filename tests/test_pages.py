@@ -126,3 +126,17 @@ def test_one_pass_inference_of_broken_lines(spark, tmp_path):
         _json(spark, tmp_path, '{"a":1}', '{"a')
     assert [tuple(r) for r in _json(spark, tmp_path, '{"a":1}', '{"a', "[1]", on_broken="skip").collect()] == [(1,)]
     assert _json(spark, tmp_path, "").columns == []
+
+
+def test_values_are_looked_at_once(spark):
+    rows = pages.land_rows(_pages(spark, _page({"a": "1", "b": [1]}))).rows
+    # Each kind, and each text, comes from one expression of the plan, not from one per count or test.
+    kinds = pages.field_kinds(rows, ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert kinds.count("SchemaOfVariant.schemaOfVariant(") == 1 and kinds.count("try_variant_get(") == 1
+
+
+def test_only_texts_of_number_columns_are_tried_as_numbers(spark):
+    rows = pages.land_rows(_pages(spark, _page({"a": "1", "b": "2"}, {"a": "1.5"}, {"a": None, "b": "x"}))).rows
+    counts = lambda *names: {r["name"]: tuple(r[c] for c in ("texts", "integer_texts", "number_texts")) for r in pages.field_kinds(rows, *names).collect()}
+    assert counts() == {"a": (2, 1, 2), "b": (2, 1, 1)}
+    assert counts(["a"]) == {"a": (2, 1, 2), "b": (2, 0, 0)} and counts([]) == {"a": (2, 0, 0), "b": (2, 0, 0)}

@@ -202,7 +202,7 @@ def insight_rows(spark, sf):
     """Insight rows as JSON text: ids and amounts as numbers or as text, two
     fields that only some rows have, one of them nested."""
     text = """concat('{"ad_id":', if(l_linenumber % 2 = 0, concat('"', l_orderkey, '"'), string(l_orderkey)), ',"line":', l_linenumber,
-      ',"date_start":"', date_format(l_shipdate, 'yyyy-MM-dd'), '","impressions":', l_quantity, ',"spend":"', l_extendedprice, '"',
+      ',"date_start":"', string(to_date(l_shipdate)), '","impressions":', l_quantity, ',"spend":"', l_extendedprice, '"',
       if(l_linenumber = 3, concat(',"actions":[{"action_type":"link_click","value":"', l_partkey, '"}]'), ''),
       if(l_linenumber = 7, concat(',"clicks":', l_suppkey), ''), '}') as json"""
     return fx.table(spark, sf, "lineitem").selectExpr("l_orderkey as ad_id", "to_date(l_shipdate) as day", text)
@@ -408,7 +408,7 @@ def catalogue_pages(spark, sf, stream):
         rows = fx.table(spark, sf, name).select(*[F.col(c).cast("string").alias(n) for n, c in cols.items()])
         return pages.pages_from_rows(rows, F.floor(F.col("id").cast("bigint") / 100))
     rows = fx.table(spark, sf, "events").select(
-        F.to_date("ts").alias("day"), F.col("user_id").cast("string").alias("ad_id"), F.date_format("ts", "yyyy-MM-dd").alias("date_start"),
+        F.to_date("ts").alias("day"), F.col("user_id").cast("string").alias("ad_id"), F.to_date("ts").cast("string").alias("date_start"),
         F.col("event_id").alias("clicks"), F.col("value").cast("string").alias("spend"),
         *[F.col("event_type").alias(b) for b in stream.breakdowns],
     )

@@ -34,11 +34,11 @@ class PagedRows(NamedTuple):
     broken: DataFrame
 
 
-def _reason(page: str) -> str:
-    """Why a page can't be read; NULL for a good one. A page without ``data``
-    is empty, unless it is an error response."""
+def _reason(page: str, elements: str) -> str:
+    """Why a page can't be read; NULL for a good one. ``elements`` is its
+    ``data`` as a list. A page without ``data`` is empty, unless it is an
+    error response."""
     data = f"try_variant_get({page}, '$.data', 'variant')"
-    elements = f"try_variant_get({page}, '$.data', 'array<variant>')"
     return (
         f"CASE WHEN {page} IS NULL THEN 'not JSON' WHEN NOT {J.is_object(page)} THEN 'not an object' "
         f"WHEN {data} IS NULL AND try_variant_get({page}, '$.error', 'variant') IS NOT NULL THEN 'error response' "
@@ -48,8 +48,9 @@ def _reason(page: str) -> str:
 
 
 def land_rows(pages: DataFrame, text_col: str = "value", on_broken: str = "fail") -> PagedRows:
-    """Land the elements of every page, each page parsed once. A page that
-    can't be read fails the job, or with ``on_broken="quarantine"`` is set
+    """Land the elements of every page, each page parsed and taken apart once
+    (an exploded one-element list is not computed anew by every use). A page
+    that can't be read fails the job, or with ``on_broken="quarantine"`` is set
     aside whole; it never vanishes. Blank lines are no pages."""
     if on_broken not in ("fail", "quarantine"):
         raise ValueError(f"on_broken must be fail or quarantine, not {on_broken!r}")
@@ -58,17 +59,16 @@ def land_rows(pages: DataFrame, text_col: str = "value", on_broken: str = "fail"
     parsed = pages.filter(F.length(F.trim(F.col(text_col))) > 0).select(
         *kept, F.col(text_col).alias(PAGE), F.explode(F.array(J.col(J.parse_record(f"`{text_col}`")))).alias("__p")
     )
-    judged = parsed.select("*", F.explode(F.array(F.expr(_reason("__p")))).alias(REASON))
+    apart = parsed.select("*", F.explode(F.array(F.expr("try_variant_get(__p, '$.data', 'array<variant>')"))).alias("__e"))
+    judged = apart.select(*kept, PAGE, "__e", F.explode(F.array(F.expr(_reason("__p", "__e")))).alias(REASON))
     if on_broken == "fail":
         fault = F.raise_error(F.concat(F.lit("page can't be read: "), F.col(REASON), F.lit(": "), F.substring(PAGE, 1, 200)))
         judged = judged.withColumn(REASON, F.when(F.col(REASON).isNotNull(), fault.cast("string")))
-    element = f"named_struct('{ROW}', r, '{PAGE}', string(null), '{REASON}', string(null))"
-    elements = (
-        f"CASE WHEN {REASON} IS NULL THEN transform(try_variant_get(__p, '$.data', 'array<variant>'), r -> {element}) "
-        f"ELSE array(named_struct('{ROW}', cast(null as variant), '{PAGE}', {PAGE}, '{REASON}', {REASON})) END"
-    )
+    # A page that can't be read is one row without an element; the others leave their text behind.
+    elements = F.expr(f"CASE WHEN {REASON} IS NULL THEN __e ELSE array(cast(null AS variant)) END")
+    text = F.when(F.col(REASON).isNotNull(), F.col(PAGE)).alias(PAGE)
     path = scratch_path(spark, "paged-rows")
-    judged.select(*kept, F.inline(F.expr(elements))).write.parquet(path)
+    judged.select(*kept, text, REASON, elements.alias("__e")).select(*kept, F.explode("__e").alias(ROW), PAGE, REASON).write.parquet(path)
     landed = spark.read.parquet(path)
     return PagedRows(
         landed.filter(F.col(REASON).isNull()).select(*kept, ROW),
@@ -76,23 +76,34 @@ def land_rows(pages: DataFrame, text_col: str = "value", on_broken: str = "fail"
     )
 
 
-def field_kinds(rows: DataFrame) -> DataFrame:
+def field_kinds(rows: DataFrame, texts_of: list[str] | None = None) -> DataFrame:
     """Per field name of the landed rows: how many values of each kind it has.
-    A partial aggregate over the exploded fields; one row per field name."""
-    text, kind = J.as_text("value"), "schema_of_variant(value)"
+    The exploded fields are counted by name and kind, a kind told once per
+    value, before the shuffle; one row per field name. With ``texts_of`` only
+    the texts of those fields are tried as numbers."""
+    integer = "(kind = 'BIGINT' OR kind RLIKE '^DECIMAL[(]([1-9]|1[0-8]),0[)]$')"
     # A landed column may hold an integer as a decimal without a scale.
-    whole, integer = f"{kind} RLIKE '^DECIMAL.*,0[)]$'", f"({kind} = 'BIGINT' OR {kind} RLIKE '^DECIMAL[(]([1-9]|1[0-8]),0[)]$')"
+    whole = "kind RLIKE '^DECIMAL.*,0[)]$'"
     counts = {
-        "booleans": f"{kind} = 'BOOLEAN'",
+        "booleans": "kind = 'BOOLEAN'",
         "integers": integer,
-        "numbers": f"{kind} IN ('DOUBLE', 'FLOAT') OR {kind} LIKE 'DECIMAL%' AND NOT {whole}",
-        "texts": f"{kind} = 'STRING' OR {whole} AND NOT {integer}",
-        "integer_texts": f"{kind} = 'STRING' AND {text} RLIKE '{INTEGER_TEXT}'",
-        "number_texts": f"{kind} = 'STRING' AND {text} RLIKE '{J.NUMERIC_TEXT}'",
-        "nested": f"{kind} LIKE 'OBJECT%' OR {kind} LIKE 'ARRAY%'",
+        "numbers": f"kind IN ('DOUBLE', 'FLOAT') OR kind LIKE 'DECIMAL%' AND NOT {whole}",
+        "texts": f"kind = 'STRING' OR {whole} AND NOT {integer}",
+        "integer_texts": "like = 'integer'",
+        "number_texts": "like IN ('integer', 'number')",
+        "nested": "kind IN ('OBJECT', 'ARRAY')",
     }
+    # Nothing but a plain integer or number matches; an integer is a number, too.
+    tried = "kind = 'STRING'"
+    if texts_of is not None:
+        tried += f" AND key IN ({', '.join(map(J._lit, texts_of))})" if texts_of else " AND false"
+    text = f"CASE WHEN {tried} THEN {J.as_text('value')} END"
+    like = f"CASE WHEN text RLIKE '{J.NUMERIC_TEXT}' THEN CASE WHEN text RLIKE '{INTEGER_TEXT}' THEN 'integer' ELSE 'number' END END"
     fields = rows.select(ROW).lateralJoin(rows.sparkSession.tvf.variant_explode(F.col(ROW).outer()))
-    return fields.groupBy(F.col("key").alias("name")).agg(*[F.expr(f"count_if({c}) AS {name}") for name, c in counts.items()])
+    told = fields.select("key", "value", F.expr("substring_index(schema_of_variant(value), '<', 1)").alias("kind"))
+    told = told.select("key", "kind", F.expr(text).alias("text"))
+    held = told.groupBy(F.col("key").alias("name"), "kind", F.expr(like).alias("like")).agg(F.count(F.lit(1)).alias("n"))
+    return held.groupBy("name").agg(*[F.expr(f"sum(CASE WHEN {c} THEN n ELSE 0L END) AS {name}") for name, c in counts.items()])
 
 
 def column_type(kinds: T.Row, known: T.DataType | None = None) -> T.DataType:
@@ -123,8 +134,10 @@ def inferred_schema(rows: DataFrame, known: T.StructType | None = None) -> T.Str
     """Columns of the landed rows: the known ones in their order, then the new
     ones by name; a field named like a column beside the pages gives way to
     it. One row per field name comes to the driver."""
-    found = {r["name"]: r for r in field_kinds(rows).collect() if r["name"] not in rows.columns}
     have = {f.name: f.dataType for f in known.fields} if known else {}
+    # Whether a text is a number matters to columns that hold numbers.
+    numeric = [n for n, t in have.items() if isinstance(t, (T.LongType, T.DoubleType))]
+    found = {r["name"]: r for r in field_kinds(rows, numeric).collect() if r["name"] not in rows.columns}
     typed = [T.StructField(n, column_type(found[n], t) if n in found else t) for n, t in have.items()]
     return T.StructType(typed + [T.StructField(n, column_type(found[n])) for n in sorted(found.keys() - have.keys())])
 
@@ -136,11 +149,8 @@ def typed_rows(rows: DataFrame, schema: T.StructType) -> DataFrame:
     cells = []
     for f in schema.fields:
         path = '$["' + f.name + '"]'
-        if isinstance(f.dataType, T.StringType):
-            cell = J.json_compact_text(J.field(ROW, path))
-        else:
-            cell = f"try_variant_get({ROW}, {J._lit(path)}, '{f.dataType.simpleString()}')"
-        cells.append(F.expr(cell).alias(f.name))
+        # As text, objects and lists are compact JSON, and JSON null is NULL.
+        cells.append(F.expr(f"try_variant_get({ROW}, {J._lit(path)}, '{f.dataType.simpleString()}')").alias(f.name))
     return rows.select(*kept, *cells)
 
 
@@ -202,10 +212,11 @@ def pages_from_rows(rows: DataFrame, page_key: Column, json_col: str | None = No
     limit does). ``json_col`` holds a row's JSON text, if it is not built from
     all columns."""
     text = F.col(json_col) if json_col else F.to_json(F.struct(*[F.col(c) for c in rows.columns]))
-    grouped = rows.groupBy(*(keep or []), page_key.alias("__page")).agg(F.collect_list(text).alias("__data"))
+    of_page = [*(keep or []), page_key.alias("__page")]
+    grouped = rows.groupBy(*of_page).agg(F.coalesce(F.listagg(text, F.lit(",")), F.lit("")).alias("__data"))
     page = F.concat(
         F.lit('{"data":['),
-        F.array_join("__data", ","),
+        F.col("__data"),
         F.lit('],"paging":{"after":"'),
         F.col("__page").cast("string"),
         F.lit('"}}'),
