@@ -297,3 +297,30 @@ def test_top_k_small_and_empty(spark):
     assert topk.top_k(spark.createDataFrame([(1, [1.0])], schema)).collect() == []
     got = topk.top_k(spark.createDataFrame([(20, [1.0]), (21, [-0.01]), (40, [0.5])], schema)).collect()
     assert sorted(tuple(r) for r in got) == [(20, 1, 40, 2048), (20, 2, 21, -64), (40, 1, 20, 2048), (40, 2, 21, -32)]
+
+
+def test_the_largest_component_of_a_bucket_has_no_pivots(spark, monkeypatch):
+    import numpy as np
+
+    ids = lambda cls: np.arange(cls * 100, cls * 100 + 10, dtype=np.uint64)
+    sets = spark.createDataFrame(
+        [(c, 10, bytearray(ids(c).tobytes()), bytearray(near_dup.bitmap(ids(c)).tobytes())) for c in range(32)], "cls long, n long, ids binary, bits binary"
+    )
+    comp = spark.createDataFrame([(c, 0) for c in range(30)], "node long, component long")
+    members = spark.createDataFrame([(1, c, 32) for c in range(32)], "key long, cls long, size long")
+    landed, land = {}, near_dup.land
+    monkeypatch.setattr(near_dup, "land", lambda df, name, *a: landed.setdefault(name, []).append(land(df, name, *a)) or landed[name][-1])
+    got = {r.node: r.component for r in near_dup._rounds(members, comp, sets, 80).collect()}
+    assert got == {c: 0 for c in range(30)}
+    assert sorted(r.cls for df in landed["near-pivots"] for r in df.collect()) == [30, 31]
+
+
+def test_top_k_gives_no_rows_below_the_cutoff(spark, monkeypatch):
+    landed, land = {}, topk.land
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", 64)
+    monkeypatch.setattr(topk, "land", lambda df, name, *a: landed.setdefault(name, land(df, name, *a)))
+    rng = random.Random(5)
+    rows = [(i, [rng.random() for _ in range(8)]) for i in range(2000)]
+    assert topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5).count() == 500
+    both = landed["topk-reaching"].join(landed["topk-cutoffs"], ["dim", "q_block", "q"])
+    assert both.count() >= 500 and both.where("score < cutoff").count() == 0

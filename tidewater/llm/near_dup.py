@@ -21,7 +21,7 @@ Candidates come from buckets and are confirmed on full sets:
    the sets, discards pairs that can't be links before the full check;
 3. a large bucket that still holds several components is worked through in
    rounds. A round takes up to PIVOTS of its classes, those of its smallest
-   components first, and compares all its other classes with them, in chunks:
+   components first and none of its largest one, and compares all its other classes with them, in chunks:
    first a spanning forest of the components is proposed, then every pair that
    is still open. The pivots are done then, and leave the bucket. Rounds end
    when what is left of every bucket is one component.
@@ -426,11 +426,20 @@ def _rounds(members: DataFrame, comp: DataFrame, sets: DataFrame, similarity: in
     compared, by rounds of pivots."""
     info = sets.select("cls", "n", "bits")
     while (still := _open(members, comp)) is not None:
-        # Classes of the smallest components first, so that the largest may never have to be pivots.
+        # Classes of the smallest components first. The largest one of a bucket has no pivots: all its pairs with
+        # other components are pairs with their classes. Only components that a round reaches meet their members.
         sizes = still.groupBy("key", "label").agg(F.count("*").alias("held"))
-        order = F.row_number().over(Window.partitionBy("key").orderBy("held", "label", "cls"))
+        of_key = Window.partitionBy("key").orderBy("held", "label")
+        reached = (
+            sizes.withColumn("before", F.sum("held").over(of_key) - F.col("held"))
+            .withColumn("rank", F.row_number().over(of_key))
+            .withColumn("last", F.max("rank").over(Window.partitionBy("key")))
+            .where((F.col("before") < PIVOTS) & (F.col("rank") < F.col("last")))
+        )
+        reached = land(reached.select("key", "label", "before"), "near-reached")
+        order = F.row_number().over(Window.partitionBy("key", "label").orderBy("cls"))
         pivots = land(
-            still.join(sizes, ["key", "label"]).withColumn("place", order).where(F.col("place") <= PIVOTS)
+            still.join(reached, ["key", "label"]).withColumn("place", order).where(F.col("before") + F.col("place") <= PIVOTS)
             .select("key", "cls", "size"),
             "near-pivots",
         )
