@@ -14,6 +14,9 @@ scores a query's part against it.
 3. The remaining candidates are scored in full, and the ``k`` best stay.
 
 Queries meet vectors in blocks of bounded size, one pair of blocks per row.
+The parts of a pair of blocks are in one row, so phases 2 and 3 are one pass
+over the pairs that gives only rows whose full score reaches the cutoff: their
+number follows the number of queries, not that of pairs.
 """
 
 from __future__ import annotations
@@ -94,8 +97,8 @@ def _entries(out) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in _ENTRY.split(", ")])
 
 
-def _nodes(parts: int, k: int | None):
-    """Local lists (``k`` given), or all entries from the threshold on."""
+def _local_lists(parts: int, k: int):
+    """Phase 1: each node's highest partial scores."""
 
     def run(batches):
         for b in batches:
@@ -103,18 +106,14 @@ def _nodes(parts: int, k: int | None):
                 dim, out = r["dim"], []
                 (q_ids, q), (v_ids, v) = _matrix(r, "q"), _matrix(r, "v")
                 own = q_ids[:, None] == v_ids[None, :]
-                least = None if k else np.frombuffer(r["least"], np.int64)
                 for p, cut in enumerate(_cuts(dim, parts)):
                     score = _product(q[:, cut], v[:, cut])
-                    if k:
-                        score[own] = np.iinfo(np.int64).min
-                        n = min(k, score.shape[1])
-                        at = np.argpartition(score, score.shape[1] - n, axis=1)[:, score.shape[1] - n :]
-                        qi, vi = np.repeat(np.arange(len(q)), n), at.ravel()
-                        ok = ~own[qi, vi]
-                        qi, vi = qi[ok], vi[ok]
-                    else:
-                        qi, vi = np.nonzero((score >= least[:, None]) & ~own)
+                    score[own] = np.iinfo(np.int64).min
+                    n = min(k, score.shape[1])
+                    at = np.argpartition(score, score.shape[1] - n, axis=1)[:, score.shape[1] - n :]
+                    qi, vi = np.repeat(np.arange(len(q)), n), at.ravel()
+                    ok = ~own[qi, vi]
+                    qi, vi = qi[ok], vi[ok]
                     m = len(qi)
                     out.append((np.full(m, dim), np.full(m, r["q_block"]), np.full(m, r["v_block"]), qi, vi, np.full(m, p), score[qi, vi]))
                 yield _entries(out)
@@ -122,27 +121,61 @@ def _nodes(parts: int, k: int | None):
     return run
 
 
+def _full_scores(q: np.ndarray, v: np.ndarray, qi: np.ndarray, vi: np.ndarray) -> np.ndarray:
+    score = np.empty(len(qi), np.int64)
+    for at in range(0, len(qi), 65536):
+        score[at : at + 65536] = np.einsum("ij,ij->i", q[qi[at : at + 65536]], v[vi[at : at + 65536]])
+    return score
+
+
+def _reaching(parts: int):
+    """Phases 2 and 3 of a block pair: the entries from the threshold on,
+    without those that can't reach the cutoff, scored in full. Without a
+    cutoff, all of them."""
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                (q_ids, q), (v_ids, v) = _matrix(r, "q"), _matrix(r, "v")
+                cutoff, none = np.frombuffer(r["cutoffs"], np.int64), np.iinfo(np.int64).min
+                least = np.where(cutoff == none, none, -(-cutoff // parts))[:, None]
+                able = np.zeros((len(q), len(v)), bool)
+                most = np.zeros((len(q), len(v)), np.int64)
+                for cut in _cuts(r["dim"], parts):
+                    partial = _product(q[:, cut], v[:, cut])
+                    seen = partial >= least
+                    able |= seen
+                    most += np.where(seen, partial, least - 1)
+                able &= (most >= cutoff[:, None]) & (q_ids[:, None] != v_ids[None, :])
+                qi, vi = np.nonzero(able)
+                score = _full_scores(q, v, qi, vi)
+                ok = score >= cutoff[qi]
+                yield _scored(r, q_ids, v_ids, qi[ok], vi[ok], score[ok])
+
+    return run
+
+
 def _resolve(batches):
     """Full scores of the listed pairs of a block pair."""
     for b in batches:
         for r in b.to_pylist():
-            dim, (q_ids, q), (v_ids, v) = r["dim"], _matrix(r, "q"), _matrix(r, "v")
+            (q_ids, q), (v_ids, v) = _matrix(r, "q"), _matrix(r, "v")
             pairs = np.array([(x["q"], x["v"]) for x in r["pairs"]], np.int64).reshape(-1, 2)
-            score = np.empty(len(pairs), np.int64)
-            for at in range(0, len(pairs), 65536):
-                part = pairs[at : at + 65536]
-                score[at : at + 65536] = np.einsum("ij,ij->i", q[part[:, 0]], v[part[:, 1]])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(pairs), dim), pa.int32()),
-                    pa.array(np.full(len(pairs), r["q_block"]), pa.int64()),
-                    pa.array(pairs[:, 0], pa.int32()),
-                    pa.array(q_ids[pairs[:, 0]], pa.int64()),
-                    pa.array(v_ids[pairs[:, 1]], pa.int64()),
-                    pa.array(score, pa.int64()),
-                ],
-                names=["dim", "q_block", "q", "query_id", "vec_id", "score"],
-            )
+            yield _scored(r, q_ids, v_ids, pairs[:, 0], pairs[:, 1], _full_scores(q, v, pairs[:, 0], pairs[:, 1]))
+
+
+def _scored(r: dict, q_ids: np.ndarray, v_ids: np.ndarray, qi: np.ndarray, vi: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(qi), r["dim"]), pa.int32()),
+            pa.array(np.full(len(qi), r["q_block"]), pa.int64()),
+            pa.array(qi, pa.int32()),
+            pa.array(q_ids[qi], pa.int64()),
+            pa.array(v_ids[vi], pa.int64()),
+            pa.array(score, pa.int64()),
+        ],
+        names=["dim", "q_block", "q", "query_id", "vec_id", "score"],
+    )
 
 
 _SCORED = "dim int, q_block long, q int, query_id long, vec_id long, score long"
@@ -188,43 +221,33 @@ def top_k(vectors: DataFrame, k: int = K, every: int = 20, scale: int = SCALE, p
 
     best = Window.partitionBy("dim", "q_block", "q").orderBy(F.desc("score"), "vec_id")
     # Phase 1: local lists, and from them a safe cutoff per query.
-    named = land(met(queries).mapInArrow(_nodes(parts, k), _ENTRY), "topk-local")
+    named = land(met(queries).mapInArrow(_local_lists(parts, k), _ENTRY), "topk-local")
     of_part = Window.partitionBy("dim", "q_block", "q", "part").orderBy(F.desc("partial"))
     named = named.withColumn("r", F.row_number().over(of_part)).where(F.col("r") <= k).select("dim", "q_block", "v_block", "q", "v").distinct()
     kth = land(
         resolved(named).withColumn("r", F.row_number().over(best)).where(F.col("r") == k).select("dim", "q_block", "q", F.col("score").alias("cutoff")),
         "topk-cutoffs",
     )
-    # Phase 2: entries from cutoff / parts on. Without a cutoff, all entries.
-    least = kth.groupBy("dim", "q_block").agg(F.collect_list(F.struct("q", "cutoff")).alias("cuts"))
-    bounded = queries.join(least, ["dim", "q_block"], "left").mapInArrow(
-        _thresholds(parts), "dim int, q_block long, q_ids binary, q_data binary, least binary"
-    )
-    found = land(met(bounded).mapInArrow(_nodes(parts, None), _ENTRY), "topk-entries")
-    seen = found.groupBy("dim", "q_block", "v_block", "q", "v").agg(F.sum("partial").alias("sum"), F.count("*").alias("n"))
-    below = F.ceil(F.col("cutoff") / parts) - 1
-    able = seen.join(kth, ["dim", "q_block", "q"], "left").where(
-        F.col("cutoff").isNull() | (F.col("sum") + (parts - F.col("n")) * below >= F.col("cutoff"))
+    # Phases 2 and 3: entries from cutoff / parts on, and the full scores of those that can reach the cutoff.
+    reach = kth.groupBy("dim", "q_block").agg(F.collect_list(F.struct("q", "cutoff")).alias("cuts"))
+    bounded = queries.join(reach, ["dim", "q_block"], "left").mapInArrow(
+        _cutoffs, "dim int, q_block long, q_ids binary, q_data binary, cutoffs binary"
     )
-    # Phase 3: full scores of what is left.
-    scored = resolved(able.select("dim", "q_block", "v_block", "q", "v"))
+    scored = land(met(bounded).mapInArrow(_reaching(parts), _SCORED), "topk-reaching")
     return (
         scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
 
 
-def _thresholds(parts: int):
-    """Adds to each query block the least partial score of each query."""
-
-    def run(batches):
-        for b in batches:
-            least = []
-            for r in b.to_pylist():
-                x = np.full(len(r["q_ids"]) // 8, np.iinfo(np.int64).min)
-                for c in r["cuts"] or []:
-                    x[c["q"]] = -(-c["cutoff"] // parts)
-                least.append(x.tobytes())
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(least, pa.binary())], names=[*b.schema.names[:4], "least"])
-
-    return run
+def _cutoffs(batches):
+    """Adds to each query block the cutoff of each query; the least integer
+    where there is none."""
+    for b in batches:
+        cutoffs = []
+        for r in b.to_pylist():
+            x = np.full(len(r["q_ids"]) // 8, np.iinfo(np.int64).min)
+            for c in r["cuts"] or []:
+                x[c["q"]] = c["cutoff"]
+            cutoffs.append(x.tobytes())
+        yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(cutoffs, pa.binary())], names=[*b.schema.names[:4], "cutoffs"])
