@@ -315,6 +315,25 @@ def test_the_largest_component_of_a_bucket_has_no_pivots(spark, monkeypatch):
     assert sorted(r.cls for df in landed["near-pivots"] for r in df.collect()) == [30, 31]
 
 
+def test_confirming_few_pairs_moves_few_sets(spark):
+    import numpy as np
+
+    ids = lambda cls: np.sort(np.random.default_rng(cls // 2).integers(0, 2**63, 32, dtype=np.uint64))
+    sets = near_dup.land(spark.createDataFrame([(c, bytearray(ids(c).tobytes())) for c in range(4000)], "cls long, ids binary"), "test-sets")
+    unread = spark.range(9).selectExpr("id as cls", "cast(raise_error('sets are read') as binary) as ids")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 50_000)
+    try:
+        found = near_dup.confirm(spark.createDataFrame([(0, 1), (1, 2), (6, 7)], "a long, b long"), sets, 80)
+        assert sorted(map(tuple, found.collect())) == [(0, 1), (6, 7)]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"BroadcastHashJoin \[cls#\d+L\], \[cls#\d+L\], LeftSemi", plan)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        none = spark.range(9).where("id > 9").selectExpr("id as a", "id as b")
+        assert near_dup.confirm(none, unread, 80).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_top_k_gives_no_rows_below_the_cutoff(spark, monkeypatch):
     landed, land = {}, topk.land
     monkeypatch.setattr(topk, "VECTOR_BLOCK", 64)

@@ -142,7 +142,13 @@ def _confirm(similarity: int):
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Those pairs ``(a, b)`` whose full sets are similar enough."""
+    """Those pairs ``(a, b)`` whose full sets are similar enough. Pairs and
+    their classes are landed, so that few pairs move few sets."""
+    pairs = land(pairs, "near-pairs")
+    if pairs.isEmpty():
+        return pairs
+    wanted = land(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "near-wanted")
+    sets = sets.join(wanted, "cls", "left_semi")
     ids = lambda at: sets.select(F.col("cls").alias(at), F.col("ids").alias(f"ids_{at}"))
     # Hubs are in ``a``: members' sets are brought to theirs, not theirs copied.
     return (
