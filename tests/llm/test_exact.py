@@ -334,6 +334,17 @@ def test_confirming_few_pairs_moves_few_sets(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rounds_take_a_class_once_for_each_half_key(docs_of, monkeypatch):
+    monkeypatch.setattr(near_dup, "SMALL", 2)
+    landed, land = {}, near_dup.land
+    monkeypatch.setattr(near_dup, "land", lambda df, name, *a: landed.setdefault(name, []).append(land(df, name, *a)) or landed[name][-1])
+    rows = _near_rows(groups=2, size=40)
+    got = near_dup.near_duplicates(docs_of(rows), words=2).collect()
+    assert sorted(map(str, _components(rows, 2))) == sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got)
+    dealt = landed["near-dealt"][0].where("not pivot")
+    assert 0 < dealt.groupBy("cls").count().agg({"count": "max"}).first()[0] <= near_dup.HALVES
+
+
 def test_top_k_gives_no_rows_below_the_cutoff(spark, monkeypatch):
     landed, land = {}, topk.land
     monkeypatch.setattr(topk, "VECTOR_BLOCK", 64)

@@ -19,11 +19,14 @@ Candidates come from buckets and are confirmed on full sets:
 2. of a small bucket that still holds several components, all pairs across
    components are candidates. An exact bound on the overlap, from bitmaps of
    the sets, discards pairs that can't be links before the full check;
-3. a large bucket that still holds several components is worked through in
-   rounds. A round takes up to PIVOTS of its classes, those of its smallest
-   components first and none of its largest one, and compares all its other classes with them, in chunks:
-   first a spanning forest of the components is proposed, then every pair that
-   is still open. The pivots are done then, and leave the bucket. Rounds end
+3. large buckets that still hold several components are worked through by the
+   rarer one of their two half keys: a group of near copies shares hundreds of
+   buckets, but at most ``halves`` half keys. All classes with such a half key
+   are one bucket, worked through in rounds. A round takes up to PIVOTS of its
+   classes, those of its smallest components first and none of its largest
+   one, and compares all its other classes with them, in chunks: first a
+   spanning forest of the components is proposed, then every pair that is
+   still open. The pivots are done then, and leave the bucket. Rounds end
    when what is left of every bucket is one component.
 
 A round copies a class a bounded number of times. No step emits all pairs of a
@@ -35,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import components, land
@@ -330,7 +333,8 @@ def _labelled(rows: DataFrame, words: int, similarity: int, halves: int, hashes:
         .withColumn("cls", F.monotonically_increasing_id()),
         "near-classes",
     )
-    members = land(_members(classes), "near-members")
+    alive = _alive(classes)
+    members = land(_members(alive), "near-members")
     needed = land(
         classes.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", "digest", "text.row", "text.code"),
         "near-needed",
@@ -357,11 +361,13 @@ def _labelled(rows: DataFrame, words: int, similarity: int, halves: int, hashes:
     nearest = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("c"), "hub"))
     more = apart.withColumn("r", nearest).where(F.col("r") <= HUBS).select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     comp = _merged(comp, land(confirm(_possible(more, sets, similarity), sets, similarity), "near-links"))
-    still = _open(members, comp)
-    if still is not None:
-        found = _listed_pairs(still.where(F.col("size") <= SMALL), sets, similarity)
-        comp = _merged(comp, land(confirm(found, sets, similarity), "near-links"))
-        comp = _rounds(still.where(F.col("size") > SMALL).drop("label"), comp, sets, similarity)
+    tagged = _tagged(members, comp)
+    still = land(_several(tagged.where(F.col("size") <= SMALL)), "near-open")
+    found = _listed_pairs(tagged.join(still.select("key"), "key", "left_semi"), sets, similarity)
+    comp = _merged(comp, land(confirm(found, sets, similarity), "near-links"))
+    still = land(_several(tagged.where(F.col("size") > SMALL)), "near-open")
+    if not still.isEmpty():
+        comp = _rounds(_homes(alive, still, sets), comp, sets, similarity)
 
     labelled = sig.join(classes.select("digest", "cls"), "digest", "left").join(
         comp.withColumnRenamed("node", "cls"), "cls", "left"
@@ -376,28 +382,37 @@ def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
     return land(components(joined.union(links), "near"), "near-components")
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """``(key, cls, hub, size, tables)`` of every bucket with at least two
-    classes; buckets that hold the same classes are one, and ``tables`` says
-    of how many. Pairs are formed from half keys that at least two classes
-    share; no other table key can have two members."""
+def _alive(classes: DataFrame) -> DataFrame:
+    """``(cls, hs, common)`` of classes with at least two half keys that other
+    classes share: those half keys ``(i, h, c)``, each with the number of
+    classes that have it, and the sum of these numbers."""
     half = classes.select("cls", F.posexplode("halves").alias("i", "h"))
     shared = land(half.groupBy("i", "h").agg(F.count("*").alias("c")).where("c > 1"), "near-half-keys")
-    alive = land(
+    return land(
         half.join(shared, ["i", "h"]).groupBy("cls")
-        .agg(F.array_sort(F.collect_list(F.struct("i", "h"))).alias("hs"), F.sum("c").alias("common"))
+        .agg(F.array_sort(F.collect_list(F.struct("i", "h", "c"))).alias("hs"), F.sum("c").alias("common"))
         .where("size(hs) > 1"),
         "near-alive",
     )
-    tables = F.flatten(
-        F.transform(
-            "hs",
-            lambda x: F.transform(
-                F.filter("hs", lambda y: y["i"] > x["i"]), lambda y: F.xxhash64(x["i"], x["h"], y["i"], y["h"])
-            ),
-        )
+
+
+def _tables(of) -> Column:
+    """What ``of`` gives of every pair of the half keys in ``hs``."""
+    return F.flatten(
+        F.transform("hs", lambda x: F.transform(F.filter("hs", lambda y: y["i"] > x["i"]), lambda y: of(x, y)))
     )
-    keyed = alive.select("cls", "common", F.explode(tables).alias("key"))
+
+
+def _table_key(x: Column, y: Column) -> Column:
+    return F.xxhash64(x["i"], x["h"], y["i"], y["h"])
+
+
+def _members(alive: DataFrame) -> DataFrame:
+    """``(key, cls, hub, size, tables)`` of every bucket with at least two
+    classes; buckets that hold the same classes are one, and ``tables`` says
+    of how many. Pairs are formed from half keys that at least two classes
+    share; no other table key can have two members."""
+    keyed = alive.select("cls", "common", F.explode(_tables(_table_key)).alias("key"))
     # Two 64-bit hashes, the size and the hub stand for the classes of a bucket.
     buckets = keyed.groupBy("key").agg(
         F.max(F.struct("common", "cls")).alias("top"),
@@ -414,16 +429,42 @@ def _members(classes: DataFrame) -> DataFrame:
     return keyed.select("key", "cls").join(distinct, "key")
 
 
+def _homes(alive: DataFrame, still: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(key, cls, size)`` of buckets by half key that hold all classes of the
+    buckets ``(key, hub)``: each is held by the rarer one of its half keys."""
+    half = lambda x: F.struct(x["c"].alias("c"), x["i"].alias("i"), x["h"].alias("h"))
+    home = lambda x, y: F.struct(_table_key(x, y).alias("key"), F.least(half(x), half(y)).alias("home"))
+    hubs = alive.join(still.select(F.col("hub").alias("cls")).distinct(), "cls", "left_semi")
+    homes = (
+        hubs.select(F.col("cls").alias("hub"), F.explode(_tables(home)).alias("t")).select("hub", "t.*")
+        .join(still, ["key", "hub"], "left_semi").select("home.i", "home.h").distinct()
+    )
+    rows = alive.join(sets.select("cls"), "cls", "left_semi").select("cls", F.inline("hs"))
+    held = rows.join(land(homes, "near-homes"), ["i", "h"], "left_semi")
+    return land(held.select(F.xxhash64("i", "h").alias("key"), "cls", F.col("c").alias("size")), "near-held")
+
+
+def _tagged(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members with their components as ``label``."""
+    labels = comp.select(F.col("node").alias("cls"), "component")
+    return land(
+        members.join(labels, "cls", "left").withColumn("label", F.coalesce("component", "cls")).drop("component"), "near-tagged"
+    )
+
+
+def _several(tagged: DataFrame) -> DataFrame:
+    """``(key, hub)`` of the buckets that hold at least two components."""
+    return (
+        tagged.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("hub").alias("hub"))
+        .where("x <> y").select("key", "hub")
+    )
+
+
 def _open(members: DataFrame, comp: DataFrame) -> DataFrame | None:
     """Those members, with their components as ``label``, whose bucket holds
     at least two components; None when there is no such bucket."""
-    tagged = land(
-        members.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("key", "cls", "size", F.coalesce("component", "cls").alias("label")),
-        "near-tagged",
-    )
-    several = tagged.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    still = land(tagged.join(several, "key", "left_semi"), "near-open")
+    tagged = _tagged(members, comp)
+    still = land(tagged.join(_several(tagged.withColumn("hub", F.col("cls"))).select("key"), "key", "left_semi"), "near-open")
     return None if still.isEmpty() else still
 
 
