@@ -334,6 +334,44 @@ def test_confirming_few_pairs_moves_few_sets(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_near_dedup_leaves_the_texts_that_stay_in_place(spark, docs_of, monkeypatch):
+    landed, land = {}, near_dup.land
+    monkeypatch.setattr(near_dup, "land", lambda df, name: landed.setdefault(name, land(df, name)))
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
+    rows = [(i, text(i)) for i in range(300)] + [(300 + i, text(i) + " more") for i in range(5)] + [(400, ""), (401, None), (None, text(7))]
+    out = near_dup.one_of_each(docs_of(rows))
+    last = list(landed.values())[-1]
+    assert last.count() == 6  # what is joined with the texts: the rows that go, not those that stay
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search("Join .*LeftAnti", plan) and "LeftSemi" not in plan
+    assert sorted(r.doc_id for r in out.collect()) == [*range(300), 400, 401]
+
+
+def test_near_dedup_moves_full_sets_once(spark, docs_of, monkeypatch):
+    landed, land = {}, near_dup.land
+
+    def kept(df, name):
+        out = land(df, name)
+        if name == "near-sets":
+            landed["sets"], landed["rows"] = df._jdf.queryExecution().executedPlan().toString(), out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "land", kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = " ".join(f"w{j}" for j in range(40))
+        rows = [(i % 3, text + (" more" if i % 2 else "")) for i in range(12)] + [(50, "one two three four five six")]
+        found = near_dup.near_duplicates(docs_of(rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert landed["rows"] == 2  # repeated rows give a class one set
+    assert sorted({(r.doc_id, r.component_id) for r in found}) == [(0, 0), (1, 0), (2, 0), (50, 50)]
+    initial = landed["sets"].split("== Initial Plan ==")[0]
+    # Of the exchanges, only the one before the join has the sets.
+    assert len(re.findall(r"Exchange hashpartitioning\(digest", initial)) == 2
+    assert not re.search(r"Exchange hashpartitioning\(cls", initial)
+
+
 def test_rounds_take_a_class_once_for_each_half_key(docs_of, monkeypatch):
     monkeypatch.setattr(near_dup, "SMALL", 2)
     landed, land = {}, near_dup.land

@@ -311,8 +311,9 @@ def one_of_each(
     labelled = _labelled(rows, words, similarity, halves, hashes)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = labelled.where("n > 0").groupBy("label").agg(F.min(order).alias("first")).select("first.row")
-    kept = land(first.union(labelled.where("n = 0").select("row")), "near-kept")
-    return keyed.join(kept, keyed["__row"] == kept["row"], "left_semi").select(docs.columns)
+    # The rows that go are far fewer than those that stay, so the texts seldom have to be moved to them.
+    gone = land(labelled.where("n > 0").select("row").join(first, "row", "left_anti"), "near-gone")
+    return keyed.join(gone, keyed["__row"] == gone["row"], "left_anti").select(docs.columns)
 
 
 def _labelled(rows: DataFrame, words: int, similarity: int, halves: int, hashes: int) -> DataFrame:
@@ -344,7 +345,7 @@ def _labelled(rows: DataFrame, words: int, similarity: int, halves: int, hashes:
         rows.join(needed, wanted, "left_semi").select("text")
         .mapInArrow(_full_sets(words), "digest binary, n long, ids binary, bits binary")
         .join(needed.select("cls", "digest"), "digest")
-        .dropDuplicates(["cls"])
+        .dropDuplicates(["digest"])  # sets are where the join has brought them
         .drop("digest"),
         "near-sets",
     )
